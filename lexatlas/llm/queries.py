@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lexatlas.llm.mixing import op1_mix_sources
+from lexatlas.llm.secrets import op8_secret_scan
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op8_secret_scan": op8_secret_scan,
     }
 
 
