@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "16777216"}
 
 _own_dirs: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,10 +26,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def arrow_bounds(spark: SparkSession) -> None:
-    """Bound the batches of this session's Python operators."""
+def ready_python(spark: SparkSession) -> None:
+    """For Python operators: bound this session's Arrow batches, and ship the package to workers that can't import it yet."""
     for key, value in ARROW_CONF.items():
         spark.conf.set(key, value)
+    package, app = Path(__file__).resolve().parents[1], spark.sparkContext.applicationId
+    if app not in _shipped and str(package.parent) not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        to = tempfile.mkdtemp(prefix="lexatlas-")
+        atexit.register(shutil.rmtree, to, ignore_errors=True)
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{to}/lexatlas", "zip", package.parent, package.name))
+    _shipped.add(app)
 
 
 def scratch_dir(spark: SparkSession) -> str:

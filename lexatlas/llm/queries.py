@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexatlas.llm.mixing import op1_mix_sources
 from lexatlas.llm.secrets import op8_secret_scan
+from lexatlas.llm.simhash import op3_simhash_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op3_simhash_dedup": op3_simhash_dedup,
         "op8_secret_scan": op8_secret_scan,
     }
 
