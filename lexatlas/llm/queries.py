@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lexatlas.llm.bpe import op9_bpe_round_trip
+from lexatlas.llm.htmltext import op6_html_text
 from lexatlas.llm.langid import op10_language_id
 from lexatlas.llm.mixing import op1_mix_sources
 from lexatlas.llm.secrets import op8_secret_scan
@@ -17,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
         "op3_simhash_dedup": op3_simhash_dedup,
+        "op6_html_text": op6_html_text,
         "op8_secret_scan": op8_secret_scan,
         "op9_bpe_round_trip": op9_bpe_round_trip,
         "op10_language_id": op10_language_id,
