@@ -12,6 +12,7 @@ from lexatlas.llm.langid import op10_language_id
 from lexatlas.llm.mixing import op1_mix_sources
 from lexatlas.llm.secrets import op8_secret_scan
 from lexatlas.llm.simhash import op3_simhash_dedup
+from lexatlas.llm.topk import OP7_SQL, op7_top_products
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mix_sources": op1_mix_sources,
         "op3_simhash_dedup": op3_simhash_dedup,
         "op6_html_text": op6_html_text,
+        "op7_top_products": op7_top_products,
         "op8_secret_scan": op8_secret_scan,
         "op9_bpe_round_trip": op9_bpe_round_trip,
         "op10_language_id": op10_language_id,
@@ -26,4 +28,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op7_top_products": OP7_SQL,
+    }
