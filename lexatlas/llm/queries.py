@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lexatlas.llm.bpe import op9_bpe_round_trip
 from lexatlas.llm.htmltext import op6_html_text
 from lexatlas.llm.langid import op10_language_id
+from lexatlas.llm.media import op2_media_tiles
 from lexatlas.llm.mixing import op1_mix_sources
 from lexatlas.llm.secrets import op8_secret_scan
 from lexatlas.llm.simhash import op3_simhash_dedup
@@ -18,6 +19,7 @@ from lexatlas.llm.topk import OP7_SQL, op7_top_products
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
+        "op2_media_tiles": op2_media_tiles,
         "op3_simhash_dedup": op3_simhash_dedup,
         "op6_html_text": op6_html_text,
         "op7_top_products": op7_top_products,
