@@ -33,6 +33,8 @@ from lexatlas.llm.components import components
 SHINGLE, SEED, MAX_DISTANCE = 4, 42, 4
 #: So many fingerprints at one key are compared in one task, 8 bytes each.
 GROUP_MOST = 2048
+#: Bits of the filter before the join with these keys: 6 MB at most when broadcast.
+FILTER_BITS = 1 << 24
 LOW = (1 << 32) - 1
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -115,7 +117,14 @@ def hamming_links(fps: DataFrame, max_distance: int = MAX_DISTANCE, group_most:
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance
     links = count.where("n = 2").where(near).select("a", "b")
 
-    more = staged(meet.join(count.where("n > 2").select("key", "n"), "key"), "simhash-groups")
+    # a filter of a fixed number of bits lets few others of the lookups through to the join with the keys where several meet
+    several = count.where("n > 2").select("key", "n")
+    slot = F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS))
+    bits = several.select(F.floor(slot / 64).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int")).alias("bit"))
+    bits = F.broadcast(bits.groupBy("word").agg(F.bit_or("bit").alias("bits")))  # FILTER_BITS / 64 rows at most
+    maybe = meet.withColumn("slot", slot).join(bits, F.floor(F.col("slot") / 64) == F.col("word"))
+    maybe = maybe.where(F.call_function("shiftright", F.col("bits"), (F.col("slot") % 64).cast("int")).bitwiseAND(F.lit(1)) == 1).select("fp", "key")
+    more = staged(maybe.join(several, "key"), "simhash-groups")
     groups = more.where(F.col("n") <= group_most).groupBy("key").agg(F.collect_list("fp").alias("members"))
     links = links.unionByName(groups.select("members").mapInArrow(_forest(max_distance), "a long, b long"))
 
