@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexatlas.llm.common import ready_python, table
+from lexatlas.llm.common import ready_python, table, unassigned
 
 #: Fixed value: how byte-level BPE splits a text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -138,7 +138,7 @@ class Codec:
             self.labels[i], inner[i] = token.encode(), b""
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         self.automaton = Automaton(inner, ((ids[a], ids[b], ids[a + b]) for a, b in pairs))
-        self.split = regex.compile(SPLIT).findall
+        self.split, self.newer = regex.compile(SPLIT).findall, unassigned()
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))) + ")") if self.specials else None
         self.words: dict[str, tuple[int, ...]] = {}
         self.decimal = [str(i) for i in range(size)]
@@ -153,6 +153,11 @@ class Codec:
 
     def _plain(self, text: str) -> Iterator[tuple[int, ...]]:
         known, make = self.words.get, self._word
+        if not text.isascii() and self.newer(text):
+            from tokenizers.pre_tokenizers import ByteLevel
+
+            ends = [0, *(e for _, (_, e) in ByteLevel(add_prefix_space=False).pre_tokenize_str(text))]
+            return (known(w) or make(w) for w in (text[i:j] for i, j in zip(ends, ends[1:], strict=False)))
         return (known(w) or make(w) for w in self.split(text))
 
     def encode(self, text: str | None) -> list[int]:

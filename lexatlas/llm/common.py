@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
+import unicodedata
 import uuid
+from itertools import groupby
 from pathlib import Path
 
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +72,16 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def unassigned():
+    """A test for code points that Python's own Unicode tables leave unassigned: newer tables may call some of them letters."""
+    none = (c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn")
+    runs = [[c for _, c in g] for _, g in groupby(enumerate(none), lambda x: x[1] - x[0])]
+    exact = re.compile("[" + "".join(f"\\U{r[0]:08x}-\\U{r[-1]:08x}" for r in runs) + "]").search
+    # most texts keep to blocks that have long been full, which is quickly told
+    other = re.compile("[^\\u0000-\\u05ff\\u2000-\\u206f\\u20a0-\\u20bf\\u2100-\\u23ff\\u3000-\\u30ff\\u4e00-\\u9fff\\uac00-\\ud7a3]").search
+    return lambda text: other(text) and exact(text)
+
+
 def unit(*cols: Column) -> Column:
     """A reproducible uniform number in [0, 1) from the hash of cols."""
     return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(1 << 53))
