@@ -13,6 +13,7 @@ from lexatlas.llm.media import op2_media_tiles
 from lexatlas.llm.mixing import op1_mix_sources
 from lexatlas.llm.secrets import op8_secret_scan
 from lexatlas.llm.simhash import op3_simhash_dedup
+from lexatlas.llm.tokenbin import op4_token_store
 from lexatlas.llm.topk import OP7_SQL, op7_top_products
 
 
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_media_tiles": op2_media_tiles,
         "op3_simhash_dedup": op3_simhash_dedup,
         "op6_html_text": op6_html_text,
+        "op4_token_store": op4_token_store,
         "op7_top_products": op7_top_products,
         "op8_secret_scan": op8_secret_scan,
         "op9_bpe_round_trip": op9_bpe_round_trip,
