@@ -15,6 +15,7 @@ from lexatlas.llm.secrets import op8_secret_scan
 from lexatlas.llm.simhash import op3_simhash_dedup
 from lexatlas.llm.tokenbin import op4_token_store
 from lexatlas.llm.topk import OP7_SQL, op7_top_products
+from lexatlas.llm.warc import OP5_SQL, op5_warc_revisits
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,8 +23,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mix_sources": op1_mix_sources,
         "op2_media_tiles": op2_media_tiles,
         "op3_simhash_dedup": op3_simhash_dedup,
-        "op6_html_text": op6_html_text,
         "op4_token_store": op4_token_store,
+        "op5_warc_revisits": op5_warc_revisits,
+        "op6_html_text": op6_html_text,
         "op7_top_products": op7_top_products,
         "op8_secret_scan": op8_secret_scan,
         "op9_bpe_round_trip": op9_bpe_round_trip,
@@ -33,5 +35,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_warc_revisits": OP5_SQL,
         "op7_top_products": OP7_SQL,
     }
