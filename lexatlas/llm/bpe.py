@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexatlas.llm.common import ready_python, table, unassigned
+from lexatlas.llm.common import name, ready_python, table, unassigned
 
 #: Fixed value: how byte-level BPE splits a text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -206,7 +206,7 @@ def bpe_encode(docs: DataFrame, path: str, *, text_col: str = "text", to: str =
         for texts in batches:
             yield pd.Series([c.encode(t) for t in texts], dtype=object)
 
-    return docs.withColumn(to, run(F.col(text_col).cast("string")))
+    return docs.withColumn(to, run(F.col(name(text_col)).cast("string")))
 
 
 def bpe_decode(rows: DataFrame, path: str, *, ids_col: str = "ids", to: str = "text") -> DataFrame:
@@ -219,7 +219,7 @@ def bpe_decode(rows: DataFrame, path: str, *, ids_col: str = "ids", to: str = "t
         for ids in batches:
             yield pd.Series([None if x is None else c.decode(x) for x in ids], dtype=object)
 
-    return rows.withColumn(to, run(F.col(ids_col)))
+    return rows.withColumn(to, run(F.col(name(ids_col))))
 
 
 def bpe_digests(docs: DataFrame, path: str, *, text_col: str = "text", to: str = "bpe") -> DataFrame:
@@ -237,7 +237,7 @@ def bpe_digests(docs: DataFrame, path: str, *, text_col: str = "text", to: str =
                 rows.append((len(ids), sha(",".join([decimal[i] for i in ids]).encode()).hexdigest(), sha(c.decode(ids).encode()).hexdigest()))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.withColumn(to, run(F.col(text_col).cast("string")))
+    return docs.withColumn(to, run(F.col(name(text_col)).cast("string")))
 
 
 def byte_bpe_path() -> str:

@@ -67,6 +67,23 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def own(df: DataFrame) -> str:
+    """A prefix that no column of df begins with, for columns of an operator's own."""
+    prefix = "__lx_"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
+def columns(names) -> list[Column]:
+    """Columns by their whole names, dots included."""
+    return [F.col(name(c)) for c in names]
+
+
+def name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def let(value: Column, body) -> Column:
     """body(value) with value evaluated once; for use inside higher-order functions."""
     return F.transform(F.array(value), body)[0]

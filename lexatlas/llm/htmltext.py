@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexatlas.llm.common import ready_python, staged, table
+from lexatlas.llm.common import columns, name, own, ready_python, staged, table
 
 #: Paths of a host that are kept in order of votes.
 RANKED = 32
@@ -228,7 +228,7 @@ def host_paths(pages: DataFrame, *, url_col: str = "url", html_col: str = "html"
         for b in batches:
             yield pd.DataFrame([vote(h) for h in b], columns=["path", "score"])
 
-    votes = pages.select(host(F.col(url_col)).alias("host"), voted(F.col(html_col).cast("string")).alias("v")).where("v.path is not null")
+    votes = pages.select(host(F.col(name(url_col))).alias("host"), voted(F.col(name(html_col)).cast("string")).alias("v")).where("v.path is not null")
     votes = votes.groupBy("host", F.col("v.path").alias("path")).agg(F.count(F.lit(1)).alias("votes"))
     rank = F.row_number().over(W.partitionBy("host").orderBy(F.desc("votes"), "path"))
     best = votes.withColumn("k", rank).where(F.col("k") <= ranked)
@@ -237,9 +237,8 @@ def host_paths(pages: DataFrame, *, url_col: str = "url", html_col: str = "html"
 
 
 def main_texts(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", ranked: int = RANKED) -> DataFrame:
-    """pages with `main`: struct(text, path)."""
-    if {"main", "__host", "__paths"} & set(pages.columns):
-        raise ValueError("columns in the way: main, __host or __paths")
+    """pages with `main` (which replaces a column of that name): struct(text, path)."""
+    x, kept = own(pages), [c for c in pages.columns if c.lower() != "main"]
     won = staged(host_paths(pages, url_col=url_col, html_col=html_col, ranked=ranked), "host-paths")
 
     @F.pandas_udf("text string, path string")
@@ -247,8 +246,9 @@ def main_texts(pages: DataFrame, *, url_col: str = "url", html_col: str = "html"
         for html, paths in batches:
             yield pd.DataFrame([extract(h, p) for h, p in zip(html, paths, strict=True)], columns=["text", "path"])
 
-    d = pages.withColumn("__host", host(F.col(url_col))).join(won.select(F.col("host").alias("__host"), F.col("paths").alias("__paths")), "__host", "left")
-    return d.withColumn("main", extracted(F.col(html_col).cast("string"), F.col("__paths"))).select(*pages.columns, "main")
+    d = pages.withColumn(f"{x}host", host(F.col(name(url_col)))).join(won.select(F.col("host").alias(f"{x}host"), F.col("paths").alias(f"{x}paths")), f"{x}host", "left")
+    d = d.withColumn(f"{x}main", extracted(F.col(name(html_col)).cast("string"), F.col(f"{x}paths")))
+    return d.select(*columns(kept), F.col(f"{x}main").alias("main"))
 
 
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

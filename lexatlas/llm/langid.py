@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexatlas.llm.common import ready_python, staged, table
+from lexatlas.llm.common import columns, name, own, ready_python, staged, table
 
 UND = "und"
 SAMPLE = 2000
@@ -146,7 +146,7 @@ def train(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", sa
     """A model from rows with a language. Of each language at most `sample` distinct texts are read, by least hash."""
     spark = rows.sparkSession
     ready_python(spark)
-    rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang is not null and text is not null")
+    rows = rows.select(F.col(name(lang_col)).cast("string").alias("lang"), F.col(name(text_col)).cast("string").alias("text")).where("lang is not null and text is not null")
     rows = rows.withColumn("h", F.xxhash64("text"))
     # about a tenth more than wanted, then the bound itself on what is left
     rate = rows.groupBy("lang").agg((F.lit(1.2 * sample) / F.approx_count_distinct("h", 0.02)).alias("rate"))
@@ -179,7 +179,13 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text", to: str =
         for texts in batches:
             yield pd.DataFrame([m.predict(t) for t in texts], columns=["lang", "score"])
 
-    return docs.withColumn(to, run(F.col(text_col).cast("string")))
+    return docs.withColumn(to, run(F.col(name(text_col)).cast("string")))
+
+
+def keep_identified(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
+    """docs without the rows that are `und`: their text is null or has no letter. The same columns."""
+    to = f"{own(docs)}language"
+    return identify(docs, model, text_col=text_col, to=to).where(F.col(f"{to}.lang") != UND).select(*columns(docs.columns))
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:

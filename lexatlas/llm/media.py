@@ -6,7 +6,8 @@ borders. A difference hash compares neighbours of the gray image resized to 9 x
 
 Tiles live in an array column beside their row, so a row's media stays together, one task handles one row's image at a time, and
 nothing is shuffled. Edge cases: null or broken media gives null tiles. A null text is stored as an empty one. An image smaller
-than a tile is one smaller tile. Copies give equal values. Other columns may have any names but the output's (ValueError).
+than a tile is one smaller tile. Copies give equal values. An output column replaces an input
+column of its name; others are kept.
 """
 
 from __future__ import annotations
@@ -153,11 +154,10 @@ def join_tiles(tiles: list[dict]) -> np.ndarray:
 
 
 def _mapped(df: DataFrame, source: str, added: list[tuple[str, str, pa.DataType]], rows) -> DataFrame:
-    """df without `source`, with the columns that rows(values) gives, a batch at a time."""
-    if {n for n, _, _ in added} & set(df.columns):
-        raise ValueError("columns in the way: " + ", ".join(n for n, _, _ in added))
+    """df without `source`, with the columns that rows(values) gives (they replace others of their names), a batch at a time."""
     ready_python(df.sparkSession)
-    kept = [c for c in df.columns if c != source]
+    made_names = {n.lower() for n, _, _ in added}
+    kept = [c for c in df.columns if c != source and c.lower() not in made_names]
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(n, T._parse_datatype_string(t)) for n, t, _ in added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexatlas.llm.common import WORD, let, staged, table, unit
+from lexatlas.llm.common import WORD, columns, let, name, own, staged, table, unit
 
 #: Rows in a block of the tree: its fan-in.
 FAN_IN = 128
@@ -156,7 +156,7 @@ def settled_items(items: DataFrame, seed: int) -> DataFrame:
 def mix_items(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights=(5.0, 2.0, 1.0), cap: float = 3.0, share: float = 1.0, seed: int = 17) -> DataFrame:
     """One row per distinct (id, source, text): doc_id, source, size, th (hash of the text), rows, copies (of all these rows
     together), source_size, target, ratio."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.xxhash64(F.col(text_col)).alias("th"))
+    rows = docs.select(F.col(name(id_col)).alias("doc_id"), F.col(name(source_col)).alias("source"), word_count(F.col(name(text_col))).alias("size"), F.xxhash64(F.col(name(text_col))).alias("th"))
     items = staged(rows.groupBy("doc_id", "source", "size", "th").agg(F.count(F.lit(1)).alias("rows")), "mix-items")
     stats = items.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))
     stats = staged(source_targets(stats, weights, cap, share).coalesce(1), "mix-targets")
@@ -186,19 +186,20 @@ def mix_sizes(docs: DataFrame, **options) -> DataFrame:
 
 def mix_documents(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
     """docs with each row repeated as often as the mix takes it (rows that it takes no time are absent); the same columns."""
-    names = docs.columns
+    x = own(docs)
     m = mix_items(docs, id_col=id_col, source_col=source_col, text_col=text_col, **options)
-    m = staged(m.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("th").alias("__th"), F.col("rows").alias("__rows"), F.col("copies").alias("__copies")), "mix-copies")
-    d = docs.withColumn("__h", F.xxhash64(F.col(text_col)))
-    on = F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__source")) & (F.col("__h") == F.col("__th"))
+    m = staged(m.select(*[F.col(c).alias(x + c) for c in ("doc_id", "source", "th", "rows", "copies")]), "mix-copies")
+    d = docs.withColumn(f"{x}h", F.xxhash64(F.col(name(text_col))))
+    on = F.col(name(id_col)).eqNullSafe(F.col(f"{x}doc_id")) & F.col(name(source_col)).eqNullSafe(F.col(f"{x}source")) & (F.col(f"{x}h") == F.col(f"{x}th"))
     joined = d.join(m, on)
-    one = joined.where("__rows = 1")
-    key = W.partitionBy("__id", "__source", "__th").orderBy(F.xxhash64(*names))
-    each = F.floor(F.col("__copies") / F.col("__rows"))
-    many = joined.where("__rows > 1").withColumn("__i", F.row_number().over(key))
-    many = many.withColumn("__copies", (each + F.when(F.col("__i") <= F.col("__copies") - each * F.col("__rows"), 1).otherwise(0)).cast("long")).drop("__i")
-    both = one.unionByName(many).where("__copies > 0")
-    return both.withColumn("__c", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*names)
+    rows, copies = F.col(f"{x}rows"), F.col(f"{x}copies")
+    # rows alike in id, source and text share their copies in order of the hash of all their columns
+    at = F.row_number().over(W.partitionBy(f"{x}doc_id", f"{x}source", f"{x}th").orderBy(F.xxhash64(*columns(docs.columns))))
+    each = F.floor(copies / rows)
+    many = joined.where(rows > 1).withColumn(f"{x}i", at)
+    many = many.withColumn(f"{x}copies", (each + F.when(F.col(f"{x}i") <= copies - each * rows, 1).otherwise(0)).cast("long")).drop(f"{x}i")
+    both = joined.where(rows == 1).unionByName(many).where(copies > 0)
+    return both.withColumn(f"{x}c", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(*columns(docs.columns))
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,8 +12,8 @@ The interval join of the parts runs inside each row as a sweep: the spans of a t
 the furthest end seen of each part and backwards with the nearest start, so the work is linear in the spans and nothing is
 shuffled, however many copies of a text there are. Offsets are code points, ends exclusive.
 
-Edge cases: a null text is empty and has no spans. Copies get equal spans. The input's columns are kept; a column named like an
-output of find_secrets must be renamed first (ValueError). Empty tables give empty results. Only ASCII letters fold case.
+Edge cases: a null text is empty and has no spans. Copies get equal spans. The input's columns are kept, whatever
+their names. Empty tables give empty results. Only ASCII letters fold case.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexatlas.llm.common import table
+from lexatlas.llm.common import columns, name, own, table
 
 KINDS = ("assign", "access", "hex", "ident", "weak", "endpoint")
 BASE = 3
@@ -109,23 +109,22 @@ def _linked(spans: Column, scope: int) -> Column:
     return F.array_sort(F.transform(kept, lambda x: F.struct(x["start"], x["kind"], x["end"])))
 
 
-def find_secrets(docs: DataFrame, *, text_col: str = "text", scope: int = SCOPE) -> DataFrame:
-    """docs with `spans`, an array of struct(start, kind, end) by start, then kind; kind is an index into KINDS."""
-    clash = {"spans", "__text", "__base", *(f"__{k}" for k in KINDS), "__value"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns in the way: {sorted(clash)}")
-    names = docs.columns
-    d = docs.withColumn("__text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    text = F.col("__text")
-    patterns = dict(zip(KINDS, (ASSIGN, ACCESS, HEX, IDENT, WEAK, ENDPOINT), strict=True))
-    d = d.withColumns({f"__{k}": F.regexp_extract_all(text, F.lit(p if k != "hex" else HEX[:-1] + "{16,}"), F.lit(0)) for k, p in patterns.items()} | {"__value": F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))})
-    spans = {k: _spans(text, F.col(f"__{k}"), p if k != "hex" else HEX[:-1] + "{16,}", k, F.col("__value") if k == "assign" else None) for k, p in patterns.items()}
+def find_secrets(docs: DataFrame, *, text_col: str = "text", to: str = "spans", scope: int = SCOPE) -> DataFrame:
+    """docs with the column `to` (which replaces one of that name): an array of struct(start, kind, end) by start, then kind; kind is
+    an index into KINDS."""
+    x = own(docs)
+    kept = [c for c in docs.columns if c.lower() != to.lower()]
+    d = docs.withColumn(f"{x}text", F.coalesce(F.col(name(text_col)).cast("string"), F.lit("")))
+    text = F.col(f"{x}text")
+    patterns = dict(zip(KINDS, (ASSIGN, ACCESS, HEX[:-1] + "{16,}", IDENT, WEAK, ENDPOINT), strict=True))
+    d = d.withColumns({f"{x}{k}": F.regexp_extract_all(text, F.lit(p), F.lit(0)) for k, p in patterns.items()} | {f"{x}value": F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))})
+    spans = {k: _spans(text, F.col(f"{x}{k}"), p, k, F.col(f"{x}value") if k == "assign" else None) for k, p in patterns.items()}
     base = F.concat(*[spans[k] for k in KINDS[:BASE]])
     weak = F.concat(*[spans[k] for k in KINDS[BASE:]])
-    # a weak candidate needs a part of another kind in its text at all
-    some = F.size("__ident") + F.size("__weak") + F.size("__endpoint") > 0
-    d = d.withColumn("__base", base).withColumn("spans", F.when(some, _linked(F.concat(F.col("__base"), weak), scope)).otherwise(F.array_sort(F.col("__base"))))
-    return d.select(*names, "spans")
+    some = F.size(f"{x}ident") + F.size(f"{x}weak") + F.size(f"{x}endpoint") > 0
+    d = d.withColumn(f"{x}base", base)
+    d = d.withColumn(f"{x}spans", F.when(some, _linked(F.concat(F.col(f"{x}base"), weak), scope)).otherwise(F.array_sort(F.col(f"{x}base"))))
+    return d.select(*columns(kept), F.col(f"{x}spans").alias(to))
 
 
 def span_text(spans: Column) -> Column:
@@ -136,17 +135,18 @@ def span_text(spans: Column) -> Column:
 
 def redact(docs: DataFrame, *, text_col: str = "text", mark: str = "[SECRET]", scope: int = SCOPE) -> DataFrame:
     """docs with every span of the text replaced by mark, spans that touch as one; the same columns."""
-    names = docs.columns
-    found = find_secrets(docs, text_col=text_col, scope=scope)
+    spans, text = f"{own(docs)}spans", F.col(name(text_col))
+    found = find_secrets(docs, text_col=text_col, to=spans, scope=scope)
 
     def step(s: Column, e: Column):
         fresh = e["start"] > s["end"]
-        gap = F.when(fresh, F.substring(F.col(text_col), s["end"] + 1, e["start"] - s["end"])).otherwise("")
+        gap = F.when(fresh, F.substring(text, s["end"] + 1, e["start"] - s["end"])).otherwise("")
         return {"end": F.greatest(s["end"], e["end"])}, F.when(fresh | (s["end"] == 0), F.concat(gap, F.lit(mark))).otherwise(gap)
 
-    last = F.array_max(F.transform("spans", lambda x: x["end"]))
-    cut = F.concat(F.array_join(_gather(F.col("spans"), {"end": F.lit(0)}, step)("string"), ""), F.substring(F.col(text_col), last + 1, F.lit(2**30)))
-    return found.withColumn(text_col, F.when(F.size("spans") > 0, cut).otherwise(F.col(text_col))).select(*names)
+    last = F.array_max(F.transform(spans, lambda x: x["end"]))
+    cut = F.concat(F.array_join(_gather(F.col(spans), {"end": F.lit(0)}, step)("string"), ""), F.substring(text, last + 1, F.lit(2**30)))
+    clean = F.when(F.size(spans) > 0, cut).otherwise(text)
+    return found.select(*[clean.alias(c) if c == text_col else F.col(name(c)) for c in docs.columns])
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexatlas.llm.common import ready_python, staged, table
+from lexatlas.llm.common import columns, name, own, ready_python, staged, table
 from lexatlas.llm.components import components
 
 SHINGLE, SEED, MAX_DISTANCE = 4, 42, 4
@@ -64,7 +64,7 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", to: str = "fp", sh
         for t in texts:
             yield pd.Series([fingerprint(x, shingle, seed) for x in t], dtype="int64")
 
-    return docs.withColumn(to, fp(F.col(text_col).cast("string")))
+    return docs.withColumn(to, fp(F.col(name(text_col)).cast("string")))
 
 
 def _bit(k: Column) -> Column:
@@ -157,21 +157,21 @@ def simhash_classes(rows: DataFrame, max_distance: int = MAX_DISTANCE, group_mos
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED, max_distance: int = MAX_DISTANCE, group_most: int = GROUP_MOST) -> DataFrame:
     """One row per row of docs: doc_id, fp, component_id (the smallest id that its fingerprint reaches, its own included)."""
-    rows = with_fingerprint(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text", "fp", shingle, seed).select("doc_id", "fp")
+    rows = with_fingerprint(docs.select(F.col(name(id_col)).alias("doc_id"), F.col(name(text_col)).alias("text")), "text", "fp", shingle, seed).select("doc_id", "fp")
     rows = staged(rows, "simhash-rows")
     return rows.join(simhash_classes(rows, max_distance, group_most).select("fp", "component_id"), "fp")
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs with one row of each component: the one of smallest id (of rows with that id, any one). The same columns."""
-    names = docs.columns
+    x, all_columns = own(docs), columns(docs.columns)
     shingle = {k: options.pop(k) for k in ("shingle", "seed") if k in options}
-    marked = staged(with_fingerprint(docs, text_col, "__fp", **shingle), "simhash-docs")
-    classes = simhash_classes(marked.select(F.col(id_col).alias("doc_id"), F.col("__fp").alias("fp")), **options)
-    heads = classes.where("fp = keeper").select(F.col("component_id").alias("__id"), F.col("keeper").alias("__keeper"), F.col("keepers").alias("__n"))
-    kept = marked.join(heads, (F.col("__fp") == F.col("__keeper")) & F.col(id_col).eqNullSafe(F.col("__id")))
-    several = kept.where("__n > 1").groupBy("__fp").agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("one")).select("one.*")
-    return kept.where("__n = 1").select(*names).unionByName(several)
+    marked = staged(with_fingerprint(docs, text_col, f"{x}fp", **shingle), "simhash-docs")
+    classes = simhash_classes(marked.select(F.col(name(id_col)).alias("doc_id"), F.col(f"{x}fp").alias("fp")), **options)
+    heads = classes.where("fp = keeper").select(F.col("component_id").alias(f"{x}id"), F.col("keeper").alias(f"{x}keeper"), F.col("keepers").alias(f"{x}n"))
+    kept = marked.join(heads, (F.col(f"{x}fp") == F.col(f"{x}keeper")) & F.col(name(id_col)).eqNullSafe(F.col(f"{x}id")))
+    several = kept.where(F.col(f"{x}n") > 1).groupBy(f"{x}fp").agg(F.min_by(F.struct(*all_columns), F.xxhash64(*all_columns)).alias("one")).select("one.*")
+    return kept.where(F.col(f"{x}n") == 1).select(*all_columns).unionByName(several)
 
 
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

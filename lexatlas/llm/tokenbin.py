@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexatlas.llm.common import ready_python, scratch_path, staged, table, unassigned
+from lexatlas.llm.common import name, ready_python, scratch_path, staged, table, unassigned
 
 MAGIC = b"LXTOK1\0\0"
 SHARD_IDS = 1 << 26
@@ -240,7 +240,7 @@ def write_store(docs: DataFrame, spec_path: str, *, id_col: str = "doc_id", text
     folder = folder or scratch_path(spark, "tokens")
     with open(spec_path, "rb") as f:
         spec = spark.sparkContext.broadcast(f.read())  # a vocabulary, of fixed size
-    rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(name(id_col)).cast("long").alias("key"), F.col(name(text_col)).cast("string").alias("text"))
     order = [F.col("key").asc_nulls_last(), F.xxhash64("text")]
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexatlas.llm.common import ready_python, staged, table
+from lexatlas.llm.common import name, ready_python, staged, table
 
 BLOCK, QUERY_BLOCK = 4096, 2048
 #: Local cosine threshold from which the coordinates prune, and how many of them.
@@ -163,7 +163,7 @@ def top_products(queries: DataFrame, rows: DataFrame, k: int, *, id_col: str = "
     ready_python(spark)
 
     def ints(d: DataFrame) -> DataFrame:
-        return d.select(F.col(id_col).cast("long").alias("id"), scaled(F.col(vector_col), scale).alias("v")).where("v is not null")
+        return d.select(F.col(name(id_col)).cast("long").alias("id"), scaled(F.col(name(vector_col)), scale).alias("v")).where("v is not null")
 
     c = pack(ints(rows), BLOCK, "topk-rows")
     q = pack(ints(queries), QUERY_BLOCK, "topk-queries")
