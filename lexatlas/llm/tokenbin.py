@@ -24,11 +24,14 @@ no shards.
 from __future__ import annotations
 
 import json
+import re
 import struct
+import sys
+import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,52 +46,78 @@ from lexatlas.llm.common import name, ready_python, scratch_path, staged, table,
 
 MAGIC = b"LXTOK1\0\0"
 SHARD_IDS = 1 << 26
-WORDS_KEPT = 1 << 19
+#: Words whose ids a worker remembers, and the longest of them.
+WORDS_KEPT, WORD_MOST = 1 << 19, 32
 #: Fixed value: how the word vocabulary splits a normalised text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SPLIT_ASCII = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+"
 NULL_KEY = np.uint64(0xF1EA5EED0DDBA11)
 
 
 class WordEncoder:
-    """The ids that the tokenizers library gives, word by word."""
+    """The ids that the tokenizers library gives, word by word, as little-endian bytes of `width` each."""
 
     def __init__(self, spec: bytes):
-        from tokenizers import Tokenizer
-
         j = json.loads(spec)
-        self.whole = Tokenizer.from_str(spec.decode())
-        self.whole.no_truncation()
-        self.whole.no_padding()
+        self.spec, self._whole = spec.decode(), None
         self.specials = [t["content"] for t in j["added_tokens"]]
-        self.size = self.whole.get_vocab_size()
         splits = [p["pattern"]["Regex"] for p in (j["pre_tokenizer"] or {}).get("pretokenizers", []) if p["type"] == "Split"]
         names = [n["type"] for n in (j["normalizer"] or {}).get("normalizers", [])]
         self.by_word = splits == [SPLIT] and names == ["NFC", "Replace", "Lowercase"] and not j["post_processor"]
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
+        whole = self.whole()
+        self.width = 2 if whole.get_vocab_size() <= 1 << 16 else 4
         if self.by_word:
-            self.split = regex.compile(SPLIT).findall
-            self.newer = unassigned()
-            self.word = Tokenizer.from_str(json.dumps(j | {"normalizer": None, "truncation": None, "padding": None, "added_tokens": []}))
-
-    def encode(self, text: str | None) -> list[int]:
+            self.normalise = whole.normalizer.normalize_str
+            self.split, self.split_ascii, self.newer = regex.compile(SPLIT).findall, re.compile(SPLIT_ASCII).findall, unassigned()
+            whole.normalizer = None
+            self.word, self._whole = whole.encode, None  # the whole one is made again for a text that needs it
+
+    def whole(self):
+        if self._whole is None:
+            from tokenizers import Tokenizer
+
+            self._whole = Tokenizer.from_str(self.spec)
+            self._whole.no_truncation()
+            self._whole.no_padding()
+        return self._whole
+
+    def packed(self, ids: list[int]) -> bytes:
+        out = array("H" if self.width == 2 else "I", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def _new(self, words: list[str]) -> bytes:
+        """Some of the words aren't known yet."""
+        known, here = self.words, {}
+        if len(known) > WORDS_KEPT:
+            known.clear()
+        for w in words:
+            if w not in known and w not in here:
+                (known if len(w) <= WORD_MOST else here)[w] = self.packed(self.word(w, add_special_tokens=False).ids)
+        return b"".join([known[w] if w in known else here[w] for w in words])
+
+    def encode(self, text: str | None) -> bytes:
         if not text:
-            return []
-        if not self.by_word or any(s in text for s in self.specials):
-            return self.whole.encode(text, add_special_tokens=False).ids
-        plain = text.isascii()
-        if not plain and self.newer(text):
-            return self.whole.encode(text, add_special_tokens=False).ids
-        words, known = self.split(text.lower() if plain else self.whole.normalizer.normalize_str(text)), self.words
-        try:
-            return list(chain.from_iterable(map(known.__getitem__, words)))
-        except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in known]
-            if len(known) + len(new) > WORDS_KEPT:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            for w, e in zip(new, self.word.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[w] = e.ids
-            return list(chain.from_iterable(map(known.__getitem__, words)))
+            return b""
+        if text.isascii():
+            if not self.by_word or any(s in text for s in self.specials):
+                return self.packed(self.whole().encode(text, add_special_tokens=False).ids)
+            words = self.split_ascii(text.lower())
+        else:
+            if not self.by_word or self.newer(text) or any(s in text for s in self.specials):
+                return self.packed(self.whole().encode(text, add_special_tokens=False).ids)
+            # lower() looks at what surrounds a capital sigma, the library doesn't
+            words = self.split(text.lower() if "\u03a3" not in text and unicodedata.is_normalized("NFC", text) else self.normalise(text))
+        out: list[bytes] = []
+        for k in range(0, len(words), 1 << 16):
+            part = words[k : k + (1 << 16)]
+            try:
+                out.append(b"".join(map(self.words.__getitem__, part)))
+            except KeyError:
+                out.append(self._new(part))
+        return b"".join(out)
 
 
 _encoders: dict[int, WordEncoder] = {}
@@ -214,10 +243,10 @@ class _Shard:
         self.keys: list[int | None] = []
         self.starts = [0]
 
-    def add(self, key: int | None, ids: list[int]) -> None:
-        self.out.write(np.array(ids, f"<u{self.width}").tobytes())
+    def add(self, key: int | None, ids: bytes) -> None:
+        self.out.write(ids)
         self.keys.append(key)
-        self.starts.append(self.starts[-1] + len(ids))
+        self.starts.append(self.starts[-1] + len(ids) // self.width)
 
     def close(self) -> tuple:
         self.out.close()
@@ -246,12 +275,12 @@ def write_store(docs: DataFrame, spec_path: str, *, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e, part = encoder(spec.value), TaskContext.get().partitionId()
-        end, width = [] if end_id is None else [end_id], 2 if e.size <= 1 << 16 else 4
+        end = e.packed([] if end_id is None else [end_id])
         shard, done = None, []
         for b in batches:
             for key, text in zip(b.column(0), b.column(1), strict=True):
                 if shard is None:
-                    shard = _Shard(folder, f"shard-{part:06d}-{len(done):06d}", width)
+                    shard = _Shard(folder, f"shard-{part:06d}-{len(done):06d}", e.width)
                 shard.add(key.as_py(), e.encode(text.as_py()) + end)
                 if shard.starts[-1] >= shard_ids:
                     done.append(shard.close())
