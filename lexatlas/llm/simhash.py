@@ -35,6 +35,8 @@ SHINGLE, SEED, MAX_DISTANCE = 4, 42, 4
 GROUP_MOST = 2048
 #: Bits of the filter before the join with these keys: 6 MB at most when broadcast.
 FILTER_BITS = 1 << 24
+#: Fingerprints whose lookups one task makes.
+FPS_A_TASK = 1 << 14
 LOW = (1 << 32) - 1
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -111,6 +113,8 @@ def hamming_links(fps: DataFrame, max_distance: int = MAX_DISTANCE, group_most:
     halves = [F.shiftrightunsigned("fp", 32), F.col("fp").bitwiseAND(F.lit(LOW))]
     # key: the segment's number above its 32 bits
     keys = F.concat(_ball(halves[0], 1), F.transform(_ball(halves[1], 1), lambda x: x.bitwiseOR(F.lit(1 << 32))))
+    # a fingerprint makes 66 rows: few of them a task keep the maps of partial counts small
+    fps = fps.repartition(max(1, -(-fps.count() // FPS_A_TASK)), "fp")
     meet = fps.select("fp", F.explode(keys).alias("key"))
     count = meet.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
     count = staged(count, "simhash-keys")
