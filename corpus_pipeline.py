@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexatlas.llm import bpe, langid, mixing, secrets, simhash
-from lexatlas.llm.common import columns, name, own, staged, table
+from lexatlas.llm.common import columns, own, staged, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,11 +36,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs with n_tokens, ids and round_trip (whether the ids decode to the text again); these replace columns of such names."""
     x, made = own(docs), ("n_tokens", "ids", "round_trip")
-    ids, back = F.col(f"{x}ids"), F.col(f"{x}back")
-    d = bpe.bpe_encode(docs, bpe.byte_bpe_path(), to=f"{x}ids")
-    d = bpe.bpe_decode(d, bpe.byte_bpe_path(), ids_col=f"{x}ids", to=f"{x}back")
-    same = back == F.coalesce(F.col(name("text")), F.lit(""))
-    return d.select(*columns(c for c in docs.columns if c.lower() not in made), F.size(ids).cast("long").alias("n_tokens"), ids.alias("ids"), same.alias("round_trip"))
+    d = bpe.bpe_round_trip(docs, bpe.byte_bpe_path(), to=f"{x}bpe")
+    ids = F.col(f"{x}bpe.ids")
+    return d.select(*columns(c for c in docs.columns if c.lower() not in made), F.size(ids).cast("long").alias("n_tokens"), ids.alias("ids"), F.col(f"{x}bpe.same").alias("round_trip"))
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("secret_scan", secret_scan), ("source_mix", source_mix), ("bpe", encode)]

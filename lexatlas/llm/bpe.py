@@ -222,6 +222,21 @@ def bpe_decode(rows: DataFrame, path: str, *, ids_col: str = "ids", to: str = "t
     return rows.withColumn(to, run(F.col(name(ids_col))))
 
 
+def bpe_round_trip(docs: DataFrame, path: str, *, text_col: str = "text", to: str = "bpe") -> DataFrame:
+    """docs with the column `to`: struct(ids, same): the ids, and whether they decode to the text again. One worker does both, so
+    that no second one holds the vocabulary."""
+    spec = _spec(docs.sparkSession, path)
+
+    @F.pandas_udf("ids array<int>, same boolean")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        c = codec(spec.value)
+        for texts in batches:
+            ids = [c.encode(t) for t in texts]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "same": [c.decode(i) == (t or "") for i, t in zip(ids, texts, strict=True)]})
+
+    return docs.withColumn(to, run(F.col(name(text_col)).cast("string")))
+
+
 def bpe_digests(docs: DataFrame, path: str, *, text_col: str = "text", to: str = "bpe") -> DataFrame:
     """docs with the column `to`: struct(n_tokens, ids_sha256, decoded_sha256), from ids encoded and decoded in one pass."""
     spec = _spec(docs.sparkSession, path)
