@@ -3,26 +3,23 @@
 from __future__ import annotations
 
 import atexit
-import os
 import re
 import shutil
 import tempfile
 import unicodedata
 import uuid
 from itertools import groupby
-from pathlib import Path
 
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexatlas.workers import ready_python  # noqa: F401  the operators take it from here
+
 #: Words are runs of anything but the ASCII white space of the contracts.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Bound of an Arrow batch sent to a Python worker, in rows and bytes, so that very long texts don't pile up.
-ARROW_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "16777216"}
 
 _own_dirs: dict[str, str] = {}
-_shipped: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,18 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ready_python(spark: SparkSession) -> None:
-    """For Python operators: bound this session's Arrow batches, and ship the package to workers that can't import it yet."""
-    for key, value in ARROW_CONF.items():
-        spark.conf.set(key, value)
-    package, app = Path(__file__).resolve().parents[1], spark.sparkContext.applicationId
-    if app not in _shipped and str(package.parent) not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
-        to = tempfile.mkdtemp(prefix="lexatlas-")
-        atexit.register(shutil.rmtree, to, ignore_errors=True)
-        spark.sparkContext.addPyFile(shutil.make_archive(f"{to}/lexatlas", "zip", package.parent, package.name))
-    _shipped.add(app)
-
-
 def scratch_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir; in a local session without it, a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -94,8 +79,8 @@ def unassigned():
     none = (c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn")
     runs = [[c for _, c in g] for _, g in groupby(enumerate(none), lambda x: x[1] - x[0])]
     exact = re.compile("[" + "".join(f"\\U{r[0]:08x}-\\U{r[-1]:08x}" for r in runs) + "]").search
-    # most texts keep to blocks that have long been full, which is quickly told
-    other = re.compile("[^\\u0000-\\u05ff\\u2000-\\u206f\\u20a0-\\u20bf\\u2100-\\u23ff\\u3000-\\u30ff\\u4e00-\\u9fff\\uac00-\\ud7a3]").search
+    # most texts keep to blocks that are full, which is quickly told
+    other = re.compile("[^\u0000-\u0377\u0390-\u03a1\u03a3-\u052f\u2010-\u2064\u20a0-\u20c0\u2100-\u218b\u3000-\u303f\u3041-\u3096\u30a0-\u30ff\u4e00-\u9fff\uac00-\ud7a3]").search
     return lambda text: other(text) and exact(text)
 
 
