@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lexatlas.llm.bpe import byte_letters
 from lexatlas.llm.common import name, ready_python, scratch_path, staged, table, unassigned
 
 MAGIC = b"LXTOK1\0\0"
@@ -63,15 +64,16 @@ class WordEncoder:
         self.specials = [t["content"] for t in j["added_tokens"]]
         splits = [p["pattern"]["Regex"] for p in (j["pre_tokenizer"] or {}).get("pretokenizers", []) if p["type"] == "Split"]
         names = [n["type"] for n in (j["normalizer"] or {}).get("normalizers", [])]
-        self.by_word = splits == [SPLIT] and names == ["NFC", "Replace", "Lowercase"] and not j["post_processor"]
+        levels = [p["type"] for p in (j["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.by_word = splits == [SPLIT] and levels == ["Split", "ByteLevel"] and names == ["NFC", "Replace", "Lowercase"] and not j["post_processor"]
         self.words: dict[str, bytes] = {}
         whole = self.whole()
         self.width = 2 if whole.get_vocab_size() <= 1 << 16 else 4
         if self.by_word:
             self.normalise = whole.normalizer.normalize_str
             self.split, self.split_ascii, self.newer = regex.compile(SPLIT).findall, re.compile(SPLIT_ASCII).findall, unassigned()
-            whole.normalizer = None
-            self.word, self._whole = whole.encode, None  # the whole one is made again for a text that needs it
+            self.model, self.letters = whole.model, {b: c for c, b in byte_letters().items()}
+            self._whole = None  # made again for a text that needs it
 
     def whole(self):
         if self._whole is None:
@@ -88,6 +90,11 @@ class WordEncoder:
             out.byteswap()
         return out.tobytes()
 
+    def _ids(self, word: str) -> list[int]:
+        """The ids of one word by the library's model, which takes its bytes as the letters of the vocabulary."""
+        shown = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(shown)]
+
     def _new(self, words: list[str]) -> bytes:
         """Some of the words aren't known yet."""
         known, here = self.words, {}
@@ -95,7 +102,7 @@ class WordEncoder:
             known.clear()
         for w in words:
             if w not in known and w not in here:
-                (known if len(w) <= WORD_MOST else here)[w] = self.packed(self.word(w, add_special_tokens=False).ids)
+                (known if len(w) <= WORD_MOST else here)[w] = self.packed(self._ids(w))
         return b"".join([known[w] if w in known else here[w] for w in words])
 
     def encode(self, text: str | None) -> bytes:
