@@ -60,7 +60,7 @@ def reply_judge(ask: Callable[[str, str, str], str]) -> Callable[[DataFrame], Da
 
     def judge(asked: DataFrame) -> DataFrame:
         @F.udf("string")
-        def reply(alias: str, name: str, content: str) -> str:
+        def reply(alias, name, content):
             try:
                 return ask(alias, name, content)
             except Exception as e:  # a remote service may fail in any way; the row says so

@@ -5,6 +5,8 @@ from __future__ import annotations
 import sqlite3
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,11 +17,9 @@ from lexatlas.workers import ready_python
 
 
 def read_texts(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False) -> DataFrame:
-    """path, name, text: a row for each whole file."""
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", recursive)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.col("value").alias("text"))
+    """path, name, text: a row for each whole file (empty files have none)."""
+    texts = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=recursive)
+    return texts.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.col("value").alias("text"))
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType = SEGMENT) -> DataFrame:
@@ -101,9 +101,6 @@ def read_sqlite(spark: SparkSession, path: str, table: str, partitions: int = 1)
 
 def float_vectors(df: DataFrame, column: str = "embedding") -> DataFrame:
     """df with a column of native float32 bytes as array<float>."""
-    import numpy as np
-    import pandas as pd
-
     @F.pandas_udf("array<float>")
     def vectors(b: pd.Series) -> pd.Series:
         return b.map(lambda x: None if x is None else np.frombuffer(x, "<f4").tolist())
