@@ -70,6 +70,8 @@ def grams(text: str, lengths=LENGTHS, block: int = 1 << 20) -> Iterator[tuple[in
             value = np.zeros(m, np.uint64)
             for i in range(n):
                 value = value * np.uint64(0x100000001B3) + part[i : i + m] + np.uint64(1)
+            if n == 1:
+                value = value[part[:m] != 32]  # a space alone is in every language
             yield n, value ^ (np.uint64(n) << np.uint64(56))
 
 
