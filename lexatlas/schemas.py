@@ -63,7 +63,7 @@ TOC = _struct("structure_summary struct<`层级数量`:int,`层级定义`:array<
 
 def legacy_segments(legacy: DataFrame) -> DataFrame:
     """Segments of the old schema under the names of the current one."""
-    split = lambda c: F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), F.trim), lambda x: x != "")
+    split = lambda c: F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
     return legacy.select(
         F.col("textbook_id").cast("string").alias("source"), F.col("chapter_id").alias("section"), "title", "content", F.col("segment_type").alias("type"),
         split(F.col("alias_names")).alias("aliases"), F.col("tags").alias("entities"),
