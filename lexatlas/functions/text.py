@@ -38,8 +38,11 @@ def split_at_headings(x: Column | str, level: int) -> Column:
 
 
 def repair_json_backslashes(x: Column | str) -> Column:
-    r"""Doubles each backslash that doesn't begin an escape of JSON; what is an escape by chance (\frac) stays one."""
-    return F.regexp_replace(_c(x), r'(?s)\G((?:[^\\]|\\["\\/bfnrtu])*+)\\(?!["\\/bfnrtu])', r"$1\\\\")
+    r"""Doubles each backslash that doesn't begin an escape of JSON; what is an escape by chance (\frac) stays one.
+
+    Of the two groups only one matches at a time, so an escape stays and a lone backslash comes twice; one pass, no recursion.
+    """
+    return F.regexp_replace(_c(x), r'(\\["\\/bfnrtu])|(\\)', "$1$2$2")
 
 
 def decoded_control_escapes(x: Column | str) -> Column:

@@ -32,7 +32,8 @@ def cosine_to(vector: list[float], a: Column) -> Column:
 
 
 def blocks(rows: DataFrame, key: str, vector: str, size: int = BLOCK) -> tuple[DataFrame, int]:
-    """rows packed into blocks: block, items array<struct(key, v)>; and how many blocks. Rows are dealt by position, evenly."""
+    """rows packed into blocks: block, items array<struct(key, v)>; and how many blocks. Rows are dealt by the hash of their key, so
+    that a task that runs again deals them alike."""
     n = max(1, -(-rows.count() // size))
-    dealt = rows.select(F.pmod(F.monotonically_increasing_id(), F.lit(n)).alias("block"), F.struct(F.col(key).alias("key"), F.col(vector).alias("v")).alias("item"))
+    dealt = rows.select(F.pmod(F.xxhash64(key), F.lit(n)).alias("block"), F.struct(F.col(key).alias("key"), F.col(vector).alias("v")).alias("item"))
     return dealt.groupBy("block").agg(F.collect_list("item").alias("items")), n

@@ -53,6 +53,11 @@ def test_backslash_repair_random(spark):
     assert one(spark, tx.repair_json_backslashes("x"), *values) == [spec(v) for v in values]
 
 
+def test_backslash_repair_of_a_long_text(spark):
+    value = '{"a": "' + r"\lim \n x " * 200_000 + '"}'
+    assert json.loads(one(spark, tx.repair_json_backslashes("x"), value)[0])["a"] == "\\lim \n x " * 200_000
+
+
 def test_fences_chapters_and_fallbacks(spark):
     assert one(spark, tx.strip_fences("x"), "```json\n{}\n```", "```\n{}```", "{}", " ```json{} ") == ["{}"] * 4
     assert one(spark, tx.chapters_json("x"), 'x "chapters" : [1, [2]] y', "none") == ["[1, [2]]", None]
