@@ -63,12 +63,14 @@ def _pack(t: pa.Table) -> pa.Table:
 
 def pack(rows: DataFrame, size: int, tag: str) -> DataFrame:
     """rows (id, v) -> blocks of about `size` vectors of one norm bucket. Blocks are dealt by position, so no id makes a large one."""
+    # positions are taken where rows are read, so that a task that runs again deals them alike
+    rows = rows.withColumn("at", F.monotonically_increasing_id())
     norm2 = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
     rows = rows.withColumn("bucket", F.when(norm2 > 0, F.floor(2 * F.log2(norm2))).otherwise(-1).cast("int"))
     counts = rows.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / size).alias("blocks"))
     counts = counts.withColumn("first", F.sum("blocks").over(W.partitionBy(F.lit(0)).orderBy("bucket")) - F.col("blocks"))
     rows = rows.join(staged(counts.coalesce(1), f"{tag}-buckets"), "bucket")
-    rows = rows.withColumn("block", F.col("first") + F.pmod(F.monotonically_increasing_id(), F.col("blocks")))
+    rows = rows.withColumn("block", F.col("first") + F.pmod("at", F.col("blocks")))
     return staged(rows.select("block", "bucket", "id", "v").groupBy("block").applyInArrow(_pack, PACKED), tag)
 
 
