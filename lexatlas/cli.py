@@ -16,6 +16,7 @@
 from __future__ import annotations
 
 import argparse
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -143,8 +144,9 @@ def parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None) -> None:
-    a = parser().parse_args(argv)
+    a, began = parser().parse_args(argv), time.monotonic()
     run(a, session(), Options.load(a.env))
+    print(f"{a.command}: {time.monotonic() - began:.1f} s")
 
 
 if __name__ == "__main__":

@@ -88,6 +88,12 @@ def knowledge_segments(segments: DataFrame, embed=None) -> DataFrame:
     return conform(numbered.withColumn("embedding", embed(text) if embed else F.lit(None).cast("array<float>")), KNOWLEDGE_SEGMENTS)
 
 
+def text_view(stored: DataFrame) -> DataFrame:
+    """KNOWLEDGE_SEGMENTS as the text store shows them: lists as JSON, flags as 0 and 1, the vector's size in bytes."""
+    flag = F.col("needs_review").cast("int")
+    return stored.withColumns({"aliases": F.to_json("aliases"), "refs": F.to_json("refs"), "needs_review": flag, "embedding_bytes": F.size("embedding") * 4}).drop("embedding")
+
+
 def metadata(segments: DataFrame, model: str) -> DataFrame:
     """key, value: the model, an empty creation time, the number of segments."""
     rows = [F.struct(F.lit("embedding_model").alias("key"), F.lit(model).alias("value")), F.struct(F.lit("created_at").alias("key"), F.lit("").alias("value"))]

@@ -109,6 +109,21 @@ def segment_store(s: SparkSession, d: str) -> DataFrame:
     return concepts.knowledge_segments(ad.segments(s, d)).select("id", "source", "title", "type")
 
 
+def segment_view(s: SparkSession, d: str) -> DataFrame:
+    stored = concepts.knowledge_segments(ad.segments(s, d).withColumn("needs_review", F.col("type") == "note"), lambda text: F.array(F.length(text).cast("float"), F.lit(1.0).cast("float")))
+    return concepts.text_view(stored).select("id", "aliases", "needs_review", F.col("embedding_bytes").cast("long").alias("embedding_bytes"))
+
+
+def alias_display(s: SparkSession, d: str) -> DataFrame:
+    """Icon and concept of each alias as displayed; numbers are left to reports."""
+    shown = search.displayed(search.list_aliases(_aligned(s, d), ad.vector_concepts(s, d)))
+    return shown.select("alias", F.substring_index("line", " conf=", 1).alias("line"))
+
+
+def dictionary_load(s: SparkSession, d: str) -> DataFrame:
+    return annotate.load_dictionary(_aligned(s, d), ad.vector_concepts(s, d)).select("alias", "concept_id", "concept_name", "alias_type", "status")
+
+
 def type_counts(s: SparkSession, d: str) -> DataFrame:
     return concepts.type_counts(ad.segments(s, d))
 
@@ -186,7 +201,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         vec_topk, vec_topk_batch, vec_best_match, align_status, align_status_counts, align_outcomes, align_rerun_reset, alias_left_join, alias_needs_review, alias_search, concept_list, manual_assign, constraint_report,
-        concept_extract, alias_extract, incremental_concepts, incremental_aliases, upsert_precedence, segment_store, type_counts, alias_type_counts, embed_text, preview_200, content_clean, file_names, json_repair,
+        concept_extract, alias_extract, incremental_concepts, incremental_aliases, upsert_precedence, segment_store, segment_view, alias_display, dictionary_load, type_counts, alias_type_counts, embed_text, preview_200, content_clean, file_names, json_repair,
         toc_parent, section_lookup, heading_normalise, split_h1, split_h2, skip_ranges, dict_match_counts, span_resolve, annotation_table, annotated_inline,
     )
 }
@@ -236,6 +251,9 @@ ORACLES: dict[str, str] = {
     "upsert_precedence": f"""{_WITH} SELECT alias, alias_type, 'pending' AS status, NULL::VARCHAR AS concept_id, 0.0::DOUBLE AS confidence FROM ali
       UNION ALL SELECT name, 'concept', 'auto_mapped', concept_id, 1.0 FROM con WHERE name NOT IN (SELECT alias FROM ali)""",
     "segment_store": f"{_WITH} SELECT row_number() OVER (ORDER BY ordinal) AS id, source, title, type FROM seg",
+    "segment_view": f"{_WITH} SELECT row_number() OVER (ORDER BY ordinal) AS id, to_json(aliases)::VARCHAR AS aliases, (type = 'note')::INT AS needs_review, 8::BIGINT AS embedding_bytes FROM seg",
+    "alias_display": f"""{_VEC} SELECT alias, CASE status WHEN 'auto_mapped' THEN '✓' WHEN 'llm_confirmed' THEN '✓' ELSE '?' END || ' ''' || alias || ''' (' || alias_type || ') ' || CASE WHEN x.concept_id IS NULL THEN '→ (无匹配)' ELSE '→ [' || x.concept_id || '] ' || c.name END || ' [' || status || ']' AS line FROM aligned x LEFT JOIN c USING (concept_id)""",
+    "dictionary_load": f"{_VEC} SELECT alias, concept_id, c.name AS concept_name, alias_type, status FROM aligned JOIN c USING (concept_id) WHERE status IN ('auto_mapped', 'llm_confirmed')",
     "type_counts": f"{_WITH} SELECT type, count(*) AS n, min(ordinal) AS first_ordinal FROM seg GROUP BY type",
     "alias_type_counts": f"{_WITH} SELECT alias_type, count(*) AS n FROM ali GROUP BY alias_type",
     "embed_text": f"{_WITH} SELECT ordinal, title || '。' || content AS embed_text FROM seg",
