@@ -110,6 +110,7 @@ def hamming_links(fps: DataFrame, max_distance: int = MAX_DISTANCE, group_most:
     """fps: distinct 64-bit values in column fp. Edges (a, b) that connect just what links of max_distance or fewer bits connect."""
     if max_distance > 4:
         raise ValueError("two segments with balls of one bit find distances of 4 bits at most")
+    ready_python(fps.sparkSession)
     halves = [F.shiftrightunsigned("fp", 32), F.col("fp").bitwiseAND(F.lit(LOW))]
     # key: the segment's number above its 32 bits
     keys = F.concat(_ball(halves[0], 1), F.transform(_ball(halves[1], 1), lambda x: x.bitwiseOR(F.lit(1 << 32))))
