@@ -12,7 +12,7 @@ from lexatlas.llm.htmltext import op6_html_text
 from lexatlas.llm.langid import op10_language_id
 from lexatlas.llm.media import op2_media_tiles
 from lexatlas.llm.mixing import op1_mix_sources
-from lexatlas.llm.secrets import op8_secret_scan
+from lexatlas.llm.secrets import op8_secret_scan, op8_sql
 from lexatlas.llm.simhash import op3_simhash_dedup
 from lexatlas.llm.tokenbin import op4_token_store
 from lexatlas.llm.topk import OP7_SQL, op7_top_products
@@ -40,4 +40,5 @@ def oracle_sql() -> dict[str, str]:
         **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
         "op5_warc_revisits": OP5_SQL,
         "op7_top_products": OP7_SQL,
+        "op8_secret_scan": op8_sql(),
     }

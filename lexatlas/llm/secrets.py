@@ -3,13 +3,14 @@
 Three base kinds are reported wherever they occur: `assign` (a keyword, a separator and a value of 12 or more characters),
 `access` (AKIA identifiers of 18 or more) and `hex` (runs of 16 or more). Three weak kinds are only candidates:
 `ident` (a user, login, client or access-key name with its value), `weak` (a keyword with a value of 4 to 11 characters, or a bare
-mixed-case token of 32 or more) and `endpoint` (a service address with a scheme, or host/endpoint/server with its value). A weak
+token of 32 or more with small and capital letters and digits) and `endpoint` (a service address with a scheme, or host/endpoint/server with its value). A weak
 candidate is reported when complementary parts of a credential lie in its scope, SCOPE characters to either side: a weak secret
 beside an identifier (ident or access), an identifier beside a secret (assign or weak), an endpoint beside both. A candidate that
 overlaps a base span is a part for its neighbours but no finding of its own.
 
 The interval join of the parts runs inside each row as a sweep: the spans of a text, sorted by start, are folded forwards with
-the furthest end seen of each part and backwards with the nearest start, so the work is linear in the spans and nothing is
+the furthest end seen of each part and backwards with the nearest start (two spans are in scope if the gap between them is SCOPE or
+less), so the work is linear in the spans and nothing is
 shuffled, however many copies of a text there are. Offsets are code points, ends exclusive.
 
 Edge cases: a null text is empty and has no spans. Copies get equal spans. The input's columns are kept, whatever
@@ -34,10 +35,12 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 LEAST = {"assign": 12, "access": 18, "hex": 16}
-#: The weak kinds.
-IDENT = r"""(?i)\b(?:access_?key(?:_?id)?|client_?id|user(?:_?name)?|login|account)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@+-]{3,}"""
-WEAK = r"""(?i:\b(?:password|passwd|pwd|pass|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{4,11}(?![A-Za-z0-9+/_.=-]))|(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/]*[a-z])(?=[A-Za-z0-9+/]*[A-Z])(?=[A-Za-z0-9+/]*[0-9])[A-Za-z0-9+/]{32,}"""
-ENDPOINT = r"""(?i)\b(?:https?|ftp|sftp|ssh|ldap|amqps?|rediss?|mongodb|mysql|postgres(?:ql)?)://[^\s"'<>]+|\b(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+(?::[0-9]+)?"""
+#: The weak kinds. A secret's value has 4 to 11 characters; a bare token needs small and capital letters and digits.
+IDENT = r"""(?i)(?:access_?key(?:_?id)?|client_?id|user(?:_?name)?|login|account)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@+-]{3,}"""
+SHORT = r"""(?i)(?:password|passwd|pwd|pass|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+BARE = r"[A-Za-z0-9+/]{32,}"
+ENDPOINT = r"""(?i)(?:https?|ftp|sftp|ssh|ldap|amqps?|rediss?|mongodb|mysql|postgres(?:ql)?)://[^\x09-\x0D\x20"'<>]+|(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+(?::[0-9]+)?"""
+SHORT_MOST, SHORT_LEAST = 11, 4
 
 SPAN = "struct<start:int,kind:int,end:int>"
 
@@ -59,21 +62,20 @@ def _gather(items: Column, state: dict[str, Column], step) -> Column:
     return lambda of: F.aggregate(items, start(of), merge, lambda s: F.flatten(F.array_append(s["whole"], s["part"])))
 
 
-def _spans(text: Column, hits: Column, pattern: str, kind: str, group: Column | None = None) -> Column:
-    """Where hits, all matches of pattern in text, lie: the pieces between them tell the offsets."""
+def _spans(text: Column, hits: Column, pattern: str, kind: str, group: Column | None, keep) -> Column:
+    """Where hits, all matches of pattern in text, lie: the pieces between them tell the offsets. Those stay whose group is kept."""
     gaps = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
-    least = LEAST.get(kind, 0)
     shown = hits if group is None else group
-    rows = F.zip_with(F.arrays_zip(gaps.alias("gap"), hits.alias("hit")), shown, lambda z, g: F.struct(z["gap"].alias("gap"), F.length(z["hit"]).alias("n"), F.length(g).alias("g")))
+    rows = F.zip_with(F.arrays_zip(gaps.alias("gap"), hits.alias("hit")), shown, lambda z, g: F.struct(z["gap"].alias("gap"), F.length(z["hit"]).alias("n"), keep(g).alias("keep")))
     rows = F.filter(rows, lambda z: z["n"].isNotNull())
 
     def step(s: Column, z: Column):
         begin = s["at"] + z["gap"]
-        return {"at": begin + z["n"]}, F.struct(begin.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (begin + z["n"]).alias("end"), z["g"].alias("g"))
+        return {"at": begin + z["n"]}, F.struct(begin.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (begin + z["n"]).alias("end"), z["keep"].alias("keep"))
 
-    found = _gather(rows, {"at": F.lit(0)}, step)("struct<start:int,kind:int,end:int,g:int>")
-    found = F.transform(F.filter(found, lambda x: x["g"] >= least), lambda x: F.struct(x["start"], x["kind"], x["end"]))
-    return F.when(F.exists(shown, lambda h: F.length(h) >= least), found).otherwise(F.array().cast(f"array<{SPAN}>"))
+    found = _gather(rows, {"at": F.lit(0)}, step)("struct<start:int,kind:int,end:int,keep:boolean>")
+    found = F.transform(F.filter(found, lambda x: x["keep"]), lambda x: F.struct(x["start"], x["kind"], x["end"]))
+    return F.when(F.exists(shown, keep), found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def _linked(spans: Column, scope: int) -> Column:
@@ -99,9 +101,7 @@ def _linked(spans: Column, scope: int) -> Column:
         return _gather(items, {"ident": none, "secret": none, "base": none}, step)("struct<start:int,kind:int,end:int,id:boolean,se:boolean,over:boolean>")
 
     flagged = F.transform(F.array_sort(spans), lambda x: F.struct(x["start"], x["kind"], x["end"], F.lit(False).alias("id"), F.lit(False).alias("se"), F.lit(False).alias("over")))
-    ahead = sweep(flagged, True)
-    # backwards in the order of ends, so that each span meets the nearest start behind it
-    both = sweep(F.array_sort(ahead, lambda a, b: F.when(a["end"] != b["end"], b["end"] - a["end"]).when(a["start"] != b["start"], b["start"] - a["start"]).otherwise(b["kind"] - a["kind"])), False)
+    both = sweep(F.reverse(sweep(flagged, True)), False)
     kept = F.filter(
         both,
         lambda x: (x["kind"] < BASE) | (~x["over"] & F.when(x["kind"] == 3, x["se"]).when(x["kind"] == 4, x["id"]).otherwise(x["se"] & x["id"])),
@@ -116,12 +116,20 @@ def find_secrets(docs: DataFrame, *, text_col: str = "text", to: str = "spans",
     kept = [c for c in docs.columns if c.lower() != to.lower()]
     d = docs.withColumn(f"{x}text", F.coalesce(F.col(name(text_col)).cast("string"), F.lit("")))
     text = F.col(f"{x}text")
-    patterns = dict(zip(KINDS, (ASSIGN, ACCESS, HEX[:-1] + "{16,}", IDENT, WEAK, ENDPOINT), strict=True))
-    d = d.withColumns({f"{x}{k}": F.regexp_extract_all(text, F.lit(p), F.lit(0)) for k, p in patterns.items()} | {f"{x}value": F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))})
-    spans = {k: _spans(text, F.col(f"{x}{k}"), p, k, F.col(f"{x}value") if k == "assign" else None) for k, p in patterns.items()}
+    hex_runs = HEX[:-1] + f"{{{LEAST['hex']},}}"
+    at_least = lambda n: lambda g: F.length(g) >= n
+    short = lambda g: F.length(g).between(SHORT_LEAST, SHORT_MOST)
+    mixed = lambda g: g.rlike("[a-z]") & g.rlike("[A-Z]") & g.rlike("[0-9]")
+    #: name, kind, pattern, group that is looked at, what it must be
+    rules = [
+        ("assign", "assign", ASSIGN, 2, at_least(LEAST["assign"])), ("access", "access", ACCESS, 0, at_least(LEAST["access"])), ("hex", "hex", hex_runs, 0, at_least(LEAST["hex"])),
+        ("ident", "ident", IDENT, 0, at_least(0)), ("short", "weak", SHORT, 1, short), ("bare", "weak", BARE, 0, mixed), ("endpoint", "endpoint", ENDPOINT, 0, at_least(0)),
+    ]
+    d = d.withColumns({f"{x}{n}{g}": F.regexp_extract_all(text, F.lit(p), F.lit(g)) for n, _, p, group, _ in rules for g in {0, group}})
+    spans = {n: _spans(text, F.col(f"{x}{n}0"), p, kind, F.col(f"{x}{n}{g}") if g else None, keep) for n, kind, p, g, keep in rules}
     base = F.concat(*[spans[k] for k in KINDS[:BASE]])
-    weak = F.concat(*[spans[k] for k in KINDS[BASE:]])
-    some = F.size(f"{x}ident") + F.size(f"{x}weak") + F.size(f"{x}endpoint") > 0
+    weak = F.concat(*[spans[n] for n, kind, *_ in rules if kind not in KINDS[:BASE]])
+    some = F.size(f"{x}ident0") + F.size(f"{x}short0") + F.size(f"{x}bare0") + F.size(f"{x}endpoint0") > 0
     d = d.withColumn(f"{x}base", base)
     d = d.withColumn(f"{x}spans", F.when(some, _linked(F.concat(F.col(f"{x}base"), weak), scope)).otherwise(F.array_sort(F.col(f"{x}base"))))
     return d.select(*columns(kept), F.col(f"{x}spans").alias(to))
@@ -157,3 +165,57 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
         F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"),
     )
+
+
+def _sql_pattern(pattern: str) -> str:
+    """A pattern for DuckDB: quotes doubled; letters in either case as classes, since (?i) folds more than ASCII there."""
+    fold = pattern.startswith("(?i)")
+    out, depth, k = "", 0, 4 if fold else 0
+    while k < len(pattern):
+        ch = pattern[k]
+        if ch == "\\":
+            n = 4 if pattern[k + 1] == "x" else 2
+            out += pattern[k : k + n]
+            k += n
+            continue
+        depth += (ch == "[") - (ch == "]")
+        out += f"[{ch.upper()}{ch}]" if fold and ch.isalpha() and ch.islower() and not depth else ch
+        k += 1
+    return out.replace("'", "''")
+
+
+def op8_sql() -> str:
+    """DuckDB SQL with the result of op8_secret_scan."""
+    rules = [
+        (0, ASSIGN, 2, f"length(g) >= {LEAST['assign']}"), (1, ACCESS, 0, f"length(g) >= {LEAST['access']}"), (2, HEX, 0, f"length(g) >= {LEAST['hex']}"), (3, IDENT, 0, "true"),
+        (4, SHORT, 1, f"length(g) BETWEEN {SHORT_LEAST} AND {SHORT_MOST}"), (4, BARE, 0, "regexp_matches(g, '[a-z]') AND regexp_matches(g, '[A-Z]') AND regexp_matches(g, '[0-9]')"), (5, ENDPOINT, 0, "true"),
+    ]
+    hits = " UNION ALL ".join(
+        f"SELECT r, text, {kind} AS kind, regexp_extract_all(text, '{p}') AS h, regexp_extract_all(text, '{p}', {group}) AS gs, string_split_regex(text, '{p}') AS pieces, "
+        f"list_transform(regexp_extract_all(text, '{p}', {group}), lambda g: {keep}) AS ok FROM d WHERE regexp_matches(text, '{p}')"
+        for kind, pattern, group, keep in rules
+        for p in (_sql_pattern(pattern),)
+    )
+    names = "[" + ", ".join(f"'{k}'" for k in KINDS) + "]"
+    near = f"greatest(w.s - p.s2, p.s - w.s2) <= {SCOPE}"
+    exists = lambda what, where: f"EXISTS (SELECT 1 FROM parts p WHERE p.r = w.r AND {what} AND {where})"
+    secret, ident, base = exists("p.kind IN (0, 4)", near), exists("p.kind IN (1, 3)", near), exists("p.kind < 3", "p.s < w.s2 AND w.s < p.s2")
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+hits AS ({hits}),
+each AS (SELECT r, kind, h, pieces, ok, unnest(range(1, len(h) + 1)) AS i FROM hits),
+parts AS (
+  SELECT r, kind, (list_sum(list_transform(pieces[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(h[1:i - 1], lambda x: length(x))), 0))::BIGINT AS s, s + length(h[i]) AS s2
+  FROM each WHERE ok[i]
+),
+found AS (
+  SELECT * FROM parts WHERE kind < 3
+  UNION ALL SELECT * FROM parts w WHERE kind >= 3 AND NOT {base} AND CASE kind WHEN 3 THEN {secret} WHEN 4 THEN {ident} ELSE {secret} AND {ident} END
+),
+named AS (SELECT r, kind, s, s2, ({names})[kind + 1] || ':' || s || ':' || s2 AS label FROM found),
+g AS (
+  SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+    string_agg(label, ',' ORDER BY s, kind, s2) FILTER (kind < 3) AS base, string_agg(label, ',' ORDER BY s, kind, s2) AS spans FROM named GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (r)
+"""
