@@ -10,7 +10,6 @@ import unicodedata
 import uuid
 from itertools import groupby
 
-import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
