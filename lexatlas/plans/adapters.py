@@ -154,3 +154,17 @@ def dictionary(spark: SparkSession, sf_dir: str, top: int = 40) -> DataFrame:
     best = words.groupBy("alias").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "alias").limit(top)
     upper = F.upper("alias")
     return best.select("alias", F.concat(F.lit("D"), F.crc32(F.col("alias").cast("binary"))).alias("concept_id"), upper.alias("concept_name"), F.lit("alias").alias("alias_type"), F.lit("auto_mapped").alias("status"), F.lit(0.9).alias("confidence"))
+
+
+#: All occurrences of the dictionary's words: they consist of letters, so each lies in one run of letters.
+MATCHES_SQL = r"""
+tok AS (
+  SELECT doc_id, unnest(pieces[1:len(runs)]) AS piece, unnest(runs) AS run, generate_subscripts(runs, 1) AS idx
+  FROM (SELECT doc_id, string_split_regex(text, '\p{L}{7,}') AS pieces, regexp_extract_all(text, '\p{L}{7,}') AS runs FROM documents)
+),
+dict AS (SELECT run AS alias FROM tok GROUP BY run ORDER BY count(*) DESC, run LIMIT 40),
+pos AS (SELECT doc_id, run, sum(length(piece) + length(run)) OVER (PARTITION BY doc_id ORDER BY idx) - length(run) AS start FROM tok),
+inside AS (
+  SELECT run, alias, unnest(list_filter(range(1, length(run) - length(alias) + 2), lambda i: run[i:i + length(alias) - 1] = alias)) - 1 AS off
+  FROM (SELECT DISTINCT run FROM tok) JOIN dict ON contains(run, alias)
+)"""

@@ -275,6 +275,7 @@ ORACLES: dict[str, str] = {
       p AS (SELECT doc_id, piece, string_agg(line, chr(10) ORDER BY pos) || CASE WHEN piece < max(piece) OVER (PARTITION BY doc_id) THEN chr(10) ELSE '' END AS body FROM g GROUP BY doc_id, piece),
       t AS (SELECT *, split_part(body, chr(10), 1) AS head FROM p)
       SELECT doc_id, {ad.strip_sql(f"regexp_replace(head, '^##{_WS}+', '')")} AS title, regexp_replace(body, '^##{_WS}+', '# ') AS body FROM t WHERE regexp_matches(head, '^##{_WS}+.+$')""",
+    "dict_match_counts": f"WITH {ad.MATCHES_SQL} SELECT alias, count(*) AS n, sum(start + off)::BIGINT AS sum_start, count(DISTINCT doc_id) AS n_docs FROM pos JOIN inside USING (run) GROUP BY alias",
     "skip_ranges": r"""SELECT doc_id, (len(regexp_extract_all(text, '(?s)```.*?```')) + len(regexp_extract_all(text, '(?s)\$\$.*?\$\$')) + len(regexp_extract_all(text, '`[^`]+`'))
       + len(regexp_extract_all(text, '\$[^$\n]+?\$')) + len(regexp_extract_all(text, '!\[.*?\]\(.*?\)')))::BIGINT AS n_skips FROM documents""",
 }
