@@ -41,7 +41,13 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    return f"{scratch_dir(spark)}/lexatlas/{tag}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark)}/lexatlas/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables that this application has staged; results that still read them must have been written before."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark)}/lexatlas/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, tag: str) -> DataFrame:
