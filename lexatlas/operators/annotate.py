@@ -8,6 +8,8 @@ same rows. Offsets are code points, ends exclusive.
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left, bisect_right
 from collections import deque
 from collections.abc import Iterator
 
@@ -15,13 +17,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexatlas.functions.text import fixed, lookup, longest_first, outside, skip_ranges
+from lexatlas.functions.text import SKIP, fixed, lookup, longest_first, outside, skip_ranges
 from lexatlas.schemas import CONFIRMED
 from lexatlas.workers import ready_python
 
 #: Aliases in one automaton.
 CHUNK = 20_000
 SPAN = "struct<start:int,end:int,alias:string,concept_id:string,concept_name:string,alias_type:string,status:string,confidence:double>"
+SPAN_LIST = f"array<{SPAN}>"
+_SKIP = [re.compile(p.removeprefix("(?d)")) for p in SKIP]
 #: The parts of an annotation.
 TYPE_LABELS = {"concept": "概念本身", "alias": "别名", "entity": "实体词"}
 TABLE_HEAD = (
@@ -146,13 +150,53 @@ def _span(word: str):
     return lambda s: F.struct(F.lit(word).alias("alias"), s.alias("start"), (s + len(word)).cast("int").alias("end"))
 
 
-def annotate(docs: DataFrame, dictionary: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with `spans`: the resolved matches of each text, outside code, formulas and images, longest first, by start."""
-    found = matches_automaton(docs, dictionary.select("alias").distinct(), id_col=id_col, text_col=text_col)
-    named = found.join(dictionary.dropDuplicates(["alias"]), "alias")
+def resolved_spans(text: str, find) -> list[tuple[int, int]]:
+    """The spans of one text: matches of which neither end lies in a skipped region, longest first, then by start. Regions are
+    merged and both steps search sorted lists, so a long text costs little more than its matches."""
+    inside: list[list[int]] = []
+    for a, b in sorted(m.span() for p in _SKIP for m in p.finditer(text)):
+        if inside and a <= inside[-1][1]:
+            inside[-1][1] = max(inside[-1][1], b)
+        else:
+            inside.append([a, b])
+    begins = [a for a, _ in inside]
+
+    def skipped(at: int) -> bool:
+        k = bisect_right(begins, at) - 1
+        return k >= 0 and at < inside[k][1]
+
+    kept: list[tuple[int, int]] = []
+    for a, b in sorted({(a, b) for a, b in find(text)}, key=lambda m: (m[0] - m[1], m[0])):
+        k = bisect_left(kept, (a, b))
+        if not skipped(a) and not skipped(b - 1) and (k == len(kept) or b <= kept[k][0]) and (k == 0 or kept[k - 1][1] <= a):
+            kept.insert(k, (a, b))
+    return kept
+
+
+def annotate(docs: DataFrame, dictionary: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+    """docs with `spans`: the resolved matches of each text, outside code, formulas and images, longest first, by start.
+
+    Up to `chunk` aliases go to every worker, which annotates texts where they are: nothing is shuffled. Larger dictionaries are
+    matched in parts, and the matches of a text meet again by its id.
+    """
+    entries = dictionary.dropDuplicates(["alias"])
+    if entries.count() <= chunk:
+        ready_python(docs.sparkSession)
+        few = docs.sparkSession.sparkContext.broadcast({r["alias"]: tuple(r) for r in entries.select("alias", "concept_id", "concept_name", "alias_type", "status", "confidence").collect()})
+
+        @F.pandas_udf(SPAN_LIST)
+        def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            known = few.value
+            find, names = finder(list(known)), ("start", "end", "alias", "concept_id", "concept_name", "alias_type", "status", "confidence")
+            for texts in batches:
+                yield pd.Series([[dict(zip(names, (a, b, *known[t[a:b]]), strict=True)) for a, b in resolved_spans(t, find)] if t else [] for t in texts], dtype=object)
+
+        return docs.withColumn("spans", spans(F.col(text_col)))
+    found = matches_automaton(docs, entries.select("alias"), id_col=id_col, text_col=text_col, chunk=chunk)
+    named = found.join(entries, "alias")
     span = F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "alias", "concept_id", "concept_name", "alias_type", "status", "confidence")
     grouped = named.groupBy(id_col).agg(F.collect_list(span).alias("raw"))
-    none = F.array().cast(f"array<{SPAN}>")
+    none = F.array().cast(SPAN_LIST)
     joined = docs.join(grouped, id_col, "left")
     kept = outside(F.coalesce("raw", none), skip_ranges(text_col))
     return joined.withColumn("spans", longest_first(kept, SPAN)).drop("raw").select(*docs.columns, "spans")

@@ -54,6 +54,16 @@ def test_longest_first_and_links(spark):
     assert table == {(1, "复合函数"): 0, (1, "极限"): 5, (1, "函数"): 13, (3, "极限"): 5}
 
 
+def test_both_ways_agree(spark):
+    rng = random.Random(9)
+    words = ["aa", "aab", "b", "ba", "a$", "c"]
+    texts = ["".join(rng.choice(["a", "b", "c", "$", "$$", "`", "\n", " "]) for _ in range(60)) for _ in range(80)]
+    docs = spark.createDataFrame(list(enumerate([*texts, "", None])), "doc_id int, text string")
+    table = spark.createDataFrame([(w, f"C{i}", f"n{i}", "alias", "auto_mapped", 0.5) for i, w in enumerate(words)], DICT)
+    got = [{r["doc_id"]: [tuple(m) for m in r["spans"]] for r in an.annotate(docs, table, chunk=c).collect()} for c in (100, 4)]
+    assert got[0] == got[1] and any(got[0].values())
+
+
 def test_a_match_around_a_skipped_range_stays(spark):
     docs = spark.createDataFrame([(1, "ab`c`de")], "doc_id int, text string")
     got = an.annotate(docs, spark.createDataFrame([("b`c`d", "C1", "n", "alias", "auto_mapped", 1.0)], DICT))
