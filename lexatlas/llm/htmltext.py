@@ -3,8 +3,10 @@
 Pass 1 scores the containers of each page: a block of text gives its length outside links to the container it lies in, half of it
 to the next one out, and so on; the best container, or the article or main element around it, is the page's own choice. Its path
 of tags and classes, digits generalised to #, is the page's vote. The votes of a host are counted in Spark. Pass 2 reads each page
-again and extracts its host's winning path: of all paths with votes, the one with the most that the page has. A page that has
-none of the RANKED best paths of its host falls back on its own choice, so that no page is lost.
+again and extracts its host's winning path: of all paths with votes, the one with the most that the page has some text at. All
+votes of a host count, however many paths have some: in pass 1 each page also tells digests of its paths with text, and each
+distinct set of these is joined with the votes. A page that has no path with votes falls back on its own choice, so that no page is
+lost.
 
 In the chosen container, menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left
 out, known by tag, role, class or id; hidden elements too. Character references are decoded, white space inside a block becomes
@@ -19,18 +21,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import md5
 from html import unescape
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexatlas.llm.common import columns, name, own, ready_python, staged, table
 
-#: Paths of a host that are kept in order of votes.
-RANKED = 32
-
 TOKEN = re.compile(
     r"""<!--(?P<comment>.*?)(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?>[^>"']+|"[^"]*"|'[^']*')*+|[^>]*)(?:>|\Z)""",
     re.S,
@@ -189,6 +188,15 @@ class Page:
         inside = [(-1, len(self.tags) + 1)] if roots is None else [(k, self.ends[k]) for k in roots]
         return "\n".join(t for k, t, _, left_out in self.blocks if not left_out and any(a <= k < b for a, b in inside))
 
+    def with_text(self) -> set[str]:
+        """The paths whose elements have text that isn't left out."""
+        seen: set[int] = set()
+        for k, _, _, left_out in self.blocks:
+            while k >= 0 and not left_out and k not in seen:
+                seen.add(k)
+                k = self.ups[k]
+        return {self.paths[k] for k in seen}
+
     def roots(self, path: str) -> list[int]:
         """The outermost elements with that path."""
         out: list[int] = []
@@ -198,19 +206,24 @@ class Page:
         return out
 
 
-def vote(html: str | None) -> tuple[str | None, float]:
+def digest(path: str) -> bytes:
+    return md5(path.encode(), usedforsecurity=False).digest()
+
+
+def vote(html: str | None) -> tuple[str | None, bytes | None, list[bytes], bytes]:
+    """A page's vote and its digest, the digests of all its paths with text in order, and the digest of all these."""
     page = Page(html or "")
-    best, score = page.own_choice()
-    return (page.paths[best], score) if best >= 0 else (None, 0.0)
+    best, _ = page.own_choice()
+    have = sorted(map(digest, page.with_text()))
+    path = page.paths[best] if best >= 0 else None
+    return path, None if path is None else digest(path), have, md5(b"".join(have), usedforsecurity=False).digest()
 
 
-def extract(html: str | None, paths) -> tuple[str, str | None]:
+def extract(html: str | None, path: str | None) -> tuple[str, str | None]:
     """The main text and the path it was found at."""
     page = Page(html or "")
-    have = set(page.paths)
-    for path in paths if paths is not None else ():
-        if path in have and (text := page.text(page.roots(path))):
-            return text, path
+    if path is not None and (text := page.text(page.roots(path))):
+        return text, path
     best, _ = page.own_choice()
     return (page.text([best]), page.paths[best]) if best >= 0 else (page.text(None), None)
 
@@ -219,35 +232,42 @@ def host(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def host_paths(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", ranked: int = RANKED) -> DataFrame:
-    """host, paths: each host's paths by votes."""
+def page_key(html: Column) -> Column:
+    return F.sha2(F.coalesce(html.cast("string"), F.lit("")).cast("binary"), 256)
+
+
+def page_paths(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """host, page, path: for each distinct page (by its key) of a host the path that has the most votes of those it has text at."""
     ready_python(pages.sparkSession)
 
-    @F.pandas_udf("path string, score double")
+    @F.pandas_udf("path string, vote binary, have array<binary>, kind binary")
     def voted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame([vote(h) for h in b], columns=["path", "score"])
+            yield pd.DataFrame([vote(h) for h in b], columns=["path", "vote", "have", "kind"])
 
-    votes = pages.select(host(F.col(name(url_col))).alias("host"), voted(F.col(name(html_col)).cast("string")).alias("v")).where("v.path is not null")
-    votes = votes.groupBy("host", F.col("v.path").alias("path")).agg(F.count(F.lit(1)).alias("votes"))
-    rank = F.row_number().over(W.partitionBy("host").orderBy(F.desc("votes"), "path"))
-    best = votes.withColumn("k", rank).where(F.col("k") <= ranked)
-    best = best.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("k", "path"))).alias("p"))
-    return best.select("host", F.transform("p", lambda x: x["path"]).alias("paths"))
+    html = F.col(name(html_col))
+    seen = pages.select(host(F.col(name(url_col))).alias("host"), page_key(html).alias("page"), voted(html.cast("string")).alias("v"))
+    seen = staged(seen.select("host", "page", "v.*"), "page-votes")
+    votes = seen.where("vote is not null").groupBy("host", "vote").agg(F.count(F.lit(1)).alias("votes"), F.min("path").alias("path"))
+    # pages of a template have the same paths: each set of paths is looked up once
+    kinds = seen.groupBy("host", "kind").agg(F.first("have").alias("have")).select("host", "kind", F.explode("have").alias("vote"))
+    best = kinds.join(votes, ["host", "vote"]).groupBy("host", "kind").agg(F.min(F.struct((-F.col("votes")).alias("k"), "path")).alias("best"))
+    return seen.select("host", "page", "kind").distinct().join(best, ["host", "kind"]).select("host", "page", "best.path")
 
 
-def main_texts(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", ranked: int = RANKED) -> DataFrame:
+def main_texts(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """pages with `main` (which replaces a column of that name): struct(text, path)."""
     x, kept = own(pages), [c for c in pages.columns if c.lower() != "main"]
-    won = staged(host_paths(pages, url_col=url_col, html_col=html_col, ranked=ranked), "host-paths")
+    won = staged(page_paths(pages, url_col=url_col, html_col=html_col), "page-paths")
+    won = won.select(*[F.col(c).alias(f"{x}{c}") for c in ("host", "page", "path")])
 
     @F.pandas_udf("text string, path string")
     def extracted(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for html, paths in batches:
             yield pd.DataFrame([extract(h, p) for h, p in zip(html, paths, strict=True)], columns=["text", "path"])
 
-    d = pages.withColumn(f"{x}host", host(F.col(name(url_col)))).join(won.select(F.col("host").alias(f"{x}host"), F.col("paths").alias(f"{x}paths")), f"{x}host", "left")
-    d = d.withColumn(f"{x}main", extracted(F.col(name(html_col)).cast("string"), F.col(f"{x}paths")))
+    d = pages.withColumns({f"{x}host": host(F.col(name(url_col))), f"{x}page": page_key(F.col(name(html_col)))}).join(won, [f"{x}host", f"{x}page"], "left")
+    d = d.withColumn(f"{x}main", extracted(F.col(name(html_col)).cast("string"), F.col(f"{x}path")))
     return d.select(*columns(kept), F.col(f"{x}main").alias("main"))
 
 

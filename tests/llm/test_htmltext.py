@@ -55,3 +55,15 @@ def test_host_vote_decides(spark):
     assert ht.main_texts(df.where("false")).count() == 0
     clash = ht.main_texts(df)  # a column named like the output is replaced
     assert sorted(clash.columns) == ["html", "main", "url"] and clash.count() == len(rows)
+
+
+def test_votes_of_every_template_count(spark):
+    """A host with more templates than any rank: a page of the least voted one follows its template, not its own best container."""
+    usual = "<body><div class='story{0}'><h1>t</h1><p>body of {0}</p></div><div class='extra'>x</div></body>"
+    odd = "<body><div class='storyzz'><h1>t</h1><p>short</p></div><div class='extra'><p>" + "long text " * 50 + "</p></div></body>"
+    names = [a + b for a in "abcdefg" for b in "abcdefgh"]
+    pages = [usual.format(n) for n in names for _ in range(3)] + [usual.format("zz")] * 2 + [odd]
+    for url in ("http://h.example/", None):
+        rows = spark.createDataFrame([(i, url, h) for i, h in enumerate(pages)], "i int, url string, html string")
+        got = {r["i"]: r["main"]["text"] for r in ht.main_texts(rows).collect()}
+        assert len(got) == len(pages) and got[len(pages) - 1] == "t\nshort" and got[0] == "t\nbody of aa"
