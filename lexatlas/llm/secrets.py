@@ -2,8 +2,8 @@
 
 Three base kinds are reported wherever they occur: `assign` (a keyword, a separator and a value of 12 or more characters),
 `access` (AKIA identifiers of 18 or more) and `hex` (runs of 16 or more). Three weak kinds are only candidates:
-`ident` (a user, login, client or access-key name with its value), `weak` (a keyword with a value of 4 to 11 characters, or a bare
-token of 32 or more with small and capital letters and digits) and `endpoint` (a service address with a scheme, or host/endpoint/server with its value). A weak
+`ident` (a user, login, client or access-key name with its value), `weak` (a keyword with a value of 4 to 11 characters; pwd or pass,
+which `assign` doesn't know, with a value of 4 or more; or a bare token of 32 or more with small and capital letters and digits) and `endpoint` (a service address with a scheme, or host/endpoint/server with its value). A weak
 candidate is reported when complementary parts of a credential lie in its scope, SCOPE characters to either side: a weak secret
 beside an identifier (ident or access), an identifier beside a secret (assign or weak), an endpoint beside both. A candidate that
 overlaps a base span is a part for its neighbours but no finding of its own.
@@ -35,12 +35,14 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 LEAST = {"assign": 12, "access": 18, "hex": 16}
-#: The weak kinds. A secret's value has 4 to 11 characters; a bare token needs small and capital letters and digits.
+#: The weak kinds. A secret's value has 4 to 11 characters, after pwd and pass 4 or more; a bare token needs small and capital letters and digits.
 IDENT = r"""(?i)(?:access_?key(?:_?id)?|client_?id|user(?:_?name)?|login|account)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@+-]{3,}"""
 SHORT = r"""(?i)(?:password|passwd|pwd|pass|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 BARE = r"[A-Za-z0-9+/]{32,}"
 ENDPOINT = r"""(?i)(?:https?|ftp|sftp|ssh|ldap|amqps?|rediss?|mongodb|mysql|postgres(?:ql)?)://[^\x09-\x0D\x20"'<>]+|(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+(?::[0-9]+)?"""
 SHORT_MOST, SHORT_LEAST = 11, 4
+#: The matches of SHORT that are weak: longer values are of kind assign, but for keywords that ASSIGN doesn't have.
+SHORT_KEPT = rf"""(?i)^(?:(?:pwd|pass)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{{{SHORT_LEAST},}}|[a-z_]+["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{{{SHORT_LEAST},{SHORT_MOST}}})$"""
 
 SPAN = "struct<start:int,kind:int,end:int>"
 
@@ -118,12 +120,12 @@ def find_secrets(docs: DataFrame, *, text_col: str = "text", to: str = "spans",
     text = F.col(f"{x}text")
     hex_runs = HEX[:-1] + f"{{{LEAST['hex']},}}"
     at_least = lambda n: lambda g: F.length(g) >= n
-    short = lambda g: F.length(g).between(SHORT_LEAST, SHORT_MOST)
+    short = lambda g: g.rlike(SHORT_KEPT)
     mixed = lambda g: g.rlike("[a-z]") & g.rlike("[A-Z]") & g.rlike("[0-9]")
     #: name, kind, pattern, group that is looked at, what it must be
     rules = [
         ("assign", "assign", ASSIGN, 2, at_least(LEAST["assign"])), ("access", "access", ACCESS, 0, at_least(LEAST["access"])), ("hex", "hex", hex_runs, 0, at_least(LEAST["hex"])),
-        ("ident", "ident", IDENT, 0, at_least(0)), ("short", "weak", SHORT, 1, short), ("bare", "weak", BARE, 0, mixed), ("endpoint", "endpoint", ENDPOINT, 0, at_least(0)),
+        ("ident", "ident", IDENT, 0, at_least(0)), ("short", "weak", SHORT, 0, short), ("bare", "weak", BARE, 0, mixed), ("endpoint", "endpoint", ENDPOINT, 0, at_least(0)),
     ]
     d = d.withColumns({f"{x}{n}{g}": F.regexp_extract_all(text, F.lit(p), F.lit(g)) for n, _, p, group, _ in rules for g in {0, group}})
     spans = {n: _spans(text, F.col(f"{x}{n}0"), p, kind, F.col(f"{x}{n}{g}") if g else None, keep) for n, kind, p, g, keep in rules}

@@ -62,3 +62,14 @@ def test_long_text_of_many_secrets(spark, n):
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = queries()["op8_secret_scan"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_long_values_of_weak_keywords(spark):
+    """pwd and pass are no base keywords: their values are weak at any length from 4."""
+    texts = ["user: bob pwd: correct-horse-batter", "user: bob PASS='Sup3rSecretPassw0rd'", "pass=Sup3rSecretPassw0rd alone", "user: bob pwd: abcdefghijkl", "user: bob pwd: abcdefghijk", "user: bob pwd: abc", "user: bob pwd: password=abcdefghijklmnop", "user: bob password: correct-horse-batter"]
+    got = spans(spark, *texts)
+    assert got[0] == ["ident:0:9", "weak:10:35"] and got[1] == ["ident:0:9", "weak:10:35"] and got[2] == []
+    assert got[3] == ["ident:0:9", "weak:10:27"] and got[4] == ["ident:0:9", "weak:10:26"] and got[5] == []
+    assert got[6] == ["ident:0:9", "assign:15:40"] and got[7] == ["ident:0:9", "assign:10:40"]
+    clean = secrets.redact(spark.createDataFrame([(1, texts[0])], "doc_id int, text string"))
+    assert clean.first()["text"] == "[SECRET] [SECRET]"
