@@ -177,7 +177,7 @@ def annotate(docs: DataFrame, dictionary: DataFrame, *, id_col: str = "doc_id",
     """docs with `spans`: the resolved matches of each text, outside code, formulas and images, longest first, by start.
 
     Up to `chunk` aliases go to every worker, which annotates texts where they are: nothing is shuffled. Larger dictionaries are
-    matched in parts, and the matches of a text meet again by its id.
+    matched in parts, and the matches of a text meet again by the hash of the text, whatever its id: copies have the same spans.
     """
     entries = dictionary.dropDuplicates(["alias"])
     if entries.count() <= chunk:
@@ -192,12 +192,14 @@ def annotate(docs: DataFrame, dictionary: DataFrame, *, id_col: str = "doc_id",
                 yield pd.Series([[dict(zip(names, (a, b, *known[t[a:b]]), strict=True)) for a, b in resolved_spans(t, find)] if t else [] for t in texts], dtype=object)
 
         return docs.withColumn("spans", spans(F.col(text_col)))
-    found = matches_automaton(docs, entries.select("alias"), id_col=id_col, text_col=text_col, chunk=chunk)
+    key = "__text_key"
+    keyed = docs.withColumn(key, F.sha2(F.col(text_col).cast("binary"), 256))  # null for a null text, which has no spans
+    found = matches_automaton(keyed.select(key, text_col).dropDuplicates([key]), entries.select("alias"), id_col=key, text_col=text_col, chunk=chunk)
     named = found.join(entries, "alias")
     span = F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "alias", "concept_id", "concept_name", "alias_type", "status", "confidence")
-    grouped = named.groupBy(id_col).agg(F.collect_list(span).alias("raw"))
+    grouped = named.groupBy(key).agg(F.collect_list(span).alias("raw"))
     none = F.array().cast(SPAN_LIST)
-    joined = docs.join(grouped, id_col, "left")
+    joined = keyed.join(grouped, key, "left")
     kept = outside(F.coalesce("raw", none), skip_ranges(text_col))
     return joined.withColumn("spans", longest_first(kept, SPAN)).drop("raw").select(*docs.columns, "spans")
 

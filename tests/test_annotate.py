@@ -79,3 +79,10 @@ def test_overlaps_random(spark):
     df = spark.createDataFrame(list(enumerate(cases)), "i int, m array<struct<start:int,end:int>>")
     got = {r["i"]: [(x["start"], x["end"]) for x in r["k"]] for r in df.select("i", longest_first(F.col("m"), "struct<start:int,end:int>").alias("k")).collect()}
     assert got == {i: resolve(c) for i, c in enumerate(cases)}
+
+
+def test_both_ways_agree_on_null_and_repeated_ids(spark):
+    docs = spark.createDataFrame([(None, "aa b"), (None, "c"), (1, "aa"), (1, "b c"), (2, "b c"), (3, None), (None, None)], "doc_id int, text string")
+    table = spark.createDataFrame([(w, f"C{i}", f"n{i}", "alias", "auto_mapped", 0.5) for i, w in enumerate(["aa", "b", "c"])], DICT)
+    got = [sorted((str(r["doc_id"]), str(r["text"]), [(m["start"], m["end"], m["alias"]) for m in r["spans"]]) for r in an.annotate(docs, table, chunk=c).collect()) for c in (100, 2)]
+    assert got[0] == got[1] and ("None", "aa b", [(0, 2, "aa"), (3, 4, "b")]) in got[1] and ("1", "aa", [(0, 2, "aa")]) in got[1]
