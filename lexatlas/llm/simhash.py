@@ -8,7 +8,9 @@ or fewer can't have three in both segments, so no link is missed. Those that mee
 Meetings are counted before anything is gathered. Where two fingerprints meet at a key, they are a pair. Where up to GROUP_MOST
 meet, one task tries them breadth-first and emits a spanning forest, never all pairs. Where more meet, they are dealt again by
 small balls of the other segment (two bits around the key's own values, one bit around values next to it): any two that meet
-there are within 4 bits, and any two within 4 bits meet at some key, so a star per key is exact and linear in the group.
+there are within 4 bits, and any two within 4 bits meet at some key, so a star per key is exact and linear in the group. For an odd
+distance the balls of the next even one are taken; as two that meet can then be a bit too far, each cell is tried breadth-first.
+A cell has 1,600 fingerprints at most.
 Components of the links come from distributed star rounds; no list of links or fingerprints reaches the driver.
 
 Edge cases: a null or empty text has fingerprint zero and is linked like any other. Copies share a fingerprint, one node. Null ids
@@ -138,9 +140,13 @@ def hamming_links(fps: DataFrame, max_distance: int = MAX_DISTANCE, group_most:
         first = F.shiftrightunsigned("key", 32) == 0
         own, other = F.when(first, halves[0]).otherwise(halves[1]), F.when(first, halves[1]).otherwise(halves[0])
         at_key = own == F.col("key").bitwiseAND(F.lit(LOW))
-        wide, slim = max_distance // 2, max(0, max_distance - 2) // 2
+        even = max_distance + max_distance % 2
+        wide, slim = even // 2, max(0, even - 2) // 2
         balls = F.when(at_key, _ball(other, 2) if wide == 2 else _ball(other, 1)).otherwise(_ball(other, 1) if slim else F.array(other))
         cells = hot.select("fp", "key", F.explode(balls).alias("z"))
+        if even > max_distance:
+            members = cells.groupBy("key", "z").agg(F.collect_list("fp").alias("members")).where(F.size("members") > 1)
+            return links.unionByName(members.select("members").mapInArrow(_forest(max_distance), "a long, b long")).distinct()
         stars = cells.groupBy("key", "z").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
         star = cells.join(stars, ["key", "z"]).where("fp <> a").select("a", F.col("fp").alias("b"))
         links = links.unionByName(star if max_distance == 4 else star.where(near))

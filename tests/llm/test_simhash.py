@@ -66,3 +66,32 @@ def test_components_random(spark):
     linked = {v for a, b in edges if a != b for v in (a, b)}
     assert got == {v: find(v) for v in linked}
     assert components(spark.range(0).select(F.col("id").alias("a"), F.col("id").alias("b"))).count() == 0
+
+
+@pytest.mark.parametrize("most", [1, 2, 3, 4])
+def test_crowded_keys_link_at_every_distance(spark, most):
+    rng = random.Random(most)
+    base = [rng.getrandbits(64) for _ in range(4)]
+    prints = {b ^ sum(1 << k for k in rng.sample(range(64), rng.randint(0, 4))) for b in base for _ in range(40)} | set(base)
+    prints |= {(base[0] & ~0xFFFFFFFF) | (base[0] ^ bits) & 0xFFFFFFFF for bits in (0b111 << 3, 0b111 << 9, 0b1 << 20, 0b11 << 20, 0b111 << 20, 0b1111 << 20)}
+    prints = sorted(prints)
+    near = {(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= most}
+    rows = spark.createDataFrame([(int(np.array([f], np.uint64).view(np.int64)[0]),) for f in prints], "fp long")
+    got = {tuple(sorted((r["a"] & (2**64 - 1), r["b"] & (2**64 - 1)))) for r in simhash.hamming_links(rows, most, 2).collect()}
+
+    def groups(edges):
+        up = {f: f for f in prints}
+
+        def find(x):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        for a, b in edges:
+            up[find(a)] = find(b)
+        heads = {}
+        for f in prints:
+            heads.setdefault(find(f), set()).add(f)
+        return {frozenset(g) for g in heads.values()}
+
+    assert got <= near and groups(got) == groups(near)
