@@ -185,7 +185,16 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text", to: str =
 
 
 def keep_identified(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
-    """docs without the rows that are `und`: their text is null or has no letter. The same columns."""
+    """docs without the rows whose text is null or has no letter: the `und` ones, if anything was learned. The same columns."""
+    if not model.languages:  # all is und, whatever its text
+        ready_python(docs.sparkSession)
+
+        @F.pandas_udf("boolean")
+        def lettered(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for texts in batches:
+                yield pd.Series([has_letter(t) for t in texts], dtype=bool)
+
+        return docs.where(lettered(F.col(name(text_col)).cast("string")))
     to = f"{own(docs)}language"
     return identify(docs, model, text_col=text_col, to=to).where(F.col(f"{to}.lang") != UND).select(*columns(docs.columns))
 

@@ -72,3 +72,10 @@ def test_filters_hold_what_they_learned_and_rates_fit():
 def test_letters():
     for t in ("", None, "12", "a", "漢", "!é"):
         assert langid.has_letter(t) == brute.has_letter(t)
+
+
+def test_texts_stay_where_nothing_was_learned(spark):
+    df = spark.createDataFrame([(1, "the dog"), (2, None), (3, ""), (4, "12 34 !!"), (5, "日本語")], "i int, text string")
+    nothing = langid.train(df.selectExpr("text", "cast(null as string) lang"))
+    kept = langid.keep_identified(df, nothing)
+    assert kept.columns == df.columns and sorted(r["i"] for r in kept.collect()) == [1, 5]
