@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 from lexatlas.functions.text import chapters_json, first_filled, first_level, lstrip, repair_json_backslashes, strip
 from lexatlas.schemas import CHAPTERS, TOC, conform
 
-#: Levels of a tree below the root at most.
-LEVELS = 6
-
 
 def toc_entries(structure: DataFrame, text_col: str = "text", book: str = "book_id") -> DataFrame:
     """Entries of table-of-contents JSON texts, in order: book, ordinal, level, number, title, parent_number. The array behind
@@ -30,19 +27,22 @@ def heading_rules(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     return [(r["level"], r["f"]) for r in got.where("r.`编号格式` <> ''").orderBy("k").select(F.coalesce("r.level", F.lit(1)).alias("level"), F.col("r.编号格式").alias("f")).collect()]
 
 
-def chapter_tree(entries: DataFrame, root_title: Column | str = "", *, book: str = "book_id", levels: int = LEVELS) -> DataFrame:
+def chapter_tree(entries: DataFrame, root_title: Column | str = "", *, book: str = "book_id") -> DataFrame:
     """entries (book, ordinal, level, number, title, parent_number) -> book and CHAPTERS: the root is 1, entries follow as 2, 3, ...
 
     An entry's parent is the nearest open one above its level whose number is parent_number, else the nearest open one at all, else
-    the root; without a parent_number it is the root. An entry closes all of its level and below. Each book is one ordered window.
+    the root; without a parent_number it is the root. An entry closes all of its level and below. Each book is one ordered window, with a slot
+    for each level that the entries have.
     """
     order = W.partitionBy(book).orderBy("ordinal")
     before = order.rowsBetween(W.unboundedPreceding, -1)
     e = entries.withColumn("id", F.row_number().over(order).cast("long") + 1)
     slot = lambda n: F.last(F.when(F.col("level") == n, F.struct("id", "number")), ignorenulls=True).over(before)
     opened = lambda n: F.max(F.when(F.col("level") < n, F.col("id"))).over(before)
-    e = e.withColumns({f"__s{n}": slot(n) for n in range(1, levels)} | {f"__o{n}": opened(n) for n in range(1, levels)})
-    stack = F.array(*[F.when(F.col(f"__s{n}.id") > F.coalesce(F.col(f"__o{n}"), F.lit(0)), F.struct(F.lit(n).alias("level"), F.col(f"__s{n}.id").alias("id"), F.col(f"__s{n}.number").alias("number"))) for n in range(levels - 1, 0, -1)])
+    levels = sorted(r["level"] for r in entries.where("level >= 1").select("level").distinct().collect())  # a few
+    e = e.withColumns({f"__s{n}": slot(n) for n in levels} | {f"__o{n}": opened(n) for n in levels})
+    stack = F.array(*[F.when(F.col(f"__s{n}.id") > F.coalesce(F.col(f"__o{n}"), F.lit(0)), F.struct(F.lit(n).alias("level"), F.col(f"__s{n}.id").alias("id"), F.col(f"__s{n}.number").alias("number"))) for n in reversed(levels)])
+    stack = stack.cast("array<struct<level:int,id:bigint,number:string>>")
     open_ones = F.filter(stack, lambda s: s.isNotNull() & (s["level"] < F.col("level")))
     same = F.filter(open_ones, lambda s: s["number"] == F.col("parent_number"))
     parent = F.when(F.col("parent_number").isNull(), F.lit(1)).otherwise(F.coalesce(F.get(same, F.lit(0))["id"], F.get(open_ones, F.lit(0))["id"], F.lit(1)))

@@ -203,3 +203,11 @@ def test_providers_and_options(spark, tmp_path):
     store = concepts.knowledge_segments(segs(spark, ("a", "note", [], ""), ("b", "note", [], "")), providers.encoder())
     assert [(r["id"], r["title"], len(r["embedding"])) for r in store.orderBy("id").collect()] == [(1, "a", providers.DIM), (2, "b", providers.DIM)]
     assert {r["key"]: r["value"] for r in concepts.metadata(segs(spark, ("a", "note", [], "")), "m").collect()} == {"embedding_model": "m", "created_at": "", "total_segments": "1"}
+
+
+def test_chapter_tree_of_many_levels(spark):
+    rows = [(1, k, k + 1, str(k), f"t{k}", str(k - 1) if k else None) for k in range(12)] + [(1, 12, 8, "x", "x", "nowhere")]
+    e = spark.createDataFrame(rows, "book_id int, ordinal long, level int, number string, title string, parent_number string")
+    parent = {r["id"]: r["parent_id"] for r in hierarchy.chapter_tree(e).collect()}
+    assert parent == {1: None, 2: 1, **{k + 2: k + 1 for k in range(1, 12)}, 14: 8}
+    assert hierarchy.chapter_tree(e.where("false")).count() == 0
