@@ -38,7 +38,8 @@ ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s
 
 #: Elements by role in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title svg math object canvas audio video select option button head".split())
+RAW = frozenset("script style noscript template iframe textarea title select option button head".split())
+FOREIGN = frozenset("svg math".split())
 TEXTLESS = frozenset("script style textarea title".split())
 BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CONTAINER = frozenset("article body center div main section table tbody td".split())
@@ -135,7 +136,7 @@ class Page:
                                 break
                         elif name in STOPS and not (tag in CLOSES and name in ("td", "th")):
                             break
-                if tag in VOID:
+                if tag in VOID or m["attrs"].endswith("/") and (tag in FOREIGN or any(self.tags[k] in FOREIGN for k in stack)):
                     continue
                 a = self._attrs(m["attrs"])
                 names = a.get("class", "").split()

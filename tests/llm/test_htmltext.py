@@ -67,3 +67,10 @@ def test_votes_of_every_template_count(spark):
         rows = spark.createDataFrame([(i, url, h) for i, h in enumerate(pages)], "i int, url string, html string")
         got = {r["i"]: r["main"]["text"] for r in ht.main_texts(rows).collect()}
         assert len(got) == len(pages) and got[len(pages) - 1] == "t\nshort" and got[0] == "t\nbody of aa"
+
+
+def test_formulas_and_fallbacks_stay():
+    assert own("<p>Let <math><mi>x</mi></math> be") == "Let x be"
+    assert own("<p>a <video src=v><source src=w>no video</video> <object data=o>no object</object> <canvas>c</canvas> <audio>d</audio> z") == "a no video no object c d z"
+    assert own("<div><svg><style>p{}</style><path d='M0'/><g/><text>label</text></svg><p>b</p></div>") == "label\nb"
+    assert len(max(ht.Page("<svg>" + "<path/>" * 3000 + "</svg>").paths, key=len)) == 3
