@@ -1,14 +1,16 @@
 """Language identification by bit-sliced Bloom filters over character n-grams.
 
-The model is one table of rows; a row has one bit for each language. An n-gram is hashed to HASHES rows, and the AND of these rows
-is the mask of all languages whose n-gram set (nearly always) contains it, so one lookup answers for every language. A text's
-n-grams are looked up whole, hits are counted per language, and each language's count is corrected for the false positives that
-the fill of its slice lets through: (hits - rate * tried) / (1 - rate). Each length of n-grams counts by its own share, longer
-ones more; the language of the highest total decides, ties to the smaller name. The score is its part of all languages' totals.
-
-Training: at most SAMPLE rows with a language for each language, those of least hash of id and text, are taken whole; an n-gram
-enters a language's set if at least LEAST_SHARE of its occurrences, after weighing languages alike, are in that language and it
-occurs at least twice; of more than GRAMS_KEPT the commonest stay. The model's size depends on these parameters only.
+The model has a table for each length of n-grams; a row of it has one bit for each language. An n-gram is hashed to HASHES rows, and
+the AND of these rows is the mask of all languages whose n-gram set contains it (and, rarely, of one that doesn't), so one lookup
+answers for every language. A text's n-grams are looked up whole, the bits are counted per language, and each language's count is
+corrected for the false positives that the fill of its slice lets through: (hits - rate * tried) / (1 - rate). Each length counts
+by its own share, longer ones more; the language of the highest total decides, ties to the smaller name. The score is its part of
+all languages' totals.
+
+Training: at most SAMPLE distinct texts with a language are read for each language, those of least hash, and read whole. Every n-gram of
+these texts is set in the slice of every language that has it; nothing is chosen beforehand. Workers set the bits of their texts, and
+Spark joins them by bit_or. The tables have ROWS rows whatever the input, so a model takes a fixed number of bytes per 64 languages; a
+fuller table has a higher rate, which the correction takes into account.
 
 Edge cases: a null text or one without any letter is `und` with score 0; so is every text where nothing was learned. A text that
 hits no n-gram gets the language most frequent in the sample, score 0. Rows without language or text teach nothing. Other columns
@@ -17,9 +19,7 @@ may have any names. Copies get equal results.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -33,9 +33,11 @@ UND = "und"
 SAMPLE = 2000
 LENGTHS = (1, 2, 3, 4, 5)
 WEIGHTS = (0.5, 1.0, 2.0, 3.0, 3.0)
-LEAST_SHARE = 0.4
-GRAMS_KEPT = 30_000
-HASHES, ROWS = 3, 1 << 18
+#: Rows of the table of each length, a fixed size.
+ROWS = (1 << 14, 1 << 17, 1 << 19, 1 << 20, 1 << 20)
+HASHES = 3
+#: Rows of a table that travel to the driver as one packed block.
+BLOCK_ROWS = 1 << 16
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 _letters: list[np.ndarray] = []
 
@@ -75,49 +77,61 @@ def grams(text: str, lengths=LENGTHS, block: int = 1 << 20) -> Iterator[tuple[in
             yield n, value ^ (np.uint64(n) << np.uint64(56))
 
 
-def slots(values: np.ndarray, rows: int = ROWS) -> np.ndarray:
-    """HASHES row numbers for each value."""
+def slots(values: np.ndarray, rows: int) -> np.ndarray:
+    """HASHES row numbers for each value; rows is a power of two."""
     x = values[None, :] * _SEEDS[:HASHES, None]
     x ^= x >> np.uint64(32)
     x = x * np.uint64(0xD6E8FEB86659FD93)
-    return ((x >> np.uint64(40)) % np.uint64(rows)).astype(np.int64)
+    return ((x >> np.uint64(40)) & np.uint64(rows - 1)).astype(np.int64)
+
+
+def set_rows(values: np.ndarray, rows: int) -> np.ndarray:
+    """The rows that hold the bits of these values, each once."""
+    return np.unique(slots(values, rows))
+
+
+def word_type(languages: int) -> type:
+    """The smallest word that has a bit for each language, else words of 64: small tables stay in caches."""
+    return np.uint8 if languages <= 8 else np.uint16 if languages <= 16 else np.uint32 if languages <= 32 else np.uint64
 
 
-@dataclass
 class Model:
-    languages: list[str]
-    usual: str
-    lengths: tuple[int, ...] = LENGTHS
-    weights: tuple[float, ...] = WEIGHTS
-    rows: int = ROWS
-    slices: list[np.ndarray] = field(default_factory=list)  # a table for each length: rows x words of 64 languages
-    rates: list[np.ndarray] = field(default_factory=list)  # false positives of each language's slice
-
-    def learn(self, n: int, members: list[tuple[np.ndarray, int]]) -> None:
-        """Fill the table of one length from (values, language number)."""
-        words = -(-len(self.languages) // 64)
-        bits = np.zeros((self.rows, words), np.uint64)
-        for values, lang in members:
-            np.bitwise_or.at(bits[:, lang // 64], slots(values, self.rows).ravel(), np.uint64(1) << np.uint64(lang % 64))
-        fill = np.array([(bits[:, k // 64] >> np.uint64(k % 64) & np.uint64(1)).mean() for k in range(len(self.languages))])
-        self.slices.append(bits)
-        self.rates.append(fill**HASHES)
+    """tables: for each length its rows as an array of rows x words, a bit for each language."""
+
+    def __init__(self, languages: list[str], usual: str, tables: list[np.ndarray], lengths: tuple[int, ...] = LENGTHS, weights: tuple[float, ...] = WEIGHTS):
+        self.languages, self.usual, self.lengths, self.weights = languages, usual, tuple(lengths), tuple(weights)
+        k = len(languages)
+        self.tables = tables
+        #: A language's part of false positives at each length: all HASHES rows of a stranger have its bit.
+        self.rates = [np.array([float((t[:, j // 64] >> t.dtype.type(j % 64) & t.dtype.type(1)).mean()) for j in range(k)]) ** HASHES for t in tables]
+        self.bits = np.array([[m >> j & 1 for j in range(k)] for m in range(256)]) if k <= 8 else None
+
+    def masks(self, n: int, values: np.ndarray) -> np.ndarray:
+        """The languages that contain each n-gram of length n: values x words."""
+        table = self.tables[self.lengths.index(n)]
+        at = slots(values, len(table))
+        mask = table[at[0]]
+        for row in at[1:]:
+            mask = mask & table[row]
+        return mask
+
+    def hits(self, n: int, values: np.ndarray) -> np.ndarray:
+        """How many of the n-grams each language contains."""
+        mask = self.masks(n, values)
+        if self.bits is not None:
+            return np.bincount(mask[:, 0], minlength=256) @ self.bits
+        return np.array([np.count_nonzero(mask[:, j // 64] & mask.dtype.type(1 << j % 64)) for j in range(len(self.languages))])
 
     def totals(self, text: str) -> np.ndarray:
         """Each language's weighted share of a text's n-grams, false positives taken off."""
         out, k = np.zeros(len(self.languages)), len(self.languages)
         hits, tried = {n: np.zeros(k) for n in self.lengths}, dict.fromkeys(self.lengths, 0)
         for n, values in grams(text, self.lengths):
-            at = slots(values, self.rows)
-            bits = self.slices[self.lengths.index(n)]
-            mask = bits[at[0]]
-            for row in at[1:]:
-                mask = mask & bits[row]
             tried[n] += len(values)
-            hits[n] += [np.count_nonzero(mask[:, j // 64] & (np.uint64(1) << np.uint64(j % 64))) for j in range(k)]
-        for i, n in enumerate(self.lengths):
+            hits[n] += self.hits(n, values)
+        for weight, rate, n in zip(self.weights, self.rates, self.lengths, strict=True):
             if tried[n]:
-                out += self.weights[i] * np.maximum(0, (hits[n] - self.rates[i] * tried[n]) / (1 - self.rates[i])) / tried[n]
+                out += weight * np.maximum(0, np.divide(hits[n] - rate * tried[n], 1 - rate, out=np.zeros(k), where=rate < 1)) / tried[n]
         return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -128,23 +142,39 @@ class Model:
         return (self.languages[best], float(min(1.0, t[best] / t.sum()))) if t[best] > 0 else (self.usual, 0.0)
 
 
-def _counted(lengths):
-    """Counts of each batch partition's n-grams, per language and length."""
+def _bits(languages: list[str], lengths, rows):
+    """The bits that a partition's texts set: length, word, row, bits."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: dict[tuple[str, int], Counter] = {}
+        number = {lang: k for k, lang in enumerate(languages)}
+        tables: dict[tuple[int, int], np.ndarray] = {}
         for b in batches:
             for lang, text in zip(b["lang"], b["text"], strict=True):
+                k = number[lang]
                 for n, values in grams(text, lengths):
-                    v, c = np.unique(values, return_counts=True)
-                    counts.setdefault((lang, n), Counter()).update(dict(zip(v.view(np.int64).tolist(), c.tolist(), strict=True)))
-        for (lang, n), c in counts.items():
-            yield pd.DataFrame({"lang": lang, "n": n, "gram": list(c), "c": list(c.values())})
+                    size = rows[lengths.index(n)]
+                    table = tables.setdefault((n, k // 64), np.zeros(size, np.uint64))
+                    table[set_rows(values, size)] |= np.uint64(1 << k % 64)
+        for (n, word), table in tables.items():
+            at = np.flatnonzero(table)
+            yield pd.DataFrame({"n": n, "word": word, "row": at, "bits": table[at].view(np.int64)})
+
+    return run
+
+
+def _packed(kind: type):
+    """Rows of one block of a table as bytes."""
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        block = part["row"].iloc[0] // BLOCK_ROWS
+        out = np.zeros(BLOCK_ROWS, kind)
+        out[part["row"].to_numpy() - block * BLOCK_ROWS] = part["bits"].to_numpy().view(np.uint64).astype(kind)
+        return pd.DataFrame({"n": [part["n"].iloc[0]], "word": [part["word"].iloc[0]], "block": [block], "data": [out.tobytes()]})
 
     return run
 
 
-def train(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, lengths=LENGTHS, weights=WEIGHTS, grams_kept: int = GRAMS_KEPT) -> Model:
+def train(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, lengths=LENGTHS, weights=WEIGHTS, table_rows=ROWS) -> Model:
     """A model from rows with a language. Of each language at most `sample` distinct texts are read, by least hash."""
     spark = rows.sparkSession
     ready_python(spark)
@@ -157,17 +187,18 @@ def train(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", sa
     some = some.groupBy("lang", "h").agg(F.min("text").alias("text"))
     some = staged(some.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("h"))).where(F.col("k") <= sample).select("lang", "text"), "lang-sample")
     sizes = {r["lang"]: r["n"] for r in some.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each language
-    model = Model(sorted(sizes), max(sorted(sizes), key=sizes.get, default=UND), tuple(lengths), tuple(weights))
-    counts = some.repartition(max(1, min(64, sum(sizes.values()) // 500)), F.xxhash64("text")).mapInPandas(_counted(model.lengths), "lang string, n int, gram long, c long")
-    counts = counts.groupBy("lang", "n", "gram").agg(F.sum("c").alias("c"))
-    share = F.col("c") / F.sum("c").over(W.partitionBy("lang", "n"))
-    counts = counts.withColumn("share", share).withColumn("of", F.col("share") / F.sum("share").over(W.partitionBy("n", "gram")))
-    best = counts.where((F.col("of") >= LEAST_SHARE) & (F.col("c") >= 2)).withColumn("k", F.row_number().over(W.partitionBy("lang", "n").orderBy(F.desc("c"), "gram")))
-    got = best.where(F.col("k") <= grams_kept).select("lang", "n", "gram").toPandas()  # grams_kept rows for each language and length
-    for n in model.lengths:
-        of = got[got["n"] == n]
-        model.learn(n, [(of.loc[of["lang"] == lang, "gram"].to_numpy(np.int64).view(np.uint64), k) for k, lang in enumerate(model.languages)])
-    return model
+    languages, lengths = sorted(sizes), tuple(lengths)
+    kind = word_type(len(languages))
+    tables = [np.zeros((size, max(1, -(-len(languages) // 64))), kind) for size in table_rows]
+    dealt = some.repartition(max(1, min(64, sum(sizes.values()) // 500)), F.xxhash64("text"))
+    bits = dealt.mapInPandas(_bits(languages, lengths, tuple(table_rows)), "n int, word int, row long, bits long")
+    bits = bits.groupBy("n", "word", "row").agg(F.bit_or("bits").alias("bits"))
+    blocks = bits.groupBy("n", "word", F.floor(F.col("row") / BLOCK_ROWS)).applyInPandas(_packed(kind), "n int, word int, block long, data binary")
+    for r in blocks.collect():  # the tables' own size, whatever the input's
+        table, at = tables[lengths.index(r["n"])], r["block"] * BLOCK_ROWS
+        here = table[at : at + BLOCK_ROWS, r["word"]]
+        here[:] = np.frombuffer(bytes(r["data"]), kind)[: len(here)]
+    return Model(languages, max(languages, key=sizes.get, default=UND), tables, lengths, weights)
 
 
 def identify(docs: DataFrame, model: Model, *, text_col: str = "text", to: str = "language") -> DataFrame:

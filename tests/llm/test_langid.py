@@ -1,3 +1,4 @@
+import re
 import zlib
 
 import brute
@@ -54,19 +55,62 @@ def test_blocks_give_every_gram_once():
 
 
 def test_filters_hold_what_they_learned_and_rates_fit():
-    m = langid.Model([f"l{k:02d}" for k in range(70)], "l00", lengths=(2,), weights=(1.0,), rows=1 << 14)
     rng = np.random.default_rng(0)
-    sets = [(rng.integers(0, 2**63, 2000).astype(np.uint64), k) for k in range(70)]
-    m.learn(2, sets)
+    sets = [rng.integers(0, 2**63, 2000).astype(np.uint64) for _ in range(70)]
+    table = np.zeros((1 << 14, 2), np.uint64)
+    for k, values in enumerate(sets):
+        table[langid.set_rows(values, 1 << 14), k // 64] |= np.uint64(1 << k % 64)
+    m = langid.Model([f"l{k:02d}" for k in range(70)], "l00", [table], (2,), (1.0,))
     other = rng.integers(0, 2**63, 20000).astype(np.uint64)
-
-    def hits(values, k):
-        mask = np.bitwise_and.reduce(m.slices[0][langid.slots(values, m.rows)], axis=0)
-        return np.count_nonzero(mask[:, k // 64] >> np.uint64(k % 64) & np.uint64(1))
-
-    for values, k in (sets[0], sets[63], sets[69]):
-        assert hits(values, k) == len(values)
-        assert abs(hits(other, k) / len(other) - m.rates[0][k]) < 0.01
+    for k in (0, 63, 69):
+        assert m.hits(2, sets[k])[k] == 2000
+        assert abs(m.hits(2, other)[k] / len(other) - m.rates[0][k]) < 0.01
+
+
+@pytest.mark.parametrize("count", [4, 12, 40])
+def test_mask_names_every_language_that_has_an_ngram(spark, count):
+    rows = [(f"shared word{chr(97 + k % 26) * (2 + k // 26)}", f"l{k:02d}") for k in range(count)]
+    m = langid.train(spark.createDataFrame(rows, "text string, lang string"))
+    values = dict(langid.grams("shared"))
+    mask = m.masks(5, values[5])
+    assert all(mask[:, 0] == (1 << count) - 1)
+    assert m.tables[0].dtype == langid.word_type(count)
+
+
+def plain_grams(text):
+    """Character n-grams: lower case, each run of what is no letter as one space, one at both ends; no space alone."""
+    t = "".join(c if c.isalpha() else " " for c in text.lower())
+    t = " " + re.sub(" +", " ", t) + " "
+    return {n: [g for g in (t[i : i + n] for i in range(len(t) - n + 1)) if g != " "] for n in langid.LENGTHS}
+
+
+def test_predictions_equal_those_of_whole_sets(spark, sf_dir):
+    """Sets of strings instead of filters: the same language for every document, and nearly the same score."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    sets: dict = {}
+    for text, lang in {(r["text"], r["lang"]) for r in docs if r["text"] is not None and r["lang"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5}:
+        for n, g in plain_grams(text).items():
+            sets.setdefault((lang, n), set()).update(g)
+    languages = sorted({lang for lang, _ in sets})
+    got = {r["doc_id"]: r for r in queries()["op10_language_id"](spark, sf_dir).collect()}
+    for d in docs:
+        if not brute.has_letter(d["text"]):
+            assert got[d["doc_id"]]["lang_pred"] == "und"
+            continue
+        grams = plain_grams(d["text"])
+        totals = [sum(w * sum(g in sets[lang, n] for g in grams[n]) / len(grams[n]) for n, w in zip(langid.LENGTHS, langid.WEIGHTS, strict=True) if grams[n]) for lang in languages]
+        best = max(range(len(languages)), key=lambda k: totals[k])
+        r = got[d["doc_id"]]
+        assert (r["lang_pred"], round(r["score"], 2)) == (languages[best], pytest.approx(totals[best] / sum(totals), abs=0.02))
+
+
+def test_ties_go_to_the_smaller_name(spark):
+    m = langid.train(spark.createDataFrame([("one two", "b"), ("one two", "a"), ("three", "c")], "text string, lang string"))
+    assert m.predict("one")[0] == "a"
+
+
+def test_a_very_long_text_is_read_whole(model):
+    assert model.predict("12 " * 700_000 + "der hund und die katze")[0] == "de"
 
 
 def test_letters():
