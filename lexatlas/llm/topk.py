@@ -1,14 +1,16 @@
 """Exact top-k inner products by norm-bucketed retrieval.
 
 Vectors are grouped by length into buckets, a quarter octave of their norm each, and packed into blocks of a bucket, sorted by
-norm. Queries are packed too. Every query first meets the block of the longest vectors, which bounds its k-th score from below.
-With this bound each pair of blocks gets a local cosine threshold per query, bound / (query norm * longest norm): above 1 the block
-is skipped, and pairs of blocks without any query below 1 are dropped before they are joined. Below COORDINATE the vectors of the
-block that are long enough are taken as they are (length pruning); from there on the query's largest coordinates bound the rest by
-Cauchy-Schwarz (coordinate pruning). What is left is verified by its whole integer product, and only scores that reach the bound
-leave a block, k at most per query, so the last ranking sees few rows.
+norm. Queries are packed too. Every query first meets the blocks of the longest vectors, HEAD_ROWS rows and more, which bounds its
+k-th score from below. A task then takes a group of query blocks and a group of row blocks, the longest vectors first, and raises the
+bounds as it goes. Bound / (query norm * the block's longest norm) is the query's local cosine threshold in a block: above 1 the block
+is skipped for it; groups that no query can use are dropped before they are shipped. Below COORDINATE only the rows that are long
+enough for the bound are multiplied (length pruning); from there on the query's largest coordinates are multiplied first and
+Cauchy-Schwarz bounds the rest, so that few rows are multiplied whole (coordinate pruning). What is left is verified by its whole
+integer product, and k rows at most per query leave a task.
 
-The queries are a stated set against all rows in blocks; the pairs of blocks grow with queries times rows, as exact search must.
+The queries are a stated set against all rows in blocks; the pairs of blocks grow with queries times rows, as exact search must. A row
+block is shipped once for QUERY_GROUP query blocks.
 
 Edge cases: vectors that are null, or hold null or non-finite components, take no part. Of vectors of different dimension the
 shorter one counts as filled up with zeros. A row with the query's own id is no candidate. Rows that repeat an id are candidates
@@ -30,6 +32,14 @@ from pyspark.sql import functions as F
 from lexatlas.llm.common import name, ready_python, staged, table
 
 BLOCK, QUERY_BLOCK = 4096, 2048
+#: Blocks that a task holds at most, of queries and of rows. At 1,024 dimensions each takes 128 MB.
+QUERY_GROUP, ROW_GROUP = 16, 8
+#: Rows of the longest vectors that give the first bounds: the leading blocks that hold so many.
+HEAD_ROWS = 4096
+#: Queries that are multiplied together, sorted by how many rows are long enough for them.
+TOGETHER = 256
+#: Query blocks are joined with the groups of rows that they need in so many parts.
+SALTS = 32
 #: Local cosine threshold from which the coordinates prune, and how many of them.
 COORDINATE, FOCUS = 0.6, 12
 NO_ID = np.iinfo(np.int64).max
@@ -70,7 +80,7 @@ def pack(rows: DataFrame, size: int, tag: str) -> DataFrame:
     counts = rows.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / size).alias("blocks"))
     counts = counts.withColumn("first", F.sum("blocks").over(W.partitionBy(F.lit(0)).orderBy("bucket")) - F.col("blocks"))
     rows = rows.join(staged(counts.coalesce(1), f"{tag}-buckets"), "bucket")
-    rows = rows.withColumn("block", F.col("first") + F.pmod("at", F.col("blocks")))
+    rows = rows.withColumn("block", F.col("first") + F.pmod(F.xxhash64("at"), F.col("blocks")))
     return staged(rows.select("block", "bucket", "id", "v").groupBy("block").applyInArrow(_pack, PACKED), tag)
 
 
@@ -91,16 +101,17 @@ def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def _bounds(k: int):
-    """Lower bounds of each query's k-th score from one block."""
+    """Lower bounds of each query's k-th score from the blocks in `heads`."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for r in b.itertuples(index=False):
-                dim = max(r.dim, r.c_dim)
-                q, c = _matrix(r.vectors, r.ids, r.dim, dim), _matrix(r.c_vectors, r.c_ids, r.c_dim, dim)
-                s = _products(q, c)
-                s[np.frombuffer(r.ids, np.int64)[:, None] == np.frombuffer(r.c_ids, np.int64)] = LOWEST
+                dim = max(r.dim, *(h["dim"] for h in r.heads))
+                q, ids = _matrix(r.vectors, r.ids, r.dim, dim), np.frombuffer(r.ids, np.int64)
+                s = np.concatenate([_products(q, _matrix(h["vectors"], h["ids"], h["dim"], dim)) for h in r.heads], 1)
+                c_ids = np.concatenate([np.frombuffer(h["ids"], np.int64) for h in r.heads])
+                s[(ids[:, None] == c_ids) & (c_ids != NO_ID)] = LOWEST
                 low = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] if s.shape[1] >= k else np.full(len(q), LOWEST)
                 norm = np.sqrt((q.astype(float) ** 2).sum(1))
                 least = np.where(low <= 0, 0.0, low / np.maximum(norm, 1e-300)).min(initial=np.inf)
@@ -110,57 +121,91 @@ def _bounds(k: int):
     return run
 
 
-def _search(k: int):
-    def best(q_pos: int, own: int, rows: np.ndarray, score: np.ndarray, ids: np.ndarray, low: int) -> tuple | None:
-        keep = (score >= low) & ((ids[rows] != own) | (ids[rows] == NO_ID))
-        rows, score = rows[keep], score[keep]
-        if not len(rows):
-            return None
-        if len(rows) > k:
-            at_least = np.partition(score, len(score) - k)[len(score) - k]
-            rows, score = rows[score >= at_least], score[score >= at_least]
-        order = np.lexsort((ids[rows], -score))[:k]
-        return q_pos, ids[rows][order], score[order]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for r in b.itertuples(index=False):
-                dim = max(r.dim, r.c_dim)
-                q, c = _matrix(r.vectors, r.ids, r.dim, dim), _matrix(r.c_vectors, r.c_ids, r.c_dim, dim)
-                q_ids, c_ids, low = np.frombuffer(r.ids, np.int64), np.frombuffer(r.c_ids, np.int64), np.frombuffer(r.low, "<i8")
-                q2, c2 = q.astype(float) ** 2, c.astype(float) ** 2
-                q_norm, c_norm = np.sqrt(q2.sum(1)), np.sqrt(c2.sum(1))
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    local = np.where(low <= 0, 0.0, low / (q_norm * r.longest))
-                found = []
-                # length pruning: vectors from the longest to the shortest that can reach the bound
-                by_length = np.flatnonzero(local < COORDINATE)
-                if len(by_length):
-                    scores = _products(q[by_length], c)
-                    for i, s in zip(by_length, scores, strict=True):
-                        n = len(c) if low[i] <= 0 else int(np.searchsorted(-c_norm, -low[i] / q_norm[i] * (1 - 1e-9), "right"))
-                        found.append(best(i, q_ids[i], np.arange(n), s[:n], c_ids, low[i]))
-                # coordinate pruning: the largest coordinates, and Cauchy-Schwarz for the rest
-                for i in np.flatnonzero((local >= COORDINATE) & (local <= 1 + 1e-9)):
-                    focus = np.argsort(-q2[i])[:FOCUS]
-                    part = c[:, focus].astype(float) @ q[i, focus].astype(float)
-                    rest = np.sqrt(np.maximum(0, q2[i].sum() - q2[i, focus].sum()) * np.maximum(0, c_norm**2 - c2[:, focus].sum(1)))
-                    rows = np.flatnonzero((part + rest) * (1 + 1e-9) + 1e-6 >= low[i])
-                    if len(rows):
-                        found.append(best(i, q_ids[i], rows, _products(q[i : i + 1], c[rows])[0], c_ids, low[i]))
-                found = [x for x in found if x]
-                if found:
-                    ids = np.concatenate([x[1] for x in found])
-                    yield pd.DataFrame({
-                        "query": np.repeat([r.block << 20 | int(x[0]) for x in found], [len(x[1]) for x in found]), "query_id": np.repeat([q_ids[x[0]] for x in found], [len(x[1]) for x in found]),
-                        "vec_id": pd.array(ids, dtype="Int64").copy() if (ids != NO_ID).all() else pd.array([None if x == NO_ID else x for x in ids.tolist()], dtype="Int64"), "score": np.concatenate([x[2] for x in found]),
-                    })
+def _highest(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each query's rows the k of highest score, ties to the smaller id; by query, then rank."""
+    order = np.lexsort((ids, -score, query))
+    query, ids, score = query[order], ids[order], score[order]
+    new = np.r_[True, query[1:] != query[:-1]] if len(query) else np.zeros(0, bool)
+    rank = np.arange(len(query)) - np.maximum.accumulate(np.where(new, np.arange(len(query)), 0))
+    return query[rank < k], ids[rank < k], score[rank < k]
+
+
+class Search:
+    """A block of queries with their bounds and the best rows seen so far. products: whole products made."""
+
+    def __init__(self, q: np.ndarray, ids: np.ndarray, low: np.ndarray, k: int):
+        self.q, self.ids, self.low, self.k, self.products = q, ids, low.copy(), k, 0
+        self.q2 = q.astype(float) ** 2
+        self.norm = np.sqrt(self.q2.sum(1))
+        self.best = (np.zeros(0, np.int64),) * 3
+
+    def meet(self, c: np.ndarray, c_ids: np.ndarray) -> None:
+        """Rows of one block, by falling norm."""
+        c2 = c.astype(float) ** 2
+        c_norm = np.sqrt(c2.sum(1))
+        longest = c_norm.max(initial=0.0)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            local = np.where(self.low <= 0, 0.0, self.low / (self.norm * longest))
+            reach = np.where(self.low <= 0, -np.inf, self.low / self.norm * (1 - 1e-9))
+        found = [self._by_length(np.flatnonzero(local < COORDINATE), reach, c, c_norm)]
+        found += [self._by_coordinates(i, c, c2, c_norm) for i in np.flatnonzero((local >= COORDINATE) & (local <= 1 + 1e-9))]
+        at, row, score = (np.concatenate(x) for x in zip(*found, strict=True))
+        keep = (self.ids[at] != c_ids[row]) | (c_ids[row] == NO_ID)
+        self.best = _highest(*(np.concatenate(x) for x in zip(self.best, (at[keep], c_ids[row][keep], score[keep]), strict=True)), self.k)
+        # a query with k rows has the last one's score as its bound
+        full = np.flatnonzero(np.bincount(self.best[0], minlength=len(self.q)) == self.k)
+        last = np.searchsorted(self.best[0], full, "right") - 1
+        self.low[full] = np.maximum(self.low[full], self.best[2][last])
+
+    def _by_length(self, queries: np.ndarray, reach: np.ndarray, c: np.ndarray, c_norm: np.ndarray) -> tuple:
+        out = [(np.zeros(0, np.int64),) * 3]
+        n = np.searchsorted(-c_norm, -reach[queries], "right")
+        order = np.argsort(n)
+        for k in range(0, len(order), TOGETHER):
+            part = order[k : k + TOGETHER]
+            here = queries[part]
+            s = _products(self.q[here], c[: n[part[-1]]])
+            self.products += s.size
+            at, row = np.nonzero(s >= self.low[here, None])
+            out.append((here[at], row, s[at, row]))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+    def _by_coordinates(self, i: int, c: np.ndarray, c2: np.ndarray, c_norm: np.ndarray) -> tuple:
+        focus = np.argsort(-self.q2[i])[:FOCUS]
+        part = c[:, focus].astype(float) @ self.q[i, focus].astype(float)
+        rest = np.sqrt(np.maximum(0, self.q2[i].sum() - self.q2[i, focus].sum()) * np.maximum(0, c_norm**2 - c2[:, focus].sum(1)))
+        row = np.flatnonzero((part + rest) * (1 + 1e-9) + 1e-6 >= self.low[i])
+        s = _products(self.q[i : i + 1], c[row])[0]
+        self.products += len(row)
+        row, s = row[s >= self.low[i]], s[s >= self.low[i]]
+        return np.full(len(row), i), row, s
+
+
+def _search(k: int, counter):
+    """A group of query blocks against a group of row blocks."""
+
+    def run(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"query": pd.array([], "int64"), "query_id": pd.array([], "int64"), "vec_id": pd.array([], "Int64"), "score": pd.array([], "int64")})]
+        dim = max([0, *rows["dim"], *queries["dim"]])
+        blocks = [(_matrix(r.vectors, r.ids, r.dim, dim), np.frombuffer(r.ids, np.int64)) for r in rows.sort_values(["longest", "block"], ascending=[False, True]).itertuples(index=False)]
+        for r in queries.sort_values("block").itertuples(index=False):
+            s = Search(_matrix(r.vectors, r.ids, r.dim, dim), np.frombuffer(r.ids, np.int64), np.frombuffer(r.low, "<i8"), k)
+            for c, c_ids in blocks:
+                s.meet(c, c_ids)
+            if counter is not None:
+                counter.add(s.products)
+            at, ids, score = s.best
+            known = pd.array(ids, dtype="Int64")
+            known[ids == NO_ID] = pd.NA
+            out.append(pd.DataFrame({"query": (r.block << 20) + at, "query_id": s.ids[at], "vec_id": known, "score": score}))
+        return pd.concat(out[1:] or out, ignore_index=True)
 
     return run
 
 
-def top_products(queries: DataFrame, rows: DataFrame, k: int, *, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 64.0) -> DataFrame:
-    """query_id, rank, vec_id, score: each query's k highest integer products with the rows, ties to the smaller id."""
+def top_products(queries: DataFrame, rows: DataFrame, k: int, *, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 64.0, counter=None) -> DataFrame:
+    """query_id, rank, vec_id, score: each query's k highest integer products with the rows, ties to the smaller id. counter: an
+    accumulator for the number of whole products."""
     spark = rows.sparkSession
     ready_python(spark)
 
@@ -169,16 +214,31 @@ def top_products(queries: DataFrame, rows: DataFrame, k: int, *, id_col: str = "
 
     c = pack(ints(rows), BLOCK, "topk-rows")
     q = pack(ints(queries), QUERY_BLOCK, "topk-queries")
-    n = q.agg(F.coalesce(F.max("block") + 1, F.lit(0))).first()[0]
-    each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(n, 1) - 1).cast("long"))).alias("block")
-    c_cols = [F.col(x).alias(f"c_{x}") for x in ("dim", "ids", "vectors")]
-    first = c.orderBy(F.desc("longest"), "block").limit(1).select(each, *c_cols)
-    low = staged(q.select("block", "dim", "ids", "vectors").join(first, "block").mapInPandas(_bounds(k), "block long, low binary, least double"), "topk-bounds")
-    q = q.drop("bucket", "longest").join(low, "block")
-    heads = c.select(F.col("block").alias("c_block"), "longest").select("*", each)
-    pairs = heads.join(low.select("block", "least"), "block").where(F.col("longest") * (1 + 1e-9) >= F.col("least")).select("block", "c_block")
-    pairs = pairs.join(c.select(F.col("block").alias("c_block"), "longest", *c_cols), "c_block").join(q, "block")
-    found = pairs.repartition(F.col("block"), F.col("c_block")).mapInPandas(_search(k), "query long, query_id long, vec_id long, score long")
+    n_q, n_c = (d.agg(F.coalesce(F.max("block") + 1, F.lit(0))).first()[0] for d in (q, c))
+    # the blocks of the longest vectors, until they hold enough rows: at most those and a block more
+    enough = max(HEAD_ROWS, k + 1)
+    order = c.select("block", "longest", (F.length("ids") / 8).alias("n")).orderBy(F.desc("longest"), "block").limit(enough)
+    before = F.sum("n").over(W.orderBy(F.desc("longest"), "block").rowsBetween(W.unboundedPreceding, -1))
+    first = order.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < enough).select("block")
+    heads = c.join(F.broadcast(first), "block").agg(F.collect_list(F.struct("dim", "ids", "vectors")).alias("heads")).where(F.size("heads") > 0)
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(n_q, 1) - 1).cast("long"))).alias("block")
+    low = q.select("block", "dim", "ids", "vectors").join(heads.select(each, "heads"), "block").mapInPandas(_bounds(k), "block long, low binary, least double")
+    low = staged(low, "topk-bounds")
+
+    # groups of blocks: as many tasks as keep the cores busy, else as large as a task may hold
+    q_groups = max(1, -(-n_q // QUERY_GROUP))
+    size = max(1, min(ROW_GROUP, n_c * q_groups // (4 * spark.sparkContext.defaultParallelism)))
+    c_groups = max(1, -(-n_c // size))
+    c = c.withColumn("cg", F.floor(F.col("block") / size))
+    q = q.select("block", "dim", "ids", "vectors").join(low, "block").withColumn("qg", F.floor(F.col("block") / QUERY_GROUP))
+    least = low.groupBy(F.floor(F.col("block") / QUERY_GROUP).alias("qg")).agg(F.min("least").alias("least"))
+    meet = c.groupBy("cg").agg(F.max("longest").alias("longest")).select("cg", "longest", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_groups - 1).cast("long"))).alias("qg"))
+    meet = staged(meet.join(least, "qg").where(F.col("longest") * (1 + 1e-9) >= F.col("least")).select("qg", "cg"), "topk-pairs")
+    left = c.select("cg", "block", "longest", "dim", "ids", "vectors").join(meet, "cg")
+    salts = min(SALTS, c_groups)
+    spread = q.select("qg", "block", "dim", "ids", "vectors", "low", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"))
+    right = spread.join(meet.withColumn("salt", F.pmod("cg", F.lit(salts))), ["qg", "salt"])
+    found = left.groupBy("qg", "cg").cogroup(right.groupBy("qg", "cg")).applyInPandas(_search(k, counter), "query long, query_id long, vec_id long, score long")
     rank = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last()))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 

@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from oracle import compare
 
@@ -41,6 +42,46 @@ def test_topk_of_little(spark):
     assert topk.top_products(df, df.where("false"), 5).count() == 0
 
 
+def test_blocks_and_products_are_pruned(spark, monkeypatch):
+    """Norms from 1 to 1,000: most of the rows meet no query; a long vector alone in its bucket changes nothing."""
+    monkeypatch.setattr(topk, "BLOCK", 64)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 16)
+    monkeypatch.setattr(topk, "HEAD_ROWS", 500)
+    rng = random.Random(4)
+    size = [1000 ** rng.random() for _ in range(3000)]
+    rows = [(i, [rng.gauss(0, 1) * n for _ in range(8)]) for i, n in enumerate(size)] + [(3001, [9e4] + [0.0] * 7)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    made = spark.sparkContext.accumulator(0)
+    got = topk.top_products(df.where("vec_id % 20 = 0"), df, 20, counter=made).collect()
+    assert sorted(((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got), key=str) == brute_topk(rows, 20)
+    assert made.value < 150 * len(rows) / 4, made.value
+
+
+def test_both_ways_to_prune():
+    rng = np.random.default_rng(3)
+    c = rng.integers(-40, 40, (500, 32))
+    c[::2] *= 2
+    c = c[np.argsort(-np.sqrt((c**2).sum(1)))]
+    whole = c @ c[:40].T
+
+    def products(low):
+        s = topk.Search(c[:40], np.full(40, -1), low, 5)
+        s.meet(c, np.arange(500))
+        return s.products, s
+
+    made, s = products(np.full(40, topk.LOWEST))
+    assert made == 40 * 500
+    want = np.sort(whole, 0)[-5:][::-1].T
+    assert (s.best[2].reshape(40, 5) == want).all()
+    norms = np.sqrt((c**2.0).sum(1))
+    by_length = np.floor(norms[:40] * norms[0] * 0.55).astype(np.int64)  # longer than half of the rows reach
+    made, s = products(by_length)
+    assert 0 < made < 40 * 500 * 0.8 and set(zip(s.best[0], s.best[1], strict=True)) == {(q, r) for q in range(40) for r in np.lexsort((np.arange(500), -whole[:, q]))[:5] if whole[r, q] >= by_length[q]}
+    by_coordinates = np.floor(norms[:40] * norms[0] * 0.8).astype(np.int64)
+    made, s = products(by_coordinates)
+    assert made < 40 * 500 * 0.1 and set(zip(s.best[0], s.best[1], strict=True)) == {(q, r) for q in range(40) for r in np.flatnonzero(whole[:, q] >= by_coordinates[q])}
+
+
 REC = "record_id string, type string, url string, date string, headers map<string,string>, digest string, size long, sha256 string"
 
 
