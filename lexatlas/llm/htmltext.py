@@ -5,12 +5,17 @@ to the next one out, and so on; the best container, or the article or main eleme
 of tags and classes, digits generalised to #, is the page's vote. The votes of a host are counted in Spark. Pass 2 reads each page
 again and extracts its host's winning path: of all paths with votes, the one with the most that the page has some text at. All
 votes of a host count, however many paths have some: in pass 1 each page also tells digests of its paths with text, and each
-distinct set of these is joined with the votes. A page that has no path with votes falls back on its own choice, so that no page is
-lost.
+distinct set of these is joined with the votes; ties go to the smaller digest. A page that has no path with votes falls back on its
+own choice, so that no page is lost.
 
 In the chosen container, menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left
-out, known by tag, role, class or id; hidden elements too. Character references are decoded, white space inside a block becomes
-one space, blocks are joined in page order by a line break. Nothing else is dropped, whatever its length.
+out, known by tag, role, class or id; hidden elements too. A class or id is one of these if all its words are: `cookie-notice` and
+`site-nav` are, `notice-board` and `long-form` aren't. A form that holds the article or main element stays. Character references are
+decoded, white space inside a block becomes one space, blocks are joined in page order by a line break. Nothing else is dropped,
+whatever its length.
+
+Elements are numbers with a parent, paths are numbers with a parent and a step, so a page takes time and memory in proportion to
+its length, however deep or broken it is.
 
 Edge cases: a null html is empty and gives an empty text, a page without any container gives all its text but the parts left out. A null url is a host of its
 own. Unclosed elements end with their parents; an end tag without a start is ignored. Repeated rows vote each. Other columns stay
@@ -20,7 +25,10 @@ unread and may have any names.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import md5
 from html import unescape
 
@@ -38,7 +46,7 @@ ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s
 
 #: Elements by role in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title select option button head".split())
+RAW = frozenset("script style template iframe textarea title select option head".split())
 FOREIGN = frozenset("svg math".split())
 TEXTLESS = frozenset("script style textarea title".split())
 BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -48,60 +56,110 @@ NEVER_OUT = frozenset("html body main article".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "thead": ("tr", "td", "th"), "tbody": ("thead", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th")}
 STOPS = frozenset("ul ol dl table td th div article section body html nav aside header footer main form".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
-WORDS = re.compile(
-    r"^(?:.*[-_])?(?:nav|navbar|navigation|menu|breadcrumbs?|sidebar|side-?bar|footer|masthead|topbar|toolbar|banner|cookies?|consent|gdpr|notice|notices|alert|disclaimer"
-    r"|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promos|promotion|newsletter|subscribe|signup|login|paywall|popup|modal|overlay|share|sharing|social"
-    r"|related|recommended|recommendations|widget|widgets|pagination|pager|comment|comments|commentlist|disqus|respond|replies|form|search|skip-?link)(?:[-_].*)?$|^(?:ads?|adbox|adslot|adsbygoogle|ads?[-_].*|.*[-_]ads?)$",
-    re.I,
+#: Words of what is left out; in a class or id they may stand beside each other and beside PLACES.
+PARTS = frozenset(
+    "nav navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead topbar toolbar banner cookie cookies consent gdpr notice notices alert alerts disclaimer ad ads adbox adslot adsbygoogle"
+    " advert adverts advertisement advertisements advertising sponsor sponsored promo promos promotion newsletter subscribe signup login paywall popup modal overlay share sharing social related recommended"
+    " recommendations widget widgets pagination pager comment comments commentlist disqus respond replies form forms search skip".split()
+)
+#: Words that only say where or what kind of box it is.
+PLACES = frozenset(
+    "area article articles bar block bottom box button buttons by center container content entry global group header holder icon icons inner item items left link links list main middle outer page pages panel post posts"
+    " primary reader readers right row secondary section side site slot sticky stories story top unit user wrap wrapper".split()
 )
-HEADERS = re.compile(r"^(?:(?:site|page|main|global|top)[-_])?header$", re.I)
+#: Parts in which the votes of a host are looked up.
+SALTS = 16
+HEADER_PLACES = frozenset("site page main global top".split())
+#: What an end or a start of another element may close, or what stops the search for it.
+MARKED = STOPS | frozenset("p li dt dd tr thead tbody tfoot".split())
+
+
+@lru_cache(1 << 16)
+def names_part(token: str) -> bool:
+    """Whether a class or id says that an element is none of the article."""
+    words = [w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[^\W\d_]+", token)]
+    return any(w in PARTS for w in words) and all(w in PARTS or w in PLACES for w in words)
+
+
+@lru_cache(1 << 16)
+def names_header(token: str) -> bool:
+    words = [w for w in re.split(r"[-_]", token.lower()) if w]
+    return words[-1:] == ["header"] and all(w in HEADER_PLACES for w in words[:-1])
+
+
+def digest(parent: bytes, step: str) -> bytes:
+    """The digest of a path: of its parent's digest and its last step."""
+    return md5(parent + step.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()
 
 
 class Page:
-    """A page's elements in order, with their paths, and its blocks of text: (element, text, length outside links, left out)."""
+    """A page's elements in order, and its blocks of text: (element, text, length outside links, left out)."""
 
     def __init__(self, html: str):
         self.tags: list[str] = []
-        self.paths: list[str] = []
         self.ups: list[int] = []
         self.ends: list[int] = []
         self.main: list[bool] = []
+        self.inside: list[int] = []  # the nearest container, the element itself included
+        self.path: list[int] = []  # the number of an element's path
+        self.steps: list[tuple[int, str]] = []  # a path's parent and last step
+        self.digests: list[bytes] = []
         self.blocks: list[tuple[int, str, int, bool]] = []
+        self._numbers: dict[tuple[int, str], int] = {}
         self._read(html)
 
     @staticmethod
     def _attrs(raw: str) -> dict[str, str]:
         return {m[1].lower(): unescape((m[2] or "").strip("\"'")) for m in ATTR.finditer(raw)} if raw and not raw.isspace() else {}
 
+    def _number(self, parent: int, step: str) -> int:
+        k = self._numbers.get((parent, step))
+        if k is None:
+            k = self._numbers[parent, step] = len(self.steps)
+            self.steps.append((parent, step))
+            self.digests.append(digest(self.digests[parent] if parent >= 0 else b"", step))
+        return k
+
     def _read(self, html: str) -> None:
         stack: list[int] = []
-        out = links = 0  # open elements that are left out; open links
+        marks: list[int] = []  # places in the stack of elements that may close or stop others
+        open_tags: Counter[str] = Counter()
+        foreign = 0
+        around: list[int] = []  # elements that are left out around each block
+        out: list[int] = []
         gone: list[bool] = []
         parts: list[str] = []
         plain = 0
         at, n = 0, len(html)
+        kept_forms: set[int] = set()
 
         def flush() -> None:
             nonlocal plain
             if parts:
                 text = " ".join("".join(parts).split())
                 if text:
-                    self.blocks.append((stack[-1] if stack else -1, text, plain, out > 0))
+                    self.blocks.append((stack[-1] if stack else -1, text, plain, bool(out)))
+                    around.append(out[0] if len(out) == 1 else -1)
                 parts.clear()
                 plain = 0
 
         def pop() -> None:
-            nonlocal out, links
+            nonlocal foreign
             k = stack.pop()
             self.ends[k] = len(self.tags)
-            out -= gone[k]
-            links -= self.tags[k] == "a"
+            tag = self.tags[k]
+            open_tags[tag] -= 1
+            foreign -= tag in FOREIGN
+            if gone[k]:
+                out.pop()
+            if marks and marks[-1] == len(stack):
+                marks.pop()
 
         for m in iter(lambda: TOKEN.search(html, at), None):
             if m.start() > at:
                 text = unescape(html[at : m.start()])
                 parts.append(text)
-                plain += 0 if links else len(text)
+                plain += 0 if open_tags["a"] else len(text)
             at = max(m.end(), m.start() + 1)
             if end := m["end"]:
                 end = end.lower()
@@ -109,12 +167,10 @@ class Page:
                     flush()
                 if end == "br":
                     continue
-                if any(self.tags[k] == end for k in stack):
+                if open_tags[end] > 0:
                     while self.tags[stack[-1]] != end:
                         pop()
                     pop()
-                elif end == "p":
-                    flush()
             elif tag := m["tag"]:
                 tag = tag.lower()
                 if tag in RAW and tag != "head":
@@ -126,107 +182,131 @@ class Page:
                     continue
                 if tag in BLOCK:
                     flush()
-                    for k in reversed(stack):
-                        name = self.tags[k]
-                        if name in CLOSES.get(tag, ()) or name == "p" and tag not in ("br",):
-                            while stack[-1] != k:
-                                pop()
-                            pop()
-                            if tag not in CLOSES or name == tag:
+                    while True:
+                        # the innermost element that this one closes, if no other one stops the search
+                        shut_at, more = -1, False
+                        for place in reversed(marks):
+                            name = self.tags[stack[place]]
+                            if name in CLOSES.get(tag, ()) or name == "p" and tag != "br":
+                                shut_at, more = place, tag in CLOSES and name != tag
+                                break
+                            if name in STOPS and not (tag in CLOSES and name in ("td", "th")):
                                 break
-                        elif name in STOPS and not (tag in CLOSES and name in ("td", "th")):
+                        if shut_at < 0:
                             break
-                if tag in VOID or m["attrs"].endswith("/") and (tag in FOREIGN or any(self.tags[k] in FOREIGN for k in stack)):
+                        while len(stack) > shut_at:
+                            pop()
+                        if not more:
+                            break
+                if tag in VOID or m["attrs"].endswith("/") and (tag in FOREIGN or foreign):
                     continue
                 a = self._attrs(m["attrs"])
                 names = a.get("class", "").split()
-                me = len(self.tags)
-                step = tag + "".join(sorted({"." + re.sub(r"\d+", "#", c.lower()) for c in names}))
+                me, up = len(self.tags), stack[-1] if stack else -1
                 self.tags.append(tag)
-                self.ups.append(stack[-1] if stack else -1)
-                self.paths.append((self.paths[stack[-1]] + ">" if stack else "") + step)
+                self.ups.append(up)
+                self.path.append(self._number(self.path[up] if up >= 0 else -1, tag + "".join(sorted({"." + re.sub(r"\d+", "#", c.lower()) for c in names}))))
                 self.ends.append(-1)
-                self.main.append(tag in ("article", "main") or a.get("role", "").lower() == "main" or "articlebody" in a.get("itemprop", "").lower())
+                main = tag in ("article", "main") or a.get("role", "").lower() == "main" or "articlebody" in a.get("itemprop", "").lower()
+                self.main.append(main)
+                self.inside.append(me if tag in CONTAINER or main else self.inside[up] if up >= 0 else -1)
                 known = [*names, *([a["id"]] if a.get("id") else [])]
-                bad = tag in LEFT_OUT or "hidden" in a or a.get("aria-hidden", "").lower() == "true" or "display:none" in a.get("style", "").replace(" ", "").lower() or a.get("role", "").lower() in ROLES or any(map(WORDS.match, known))
-                bad = bad or (tag == "header" or any(map(HEADERS.match, known))) and not any(self.tags[k] == "article" for k in stack)
+                bad = tag in LEFT_OUT or "hidden" in a or a.get("aria-hidden", "").lower() == "true" or "display:none" in a.get("style", "").replace(" ", "").lower() or a.get("role", "").lower() in ROLES or any(map(names_part, known))
+                bad = bad or (tag == "header" or any(map(names_header, known))) and not open_tags["article"]
                 if tag in NEVER_OUT and not any(re.match(r"(?i)comment", c) for c in known):
                     bad = False
+                if main and not bad and len(out) == 1 and self.tags[out[0]] == "form":
+                    kept_forms.add(out[0])
                 gone.append(bad)
-                out += bad
-                links += tag == "a"
+                if bad:
+                    out.append(me)
+                open_tags[tag] += 1
+                foreign += tag in FOREIGN
+                if tag in MARKED:
+                    marks.append(len(stack))
                 stack.append(me)
         if at < n:
             text = unescape(html[at:])
             parts.append(text)
-            plain += 0 if links else len(text)
+            plain += 0 if open_tags["a"] else len(text)
         flush()
         while stack:
             pop()
-
-    def own_choice(self) -> tuple[int, float]:
-        """The best container and its score, or (-1, 0)."""
+        if kept_forms:
+            self.blocks = [(k, t, p, left_out and by not in kept_forms) for (k, t, p, left_out), by in zip(self.blocks, around, strict=True)]
+
+    def path_text(self, k: int) -> str:
+        """The path of an element, for reading."""
+        steps, at = [], self.path[k]
+        while at >= 0:
+            at, step = self.steps[at]
+            steps.append(step)
+        return ">".join(reversed(steps))
+
+    def own_choice(self) -> int:
+        """The best container, or -1."""
         score: dict[int, float] = {}
         for k, _, plain, left_out in self.blocks:
-            share = float(plain)
+            share, k = float(plain), self.inside[k] if k >= 0 else -1
             while k >= 0 and not left_out and share >= 1:
-                if self.tags[k] in CONTAINER or self.main[k]:
-                    score[k] = score.get(k, 0.0) + share
-                    share /= 2
-                k = self.ups[k]
+                score[k] = score.get(k, 0.0) + share
+                share /= 2
+                k = self.inside[self.ups[k]] if self.ups[k] >= 0 else -1
         if not score:
-            return -1, 0.0
+            return -1
         best = max(score, key=lambda k: (score[k], -k))
         k = self.ups[best]
         while k >= 0:
             if self.main[k] and not (self.main[best] and self.tags[best] == "article"):
                 best = k
             k = self.ups[k]
-        return best, score[best] if best in score else 0.0
+        return best
 
     def text(self, roots: list[int] | None) -> str:
-        """The text inside these elements; with None, all of it."""
-        inside = [(-1, len(self.tags) + 1)] if roots is None else [(k, self.ends[k]) for k in roots]
-        return "\n".join(t for k, t, _, left_out in self.blocks if not left_out and any(a <= k < b for a, b in inside))
+        """The text inside these elements, none of which holds another, in page order; with None, all of it."""
+        if roots is None:
+            return "\n".join(t for _, t, _, left_out in self.blocks if not left_out)
+
+        def within(k: int) -> bool:
+            place = bisect_right(roots, k) - 1
+            return place >= 0 and k < self.ends[roots[place]]
+
+        return "\n".join(t for k, t, _, left_out in self.blocks if not left_out and within(k))
 
-    def with_text(self) -> set[str]:
-        """The paths whose elements have text that isn't left out."""
+    def with_text(self) -> set[bytes]:
+        """Digests of the paths whose elements have text that isn't left out."""
         seen: set[int] = set()
         for k, _, _, left_out in self.blocks:
             while k >= 0 and not left_out and k not in seen:
                 seen.add(k)
                 k = self.ups[k]
-        return {self.paths[k] for k in seen}
+        return {self.digests[self.path[k]] for k in seen}
 
-    def roots(self, path: str) -> list[int]:
-        """The outermost elements with that path."""
+    def roots(self, path: bytes) -> list[int]:
+        """The outermost elements whose path has that digest."""
+        number = next((p for p, d in enumerate(self.digests) if d == path), -1)
         out: list[int] = []
-        for k, p in enumerate(self.paths):
-            if p == path and not (out and k < self.ends[out[-1]]):
+        for k, p in enumerate(self.path):
+            if p == number and not (out and k < self.ends[out[-1]]):
                 out.append(k)
         return out
 
 
-def digest(path: str) -> bytes:
-    return md5(path.encode(), usedforsecurity=False).digest()
-
-
-def vote(html: str | None) -> tuple[str | None, bytes | None, list[bytes], bytes]:
-    """A page's vote and its digest, the digests of all its paths with text in order, and the digest of all these."""
+def vote(html: str | None) -> tuple[bytes | None, list[bytes], bytes]:
+    """A page's vote, the digests of all its paths with text in order, and the digest of all these."""
     page = Page(html or "")
-    best, _ = page.own_choice()
-    have = sorted(map(digest, page.with_text()))
-    path = page.paths[best] if best >= 0 else None
-    return path, None if path is None else digest(path), have, md5(b"".join(have), usedforsecurity=False).digest()
+    best = page.own_choice()
+    have = sorted(page.with_text())
+    return page.digests[page.path[best]] if best >= 0 else None, have, md5(b"".join(have), usedforsecurity=False).digest()
 
 
-def extract(html: str | None, path: str | None) -> tuple[str, str | None]:
-    """The main text and the path it was found at."""
+def extract(html: str | None, path: bytes | None) -> tuple[str, str | None]:
+    """The main text and the path it was found at. path: the digest of the winning path, or null."""
     page = Page(html or "")
-    if path is not None and (text := page.text(page.roots(path))):
-        return text, path
-    best, _ = page.own_choice()
-    return (page.text([best]), page.paths[best]) if best >= 0 else (page.text(None), None)
+    if path is not None and (roots := page.roots(bytes(path))) and (text := page.text(roots)):
+        return text, page.path_text(roots[0])
+    best = page.own_choice()
+    return (page.text([best]), page.path_text(best)) if best >= 0 else (page.text(None), None)
 
 
 def host(url: Column) -> Column:
@@ -238,22 +318,24 @@ def page_key(html: Column) -> Column:
 
 
 def page_paths(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """host, page, path: for each distinct page (by its key) of a host the path that has the most votes of those it has text at."""
+    """host, page, path: for each distinct page (by its key) of a host the path, by its digest, that has the most votes of those it has
+    text at."""
     ready_python(pages.sparkSession)
 
-    @F.pandas_udf("path string, vote binary, have array<binary>, kind binary")
+    @F.pandas_udf("vote binary, have array<binary>, kind binary")
     def voted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame([vote(h) for h in b], columns=["path", "vote", "have", "kind"])
+            yield pd.DataFrame([vote(h) for h in b], columns=["vote", "have", "kind"])
 
     html = F.col(name(html_col))
     seen = pages.select(host(F.col(name(url_col))).alias("host"), page_key(html).alias("page"), voted(html.cast("string")).alias("v"))
     seen = staged(seen.select("host", "page", "v.*"), "page-votes")
-    votes = seen.where("vote is not null").groupBy("host", "vote").agg(F.count(F.lit(1)).alias("votes"), F.min("path").alias("path"))
-    # pages of a template have the same paths: each set of paths is looked up once
-    kinds = seen.groupBy("host", "kind").agg(F.first("have").alias("have")).select("host", "kind", F.explode("have").alias("vote"))
-    best = kinds.join(votes, ["host", "vote"]).groupBy("host", "kind").agg(F.min(F.struct((-F.col("votes")).alias("k"), "path")).alias("best"))
-    return seen.select("host", "page", "kind").distinct().join(best, ["host", "kind"]).select("host", "page", "best.path")
+    votes = seen.where("vote is not null").groupBy("host", "vote").agg(F.count(F.lit(1)).alias("votes"))
+    # pages of a template have the same paths: each set of paths is looked up once. A path that many sets of a host share is dealt by salts.
+    kinds = seen.groupBy("host", "kind").agg(F.first("have").alias("have")).select("host", "kind", F.pmod(F.xxhash64("kind"), F.lit(SALTS)).alias("salt"), F.explode("have").alias("vote"))
+    votes = votes.select("host", "vote", "votes", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    best = kinds.join(votes, ["host", "vote", "salt"]).groupBy("host", "kind").agg(F.min(F.struct((-F.col("votes")).alias("k"), "vote")).alias("best"))
+    return seen.select("host", "page", "kind").distinct().join(best, ["host", "kind"]).select("host", "page", F.col("best.vote").alias("path"))
 
 
 def main_texts(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -73,4 +73,84 @@ def test_formulas_and_fallbacks_stay():
     assert own("<p>Let <math><mi>x</mi></math> be") == "Let x be"
     assert own("<p>a <video src=v><source src=w>no video</video> <object data=o>no object</object> <canvas>c</canvas> <audio>d</audio> z") == "a no video no object c d z"
     assert own("<div><svg><style>p{}</style><path d='M0'/><g/><text>label</text></svg><p>b</p></div>") == "label\nb"
-    assert len(max(ht.Page("<svg>" + "<path/>" * 3000 + "</svg>").paths, key=len)) == 3
+    assert len(ht.Page("<svg>" + "<path/>" * 3000 + "</svg>").steps) == 1
+    assert own("<article><p>a <noscript>b</noscript> <button>c</button> d") == "a b c d"
+
+
+def test_words_inside_a_class_hide_no_text():
+    for c in ("long-form", "share-price", "form-text", "search-results", "login-help", "notice-board", "social-policy", "modal-verbs", "comment-on-law", "commentary", "has-sidebar", "adventure", "loading", "navy"):
+        assert own(f"<article><p>a</p><div class='{c}'>b</div><section id={c}><p>c</p></section></article>") == "a\nb\nc", c
+    for c in ("ad", "ad-slot-3", "cookie-notice", "cookieBanner", "site-nav", "related-posts", "comment-list", "reader_comments", "newsletter-signup", "SIDEBAR", "share-buttons", "post-footer"):
+        assert own(f"<article><p>a</p><div class='{c}'>b</div></article>") == "a", c
+    assert own("<form><div><article><p>a</p></article></div><p>b</p></form>") == "a" and own("<body><p>a</p><form><p>b</p></form>") == "a"
+
+
+def test_broken_pages_take_little():
+    import resource
+    import time
+
+    began, before = time.monotonic(), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    for html in ("<b>" * 200_000 + "x", "<b>" * 50_000 + "<p>x" * 50_000, "<div>" * 100_000 + "x", "<li>" * 100_000, "</i>" * 200_000, "<table><tr><td>" * 30_000 + "y", "<div class=a><p>x</p></div>" * 40_000, "<p><b>" * 60_000, "<svg><path/>" * 60_000):
+        text, _ = ht.extract(html, None)
+        assert ht.vote(html)[1] is not None and text is not None
+        assert ht.extract(html, (ht.Page(html).digests or [b""])[-1])[0] is not None
+    assert time.monotonic() - began < 120 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400_000
+
+
+def site(rng, host):
+    """Well-formed pages of one host without article elements: two templates, and pages on which an extra box is longest."""
+    out = []
+    templates = [f"<div class='wrap'><div class='t{host}x{k} body-copy'>{{0}}</div><div class='extra{k}'>{{1}}</div></div>" for k in range(2)]
+    for k in range(rng.randint(3, 12)):
+        words = lambda n: " ".join(rng.choice(["lorem", "ipsum", "dolor", "sit"]) for _ in range(n))
+        story, extra = "".join(f"<p>{words(rng.randint(1, 12))}</p>" for _ in range(rng.randint(1, 3))), f"<p>{words(rng.choice([1, 1, 60]))}</p>"
+        out.append((f"http://h{host}.example/{k}", "<html><body>" + rng.choice(templates).format(story, extra) + "</body></html>"))
+    return out
+
+
+def brute_texts(rows):
+    """The method by a tree of the standard library, page after page."""
+    import xml.etree.ElementTree as ET
+    from collections import Counter, defaultdict
+
+    parsed, votes = [], defaultdict(Counter)
+    for url, html in rows:
+        root, paths, up = ET.fromstring(html), {}, {}
+
+        def walk(e, parent, at, paths=paths, up=up):
+            step = e.tag + "".join(sorted("." + re.sub(r"\d+", "#", c) for c in (e.get("class") or "").split()))
+            paths[e], up[e] = ht.digest(at, step), parent
+            for c in e:
+                walk(c, e, paths[e])
+
+        walk(root, None, b"")
+        score: Counter = Counter()
+        for p in root.iter("p"):
+            share, e = float(len(p.text)), p
+            while e is not None and share >= 1:
+                if e.tag in ("body", "div"):
+                    score[e] += share
+                    share /= 2
+                e = up[e]
+        order = {e: k for k, e in enumerate(root.iter())}
+        best = max(score, key=lambda e: (score[e], -order[e]))
+        host = url.split("/")[2]
+        votes[host][paths[best]] += 1
+        parsed.append((host, root, paths))
+    texts = []
+    for host, root, paths in parsed:
+        win = min((p for p in set(paths.values()) if votes[host][p]), key=lambda p: (-votes[host][p], p))
+        texts.append("\n".join(p.text for e in root.iter() if paths[e] == win for p in e.iter("p")))
+    return texts
+
+
+def test_votes_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(8)
+    rows = [r for h in range(25) for r in site(rng, h)]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)] * 2, "i int, url string, html string")
+    got = {r["i"]: r["main"]["text"] for r in ht.main_texts(df).collect()}
+    want = brute_texts(rows)
+    assert [got[k] for k in range(len(rows))] == want
+    assert sum(ht.extract(h, None)[0] != w for (_, h), w in zip(rows, want, strict=True)) > 10  # the vote decides for these
