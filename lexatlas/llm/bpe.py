@@ -1,16 +1,19 @@
 """Byte-level BPE by a tokenization automaton.
 
 The automaton starts with one state that loops on every byte. Each merge (u, v), in order, applies a merge gadget to it: the state
-that u leads to is copied without its v arc and u is redirected to the copy, so v can't follow u any more; and wherever u was
-possible, an arc labelled uv leads to where v led before. After all merges the automaton is deterministic and accepts exactly the
-token sequences that BPE makes (Berglund, Martens and van der Merwe, 2024, show the construction). The arcs by label would fill
-tens of gigabytes, so they are kept as what each gadget did: `cut` holds, for a pair of labels, the step that removed the second
-behind the first; `made` the step that added a label. A label added later follows wherever its left part did, and a label leads
-to the state that its right part led to, so a transition is looked up along the left parts of the one and the right parts of the
-other, a few steps, and remembered in a table.
+that u leads to is copied without its v arc and the arcs u are redirected to the copy, so v can't follow u any more; and wherever u
+was possible, an arc labelled uv leads to where v led before. After all merges the automaton is deterministic and accepts exactly the
+token sequences that BPE makes (Berglund, Martens and van der Merwe, 2024, show the construction). As gadgets redirect all arcs of a
+label alike, a label has one target state, and a state is known by the arcs that it has.
 
-A pre-split word is encoded by following byte transitions of the label trie and label transitions of the automaton together:
-each prefix of a word has one accepted path, whose last arc is stored per position. Decoding emits the labels of the arcs.
+States share their arcs with the state that they were copied from: a state stores its base and the arc it lost, and an arc that is
+made later is there where the arc of its left part is. States that come from copying for the same label are a family, which keeps its
+lost arcs in one table by label and step. When a state is first visited, its row of the transition table is made from these: a bit for
+each label. Rows are kept, ROWS_KEPT of them, a few kilobytes each; the whole table of 50,000 states would take 300 MB a worker.
+
+A pre-split word is encoded by following byte transitions of the label trie and, where a label ends, the label's bit in the row of
+the state that the word has reached: each prefix of a word has one accepted path, whose last arc is stored per position. Decoding
+emits the labels of the arcs.
 
 Edge cases: a null text is empty and has no ids. A special token's string in a text is its id, as in the tokenizers library.
 Very long words take time in proportion to their length. Bytes that are no UTF-8 when decoded become U+FFFD.
@@ -23,6 +26,7 @@ import json
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -32,8 +36,8 @@ from lexatlas.llm.common import name, ready_python, table, unassigned
 
 #: Fixed value: how byte-level BPE splits a text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words whose ids a worker remembers, and transitions.
-WORDS_KEPT, ARCS_KEPT = 1 << 19, 1 << 21
+#: Words whose ids a worker remembers, and rows of the transition table.
+WORDS_KEPT, ROWS_KEPT = 1 << 19, 1 << 14
 NEVER = 1 << 60
 
 
@@ -45,26 +49,25 @@ def byte_letters() -> dict[str, int]:
 
 
 class Automaton:
-    """The compiled merges. labels: bytes by token id."""
+    """The compiled merges. labels: bytes by token id; target: the state that the arcs of each label lead to."""
 
     def __init__(self, labels: list[bytes], merges: Iterable[tuple[int, int, int]]):
         n = len(labels)
-        self.labels, self.left, self.right, self.made = labels, [-1] * n, [-1] * n, [0] * n
-        self.cut: dict[int, int] = {}
-        self.arcs: dict[int, bool] = {}
-        dead = set()
+        self.labels, self.left, self.made, self.target = labels, [-1] * n, [0] * n, [0] * n
+        self.arcless = {t for t, label in enumerate(labels) if not label}
+        #: By state: the state it was copied from, the arc that it lost, the step, and its family. State 0 is the start.
+        self.base, self.lost, self.born, self.family = [-1], [-1], [0], [-1]
+        #: By family, which is the label that its first state was copied for: the state before, and the step of each lost arc.
+        self.origin: dict[int, int] = {}
+        self.losses: dict[int, dict[int, int]] = {}
         for step, (u, v, uv) in enumerate(merges, 1):
-            if self.left[uv] >= 0:
-                raise ValueError("a token is made by two merges")
-            # the gadget: without an arc v behind u, it changes nothing, and uv has no arc
-            if u in dead or v in dead or not self.follows(u, v):
-                dead.add(uv)
-            self.left[uv], self.right[uv], self.made[uv] = u, v, step
-            self.cut.setdefault(u << 32 | v, step)
+            self._gadget(step, u, v, uv)
+        self._levels = self._by_depth()
+        self.rows: dict[int, bytes] = {}
         self.next: dict[int, int] = {}
         self.accept = [-1]
         for t, label in enumerate(labels):
-            if label and t not in dead:
+            if t not in self.arcless:
                 s = 0
                 for b in label:
                     to = self.next.get(s << 8 | b)
@@ -74,46 +77,89 @@ class Automaton:
                     s = to
                 self.accept[s] = t
 
-    def follows(self, s: int, t: int) -> bool:
-        """Whether the state that label s leads to has an arc t."""
-        cut, left, right, made = self.cut, self.left, self.right, self.made
-        y, until_y = s, NEVER
-        while y >= 0:
-            x, until_x = t, NEVER
+    def _gadget(self, step: int, u: int, v: int, uv: int) -> None:
+        if self.left[uv] >= 0:
+            raise ValueError("a token is made by two merges")
+        at = self.target[u]
+        self.left[uv], self.made[uv] = u, step
+        if u in self.arcless or v in self.arcless or not self.has(at, v):
+            self.arcless.add(uv)  # v never follows u, so nothing changes
+            return
+        self.target[uv] = self.target[v]
+        self.target[u] = len(self.base)
+        self.base.append(at)
+        self.lost.append(v)
+        self.born.append(step)
+        self.family.append(u)
+        if self.family[at] != u:
+            self.origin[u], self.losses[u] = at, {}
+        self.losses[u][v] = step
+
+    def _losses(self, state: int) -> Iterator[tuple[dict[int, int], int]]:
+        """The families that a state comes from: the steps of their lost arcs, and the last step that counts."""
+        while state > 0:
+            family = self.family[state]
+            yield self.losses[family], self.born[state]
+            state = self.origin[family]
+
+    def has(self, state: int, label: int) -> bool:
+        """Whether a state has an arc: neither it nor an arc of its left parts, before that made the next one, was lost."""
+        for losses, until in self._losses(state):
+            x, made = label, NEVER
             while x >= 0:
-                at = cut.get(y << 32 | x)
-                if at is not None and at < until_y and at <= until_x:
+                at = losses.get(x)
+                if at is not None and at <= until and at <= made:
                     return False
-                until_x, x = made[x], left[x]
-            until_y, y = made[y], right[y]
+                made, x = self.made[x], self.left[x]
         return True
 
+    def _by_depth(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Labels with arcs by how often a left part has a left part: (labels, left parts, steps)."""
+        depth, levels = [0] * len(self.labels), {}
+        for t in sorted(range(len(self.labels)), key=self.made.__getitem__):
+            if self.left[t] >= 0:
+                depth[t] = depth[self.left[t]] + 1
+            if t not in self.arcless:
+                levels.setdefault(depth[t], []).append(t)
+        return [tuple(np.array(x) for x in (ts, [self.left[t] for t in ts], [self.made[t] for t in ts])) for _, ts in sorted(levels.items())]
+
+    def row(self, state: int) -> bytes:
+        """A state's row of the transition table: the bit of each label whose arc it has."""
+        row = self.rows.get(state)
+        if row is None:
+            n = len(self.labels)
+            gone = np.full(n, NEVER)
+            for losses, until in self._losses(state):
+                labels, steps = (np.fromiter(x, np.int64, len(losses)) for x in (losses.keys(), losses.values()))
+                counts = steps <= until
+                gone[labels[counts]] = np.minimum(gone[labels[counts]], steps[counts])
+            came = np.zeros(n, bool)
+            for t, left, made in self._levels:
+                came[t] = (left < 0) | came[left] & (gone[left] > made)
+            if len(self.rows) >= ROWS_KEPT:
+                self.rows.clear()
+            row = self.rows[state] = np.packbits(came & (gone == NEVER), bitorder="little").tobytes()
+        return row
+
     def path(self, word: bytes) -> tuple[int, ...]:
         """The labels of the one accepted path that spells word."""
-        n, go, accept, arcs = len(word), self.next, self.accept, self.arcs
+        n, go, accept, target, rows, make = len(word), self.next, self.accept, self.target, self.rows, self.row
         last = [-1] * (n + 1)
         for i in range(n):
-            s, before = 0, last[i]
+            state = target[last[i]] if i else 0
+            row = rows.get(state) or make(state)
+            s = 0
             for j in range(i, n):
                 s = go.get(s << 8 | word[j], -1)
                 if s < 0:
                     break
                 t = accept[s]
-                if t >= 0 and last[j + 1] < 0:
-                    if i:
-                        arc = before << 32 | t
-                        ok = arcs.get(arc)
-                        if ok is None:
-                            if len(arcs) >= ARCS_KEPT:
-                                arcs.clear()
-                            ok = arcs[arc] = self.follows(before, t)
-                        if not ok:
-                            continue
+                if t >= 0 and row[t >> 3] >> (t & 7) & 1 and last[j + 1] < 0:
                     last[j + 1] = t
+            if last[i + 1] < 0:
+                raise ValueError("the vocabulary lacks a byte")
         out, labels = [], self.labels
         while n:
-            if last[n] < 0:
-                raise ValueError("the vocabulary lacks a byte")
             out.append(last[n])
             n -= len(labels[last[n]])
         return tuple(out[::-1])

@@ -80,6 +80,62 @@ def test_automata_of_random_merges():
             assert [labels[t] for t in a.path(word)] == naive(word, ranks)
 
 
+def textbook(labels, merges):
+    """The construction with whole tables: (start, state -> label -> state)."""
+    arcs, target = {0: {t: 0 for t, x in enumerate(labels) if len(x) == 1}}, {}
+    for u, v, uv in merges:
+        for q in {to for row in arcs.values() for t, to in row.items() if t == u}:
+            if v not in arcs[q]:
+                continue
+            copy, to = len(arcs), arcs[q][v]
+            before = [s for s, row in arcs.items() if row.get(u) == q]
+            arcs[copy] = {t: x for t, x in arcs[q].items() if t != v}
+            if q in before and u != v:
+                before.append(copy)
+            for s in before:
+                arcs[s][u] = copy
+                arcs[s][uv] = to
+    return arcs
+
+
+def test_states_of_a_small_vocabulary():
+    """Merges ab, ba, aba (ab + a): the states and arcs by hand, and sequences of up to four labels against whole tables."""
+    labels, merges = [b"a", b"b", b"ab", b"ba", b"aba"], [(0, 1, 2), (1, 0, 3), (2, 0, 4)]
+    a = bpe.Automaton(labels, merges)
+    arcs = lambda q: {labels[t].decode() for t in range(5) if a.row(q)[t >> 3] >> (t & 7) & 1}
+    assert a.base == [-1, 0, 0, 0] and [labels[t].decode() for t in a.lost[1:]] == ["b", "a", "a"]
+    assert arcs(0) == {"a", "b", "ab", "ba", "aba"} and arcs(a.target[0]) == {"a", "ab", "aba"} and arcs(a.target[1]) == {"b", "ab", "ba", "aba"}
+    assert [a.has(q, t) for q in range(4) for t in range(5)] == [bool(a.row(q)[t >> 3] >> (t & 7) & 1) for q in range(4) for t in range(5)]
+
+
+def test_states_equal_the_textbook_construction():
+    from itertools import product
+
+    for seed in range(40):
+        rng = random.Random(seed)
+        labels, merges = [bytes([b]) for b in b"ab"], []
+        for _ in range(8):
+            u, v = rng.randrange(len(labels)), rng.randrange(len(labels))
+            if labels[u] + labels[v] not in labels:
+                labels.append(labels[u] + labels[v])
+                merges.append((u, v, len(labels) - 1))
+        a, arcs = bpe.Automaton(labels, merges), textbook(labels, merges)
+        for sequence in product(range(len(labels)), repeat=3):
+            mine, theirs = 0, 0
+            for t in sequence:
+                if mine >= 0:
+                    mine = a.target[t] if a.row(mine)[t >> 3] >> (t & 7) & 1 else -1
+                if theirs >= 0:
+                    theirs = arcs[theirs].get(t, -1)
+            assert (mine >= 0) == (theirs >= 0), (seed, sequence)
+
+
+def test_rows_that_are_made_again(both, monkeypatch):
+    monkeypatch.setattr(bpe, "ROWS_KEPT", 3)
+    with open(bpe.byte_bpe_path(), "rb") as f:
+        same((bpe.Codec(f.read()), both[1]), ["The quick brown fox, jumping over 12 lazy dogs' heads"])
+
+
 def test_encode_and_decode_columns(spark):
     df = spark.createDataFrame([(1, "héllo <|endoftext|> wörld"), (2, None), (3, "")], "i int, `the.text` string")
     d = bpe.bpe_decode(bpe.bpe_encode(df, bpe.byte_bpe_path(), text_col="the.text"), bpe.byte_bpe_path(), to="back")
