@@ -5,8 +5,10 @@ Layout of a store, a folder on any file system that pyarrow opens by URI (the sh
                             most 65,536 ids, else 4
   shard-PPPPPP-SSSSSS.idx   magic, counts, then per document its key and its first id, then the minimal perfect hash (a bit array
                             for each level) and, per key, a fingerprint, its first document and its number of documents
-The table of shards (path, documents, ids, first and last key) is a DataFrame. Documents are in ascending order of their key over
-all shards, so a key's shard is found by its range, and its place in the shard in constant time: hash, rank, compare fingerprint.
+  shards.man                the manifest: names, documents, ids, first and last key of the shards, in order
+Documents are in ascending order of their key over all shards, so a key's shard is found by bisection of the manifest, and its place
+in the shard in constant time: hash, rank, compare fingerprint. All reading goes that way: keyed access (Store, fetch) and reading
+a whole store back (read_store), where each shard's keys are looked up in its hash and the ids are read where it says.
 
 Texts are dealt by ranges of (key, hash of text) and sorted in their partition; each task streams its documents into shards of at
 most SHARD_IDS ids and a document more, so memory holds a batch of texts and the index of a shard. A shard is written under a
@@ -17,7 +19,7 @@ remembered. A text with a special token's string, or
 a code point that Unicode tables of different age may class differently, is encoded by the library as a whole.
 
 Edge cases: a null or empty text has the end id only. A null key comes last and is found as None. Equal keys stand side by side, by
-hash of text; their one key finds all of those in its shard. Other columns stay unread and may have any names. Empty tables give
+hash of text; their one key finds all of them, also over several shards. Other columns stay unread and may have any names. Empty tables give
 no shards.
 """
 
@@ -31,9 +33,12 @@ import unicodedata
 import uuid
 import zlib
 from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 import regex
@@ -43,12 +48,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexatlas.llm.bpe import byte_letters
-from lexatlas.llm.common import name, ready_python, scratch_path, staged, table, unassigned
+from lexatlas.llm.common import columns, name, ready_python, scratch_path, staged, table, unassigned
 
-MAGIC = b"LXTOK1\0\0"
+MAGIC, MANIFEST = b"LXTOK1\0\0", "shards.man"
 SHARD_IDS = 1 << 26
 #: Words whose ids a worker remembers, and the longest of them.
 WORDS_KEPT, WORD_MOST = 1 << 19, 32
+INDEXES_KEPT = 8
 #: Fixed value: how the word vocabulary splits a normalised text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SPLIT_ASCII = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+"
@@ -215,6 +221,17 @@ class Index:
         ok = (at >= 0) & (slot[:, 0] == fingerprints(h))
         return np.where(ok, slot[:, 1].astype(np.int64), -1), np.where(ok, slot[:, 2].astype(np.int64), 0)
 
+    def by_key(self) -> tuple[np.ndarray, np.ndarray]:
+        """The key of each document, null or not, as the hash finds documents by their keys."""
+        first, count = self.find(self.keys, self.null)
+        keys, null, seen = np.zeros_like(self.keys), np.zeros(len(self.keys), bool), np.zeros(len(self.keys), bool)
+        new = np.flatnonzero(np.r_[True, first[1:] != first[:-1]]) if len(first) else np.zeros(0, np.int64)
+        at = np.repeat(first[new], count[new]) + np.arange(count[new].sum()) - np.repeat(np.cumsum(count[new]) - count[new], count[new])
+        keys[at], null[at], seen[at] = np.repeat(self.keys[new], count[new]), np.repeat(self.null[new], count[new]), True
+        if (first < 0).any() or len(at) != len(seen) or not seen.all():
+            raise ValueError("the hash doesn't find every document")
+        return keys, null
+
     def to_bytes(self) -> bytes:
         levels = self.table.levels
         head = MAGIC + struct.pack("<QQII", len(self.keys), len(self.slots), self.width, len(levels)) + np.array([len(x) for x in levels], "<u8").tobytes()
@@ -297,7 +314,21 @@ def write_store(docs: DataFrame, spec_path: str, *, id_col: str = "doc_id", text
         cols = list(zip(*done, strict=True)) or [()] * 5
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), *[pa.int64()] * 4), strict=True)], ["name", "docs", "ids", "first_key", "last_key"])
 
-    return folder, staged(rows.mapInArrow(run, SHARDS), "token-shards")
+    shards = staged(rows.mapInArrow(run, SHARDS), "token-shards")
+
+    def manifest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for b in batches for r in b.to_pylist()]
+        fs, path = pafs.FileSystem.from_uri(folder)
+        fs.create_dir(path, recursive=True)
+        part = f"{path}/{uuid.uuid4().hex}"
+        with fs.open_output_stream(part) as f:
+            f.write(json.dumps([[r[c] for c in ("name", "docs", "ids", "first_key", "last_key")] for r in rows]).encode())
+        fs.move(part, f"{path}/{MANIFEST}")
+        yield pa.RecordBatch.from_arrays([pa.array([len(rows)], pa.int64())], ["shards"])
+
+    # a row for each shard of SHARD_IDS ids: a small table
+    shards.coalesce(1).sortWithinPartitions("name").mapInArrow(manifest, "shards long").collect()
+    return folder, shards
 
 
 def _read(fs, path: str) -> bytes:
@@ -319,10 +350,7 @@ def read_store(folder: str, shards: DataFrame, window: int = 1 << 22) -> DataFra
         for b in batches:
             for name, base in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 index = Index.from_bytes(_read(fs, f"{path}/{name}.idx"))
-                first, count = index.find(index.keys, index.null)
-                at = np.arange(len(first))
-                if not ((first <= at) & (at < first + count)).all():
-                    raise ValueError(f"{name}: a key isn't found where its document is")
+                keys, null = index.by_key()
                 starts = index.starts.astype(np.int64)
                 with fs.open_input_file(f"{path}/{name}.bin") as f:
                     k = 0
@@ -334,7 +362,7 @@ def read_store(folder: str, shards: DataFrame, window: int = 1 << 22) -> DataFra
                         at = (starts[k : to + 1] - starts[k]).tolist()
                         crc = [zlib.crc32(ids[i:j]) for i, j in zip(at, at[1:], strict=False)]
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(index.keys[k:to], mask=index.null[k:to]), pa.array(starts[k:to] + base), pa.array(np.diff(starts[k : to + 1])), pa.array(crc, pa.int64())], ["key", "start", "n", "crc32"]
+                            [pa.array(keys[k:to], mask=null[k:to]), pa.array(starts[k:to] + base), pa.array(np.diff(starts[k : to + 1])), pa.array(crc, pa.int64())], ["key", "start", "n", "crc32"]
                         )
                         k = to
 
@@ -342,31 +370,47 @@ def read_store(folder: str, shards: DataFrame, window: int = 1 << 22) -> DataFra
 
 
 class Store:
-    """Keyed access to a store: get(key) gives the ids of the key's documents, a list for each document."""
+    """Keyed access to a store by its folder: get(key) gives the ids of the key's documents, a list for each document. The manifest is
+    read once, the indexes of the INDEXES_KEPT shards used last are kept."""
 
-    def __init__(self, folder: str, shards: list[tuple]):
-        """shards: rows of the table of shards, one for each file."""
+    def __init__(self, folder: str):
         self.fs, self.path = pafs.FileSystem.from_uri(folder)
-        self.shards = sorted(tuple(s) for s in shards)
-        self.indexes: dict[str, Index] = {}
+        shards = json.loads(_read(self.fs, f"{self.path}/{MANIFEST}"))
+        order = lambda key: (key is None, key or 0)  # noqa: E731  nulls come last
+        self.names = [s[0] for s in shards]
+        self.firsts, self.lasts = [order(s[3]) for s in shards], [order(s[4]) for s in shards]
+        self.index = lru_cache(INDEXES_KEPT)(lambda name: Index.from_bytes(_read(self.fs, f"{self.path}/{name}.idx")))
 
     def get(self, key: int | None) -> list[list[int]]:
-        out = []
-        low = lambda k, x: x is None or k is not None and k <= x  # noqa: E731  nulls come last
-        for name, _, _, first, last in self.shards:
-            if low(first, key) and low(key, last):
-                if name not in self.indexes:
-                    self.indexes[name] = Index.from_bytes(_read(self.fs, f"{self.path}/{name}.idx"))
-                index = self.indexes[name]
-                at, count = index.find(np.array([key or 0], np.int64), np.array([key is None]))
-                with self.fs.open_input_file(f"{self.path}/{name}.bin") as f:
-                    for k in range(int(at[0]), int(at[0] + count[0])):
-                        i, j = int(index.starts[k]), int(index.starts[k + 1])
-                        f.seek(i * index.width)
-                        out.append(np.frombuffer(f.read((j - i) * index.width), f"<u{index.width}").tolist())
+        out, at = [], (key is None, key or 0)
+        # the first shard that doesn't end before the key; those after it only if they begin with it
+        for k in range(bisect_left(self.lasts, at), bisect_right(self.firsts, at)):
+            index = self.index(self.names[k])
+            first, count = (int(x[0]) for x in index.find(np.array([key or 0], np.int64), np.array([key is None])))
+            with self.fs.open_input_file(f"{self.path}/{self.names[k]}.bin") as f:
+                for d in range(first, first + count):
+                    i, j = int(index.starts[d]), int(index.starts[d + 1])
+                    f.seek(i * index.width)
+                    out.append(np.frombuffer(f.read((j - i) * index.width), f"<u{index.width}").tolist())
         return out
 
 
+def fetch(keys: DataFrame, folder: str, *, key_col: str = "key", to: str = "ids") -> DataFrame:
+    """keys with the column `to`, array<array<int>>: the ids of each document of the key, none for a key that the store lacks. Equal and
+    neighbouring keys are dealt to the same tasks, which so read few shards."""
+    ready_python(keys.sparkSession)
+
+    @F.pandas_udf("array<array<int>>")
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        store = Store(folder)
+        for b in batches:
+            yield pd.Series([store.get(None if k is None else int(k)) for k in b], dtype=object)
+
+    kept = [c for c in keys.columns if c.lower() != to.lower()]
+    dealt = keys.repartitionByRange(F.col(name(key_col)).asc_nulls_last())
+    return dealt.select(*columns(kept), ids(F.col(name(key_col)).cast("long").cast("string")).alias(to))
+
+
 def word_bpe_path() -> str:
     import public_tokenizers
 

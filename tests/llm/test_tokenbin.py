@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 from tokenizers import Tokenizer
 
 from lexatlas.llm import tokenbin as tb
@@ -42,10 +43,15 @@ def test_store_and_keyed_access(spark):
     want: dict = {}
     for k, t in rows:
         want.setdefault(k, []).append([*library.encode(t or "", add_special_tokens=False).ids, 2])
-    store = tb.Store(folder, shards.collect())
+    store = tb.Store(folder)
+    assert len(store.names) == shards.count() > 3
     for k, lists in want.items():
         assert sorted(store.get(k)) == sorted(lists)
     assert store.get(77) == store.get(-9) == []
+    asked = spark.createDataFrame([(k, "x") for k in [*want, 77, 5]], "`a key` long, ids string")
+    for r in tb.fetch(asked, folder, key_col="a key").collect():
+        assert sorted(r["ids"]) == sorted(want.get(r["a key"], []))
+    assert tb.fetch(asked.where("false"), folder, key_col="a key").count() == 0
     read = sorted(tb.read_store(folder, shards).collect(), key=lambda r: r["start"])
     assert [r["key"] for r in read] == [-2, 0, 3, 5, 5, 5, 9, None, None]
     assert [r["start"] for r in read] == [0, *np.cumsum([r["n"] for r in read])[:-1]]
@@ -54,7 +60,7 @@ def test_store_and_keyed_access(spark):
 
 def test_empty_table(spark):
     folder, shards = tb.write_store(spark.createDataFrame([], "doc_id long, text string"), tb.word_bpe_path())
-    assert shards.count() == 0 and tb.read_store(folder, shards).count() == 0
+    assert tb.Store(folder).get(1) == [] and shards.count() == 0 and tb.read_store(folder, shards).count() == 0
 
 
 def test_perfect_hash():
@@ -66,6 +72,11 @@ def test_perfect_hash():
     keys = np.arange(50_000, dtype=np.int64)
     index = tb.Index.from_bytes(tb.Index(keys, np.zeros(len(keys), bool), np.arange(len(keys) + 1), 2).to_bytes())
     first, count = index.find(keys, np.zeros(len(keys), bool))
-    assert (first == keys).all() and (count == 1).all()
+    assert (first == keys).all() and (count == 1).all() and (index.by_key()[0] == keys).all()
+    several = tb.Index(np.array([1, 1, 2, 0, 0]), np.array([False] * 3 + [True] * 2), np.arange(6), 2)
+    assert several.by_key()[0].tolist() == [1, 1, 2, 0, 0] and several.by_key()[1].tolist() == [False] * 3 + [True] * 2
+    several.slots[0, 0] ^= 1  # a broken fingerprint is noticed
+    with pytest.raises(ValueError):
+        several.by_key()
     strangers = keys + 10_000_000
     assert (index.find(strangers, np.zeros(len(keys), bool))[1] > 0).sum() == 0
