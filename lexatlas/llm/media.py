@@ -1,11 +1,12 @@
 """Media columns: Netpbm and BMP decoded to arrays, resized by area, written as NPY tiles with difference hashes.
 
-decode() reads P1 to P6 and uncompressed BMP (1, 4, 8, 24, 32 bits). An image is cut into tiles of TILE x TILE, each stored as a
+decode() reads P1 to P6 and uncompressed BMP (1, 4, 8, 16, 24, 32 bits, with masks, and the old header of 12 bytes). An image is cut into tiles of TILE x TILE, each stored as a
 complete NPY file of 8-bit samples, so nothing is lost. Resizing takes the mean over areas from an integral image, with fractional
 borders. A difference hash compares neighbours of the gray image resized to 9 x 8: 64 bits, as 16 hex digits.
 
 Tiles live in an array column beside their row, so a row's media stays together, one task handles one row's image at a time, and
-nothing is shuffled. Edge cases: null or broken media gives null tiles. A null text is stored as an empty one. An image smaller
+nothing is shuffled. Edge cases: null or broken media gives null tiles: a header without size, samples that are missing or above the
+maximum, colours that the palette lacks, compression. Sizes are checked against the bytes there are before anything is allocated. A null text is stored as an empty one. An image smaller
 than a tile is one smaller tile. Copies give equal values. An output column replaces an input
 column of its name; others are kept.
 """
@@ -50,7 +51,7 @@ def encode_bmp(image: np.ndarray) -> bytes:
 def _decode_netpbm(data: bytes) -> np.ndarray:
     kind, at, head = data[:2], 2, []
     need = 2 if kind in (b"P1", b"P4") else 3
-    token = re.compile(rb"(?:\s|#[^\n]*\n)*(\d+)")
+    token = re.compile(rb"(?:\s|#[^\n]*\n)*(\d{1,9})(?!\d)")
     while len(head) < need:
         m = token.match(data, at)
         if not m:
@@ -60,9 +61,13 @@ def _decode_netpbm(data: bytes) -> np.ndarray:
     w, h, most = head[0], head[1], head[2] if need == 3 else 1
     channels = 3 if kind in (b"P3", b"P6") else 1
     count = w * h * channels
+    if not count or not 0 < most < 65536:
+        raise ValueError("no samples")
+    if count > 8 * len(data):
+        raise ValueError("too few samples")
     if kind in (b"P1", b"P2", b"P3"):
         body = re.sub(rb"#[^\n]*", b"", data[at:])
-        values = np.array(list(re.sub(rb"\s", b"", body)[:count]), np.int64) - 48 if kind == b"P1" else np.array(body.split()[:count], np.int64)
+        values = np.frombuffer(re.sub(rb"\s", b"", body)[:count], np.uint8).astype(np.int64) - 48 if kind == b"P1" else np.array(body.split(None, count)[:count], np.int64)
     elif kind == b"P4":
         rows = np.frombuffer(data, np.uint8, h * -(-w // 8), at + 1).reshape(h, -1)
         values = np.unpackbits(rows, axis=1)[:, :w].ravel().astype(np.int64)
@@ -70,6 +75,8 @@ def _decode_netpbm(data: bytes) -> np.ndarray:
         values = np.frombuffer(data, ">u2" if most > 255 else np.uint8, count, at + 1)
     if len(values) < count:
         raise ValueError("too few samples")
+    if values.min() < 0 or values.max() > most:
+        raise ValueError("samples above the maximum")
     if kind in (b"P1", b"P4"):
         values = (1 - values) * 255
     elif most != 255:
@@ -77,19 +84,41 @@ def _decode_netpbm(data: bytes) -> np.ndarray:
     return values.astype(np.uint8).reshape((h, w, 3) if channels == 3 else (h, w))
 
 
+def _masked(pixels: np.ndarray, mask: int) -> np.ndarray:
+    """The part of each pixel under a mask, on a scale of 0 to 255."""
+    if not mask:
+        return np.zeros(pixels.shape, np.uint8)
+    low = (mask & -mask).bit_length() - 1
+    most = mask >> low
+    return (((pixels & mask) >> low) * 255 + most // 2) // most
+
+
 def _decode_bmp(data: bytes) -> np.ndarray:
-    start, size, w, h, _, bits, packing = (*struct.unpack_from("<I", data, 10), *struct.unpack_from("<IiiHHI", data, 14))
-    if packing not in (0, 3) or bits not in (1, 4, 8, 24, 32):
-        raise ValueError("unsupported BMP")
+    start, size = struct.unpack_from("<I", data, 10)[0], struct.unpack_from("<I", data, 14)[0]
+    if size == 12:
+        (w, h, _, bits), packing = struct.unpack_from("<HHHH", data, 18), 0
+    else:
+        w, h, _, bits, packing = struct.unpack_from("<iiHHI", data, 18)
     down, h = h < 0, abs(h)
+    if packing not in (0, 3) or bits not in (1, 4, 8, 16, 24, 32) or packing == 3 and bits not in (16, 32) or size != 12 and size < 40:
+        raise ValueError("unsupported BMP")
     stride = -(-w * bits // 32) * 4
+    if w <= 0 or h <= 0 or start + h * stride > len(data):
+        raise ValueError("too few samples")
     rows = np.frombuffer(data, np.uint8, h * stride, start).reshape(h, stride)
     if bits <= 8:
-        colours = (start - 14 - size) // 4
-        palette = np.frombuffer(data, np.uint8, colours * 4, 14 + size).reshape(-1, 4)[:, 2::-1]
+        entry = 3 if size == 12 else 4
+        colours = max(0, min(1 << bits, (start - 14 - size) // entry))
+        palette = np.frombuffer(data, np.uint8, colours * entry, 14 + size).reshape(-1, entry)[:, 2::-1]
         index = np.unpackbits(rows, axis=1).reshape(h, -1, bits) if bits < 8 else None
         index = rows[:, :w] if bits == 8 else (index @ (1 << np.arange(bits)[::-1]))[:, :w]
+        if index.max() >= colours:
+            raise ValueError("a colour that the palette lacks")
         image = palette[index]
+    elif packing == 3 or bits == 16:
+        masks = struct.unpack_from("<III", data, 54) if packing == 3 else (0x7C00, 0x3E0, 0x1F)
+        pixels = rows.view("<u2" if bits == 16 else "<u4")[:, :w].astype(np.int64)
+        image = np.stack([_masked(pixels, m) for m in masks], -1).astype(np.uint8)
     else:
         image = rows[:, : w * bits // 8].reshape(h, w, bits // 8)[:, :, 2::-1]
     return image if down else image[::-1]
