@@ -12,7 +12,7 @@ The join is skew-proof: records are sorted by ranges of (URL, date, id), so the
 partition finds its own latest responses in a window by (partition, URL); the last response before a partition's first URL comes
 from a table with one row a partition. Edge cases: records of equal date are in order of their id; a response counts as earlier only
 if it comes before in that order. Repeated records are each kept. Null headers are empty. A null url is `missing`. Broken WARC
-bytes give the records before the break; null bytes none. Other columns stay unread and may have any names.
+bytes give the records before the break, a payload that can't be decoded stays as it is; null bytes have no records. Other columns stay unread and may have any names.
 """
 
 from __future__ import annotations
@@ -75,6 +75,8 @@ def _body(headers: dict[str, str], body: bytes) -> bytes:
         out, at = [], 0
         while (end := body.find(b"\r\n", at)) >= 0:
             size = int(body[at:end].split(b";")[0] or b"0", 16)
+            if size < 0:
+                raise ValueError("a chunk of negative size")
             if not size:
                 break
             out.append(body[end + 2 : end + 2 + size])
@@ -87,11 +89,28 @@ def _body(headers: dict[str, str], body: bytes) -> bytes:
     return body
 
 
+def _members(data: bytes) -> bytes:
+    """What gzip members hold, one after another, up to the first broken byte."""
+    out: list[bytes] = []
+    while data[:2] == b"\x1f\x8b":
+        member, rest = zlib.decompressobj(31), memoryview(data)
+        try:
+            while len(rest) and not member.eof:
+                out.append(member.decompress(rest[:65536]))
+                rest = rest[65536:]
+        except zlib.error:
+            break
+        if not member.eof:
+            break
+        data = member.unused_data + bytes(rest)
+    return b"".join(out)
+
+
 def parse(data: bytes | None) -> Iterator[tuple]:
-    """The records of WARC bytes, each member gzipped or not, as tuples of RECORD."""
+    """The records of WARC bytes, gzipped or not, as tuples of RECORD."""
     data = data or b""
     if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
+        data = _members(data)
     at = 0
     while (at := data.find(b"WARC/", at)) >= 0:
         end = data.find(b"\r\n\r\n", at)
@@ -102,6 +121,8 @@ def parse(data: bytes | None) -> Iterator[tuple]:
             size = int(f.get("content-length", ""))
         except ValueError:
             return
+        if size < 0:
+            return
         block = data[end + 4 : end + 4 + size]
         if len(block) < size:
             return

@@ -150,3 +150,36 @@ def test_warc_bytes(spark):
     assert next(warc.parse(chunked))[6] == b"body"
     df = spark.createDataFrame([(bytearray(one + two), "x"), (None, "y")], "warc binary, type string")
     assert sorted(r["record_id"] for r in warc.read_warc(df).collect()) == ["urn:1", "urn:2"]
+
+
+def test_broken_warc_bytes():
+    import gzip
+
+    one = warc.write_record("response", "urn:1", "http://x/", "d", {}, b"body" * 50)
+    two = warc.write_record("response", "urn:2", "http://y/", "d", {}, b"other")
+    packed = gzip.compress(one) + gzip.compress(two)
+    names = lambda data: [r[0] for r in warc.parse(data)]
+    assert names(packed) == ["urn:1", "urn:2"] and names(packed + b"junk") == ["urn:1", "urn:2"]
+    for k in range(len(packed)):
+        assert names(packed[:k]) in ([], ["urn:1"], ["urn:1", "urn:2"])
+    broken = bytearray(packed)
+    broken[len(gzip.compress(one)) + 15] ^= 0xFF
+    assert names(bytes(broken))[:1] == ["urn:1"]
+    assert names(one.replace(b"Content-Length: 2", b"Content-Length: -2") + two) == []
+    assert names(one + two.replace(b"Content-Length: ", b"Content-Length: x")) == ["urn:1"]
+    for body in (b"-5\r\nabc\r\n", b"zz\r\n", b"5\r\nab", b"ffffffffffff\r\nab"):
+        assert len(list(warc.parse(warc.write_record("response", "u", None, "d", {"Transfer-Encoding": "chunked"}, body)))) == 1
+    rng = random.Random(2)
+    for _ in range(2000):
+        data = bytearray(one + two if rng.random() < 0.5 else packed)
+        for _ in range(3):
+            data[rng.randrange(len(data))] = rng.randrange(256)
+        assert len(list(warc.parse(bytes(data)))) <= 3
+
+
+def test_revisits_of_odd_pages(spark):
+    pages = spark.createDataFrame([(None, None, None), (1, "http://x/", ""), (1, "http://x/", ""), (2, "no url", "h")], "page_id long, url string, html string")
+    records = warc.read_warc(warc.pages_to_warc(pages))
+    assert records.count() == 8 and warc.read_warc(warc.pages_to_warc(pages.where("false"))).count() == 0
+    cols = records.selectExpr("record_id", "type", "url", "date", "headers", "digest", "octet_length(payload) size", "sha2(payload, 256) sha256")
+    assert warc.resolve_revisits(cols).count() == 8
