@@ -1,62 +1,25 @@
-"""Helpers shared by the training-data operators: tables, shared scratch folders, staged tables."""
+"""Helpers shared by the training-data operators: tables, names of columns, Unicode, hashed numbers."""
 
 from __future__ import annotations
 
-import atexit
 import re
-import shutil
-import tempfile
 import unicodedata
-import uuid
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexatlas.workers import ready_python  # noqa: F401  the operators take it from here
+from lexatlas.scratch import release, scratch_dir, scratch_path, staged  # noqa: F401  the operators take these from here
+from lexatlas.workers import ready_python  # noqa: F401
 
 #: Words are runs of anything but the ASCII white space of the contracts.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_own_dirs: dict[str, str] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the corpus, read with Spark's own reader only."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; in a local session without it, a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    sc = spark.sparkContext
-    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    if sc.applicationId not in _own_dirs:
-        _own_dirs[sc.applicationId] = own = tempfile.mkdtemp(prefix="lexatlas-")
-        atexit.register(shutil.rmtree, own, ignore_errors=True)
-    return f"file://{_own_dirs[sc.applicationId]}"
-
-
-def scratch_path(spark: SparkSession, tag: str) -> str:
-    return f"{scratch_dir(spark)}/lexatlas/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
-
-
-def release(spark: SparkSession) -> None:
-    """Delete the tables that this application has staged; results that still read them must have been written before."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark)}/lexatlas/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def staged(df: DataFrame, tag: str) -> DataFrame:
-    """Write df to the shared folder and read it back: a lineage cut that survives lost executors."""
-    path = scratch_path(df.sparkSession, tag)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def own(df: DataFrame) -> str:
     """A prefix that no column of df begins with, for columns of an operator's own."""
     prefix = "__lx_"

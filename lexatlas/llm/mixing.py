@@ -19,18 +19,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lexatlas.functions.numbering import dense_numbers
 from lexatlas.llm.common import WORD, columns, let, name, own, staged, table, unit
 
 #: Rows in a block of the tree: its fan-in.
 FAN_IN = 128
+#: Repeated rows are counted in parts of so many (two to this power) rows of a partition.
+PART_BITS = 16
 #: A probability this near to 0 or 1 is taken as integral.
 EPS = 1e-9
 ITEM = ("size", "doc_id", "th", "rows", "base", "p", "u")
 
 
-def exact(mass: Column) -> Column:
+def exact(mass: Column | str) -> Column:
     """A sum that doesn't depend on the order of its rows."""
-    return F.sum(mass.cast("decimal(28,9)")).cast("double")
+    return F.sum((F.col(mass) if isinstance(mass, str) else mass).cast("decimal(28,9)")).cast("double")
 
 
 def word_count(text: Column) -> Column:
@@ -40,21 +43,25 @@ def word_count(text: Column) -> Column:
 def source_targets(stats: DataFrame, weights=(5.0, 2.0, 1.0), cap: float = 3.0, share: float = 1.0) -> DataFrame:
     """source, source_size -> also target, ratio. Weights repeat over sources in code-point order, null last.
 
-    Targets share `share` of all sizes by weight; those above cap times their source's size stop there and the excess is
-    reshared. That fixed point is min(cap * size, level * weight) for one level, found over sources in the order in which
-    they reach their cap. One row per source: small, so the unpartitioned windows hold nothing but that.
+    Targets share `share` of all sizes by weight; those above cap times their source's size stop there and the excess is reshared, until
+    none is above. Each round of this is one aggregation over the sources, whose sums don't depend on the order of rows; the level, the
+    words for a weight of one, only rises, so rounds end when no source is newly full.
     """
-    order = W.orderBy(F.col("source").asc_nulls_last())
     cyc = F.array(*[F.lit(float(w)) for w in weights])
-    every = W.partitionBy(F.lit(0)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    ranked = stats.withColumn("k", F.row_number().over(order)).withColumn("w", F.get(cyc, (F.col("k") - 1) % len(weights)))
-    filling = W.partitionBy(F.lit(0)).orderBy("q", "k").rowsBetween(W.unboundedPreceding, -1)
-    ranked = ranked.withColumn("most", F.col("source_size") * F.lit(float(cap))).withColumn("q", F.col("most") / F.col("w"))
-    left = F.sum("source_size").over(every) * F.lit(float(share)) - F.coalesce(F.sum("most").over(filling), F.lit(0.0))
-    open_w = F.sum("w").over(every) - F.coalesce(F.sum("w").over(filling), F.lit(0.0))
-    ranked = ranked.withColumn("level", left / open_w)
-    level = F.min(F.when(F.col("level") <= F.col("q"), F.struct("q", "k", "level"))).over(every)["level"]
-    target = F.least(F.col("most"), F.coalesce(level, F.col("q")) * F.col("w"))
+    ranked = dense_numbers(stats, "k", F.col("source").asc_nulls_last())
+    ranked = ranked.withColumn("w", F.get(cyc, ((F.col("k") - 1) % len(weights)).cast("int"))).withColumn("most", F.col("source_size") * F.lit(float(cap)))
+    ranked = staged(ranked, "mix-sources")
+    level, full = 0.0, -1
+    while True:
+        is_full = F.col("most") < F.lit(level) * F.col("w")
+        r = ranked.agg(
+            F.coalesce(exact("source_size"), F.lit(0.0)).alias("all"), F.coalesce(exact(F.when(is_full, F.col("most"))), F.lit(0.0)).alias("stopped"), F.coalesce(exact(F.when(~is_full, F.col("w"))), F.lit(0.0)).alias("open"),
+            F.count_if(is_full).alias("full"),
+        ).first()
+        if r["full"] == full or not r["open"]:
+            break
+        full, level = r["full"], (r["all"] * share - r["stopped"]) / r["open"]
+    target = F.when(F.lit(not r["open"]), F.col("most")).otherwise(F.least(F.col("most"), F.lit(level) * F.col("w")))
     return ranked.withColumn("target", target).select(
         "source", "source_size", "target", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("ratio")
     )
@@ -191,15 +198,27 @@ def mix_documents(docs: DataFrame, *, id_col: str = "doc_id", source_col: str =
     m = staged(m.select(*[F.col(c).alias(x + c) for c in ("doc_id", "source", "th", "rows", "copies")]), "mix-copies")
     d = docs.withColumn(f"{x}h", F.xxhash64(F.col(name(text_col))))
     on = F.col(name(id_col)).eqNullSafe(F.col(f"{x}doc_id")) & F.col(name(source_col)).eqNullSafe(F.col(f"{x}source")) & (F.col(f"{x}h") == F.col(f"{x}th"))
-    joined = d.join(m, on)
     rows, copies = F.col(f"{x}rows"), F.col(f"{x}copies")
-    # rows alike in id, source and text share their copies in order of the hash of all their columns
-    at = F.row_number().over(W.partitionBy(f"{x}doc_id", f"{x}source", f"{x}th").orderBy(F.xxhash64(*columns(docs.columns))))
-    each = F.floor(copies / rows)
-    many = joined.where(rows > 1).withColumn(f"{x}i", at)
-    many = many.withColumn(f"{x}copies", (each + F.when(F.col(f"{x}i") <= copies - each * rows, 1).otherwise(0)).cast("long")).drop(f"{x}i")
-    both = joined.where(rows == 1).unionByName(many).where(copies > 0)
-    return both.withColumn(f"{x}c", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(*columns(docs.columns))
+    joined = d.join(m, on)
+    both = joined.where(rows == 1)
+    if not m.where(rows > 1).isEmpty():
+        # rows alike in id, source and text share their copies: they are laid down in parts by where they were read, so that any number of
+        # them is no single task's, and the parts are counted
+        key = [f"{x}doc_id", f"{x}source", f"{x}th"]
+        at = d.withColumn(f"{x}part", F.shiftright(F.monotonically_increasing_id(), PART_BITS))
+        many = staged(at.join(m.where(rows > 1), on), "mix-repeated")
+        parts = many.groupBy(*key, f"{x}part").agg(F.count(F.lit(1)).alias(f"{x}n"))
+        before = F.coalesce(F.sum(f"{x}n").over(W.partitionBy(*key).orderBy(f"{x}part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        parts = staged(parts.select(*[F.col(c).alias(f"{c}_") for c in (*key, f"{x}part")], before.alias(f"{x}before")), "mix-parts")
+        same = F.lit(True)
+        for c in (*key, f"{x}part"):
+            same = same & F.col(c).eqNullSafe(F.col(f"{c}_"))
+        inside = F.row_number().over(W.partitionBy(*key, f"{x}part").orderBy(F.xxhash64(*columns(docs.columns))))
+        each = F.floor(copies / rows)
+        many = many.withColumn(f"{x}i", inside).join(parts, same).withColumn(f"{x}i", F.col(f"{x}i") + F.col(f"{x}before"))
+        many = many.withColumn(f"{x}copies", (each + F.when(F.col(f"{x}i") <= copies - each * rows, 1).otherwise(0)).cast("long"))
+        both = both.unionByName(many.select(*columns(joined.columns)))
+    return both.where(copies > 0).withColumn(f"{x}c", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(*columns(docs.columns))
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
