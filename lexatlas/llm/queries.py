@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from lexatlas.llm.bpe import op9_bpe_round_trip
@@ -31,13 +30,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": op8_secret_scan,
         "op9_bpe_round_trip": op9_bpe_round_trip,
         "op10_language_id": op10_language_id,
-        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
-        **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
         "op5_warc_revisits": OP5_SQL,
         "op7_top_products": OP7_SQL,
         "op8_secret_scan": op8_sql(),

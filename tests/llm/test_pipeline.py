@@ -3,8 +3,8 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from lexatlas.llm.common import staged
-from lexatlas.llm.queries import queries
 
 
 def test_stages_on_a_whole_table(spark, sf_dir):
