@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lexatlas.functions.folds import gather
+
 #: White space as Python's regular expressions understand it; Java's own class misses some of these.
 WS = r"[\s\x1c-\x1f]"
 #: Regions that dictionary matching leaves alone, each pattern run over the whole text.
@@ -114,30 +116,14 @@ def _offsets(text: Column, pattern: str) -> Column:
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     pairs = F.filter(F.zip_with(gaps, hits, lambda g, h: F.struct(F.length(g).alias("g"), F.length(h).alias("n"))), lambda z: z["n"].isNotNull())
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
 
-    def step(s: Column, z: Column) -> Column:
+    def step(s: Column, z: Column):
         begin = s["at"] + z["g"]
-        return F.struct((begin + z["n"]).alias("at"), F.array_append(s["out"], F.struct(begin.alias("start"), (begin + z["n"]).alias("end"))).alias("out"))
+        return {"at": begin + z["n"]}, F.struct(begin.alias("start"), (begin + z["n"]).alias("end"))
 
-    return F.aggregate(pairs, start, step, lambda s: s["out"])
+    return gather(pairs, {"at": F.lit(0)}, step, "struct<start:int,end:int>")
 
 
 def skip_ranges(text: Column | str) -> Column:
     """Code, formulas and images of a markdown text, sorted by start: array<struct(start, end)>, code points, end exclusive."""
     return F.array_sort(F.concat(*[_offsets(_c(text), p) for p in SKIP]))
-
-
-def outside(matches: Column, skips: Column) -> Column:
-    """Matches of which neither end lies in a skipped range; one that encloses a range stays."""
-    return F.filter(matches, lambda m: ~F.exists(skips, lambda r: ((r["start"] <= m["start"]) & (m["start"] < r["end"])) | ((r["start"] < m["end"]) & (m["end"] <= r["end"]))))
-
-
-def longest_first(matches: Column, span: str) -> Column:
-    """Of overlapping matches the longest, then the first; by start. span: the type of a match, with start and end."""
-    size = lambda m: m["end"] - m["start"]
-    ranked = F.array_sort(matches, lambda a, b: F.when(size(a) != size(b), size(b) - size(a)).otherwise(a["start"] - b["start"]))
-    kept = F.aggregate(
-        ranked, F.array().cast(f"array<{span}>"), lambda acc, m: F.when(F.exists(acc, lambda u: (u["start"] < m["end"]) & (m["start"] < u["end"])), acc).otherwise(F.array_append(acc, m))
-    )
-    return F.array_sort(kept, lambda a, b: a["start"] - b["start"])

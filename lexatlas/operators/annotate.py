@@ -10,19 +10,20 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
-from collections import deque
 from collections.abc import Iterator
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexatlas.functions.text import SKIP, fixed, lookup, longest_first, outside, skip_ranges
+from lexatlas.functions.numbering import first_rows
+from lexatlas.functions.text import SKIP, fixed, lookup
 from lexatlas.schemas import CONFIRMED
 from lexatlas.workers import ready_python
 
 #: Aliases in one automaton.
-CHUNK = 20_000
+CHUNK = 50_000
 SPAN = "struct<start:int,end:int,alias:string,concept_id:string,concept_name:string,alias_type:string,status:string,confidence:double>"
 SPAN_LIST = f"array<{SPAN}>"
 _SKIP = [re.compile(p.removeprefix("(?d)")) for p in SKIP]
@@ -42,49 +43,8 @@ def load_dictionary(aliases: DataFrame, concepts: DataFrame, statuses=CONFIRMED)
     return found.select("alias", "concept_id", "concept_name", "alias_type", "status", "confidence")
 
 
-class Automaton:
-    """Aho-Corasick over code points, for where the C module isn't installed."""
-
-    def __init__(self, words: list[str]):
-        self.go: list[dict[str, int]] = [{}]
-        self.out: list[list[int]] = [[]]
-        for w in words:
-            at = 0
-            for ch in w:
-                if ch not in self.go[at]:
-                    self.go[at][ch] = len(self.go)
-                    self.go.append({})
-                    self.out.append([])
-                at = self.go[at][ch]
-            self.out[at].append(len(w))
-        self.fail = [0] * len(self.go)
-        todo = deque(self.go[0].values())
-        while todo:
-            at = todo.popleft()
-            for ch, to in self.go[at].items():
-                back = self.fail[at]
-                while back and ch not in self.go[back]:
-                    back = self.fail[back]
-                self.fail[to] = self.go[back].get(ch, 0)
-                self.out[to] = self.out[to] + self.out[self.fail[to]]
-                todo.append(to)
-
-    def spans(self, text: str) -> Iterator[tuple[int, int]]:
-        at = 0
-        for i, ch in enumerate(text, 1):
-            while at and ch not in self.go[at]:
-                at = self.fail[at]
-            at = self.go[at].get(ch, 0)
-            for n in self.out[at]:
-                yield i - n, i
-
-
 def finder(words: list[str]):
     """A function text -> (start, end) of all occurrences of words."""
-    try:
-        import ahocorasick
-    except ImportError:
-        return Automaton(words).spans
     a = ahocorasick.Automaton()
     for w in words:
         a.add_word(w, len(w))
@@ -173,45 +133,68 @@ def resolved_spans(text: str, find) -> list[tuple[int, int]]:
     return kept
 
 
+NAMES = ("start", "end", "alias", "concept_id", "concept_name", "alias_type", "status", "confidence")
+
+
 def annotate(docs: DataFrame, dictionary: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
-    """docs with `spans`: the resolved matches of each text, outside code, formulas and images, longest first, by start.
+    """docs with `spans`: the resolved matches of each text, outside code, formulas and images, longest first, by start. Of dictionary
+    entries with the same alias the first by concept, name, type, status and confidence counts.
 
     Up to `chunk` aliases go to every worker, which annotates texts where they are: nothing is shuffled. Larger dictionaries are
-    matched in parts, and the matches of a text meet again by the hash of the text, whatever its id: copies have the same spans.
+    matched in parts, and the matches of a text meet again by the hash of the text, whatever its id: copies have the same spans. Both
+    ways resolve them by the same function.
     """
-    entries = dictionary.dropDuplicates(["alias"])
+    ready_python(docs.sparkSession)
+    entries = first_rows(dictionary.select(*NAMES[2:]), ["alias"], list(NAMES[3:]))
     if entries.count() <= chunk:
-        ready_python(docs.sparkSession)
-        few = docs.sparkSession.sparkContext.broadcast({r["alias"]: tuple(r) for r in entries.select("alias", "concept_id", "concept_name", "alias_type", "status", "confidence").collect()})
+        few = docs.sparkSession.sparkContext.broadcast({r["alias"]: tuple(r) for r in entries.collect()})  # `chunk` rows at most
 
         @F.pandas_udf(SPAN_LIST)
         def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             known = few.value
-            find, names = finder(list(known)), ("start", "end", "alias", "concept_id", "concept_name", "alias_type", "status", "confidence")
+            find = finder(list(known))
             for texts in batches:
-                yield pd.Series([[dict(zip(names, (a, b, *known[t[a:b]]), strict=True)) for a, b in resolved_spans(t, find)] if t else [] for t in texts], dtype=object)
+                yield pd.Series([[dict(zip(NAMES, (a, b, *known[t[a:b]]), strict=True)) for a, b in resolved_spans(t, find)] if t else [] for t in texts], dtype=object)
 
         return docs.withColumn("spans", spans(F.col(text_col)))
     key = "__text_key"
     keyed = docs.withColumn(key, F.sha2(F.col(text_col).cast("binary"), 256))  # null for a null text, which has no spans
     found = matches_automaton(keyed.select(key, text_col).dropDuplicates([key]), entries.select("alias"), id_col=key, text_col=text_col, chunk=chunk)
     named = found.join(entries, "alias")
-    span = F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "alias", "concept_id", "concept_name", "alias_type", "status", "confidence")
-    grouped = named.groupBy(key).agg(F.collect_list(span).alias("raw"))
-    none = F.array().cast(SPAN_LIST)
+    grouped = named.groupBy(key).agg(F.collect_list(F.struct(*[F.col(c).cast("int").alias(c) if c in ("start", "end") else F.col(c) for c in NAMES])).alias("raw"))
     joined = keyed.join(grouped, key, "left")
-    kept = outside(F.coalesce("raw", none), skip_ranges(text_col))
-    return joined.withColumn("spans", longest_first(kept, SPAN)).drop("raw").select(*docs.columns, "spans")
+
+    @F.pandas_udf("array<struct<start:int,end:int>>")
+    def kept(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, starts, ends in batches:
+            yield pd.Series([[{"start": a, "end": b} for a, b in resolved_spans(t, lambda _, s=s, e=e: zip(s.tolist(), e.tolist(), strict=True))] if t and s is not None else [] for t, s, e in zip(texts, starts, ends, strict=True)], dtype=object)
+
+    raw = F.col("raw")
+    chosen = kept(F.col(text_col), F.transform(raw, lambda m: m["start"]), F.transform(raw, lambda m: m["end"]))
+    # kept spans don't overlap, so a start names a span
+    by_place = F.map_from_entries(F.transform(raw, lambda m: F.struct(F.struct(m["start"], m["end"]), m)))
+    done = joined.withColumn("__kept", chosen).withColumn("__by", by_place)
+    spans = F.when(F.size("__kept") > 0, F.transform("__kept", lambda k: F.element_at(F.col("__by"), k))).otherwise(F.array().cast(SPAN_LIST))
+    return done.withColumn("spans", spans).select(*docs.columns, "spans")
+
+
+def _linked(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    for columns in batches:
+        out = []
+        for text, starts, ends, names in zip(*columns, strict=True):
+            at, parts = 0, []
+            for a, b, n in zip(starts, ends, names, strict=True):
+                word = text[a:b]
+                parts += [text[at:a], f"[[{n}]]" if word == n else f"[[{n}|{word}]]"]
+                at = b
+            out.append("".join([*parts, text[at:]]))
+        yield pd.Series(out, dtype=object)
 
 
 def inline(text: Column, spans: Column) -> Column:
     """The text with every span as [[concept|word]], or [[concept]] where they are the same."""
-    link = lambda m: F.when(m["alias"] == m["concept_name"], F.concat(F.lit("[["), m["concept_name"], F.lit("]]"))).otherwise(F.concat(F.lit("[["), m["concept_name"], F.lit("|"), m["alias"], F.lit("]]")))
-    done = F.aggregate(
-        spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda s, m: F.struct(m["end"].alias("at"), F.concat(s["out"], F.substring(text, s["at"] + 1, m["start"] - s["at"]), link(m)).alias("out")),
-    )
-    return F.concat(done["out"], F.substring(text, done["at"] + 1, F.lit(2**30)))
+    start, end, names = F.transform(spans, lambda m: m["start"]), F.transform(spans, lambda m: m["end"]), F.transform(spans, lambda m: m["concept_name"])
+    return F.when(F.size(spans) > 0, F.pandas_udf(_linked, "string")(text, start, end, names)).otherwise(text)
 
 
 def annotation_rows(annotated: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
@@ -224,13 +207,11 @@ def annotation_rows(annotated: DataFrame, *, id_col: str = "doc_id") -> DataFram
 
 
 def annotation_table(spans: Column) -> Column:
-    """The markdown table of a text's spans."""
-    seen = F.aggregate(
-        spans, F.array().cast(f"array<{SPAN}>"), lambda acc, m: F.when(F.exists(acc, lambda u: (u["alias"] == m["alias"]) & (u["concept_id"] == m["concept_id"])), acc).otherwise(F.array_append(acc, m))
-    )
+    """The markdown table of a text's spans: a line for each word and concept, at its first span."""
     value = lambda m: F.when(F.coalesce(m["confidence"], F.lit(0.0)) != 0, fixed(m["confidence"])).otherwise("-")
     line = lambda m: F.format_string("| `%s` | **%s** | %s | %s | %s |\n", m["alias"], m["concept_name"], m["concept_id"], lookup(m["alias_type"], TYPE_LABELS, m["alias_type"]), value(m))
-    return F.concat(F.lit(TABLE_HEAD), F.array_join(F.transform(seen, line), ""))
+    # an alias has one dictionary entry, so its lines are alike
+    return F.concat(F.lit(TABLE_HEAD), F.array_join(F.array_distinct(F.transform(spans, line)), ""))
 
 
 def rendered(annotated: DataFrame, *, text_col: str = "text", inline_links: bool = False, to: str = "annotated") -> DataFrame:
