@@ -30,24 +30,26 @@ def heading_rules(spark: SparkSession, path: str) -> list[tuple[int, str]]:
 def chapter_tree(entries: DataFrame, root_title: Column | str = "", *, book: str = "book_id") -> DataFrame:
     """entries (book, ordinal, level, number, title, parent_number) -> book and CHAPTERS: the root is 1, entries follow as 2, 3, ...
 
-    An entry's parent is the nearest open one above its level whose number is parent_number, else the nearest open one at all, else
-    the root; without a parent_number it is the root. An entry closes all of its level and below. Each book is one ordered window, with a slot
-    for each level that the entries have.
+    An entry's parent is the nearest open one above its level whose number is parent_number (the root goes by its title), else the
+    nearest open one at all, else the root; without a parent_number it is the root. An entry closes all of its level and below; one of
+    level 0 takes the root's place as the topmost open one. Each book is one ordered window, with a slot for each level that the entries have.
     """
+    title = F.lit(root_title) if isinstance(root_title, str) else root_title
     order = W.partitionBy(book).orderBy("ordinal")
     before = order.rowsBetween(W.unboundedPreceding, -1)
     e = entries.withColumn("id", F.row_number().over(order).cast("long") + 1)
     slot = lambda n: F.last(F.when(F.col("level") == n, F.struct("id", "number")), ignorenulls=True).over(before)
     opened = lambda n: F.max(F.when(F.col("level") < n, F.col("id"))).over(before)
-    levels = sorted(r["level"] for r in entries.where("level >= 1").select("level").distinct().collect())  # a few
+    levels = sorted(r["level"] for r in entries.where("level >= 0").select("level").distinct().collect())  # a few
     e = e.withColumns({f"__s{n}": slot(n) for n in levels} | {f"__o{n}": opened(n) for n in levels})
     stack = F.array(*[F.when(F.col(f"__s{n}.id") > F.coalesce(F.col(f"__o{n}"), F.lit(0)), F.struct(F.lit(n).alias("level"), F.col(f"__s{n}.id").alias("id"), F.col(f"__s{n}.number").alias("number"))) for n in reversed(levels)])
     stack = stack.cast("array<struct<level:int,id:bigint,number:string>>")
     open_ones = F.filter(stack, lambda s: s.isNotNull() & (s["level"] < F.col("level")))
     same = F.filter(open_ones, lambda s: s["number"] == F.col("parent_number"))
-    parent = F.when(F.col("parent_number").isNull(), F.lit(1)).otherwise(F.coalesce(F.get(same, F.lit(0))["id"], F.get(open_ones, F.lit(0))["id"], F.lit(1)))
+    topmost = F.lit(True) if 0 not in levels else F.col("__s0").isNull()
+    root = F.when(topmost & (F.col("level") > 0) & (F.col("parent_number") == title), F.lit(1))
+    parent = F.when(F.col("parent_number").isNull(), F.lit(1)).otherwise(F.coalesce(F.get(same, F.lit(0))["id"], root, F.get(open_ones, F.lit(0))["id"], F.lit(1)))
     tree = e.select(book, "id", F.col("level").cast("int").alias("level"), "number", "title", parent.cast("long").alias("parent_id"))
-    title = F.lit(root_title) if isinstance(root_title, str) else root_title
     roots = entries.select(book).distinct().select(book, F.lit(1).cast("long").alias("id"), F.lit(0).alias("level"), F.lit(None).cast("string").alias("number"), title.alias("title"), F.lit(None).cast("long").alias("parent_id"))
     return roots.unionByName(tree)
 
