@@ -12,21 +12,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from lexatlas.functions.numbering import dense_numbers
 from lexatlas.schemas import SEGMENT
+from lexatlas.sources.sinks import recover
 from lexatlas.workers import ready_python
 
 
 def read_texts(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = False) -> DataFrame:
-    """path, name, text: a row for each whole file (empty files have none)."""
+    """path, name, text: a row for each whole file. Spark's file sources pass over empty files, which hold nothing for any step here."""
     texts = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=recursive)
     return texts.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.col("value").alias("text"))
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType = SEGMENT) -> DataFrame:
-    """The records of JSON files that hold one array, with ordinal, the record's place from 1. Broken files give no rows; see
-    broken_json for them."""
+    """The records of JSON files that hold one array, with ordinal, the record's place from 1 in all files, in order of their paths. Broken
+    files give no rows; see broken_json for them."""
     items = F.from_json("text", T.ArrayType(schema), {"mode": "PERMISSIVE"})
-    return read_texts(spark, path).select(F.posexplode(items).alias("at", "r")).select((F.col("at") + 1).cast("long").alias("ordinal"), "r.*")
+    each = read_texts(spark, path).select("path", F.posexplode(items).alias("at", "r")).select("path", "at", "r.*")
+    return dense_numbers(each, "ordinal", "path", "at").select("ordinal", *[F.col(f"`{f.name}`") for f in schema])
 
 
 def broken_json(spark: SparkSession, path: str, schema: T.StructType = SEGMENT) -> DataFrame:
@@ -40,7 +43,8 @@ def manifest(spark: SparkSession, pairs: list[tuple[str, str]]) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A stored table, or an empty one if there is none yet."""
+    """A stored table, or an empty one if there is none yet. A version that a broken-off overwrite had moved aside is put back first."""
+    recover(spark, path)
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     exists = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)

@@ -1,53 +1,123 @@
-"""Sinks: stored tables with upserts, JSON arrays, text files."""
+"""Sinks: stored tables with upserts, JSON arrays, text files, SQLite files."""
 
 from __future__ import annotations
 
+import os
+import sqlite3
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexatlas.workers import ready_python
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and a function that makes its paths."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Put back the version of a stored table that a broken-off overwrite had moved aside, if the table itself is absent."""
+    fs, make = _files(spark, path)
+    target = make(path)
+    if fs.exists(target):
+        return
+    for status in fs.globStatus(make(f"{path.rstrip('/')}.*.old")) or []:
+        if not fs.rename(status.getPath(), target):
+            raise OSError(f"{path} is absent and its old version {status.getPath()} can't be put back")
+        return
+
 
 def overwrite(df: DataFrame, path: str) -> None:
-    """Replace a stored table. df may read it: the new version is written beside it and moved in its place."""
-    spark = df.sparkSession
-    new, old = f"{path.rstrip('/')}.{uuid.uuid4().hex}.new", f"{path.rstrip('/')}.{uuid.uuid4().hex}.old"
+    """Replace a stored table. df may read it: the new version is written beside it and moved in its place.
+
+    The old version is deleted only when the new one is in its place. If a move fails the old version is put back; if the process ends
+    between the moves, the next overwrite or read_table puts it back.
+    """
+    spark, base = df.sparkSession, path.rstrip("/")
+    recover(spark, path)
+    new, old = f"{base}.{uuid.uuid4().hex}.new", f"{base}.{uuid.uuid4().hex}.old"
     df.write.parquet(new)
-    jvm = spark.sparkContext._jvm
-    made, was, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (new, old, path))
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(target):
-        fs.rename(target, was)
-    fs.rename(made, target)
-    fs.delete(was, True)
+    fs, make = _files(spark, path)
+    made, was, target = make(new), make(old), make(path)
+    had = fs.exists(target)
+    if had and not fs.rename(target, was):
+        fs.delete(made, True)
+        raise OSError(f"{path} can't be moved aside; it is unchanged")
+    if not fs.rename(made, target):
+        if had and not fs.rename(was, target):
+            raise OSError(f"{path} can't be replaced; its old version is {old}, its new one {new}")
+        fs.delete(made, True)
+        raise OSError(f"{path} can't be replaced; it is unchanged")
+    for status in fs.globStatus(make(f"{base}.*.old")) or []:
+        fs.delete(status.getPath(), True)
 
 
-def json_array(df: DataFrame, order: str) -> DataFrame:
-    """One row, value: the rows of df as a JSON array in order. For exports of one document's rows."""
-    rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.struct(*[c for c in df.columns if c != order]).alias("r"))))
-    return df.agg(F.to_json(F.transform(rows, lambda x: x["r"]), {"pretty": "true", "ignoreNullFields": "false"}).alias("value"))
+def json_array(df: DataFrame, order: str, by: str | None = None) -> DataFrame:
+    """value: the rows of df as a JSON array in order; one row, or one row for each value of `by`. For exports of a document's rows."""
+    rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.struct(*[c for c in df.columns if c not in (order, by)]).alias("r"))))
+    value = F.to_json(F.transform(rows, lambda x: x["r"]), {"pretty": "true", "ignoreNullFields": "false"}).alias("value")
+    return df.groupBy(by).agg(value) if by else df.agg(value)
 
 
 def write_texts(files: DataFrame, folder: str) -> None:
-    """Write rows (path, content) as files below a folder that all workers see, each under a name of its own first."""
+    """Write rows (path, content) as files below a folder that all workers see, a path or a URI of a file system that pyarrow opens,
+    each under a name of its own first. Of equal paths any one may win; a null content is empty."""
 
     def put(rows) -> None:
-        import os
-        from pathlib import Path
+        import posixpath
+
+        from pyarrow import fs as pafs
 
-        root = Path(folder).resolve()
+        if "://" in folder or folder.startswith("file:"):
+            fs, root = pafs.FileSystem.from_uri(folder)
+        else:
+            fs, root = pafs.LocalFileSystem(), posixpath.abspath(folder)
+        root = root.rstrip("/")
         for r in rows:
-            to = (root / r["path"]).resolve()
-            if root not in to.parents:
+            to = posixpath.normpath(posixpath.join(root, r["path"]))
+            if not to.startswith(f"{root}/"):
                 raise ValueError(f"a path leaves the folder: {r['path']}")
-            to.parent.mkdir(parents=True, exist_ok=True)
-            part = to.with_name(f"{to.name}.{uuid.uuid4().hex}")
-            part.write_text(r["content"], encoding="utf-8", newline="")
-            os.replace(part, to)
+            fs.create_dir(posixpath.dirname(to), recursive=True)
+            part = f"{to}.{uuid.uuid4().hex}"
+            with fs.open_output_stream(part) as f:
+                f.write((r["content"] or "").encode("utf-8"))
+            fs.move(part, to)
 
     files.select("path", "content").foreachPartition(put)
 
 
+def write_sqlite(df: DataFrame, path: str, table: str) -> int:
+    """Write df as a table of a new SQLite file, from one task that streams its rows, as such a file has one writer: for exports. Vectors
+    become native float32 bytes, lists and structs JSON. The file is replaced when it is whole; how many rows it has."""
+    ready_python(df.sparkSession)
+    kinds = {"tinyint": "INTEGER", "smallint": "INTEGER", "int": "INTEGER", "bigint": "INTEGER", "boolean": "INTEGER", "float": "REAL", "double": "REAL", "binary": "BLOB", "array<float>": "BLOB"}
+    types = [f.dataType.simpleString() for f in df.schema]
+    flat = df.select(*[F.to_json(F.col(f"`{f.name}`")).alias(f.name) if t.startswith(("array<", "struct<", "map<")) and t != "array<float>" else F.col(f"`{f.name}`") for f, t in zip(df.schema, types, strict=True)])
+    quoted = lambda n: '"' + n.replace('"', '""') + '"'
+    columns = ", ".join(f"{quoted(f.name)} {kinds.get(t, 'TEXT')}" for f, t in zip(df.schema, types, strict=True))
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, n = f"{path}.{uuid.uuid4().hex}", 0
+        db = sqlite3.connect(part)
+        db.execute(f"CREATE TABLE {quoted(table)} ({columns})")
+        for b in batches:
+            values = [[None if x is None else np.array(x, "<f4").tobytes() for x in c.to_pylist()] if t == "array<float>" else c.to_pylist() for c, t in zip(b.columns, types, strict=True)]
+            db.executemany(f"INSERT INTO {quoted(table)} VALUES ({', '.join('?' * len(types))})", zip(*values, strict=True))
+            n += b.num_rows
+        db.commit()
+        db.close()
+        os.replace(part, path)
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    return flat.coalesce(1).mapInArrow(put, "n long").first()["n"]
+
+
 def metadata_upsert(existing: DataFrame, values: dict[str, str]) -> DataFrame:
     """A key/value table with these values set."""
     new = existing.sparkSession.createDataFrame(list(values.items()), "key string, value string")
