@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Vectors in a block. A block of 1,024 dimensions takes 32 MB as doubles.
-BLOCK = 4096
+#: Vectors in a block, and blocks in a group. A group of 1,024 dimensions takes 64 MB as doubles.
+BLOCK, GROUP = 2048, 4
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -31,9 +32,39 @@ def cosine_to(vector: list[float], a: Column) -> Column:
     return cosine(v, a, F.lit(math.sqrt(sum(float(x) ** 2 for x in vector))))
 
 
-def blocks(rows: DataFrame, key: str, vector: str, size: int = BLOCK) -> tuple[DataFrame, int]:
-    """rows packed into blocks: block, items array<struct(key, v)>; and how many blocks. Rows are dealt by the hash of their key, so
-    that a task that runs again deals them alike."""
-    n = max(1, -(-rows.count() // size))
-    dealt = rows.select(F.pmod(F.xxhash64(key), F.lit(n)).alias("block"), F.struct(F.col(key).alias("key"), F.col(vector).alias("v")).alias("item"))
-    return dealt.groupBy("block").agg(F.collect_list("item").alias("items")), n
+def blocks(rows: DataFrame, vector: str, size: int = BLOCK) -> tuple[DataFrame, dict[int, int]]:
+    """rows packed into blocks of one dimension: dim, slot, an array of each other column, data (the vectors one after another, as
+    doubles); and how many slots each dimension has. Rows without a vector are left out. Rows are dealt by where they are read, so that no
+    frequent key makes a large block and a task that runs again deals them alike."""
+    keys = [c for c in rows.columns if c != vector]
+    usable = rows.where(F.col(vector).isNotNull() & (F.size(vector) > 0)).withColumn("__at", F.monotonically_increasing_id()).withColumn("dim", F.size(vector))
+    slots = {r["dim"]: -(-r["n"] // size) for r in usable.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}  # a few dimensions
+    item = F.struct(*keys, F.col(vector).cast("array<double>").alias("__v"))
+    packed = usable.select("dim", F.pmod(F.xxhash64("__at"), _of(slots)).alias("slot"), item.alias("item")).groupBy("dim", "slot").agg(F.collect_list("item").alias("items"))
+    column = lambda k: F.transform("items", lambda x: x[k])
+    return packed.select("dim", "slot", *[column(k).alias(k) for k in keys], F.flatten(column("__v")).alias("data")), slots
+
+
+def _of(slots: dict[int, int]) -> Column:
+    pairs = [F.lit(x).cast("long") for kv in slots.items() for x in kv]
+    return F.element_at(F.create_map(*pairs), F.col("dim").cast("long")) if pairs else F.lit(1).cast("long")
+
+
+def meet(left: tuple[DataFrame, dict[int, int]], right: tuple[DataFrame, dict[int, int]], run, schema: str, group: int = GROUP) -> DataFrame:
+    """run(left blocks, right blocks) -> rows, for each group of left blocks with each group of right blocks of the same dimension. A block
+    is shipped once for each group of the other side, and a task holds two groups."""
+
+    def spread(side: tuple[DataFrame, dict[int, int]], other: dict[int, int], own: str, theirs: str) -> DataFrame:
+        known = {d: -(-n // group) for d, n in other.items() if d in side[1]}
+        here = side[0].where(F.col("dim").isin(*known)) if known else side[0].where("false")
+        return here.withColumn(own, F.floor(F.col("slot") / group)).withColumn(theirs, F.explode(F.sequence(F.lit(0).cast("long"), _of(known) - 1)))
+
+    keys = ["dim", "__l", "__r"]
+    return spread(left, right[1], "__l", "__r").groupBy(*keys).cogroup(spread(right, left[1], "__r", "__l").groupBy(*keys)).applyInPandas(run, schema)
+
+
+def unit_rows(data: np.ndarray, dim: int) -> np.ndarray:
+    """A block's vectors as rows of length 1; those of no length stay zero."""
+    m = np.asarray(data, float).reshape(-1, dim)
+    size = np.sqrt((m * m).sum(1, keepdims=True))
+    return np.divide(m, size, out=np.zeros_like(m), where=size > 0)

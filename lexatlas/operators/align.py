@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexatlas.functions.vectors import blocks
+from lexatlas.functions.vectors import blocks, meet, unit_rows
 from lexatlas.schemas import CONCEPTS, conform
 from lexatlas.workers import ready_python
 
@@ -19,37 +17,37 @@ HIGH, MIDDLE = "高关联", "中关联"
 def best_match(aliases: DataFrame, concepts: DataFrame, *, alias_key: str = "alias", concept_key: str = "concept_id", order: str | None = None, vector: str = "embedding") -> DataFrame:
     """alias_key, best (a concept's key), similarity: the concept of highest cosine similarity above 0, ties to the smaller `order`.
 
-    Both sides are packed into blocks; each pair of blocks is one matrix product, so memory is bounded by two blocks and nothing is
-    broadcast whole. Rows whose vector is null or empty, or has no length, have no match and no row.
+    Both sides are packed into blocks; groups of blocks meet in matrix products, each of which leaves one best concept an alias, so memory
+    is bounded by two groups and nothing is broadcast. Rows whose vector is null or empty, or has no length, have no match and no row.
+    Similarities within 1e-12 of each other are ties.
     """
     ready_python(aliases.sparkSession)
-    usable = f"{vector} is not null and size({vector}) > 0"
-    left, _ = blocks(aliases.where(usable).select(F.col(alias_key).alias("k"), F.col(vector).alias("v")), "k", "v")
     order = order or concept_key
-    right, n = blocks(concepts.where(usable).select(F.struct(F.col(order).alias("o"), F.col(concept_key).alias("c")).alias("k"), F.col(vector).alias("v")), "k", "v")
-    pairs = left.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("block"), F.col("items").alias("aliases")).join(right.withColumnRenamed("items", "concepts"), "block")
-    key_t, c_t = aliases.schema[alias_key].dataType.simpleString(), concepts.schema[concept_key].dataType.simpleString()
-    o_t = concepts.schema[order].dataType.simpleString()
-
-    def unit(rows) -> np.ndarray:
-        m = np.array([np.asarray(r["v"], dtype=float) for r in rows])
-        size = np.sqrt((m * m).sum(1, keepdims=True))
-        return np.divide(m, size, out=np.zeros_like(m), where=size > 0)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for a, c in zip(b["aliases"], b["concepts"], strict=True):
-                c = sorted(c, key=lambda r: r["key"]["o"])
-                s = unit(a) @ unit(c).T
-                # equal directions give equal products up to the last bits
-                best = (s >= s.max(1, keepdims=True) - 1e-12).argmax(1)
-                top = s[np.arange(len(a)), best]
-                ok = top > 0
-                yield pd.DataFrame({"k": [r["key"] for r, x in zip(a, ok, strict=True) if x], "o": [c[i]["key"]["o"] for i in best[ok]], "c": [c[i]["key"]["c"] for i in best[ok]], "similarity": top[ok]})
-
-    found = pairs.select("aliases", "concepts").mapInPandas(run, f"k {key_t}, o {o_t}, c {c_t}, similarity double")
-    low = F.max("similarity").alias("top")
-    tops = found.groupBy("k").agg(low, F.collect_list(F.struct("similarity", "o", "c")).alias("all"))  # one entry a block of concepts
+    left = blocks(aliases.select(F.col(alias_key).alias("k"), F.col(vector).alias("v")), "v")
+    right = blocks(concepts.select(F.col(order).alias("o"), F.col(concept_key).alias("c"), F.col(vector).alias("v")), "v")
+    types = {c: d.schema[x].dataType.simpleString() for c, d, x in (("k", aliases, alias_key), ("o", concepts, order), ("c", concepts, concept_key))}
+
+    def run(a: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        parts = []
+        for r in c.itertuples(index=False):
+            at = sorted(range(len(r.o)), key=lambda i, o=r.o: o[i])
+            parts.append((unit_rows(r.data, r.dim)[at], [r.o[i] for i in at], [r.c[i] for i in at]))
+        out: dict[str, list] = {"k": [], "o": [], "c": [], "similarity": []}
+        for r in a.itertuples(index=False):
+            mine = unit_rows(r.data, r.dim)
+            for theirs, orders, concepts in parts:
+                s = mine @ theirs.T
+                top = s.max(1)
+                best = (s >= top[:, None] - 1e-12).argmax(1)
+                for i in np.flatnonzero(top > 0):
+                    out["k"].append(r.k[i])
+                    out["o"].append(orders[best[i]])
+                    out["c"].append(concepts[best[i]])
+                    out["similarity"].append(top[i])
+        return pd.DataFrame(out)
+
+    found = meet(left, right, run, f"k {types['k']}, o {types['o']}, c {types['c']}, similarity double")
+    tops = found.groupBy("k").agg(F.max("similarity").alias("top"), F.collect_list(F.struct("similarity", "o", "c")).alias("all"))  # one entry a block of concepts
     near = F.array_min(F.transform(F.filter("all", lambda x: x["similarity"] >= F.col("top") - 1e-12), lambda x: F.struct(x["o"], x["c"])))
     return tops.select(F.col("k").alias(alias_key), near["c"].alias("best"), F.col("top").alias("similarity"))
 

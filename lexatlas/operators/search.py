@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexatlas.functions.text import fixed, lookup, preview
-from lexatlas.functions.vectors import cosine, cosine_to, norm
+from lexatlas.functions.vectors import blocks, cosine_to, meet, unit_rows
+from lexatlas.workers import ready_python
 
 #: Fixed values of the displays.
 ICONS = {"auto_mapped": "✓", "llm_confirmed": "✓", "needs_review": "?", "unmapped": "✗", "pending": "○"}
@@ -58,12 +61,34 @@ def search_text(rows: DataFrame, query: str, encode, k: int = 5, *, key: str = "
 
 
 def search_many(queries: DataFrame, rows: DataFrame, k: int = 5, *, query_key: str, key: str, vector: str = "embedding") -> DataFrame:
-    """query_key, key, similarity, rank: the k most similar rows for each of a bounded set of queries, which are broadcast if small."""
-    q = queries.select(F.col(query_key).alias("q"), F.col(vector).alias("qv")).withColumn("qn", norm(F.col("qv")))
-    r = rows.select(F.col(key).alias("k"), F.col(vector).alias("v")).where("v is not null").withColumn("n", norm(F.col("v")))
-    pairs = r.join(q, F.lit(True)).withColumn("similarity", cosine(F.col("qv"), F.col("v"), F.col("qn"), F.col("n")))
+    """query_key, key, similarity, rank: the k most similar rows for each of the queries, ties (similarities within 1e-12) by key.
+
+    Queries and rows meet in groups of packed blocks, each of which leaves k rows a query. Rows and queries without a vector take no part;
+    one without length has similarity 0.
+    """
+    ready_python(rows.sparkSession)
+    q = blocks(queries.select(F.col(query_key).alias("q"), F.col(vector).alias("v")), "v")
+    r = blocks(rows.select(F.col(key).alias("k"), F.col(vector).alias("v")), "v")
+    types = [d.schema[c].dataType.simpleString() for d, c in ((queries, query_key), (rows, key))]
+
+    def run(asked: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
+        out: dict[str, list] = {"q": [], "k": [], "similarity": []}
+        parts = [(unit_rows(b.data, b.dim), b.k) for b in there.itertuples(index=False)]
+        for a in asked.itertuples(index=False):
+            mine = unit_rows(a.data, a.dim)
+            for theirs, keys in parts:
+                s = (mine @ theirs.T).round(12)
+                least = np.partition(s, max(0, s.shape[1] - k), 1)[:, max(0, s.shape[1] - k)]
+                for i in range(len(mine)):
+                    at = sorted(np.flatnonzero(s[i] >= least[i]).tolist(), key=lambda j, row=s[i], keys=keys: (-row[j], keys[j]))[:k]
+                    out["q"] += [a.q[i]] * len(at)
+                    out["k"] += [keys[j] for j in at]
+                    out["similarity"] += s[i][at].tolist()
+        return pd.DataFrame(out)
+
+    found = meet(q, r, run, f"q {types[0]}, k {types[1]}, similarity double")
     rank = F.row_number().over(W.partitionBy("q").orderBy(F.desc("similarity"), "k"))
-    best = pairs.select("q", "k", "similarity").withColumn("rank", rank).where(F.col("rank") <= k)
+    best = found.withColumn("rank", rank).where(F.col("rank") <= k)
     return best.select(F.col("q").alias(query_key), F.col("k").alias(key), "similarity", F.col("rank").cast("int").alias("rank"))
 
 
