@@ -40,7 +40,10 @@ def _segments(spark: SparkSession, files: DataFrame, a, o: Options) -> DataFrame
 
 
 def _show(df: DataFrame) -> None:
-    df.show(1000, truncate=False)
+    """All rows, a line each, as they come."""
+    print(" | ".join(df.columns))
+    for row in df.toLocalIterator():
+        print(" | ".join("" if v is None else str(v) for v in row))
 
 
 def run(a: argparse.Namespace, spark: SparkSession, o: Options) -> None:
@@ -62,7 +65,7 @@ def run(a: argparse.Namespace, spark: SparkSession, o: Options) -> None:
     elif a.command == "batch":
         listed = spark.read.csv(a.manifest, schema="file string, section string")
         texts = readers.read_texts(spark, a.root, recursive=True)
-        joined = listed.join(texts, F.col("path").endswith(F.col("file")), "left")
+        joined = sections.listed_texts(listed, texts)
         _show(joined.where("text is null").select("file", F.lit("not found").alias("error")))
         files = joined.where("text is not null").select(F.col("file").alias("source"), "section", "text")
         _segments(spark, files, a, o).write.mode("overwrite").json(a.out)

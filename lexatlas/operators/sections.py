@@ -78,6 +78,15 @@ def section_files(books: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     return last_by_path(every, "file").select("file.book", "file.path", "content")
 
 
+def listed_texts(listed: DataFrame, texts: DataFrame) -> DataFrame:
+    """listed (file, ...) with path and text of the file: the one whose path ends with `file`, from a slash on; of several the first by
+    path. Files that aren't found have nulls. Only paths are matched; texts come by an equality join afterwards."""
+    parts = F.split("path", "/")
+    tails = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "/"))
+    found = texts.select("path", F.explode(tails).alias("file")).join(listed.select("file").distinct(), "file").groupBy("file").agg(F.min("path").alias("path"))
+    return listed.join(found, "file", "left").join(texts.select("path", "text"), "path", "left").select(*listed.columns, "path", "text")
+
+
 def finish_segments(raw: DataFrame, chapters: DataFrame, *, created_at: str, model: str, version: int = 1, source: str = "source", order: str = "idx", section_id: str | None = None) -> DataFrame:
     """Segments as stored: content without surplus white space, section_id looked up (a given one wins), positions 1..n in each
     source by `order`, creation time, model and version as given."""

@@ -59,13 +59,19 @@ def reply_judge(ask: Callable[[str, str, str], str]) -> Callable[[DataFrame], Da
     """A judge from a function (alias, name, content) -> JSON reply, fenced or not. Failures and broken replies count as no relation."""
 
     def judge(asked: DataFrame) -> DataFrame:
-        @F.udf("string")
-        def reply(alias, name, content):
+        ready_python(asked.sparkSession)
+
+        def safely(*question: str) -> str:
             try:
-                return ask(alias, name, content)
+                return ask(*question)
             except Exception as e:  # a remote service may fail in any way; the row says so
                 return '{"decision": "无关联", "reason": ' + json.dumps(f"failed: {e}") + "}"
 
+        @F.pandas_udf("string")
+        def reply(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+            for questions in batches:
+                yield pd.Series([safely(*q) for q in zip(*questions, strict=True)], dtype=object)
+
         said = asked.withColumn("__r", F.from_json(strip_fences(reply.asNondeterministic()("alias", "name", "content")), "decision string, reason string"))
         return said.withColumns({"decision": F.coalesce("__r.decision", F.lit("无关联")), "reason": F.coalesce("__r.reason", F.lit("unreadable reply"))}).drop("__r")
 

@@ -23,12 +23,12 @@ def segs(spark, *rows):
 
 def tree_spec(entries):
     """Parents by a stack of open entries, one for each level."""
-    out, stack = [], {0: (1, None)}
+    out, stack = [], {0: (1, "root")}
     for i, (level, number, parent) in enumerate(entries, 2):
         above = [stack[v] for v in sorted(stack, reverse=True) if v < level]
         to = 1
         if parent is not None:
-            named = [x for x in above if x[0] != 1 and x[1] == parent]
+            named = [x for x in above if x[1] == parent]
             to = (named or above)[0][0]
         out.append((i, to))
         stack = {v: x for v, x in stack.items() if v < level} | {level: (i, number)}
@@ -38,7 +38,7 @@ def tree_spec(entries):
 def test_chapter_tree_random(spark):
     rng, rows, want = random.Random(2), [], {}
     for book in range(12):
-        entries = [(rng.randint(1, 4), rng.choice("abc"), rng.choice(["a", "b", "c", "z", None])) for _ in range(60)]
+        entries = [(rng.randint(book % 3 == 0 and 0 or 1, 4), rng.choice("abc"), rng.choice(["a", "b", "c", "z", "root", None])) for _ in range(60)]
         rows += [(book, k, lv, n, f"t{k}", p) for k, (lv, n, p) in enumerate(entries)]
         want[book] = [(1, None), *tree_spec(entries)]
     e = spark.createDataFrame(rows, "book_id int, ordinal long, level int, number string, title string, parent_number string")
@@ -166,6 +166,102 @@ def test_search(spark):
     assert not search.manual_assign(al, co, "abx", "C999")[1] and not search.manual_assign(al, co, "nope", "C001")[1]
 
 
+def test_search_many_in_groups(spark):
+    rng = random.Random(4)
+    vectors = [[rng.gauss(0, 1) for _ in range(3)] for _ in range(80)] + [[1.0, 0.0]] * 3 + [[0.0] * 3, None, []] + [[2.0, 0.0, 0.0]] * 30
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "i int, embedding array<double>")
+    from lexatlas.functions import vectors as fv
+
+    unit = lambda v: [x / (sum(y * y for y in v) ** 0.5 or 1) for x in v]
+    want = []
+    for i, v in enumerate(vectors):
+        if v and i % 3 == 0:
+            scores = sorted((-round(sum(a * b for a, b in zip(unit(v), unit(w), strict=True)), 9), j) for j, w in enumerate(vectors) if w and len(w) == len(v))[:4]
+            want += [(i, j, -s, r) for r, (s, j) in enumerate(scores, 1)]
+    for size, group in ((8, 2), (2048, 4)):
+        old = fv.blocks.__defaults__, fv.meet.__defaults__
+        fv.blocks.__defaults__, fv.meet.__defaults__ = (size,), (group,)
+        try:
+            got = search.search_many(rows.where("i % 3 = 0"), rows, 4, query_key="i", key="i").toDF("q", "k", "s", "r").collect()
+        finally:
+            fv.blocks.__defaults__, fv.meet.__defaults__ = old
+        assert sorted((r["q"], r["k"], round(r["s"], 6) + 0.0, r["r"]) for r in got) == sorted((q, k, round(s, 6) + 0.0, r) for q, k, s, r in want)
+    assert search.search_many(rows.where("false"), rows, 4, query_key="i", key="i").count() == 0
+
+
+def test_overwrite_never_loses_a_table(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    values = lambda: {r["key"] for r in readers.read_table(spark, path, schemas.METADATA).collect()}
+    assert values() == set()
+    sinks.overwrite(spark.createDataFrame([("a", "1")], schemas.METADATA), path)
+    (tmp_path / "t").rename(tmp_path / "t.broken.old")  # the process ended between the two moves
+    assert values() == {"a"}
+    (tmp_path / "t").rename(tmp_path / "t.broken.old")
+    sinks.overwrite(spark.createDataFrame([("b", "1")], schemas.METADATA), path)
+    assert values() == {"b"} and sorted(x.name for x in tmp_path.iterdir()) == ["t"]
+
+
+def test_a_failed_move_leaves_the_table(spark, tmp_path, monkeypatch):
+    path = f"file://{tmp_path}/t"
+    sinks.overwrite(spark.createDataFrame([("a", "1")], schemas.METADATA), path)
+    real = sinks._files
+
+    class Failing:
+        def __init__(self, fs, at):
+            self.fs, self.at, self.n = fs, at, 0
+
+        def rename(self, *a):
+            self.n += 1
+            return False if self.n == self.at else self.fs.rename(*a)
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+    for at in (1, 2):
+        seen: dict = {}
+
+        def files(s, p, at=at, seen=seen):
+            fs, make = real(s, p)
+            return seen.setdefault("fs", Failing(fs, at)), make
+
+        monkeypatch.setattr(sinks, "_files", files)
+        with pytest.raises(OSError, match="unchanged"):
+            sinks.overwrite(spark.createDataFrame([("b", "1")], schemas.METADATA), path)
+        monkeypatch.setattr(sinks, "_files", real)
+        assert [r["key"] for r in readers.read_table(spark, path, schemas.METADATA).collect()] == ["a"]
+
+
+def test_dense_numbers(spark):
+    from lexatlas.functions.numbering import dense_numbers
+
+    rng = random.Random(1)
+    values = rng.sample(range(10**12), 5000)
+    got = dense_numbers(spark.createDataFrame([(v,) for v in values], "x long").repartition(7), "n", "x").collect()
+    assert sorted((r["x"], r["n"]) for r in got) == list(zip(sorted(values), range(1, 5001), strict=True))
+    assert dense_numbers(spark.createDataFrame([], "x long"), "n", "x").count() == 0
+
+
+def test_records_of_several_files(spark, tmp_path):
+    for name, text in (("a.json", '[{"title": "x"}, {"title": "y"}]'), ("b.json", '[{"title": "z"}]'), ("c.json", ""), ("d.json", "{")):
+        (tmp_path / name).write_text(text)
+    got = readers.read_json_array(spark, str(tmp_path)).orderBy("ordinal").collect()
+    assert [(r["ordinal"], r["title"]) for r in got] == [(1, "x"), (2, "y"), (3, "z")]
+    assert {r["path"].rpartition("/")[2] for r in readers.broken_json(spark, str(tmp_path)).collect()} >= {"d.json"}
+
+
+def test_listed_texts(spark):
+    texts = spark.createDataFrame([("file:/r/a/x.md", "1"), ("file:/r/b/x.md", "2"), ("file:/r/y.md", "3"), ("file:/r/zy.md", "4")], "path string, text string")
+    listed = spark.createDataFrame([("x.md", "s"), ("b/x.md", "t"), ("y.md", "u"), ("none.md", "v"), (None, "w")], "file string, section string")
+    assert {r["section"]: r["text"] for r in sections.listed_texts(listed, texts).collect()} == {"s": "1", "t": "2", "u": "3", "v": None, "w": None}
+
+
+def test_sqlite_export(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", 0.5, True, [1.0, -2.5], ["x", "y"]), (2, None, None, None, None, None)], "i long, t string, d double, b boolean, v array<float>, l array<string>")
+    assert sinks.write_sqlite(df, str(tmp_path / "x.db"), "my table") == 2
+    got = {r["i"]: r for r in readers.float_vectors(readers.read_sqlite(spark, str(tmp_path / "x.db"), "my table", 2), "v").collect()}
+    assert (got[1]["t"], got[1]["d"], got[1]["b"], got[1]["v"], got[1]["l"]) == ("a", 0.5, 1, [1.0, -2.5], '["x","y"]') and got[2]["v"] is None
+
+
 def test_sources_and_sinks(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"title": "x", "type": "note"}, {"title": null}]')
     assert [(r["ordinal"], r["title"]) for r in readers.read_json_array(spark, str(tmp_path / "a.json")).orderBy("ordinal").collect()] == [(1, "x"), (2, None)]
