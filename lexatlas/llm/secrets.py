@@ -122,13 +122,18 @@ def find_secrets(docs: DataFrame, *, text_col: str = "text", to: str = "spans",
     at_least = lambda n: lambda g: F.length(g) >= n
     short = lambda g: g.rlike(SHORT_KEPT)
     mixed = lambda g: g.rlike("[a-z]") & g.rlike("[A-Z]") & g.rlike("[0-9]")
-    #: name, kind, pattern, group that is looked at, what it must be
+    pair = text.contains(":") | text.contains("=")  # what stands between a name and its value
+    always = F.lit(True)
+    #: name, kind, pattern, group that is looked at, what it must be; what a text must hold for any match, so that others aren't searched
     rules = [
-        ("assign", "assign", ASSIGN, 2, at_least(LEAST["assign"])), ("access", "access", ACCESS, 0, at_least(LEAST["access"])), ("hex", "hex", hex_runs, 0, at_least(LEAST["hex"])),
-        ("ident", "ident", IDENT, 0, at_least(0)), ("short", "weak", SHORT, 0, short), ("bare", "weak", BARE, 0, mixed), ("endpoint", "endpoint", ENDPOINT, 0, at_least(0)),
+        ("assign", "assign", ASSIGN, 2, at_least(LEAST["assign"]), pair), ("access", "access", ACCESS, 0, at_least(LEAST["access"]), text.contains("AKIA")), ("hex", "hex", hex_runs, 0, at_least(LEAST["hex"]), always),
+        ("ident", "ident", IDENT, 0, at_least(0), pair), ("short", "weak", SHORT, 0, short, pair), ("bare", "weak", BARE, 0, mixed, always), ("endpoint", "endpoint", ENDPOINT, 0, at_least(0), pair),
     ]
-    d = d.withColumns({f"{x}{n}{g}": F.regexp_extract_all(text, F.lit(p), F.lit(g)) for n, _, p, group, _ in rules for g in {0, group}})
-    spans = {n: _spans(text, F.col(f"{x}{n}0"), p, kind, F.col(f"{x}{n}{g}") if g else None, keep) for n, kind, p, g, keep in rules}
+    hits = lambda p, g, holds: F.when(holds, F.regexp_extract_all(text, F.lit(p), F.lit(g))).otherwise(F.array().cast("array<string>"))
+    d = d.withColumns({f"{x}{n}0": hits(p, 0, holds) for n, _, p, _, _, holds in rules})
+    # groups are taken only of what matched
+    d = d.withColumns({f"{x}{n}{g}": hits(p, g, F.size(f"{x}{n}0") > 0) for n, _, p, g, _, _ in rules if g})
+    spans = {n: _spans(text, F.col(f"{x}{n}0"), p, kind, F.col(f"{x}{n}{g}") if g else None, keep) for n, kind, p, g, keep, _ in rules}
     base = F.concat(*[spans[k] for k in KINDS[:BASE]])
     weak = F.concat(*[spans[n] for n, kind, *_ in rules if kind not in KINDS[:BASE]])
     some = F.size(f"{x}ident0") + F.size(f"{x}short0") + F.size(f"{x}bare0") + F.size(f"{x}endpoint0") > 0
