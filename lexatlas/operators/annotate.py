@@ -23,7 +23,7 @@ from lexatlas.schemas import CONFIRMED
 from lexatlas.workers import ready_python
 
 #: Aliases in one automaton.
-CHUNK = 50_000
+CHUNK = 20_000
 SPAN = "struct<start:int,end:int,alias:string,concept_id:string,concept_name:string,alias_type:string,status:string,confidence:double>"
 SPAN_LIST = f"array<{SPAN}>"
 _SKIP = [re.compile(p.removeprefix("(?d)")) for p in SKIP]

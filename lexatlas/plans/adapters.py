@@ -22,22 +22,23 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A segment for each line of a document that isn't blank. ordinal: document, then line."""
+    """A segment for each line of a document that isn't blank: the line is its title and content, its words in turn are aliases and
+    entities. ordinal: document, then line."""
     lines = read(spark, sf_dir, "documents").select("doc_id", "source", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).where(strip("line") != "")
     kinds = F.array(*[F.lit(k) for k in ("concept", "theorem", "proof", "example", "note")])
     words = F.split("line", " ", -1)
     return lines.select(
-        (F.col("doc_id") * (1 << 20) + F.col("pos")).alias("ordinal"), "source", "doc_id", F.substring("line", 1, 24).alias("title"), F.col("line").alias("content"),
-        F.get(kinds, F.pmod("doc_id", F.lit(5)).cast("int")).alias("type"), F.slice(words, 1, 2).alias("aliases"), F.array_join(F.slice(words, 3, 3), ",").alias("entities"), F.lit("2024-01-01T00:00:00").alias("created_at"),
+        (F.col("doc_id") * (1 << 20) + F.col("pos")).alias("ordinal"), "source", "doc_id", F.col("line").alias("title"), F.col("line").alias("content"),
+        F.get(kinds, F.pmod("doc_id", F.lit(5)).cast("int")).alias("type"), F.filter(words, lambda w, i: i % 2 == 0).alias("aliases"), F.array_join(F.filter(words, lambda w, i: i % 2 == 1), ",").alias("entities"), F.lit("2024-01-01T00:00:00").alias("created_at"),
     )
 
 
 SEGMENTS_SQL = f"""
 lines AS (SELECT doc_id, source, unnest(l) AS line, generate_subscripts(l, 1) - 1 AS pos FROM (SELECT doc_id, source, string_split(text, chr(10)) AS l FROM documents)),
 seg AS (
-  SELECT doc_id * 1048576 + pos AS ordinal, source, doc_id, substr(line, 1, 24) AS title, line AS content,
+  SELECT doc_id * 1048576 + pos AS ordinal, source, doc_id, line AS title, line AS content,
     ['concept', 'theorem', 'proof', 'example', 'note'][(doc_id % 5)::INT + 1] AS type,
-    list_slice(string_split(line, ' '), 1, 2) AS aliases, array_to_string(list_slice(string_split(line, ' '), 3, 5), ',') AS entities, '2024-01-01T00:00:00' AS created_at
+    list_filter(string_split(line, ' '), lambda w, i: i % 2 = 1) AS aliases, array_to_string(list_filter(string_split(line, ' '), lambda w, i: i % 2 = 0), ',') AS entities, '2024-01-01T00:00:00' AS created_at
   FROM lines WHERE {strip_sql("line")} <> ''
 )"""
 
@@ -75,6 +76,13 @@ def vector_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def edge_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vector_aliases, of which each tenth has no vector and the one after it a vector of no length."""
+    e = vector_aliases(spark, sf_dir)
+    k = F.pmod("block_id", F.lit(10))
+    return e.withColumn("embedding", F.when(k == 2, F.transform("embedding", lambda x: F.lit(0.0).cast("float"))).when(k != 1, F.col("embedding")))
+
+
 VECTORS_SQL = """
 c AS (SELECT printf('V%06d', vec_id) AS concept_id, 'n' || label AS name, embedding::DOUBLE[] AS e FROM embeddings),
 a AS (SELECT 'a' || vec_id AS alias, vec_id AS block_id, CASE WHEN vec_id % 3 = 0 THEN 'alias' ELSE 'entity' END AS alias_type, list_concat(embedding[2:], embedding[1:1])::DOUBLE[] AS e FROM embeddings),
@@ -94,6 +102,20 @@ aligned AS (
 )"""
 
 
+#: As aligned, with the rows of edge_aliases and whole reasons.
+EDGES_SQL = f"""{VECTORS_SQL},
+edge AS (
+  SELECT j.alias, j.alias_type, a.block_id % 10 = 1 AS none, CASE WHEN a.block_id % 10 <> 2 THEN best END AS best, CASE WHEN a.block_id % 10 <> 2 THEN similarity END AS similarity, CASE WHEN a.block_id % 10 <> 2 THEN decision END AS decision
+  FROM judged j JOIN a USING (alias)
+),
+edges AS (
+  SELECT alias, alias_type, CASE WHEN none THEN 'unmapped' WHEN similarity >= 0.3 AND alias_type = 'alias' THEN 'auto_mapped' WHEN similarity >= 0.3 AND decision = '高关联' THEN 'llm_confirmed' ELSE 'needs_review' END AS status,
+    CASE WHEN NOT none AND (alias_type = 'alias' OR (similarity >= 0.3 AND decision = '高关联')) THEN best END AS concept_id, CASE WHEN none THEN 0.0 ELSE round(coalesce(similarity, 0.0), 6) END AS confidence,
+    CASE WHEN none THEN NULL WHEN similarity >= 0.3 AND alias_type = 'alias' THEN '向量匹配(阈值0.3)' WHEN similarity >= 0.3 THEN 'LLM:' || decision || '|label' WHEN alias_type = 'alias' OR best IS NOT NULL THEN printf('向量相似度不足(%.3f<0.3)', coalesce(similarity, 0.0)) ELSE '无匹配概念' END AS llm_reason
+  FROM edge
+)"""
+
+
 def label_judge(asked: DataFrame) -> DataFrame:
     """A deterministic judge for these tables: by the concept's label."""
     decision = F.when(F.col("name").isin("n0", "n1", "n2"), "高关联").when(F.col("name").isin("n3", "n4"), "中关联").otherwise("无关联")
@@ -148,23 +170,53 @@ MD_LINES_SQL = f"""{MARKDOWN_SQL},
 ml AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM md))"""
 
 
-def dictionary(spark: SparkSession, sf_dir: str, top: int = 40) -> DataFrame:
-    """The commonest words of seven letters or more in the documents: a report of the top 40."""
-    words = read(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}{7,}"), F.lit(0))).alias("alias"))
-    best = words.groupBy("alias").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "alias").limit(top)
-    upper = F.upper("alias")
-    return best.select("alias", F.concat(F.lit("D"), F.crc32(F.col("alias").cast("binary"))).alias("concept_id"), upper.alias("concept_name"), F.lit("alias").alias("alias_type"), F.lit("auto_mapped").alias("status"), F.lit(0.9).alias("confidence"))
+def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words of 6 to 8 letters of the documents, with what an annotation shows of them made from the word."""
+    words = read(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))).alias("alias")).where("char_length(alias) between 6 and 8").distinct()
+    n = F.char_length("alias")
+    kind = F.get(F.array(F.lit("concept"), F.lit("alias"), F.lit("entity")), n % 3)
+    return words.select("alias", F.concat(F.lit("D"), F.md5(F.col("alias").cast("binary"))).alias("concept_id"), F.when(n % 2 == 0, F.col("alias")).otherwise(F.concat(F.lit("c "), F.col("alias"))).alias("concept_name"), kind.alias("alias_type"), F.lit("auto_mapped").alias("status"), (n / 10).alias("confidence"))
+
+
+def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with code and formulas: of each four lines the second and the fourth are one."""
+    lines = F.transform(F.split("text", "\n", -1), lambda x, i: F.when(i % 4 == 1, F.concat(F.lit("`"), x, F.lit("`"))).when(i % 4 == 3, F.concat(F.lit("$$"), x, F.lit("$$"))).otherwise(x))
+    return read(spark, sf_dir, "documents").select("doc_id", F.array_join(lines, "\n").alias("text"))
+
+
+MARKED_SQL = "mk AS (SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda x, i: CASE i % 4 WHEN 2 THEN '`' || x || '`' WHEN 0 THEN '$$' || x || '$$' ELSE x END), chr(10)) AS text FROM documents)"
+DICTIONARY_SQL = r"""
+dict AS (SELECT DISTINCT alias FROM (SELECT unnest(regexp_extract_all(text, '\p{L}+')) AS alias FROM documents) WHERE length(alias) BETWEEN 6 AND 8)"""
 
 
-#: All occurrences of the dictionary's words: they consist of letters, so each lies in one run of letters.
-MATCHES_SQL = r"""
+def matches_sql(texts: str) -> str:
+    """All occurrences of the dictionary's words, m (doc_id, idx, s, e, alias): each lies in one run of letters, the idx-th of its text."""
+    return rf"""
 tok AS (
   SELECT doc_id, unnest(pieces[1:len(runs)]) AS piece, unnest(runs) AS run, generate_subscripts(runs, 1) AS idx
-  FROM (SELECT doc_id, string_split_regex(text, '\p{L}{7,}') AS pieces, regexp_extract_all(text, '\p{L}{7,}') AS runs FROM documents)
+  FROM (SELECT doc_id, string_split_regex(text, '\p{{L}}{{6,}}') AS pieces, regexp_extract_all(text, '\p{{L}}{{6,}}') AS runs FROM {texts})
+),{DICTIONARY_SQL},
+pos AS (SELECT doc_id, idx, run, sum(length(piece) + length(run)) OVER (PARTITION BY doc_id ORDER BY idx) - length(run) AS start FROM tok),
+subs AS (SELECT run, n, unnest(range(1, length(run) - n + 2)) AS i FROM (SELECT DISTINCT run FROM tok), (VALUES (6), (7), (8)) v(n) WHERE length(run) >= n),
+inside AS (SELECT run, alias, i - 1 AS off FROM subs JOIN dict ON substr(run, i, n) = alias),
+m AS (SELECT doc_id, idx, (start + off)::INT AS s, (start + off + length(alias))::INT AS e, alias FROM pos JOIN inside USING (run))"""
+
+
+_PATTERNS = ("(?s)```.*?```", r"(?s)\$\$.*?\$\$", "`[^`]+`", r"\$[^$\n]+?\$", r"!\[.*?\]\(.*?\)")
+SKIPS_SQL = "hit AS (" + " UNION ALL ".join(f"SELECT doc_id, regexp_extract_all(text, '{p}') AS h, string_split_regex(text, '{p}') AS g FROM mk" for p in _PATTERNS) + r"""),
+reg0 AS (SELECT doc_id, row_number() OVER () AS k, h, g FROM hit),
+reg1 AS (SELECT doc_id, k, unnest(h) AS h, unnest(g[1:len(h)]) AS g, generate_subscripts(h, 1) AS i FROM reg0),
+reg AS (SELECT doc_id, (sum(length(g) + length(h)) OVER (PARTITION BY k ORDER BY i) - length(h))::INT AS s, (sum(length(g) + length(h)) OVER (PARTITION BY k ORDER BY i))::INT AS e FROM reg1)"""
+#: The annotation: matches with neither end in a skipped region, of overlapping ones (all in one run of letters) the longest, then the first.
+SPANS_SQL = f"""{MARKED_SQL},{matches_sql("mk")},
+{SKIPS_SQL},
+bad AS (SELECT DISTINCT m.doc_id, m.s, m.e FROM m JOIN reg r ON r.doc_id = m.doc_id AND ((r.s <= m.s AND m.s < r.e) OR (r.s < m.e AND m.e <= r.e))),
+good AS (SELECT * FROM m ANTI JOIN bad USING (doc_id, s, e)),
+chosen AS (
+  SELECT doc_id, unnest(list_reduce(list([{{'s': s, 'e': e, 'alias': alias}}] ORDER BY e - s DESC, s), lambda acc, y: CASE WHEN len(list_filter(acc, lambda k: k.s < y[1].e AND y[1].s < k.e)) = 0 THEN list_concat(acc, y) ELSE acc END)) AS c
+  FROM good GROUP BY doc_id, idx
 ),
-dict AS (SELECT run AS alias FROM tok GROUP BY run ORDER BY count(*) DESC, run LIMIT 40),
-pos AS (SELECT doc_id, run, sum(length(piece) + length(run)) OVER (PARTITION BY doc_id ORDER BY idx) - length(run) AS start FROM tok),
-inside AS (
-  SELECT run, alias, unnest(list_filter(range(1, length(run) - length(alias) + 2), lambda i: run[i:i + length(alias) - 1] = alias)) - 1 AS off
-  FROM (SELECT DISTINCT run FROM tok) JOIN dict ON contains(run, alias)
+span AS (
+  SELECT doc_id, c.s AS s, c.e AS e, c.alias AS alias, 'D' || md5(c.alias) AS concept_id, CASE WHEN length(c.alias) % 2 = 0 THEN c.alias ELSE 'c ' || c.alias END AS concept_name,
+    ['concept', 'alias', 'entity'][length(c.alias) % 3 + 1] AS alias_type, ['概念本身', '别名', '实体词'][length(c.alias) % 3 + 1] AS label, length(c.alias) / 10.0::DOUBLE AS confidence FROM chosen
 )"""

@@ -11,8 +11,10 @@ from lexatlas import schemas
 from lexatlas.functions import text as tx
 from lexatlas.operators import align, annotate, concepts, hierarchy, search, sections
 from lexatlas.plans import adapters as ad
+from lexatlas.plans import files
+from lexatlas.scratch import staged
 
-RULES = [(1, "conv"), (2, "user"), (3, "assistant|system")]
+RULES = files.RULES
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -89,8 +91,10 @@ def alias_extract(s: SparkSession, d: str) -> DataFrame:
 
 
 def _increments(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    # laid down: the second increment reads the first base several times, as it would read stored tables
     seg = ad.segments(s, d)
-    return concepts.build_base(seg, *concepts.build_base(seg.where("type = 'concept'")))
+    first = [staged(t, "increment") for t in concepts.build_base(seg.where("type = 'concept'"))]
+    return concepts.build_base(seg, *first)
 
 
 def incremental_concepts(s: SparkSession, d: str) -> DataFrame:
@@ -149,8 +153,10 @@ def file_names(s: SparkSession, d: str) -> DataFrame:
 
 
 def json_repair(s: SparkSession, d: str) -> DataFrame:
-    broken = F.concat(F.lit('```json\n{"k": "\\lim '), F.col("event_type"), F.lit('"}\n```'))
-    return ad.read(s, d, "events").select("event_id", F.get_json_object(tx.repair_json_backslashes(tx.strip_fences(broken)), "$.k").alias("k"))
+    """Each text in a fenced JSON reply, its words joined by lone backslashes that JSON doesn't know."""
+    body = F.regexp_replace(F.coalesce("text", F.lit("")), '["\\\\\\x00-\\x20]+', r"\\q")
+    broken = F.concat(F.lit('```json\n{"k": "\\lim '), body, F.lit('"}\n```'))
+    return ad.read(s, d, "documents").select("doc_id", F.get_json_object(tx.repair_json_backslashes(tx.strip_fences(broken)), "$.k").alias("k"))
 
 
 def toc_parent(s: SparkSession, d: str) -> DataFrame:
@@ -184,25 +190,69 @@ def dict_match_counts(s: SparkSession, d: str) -> DataFrame:
     return found.groupBy("alias").agg(F.count(F.lit(1)).alias("n"), F.sum("start").alias("sum_start"), F.countDistinct("doc_id").alias("n_docs"))
 
 
+def skip_offsets(s: SparkSession, d: str) -> DataFrame:
+    return ad.marked(s, d).select("doc_id", F.explode(tx.skip_ranges("text")).alias("r")).select("doc_id", F.col("r.start").alias("start"), F.col("r.end").alias("end"))
+
+
 def span_resolve(s: SparkSession, d: str) -> DataFrame:
-    return annotate.annotate(ad.read(s, d, "documents").select("doc_id", "text"), ad.dictionary(s, d)).select("doc_id", F.size("spans").cast("long").alias("n_spans"))
+    total = lambda c: F.aggregate("spans", F.lit(0).cast("long"), lambda a, m: a + m[c])
+    return annotate.annotate(ad.marked(s, d), ad.dictionary(s, d)).select("doc_id", F.size("spans").cast("long").alias("n_spans"), total("start").alias("starts"), total("end").alias("ends"))
 
 
 def annotation_table(s: SparkSession, d: str) -> DataFrame:
-    return annotate.annotation_rows(annotate.annotate(ad.read(s, d, "documents").select("doc_id", "text"), ad.dictionary(s, d)))
+    return annotate.annotation_rows(annotate.annotate(ad.marked(s, d), ad.dictionary(s, d)))
 
 
 def annotated_inline(s: SparkSession, d: str) -> DataFrame:
-    spans = annotate.annotate(ad.read(s, d, "documents").select("doc_id", "text"), ad.dictionary(s, d))
+    spans = annotate.annotate(ad.marked(s, d), ad.dictionary(s, d))
     return annotate.rendered(spans, inline_links=True).select("doc_id", "annotated")
 
 
+def _edges(s: SparkSession, d: str) -> DataFrame:
+    return align.align(ad.edge_aliases(s, d), ad.vector_concepts(s, d), ad.label_judge, threshold=ad.THRESHOLD)
+
+
+def _decided(aligned: DataFrame) -> DataFrame:
+    return aligned.select("alias", "alias_type", "status", "concept_id", F.round("confidence", 6).alias("confidence"), "llm_reason")
+
+
+def align_edges(s: SparkSession, d: str) -> DataFrame:
+    """All rows of the decision table: no vector, no match, below and above the threshold."""
+    return _decided(_edges(s, d))
+
+
+def align_rerun(s: SparkSession, d: str) -> DataFrame:
+    """Entities reset and aligned again."""
+    again = align.align(_edges(s, d), ad.vector_concepts(s, d), ad.label_judge, threshold=ad.THRESHOLD, rerun=True)
+    return _decided(again)
+
+
+def judge_prompt(s: SparkSession, d: str) -> DataFrame:
+    """What a judge sees of a concept's content: its first 300 code points."""
+    known = ad.vector_concepts(s, d).withColumn("content", F.repeat("concept_id", 60))
+    done = align.align(ad.vector_aliases(s, d), known, lambda asked: ad.label_judge(asked).withColumn("reason", F.col("content")), threshold=ad.THRESHOLD)
+    return done.where(F.col("llm_reason").startswith("LLM:")).select("alias", "llm_reason")
+
+
+def alias_lines(s: SparkSession, d: str) -> DataFrame:
+    """Whole display lines, confidence included."""
+    return search.displayed(search.list_aliases(_aligned(s, d), ad.vector_concepts(s, d))).select("alias", "line")
+
+
+def default_lists(s: SparkSession, d: str) -> DataFrame:
+    """Aliases and entities of segments of which some have no lists at all."""
+    seg = ad.segments(s, d)
+    seg = seg.withColumns({"aliases": F.when(F.col("ordinal") % 2 == 0, F.col("aliases")), "entities": F.when(F.col("ordinal") % 3 == 0, F.col("entities")), "source": F.when(F.col("doc_id") % 2 == 0, F.col("source"))})
+    return concepts.extract_aliases(seg)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         vec_topk, vec_topk_batch, vec_best_match, align_status, align_status_counts, align_outcomes, align_rerun_reset, alias_left_join, alias_needs_review, alias_search, concept_list, manual_assign, constraint_report,
         concept_extract, alias_extract, incremental_concepts, incremental_aliases, upsert_precedence, segment_store, segment_view, alias_display, dictionary_load, type_counts, alias_type_counts, embed_text, preview_200, content_clean, file_names, json_repair,
-        toc_parent, section_lookup, heading_normalise, split_h1, split_h2, skip_ranges, dict_match_counts, span_resolve, annotation_table, annotated_inline,
+        toc_parent, section_lookup, heading_normalise, split_h1, split_h2, skip_ranges, skip_offsets, dict_match_counts, span_resolve, annotation_table, annotated_inline, align_edges, align_rerun, judge_prompt, alias_lines,
+        default_lists,
     )
 }
 
@@ -260,7 +310,7 @@ ORACLES: dict[str, str] = {
     "preview_200": "SELECT doc_id, CASE WHEN length(text) > 200 THEN substr(text, 1, 200) || '...' ELSE text END AS preview FROM documents",
     "content_clean": f"SELECT doc_id, {ad.strip_sql(f"regexp_replace(text, '{_WS}+', ' ', 'g')")} AS content FROM documents",
     "file_names": r"""SELECT page_id, regexp_replace(regexp_replace(url, '[<>:"/\\|?*]', '_', 'g'), '^[. ]+|[. ]+$', '', 'g') AS file_name FROM pages""",
-    "json_repair": r"SELECT event_id, '\lim ' || event_type AS k FROM events",
+    "json_repair": r"""SELECT doc_id, '\lim ' || regexp_replace(coalesce(text, ''), '["\\\x00-\x20]+', '\\q', 'g') AS k FROM documents""",
     "toc_parent": f"{_TOC} SELECT * FROM tree",
     "section_lookup": f"""{_TOC}, s AS (SELECT 't ' || n_name AS section FROM nation UNION ALL SELECT c_name FROM customer UNION ALL SELECT s_name FROM supplier),
       t AS (SELECT title, min(id) AS id FROM tree GROUP BY title), u AS (SELECT number, min(id) AS id FROM tree WHERE number IS NOT NULL GROUP BY number)
@@ -275,12 +325,33 @@ ORACLES: dict[str, str] = {
       p AS (SELECT doc_id, piece, string_agg(line, chr(10) ORDER BY pos) || CASE WHEN piece < max(piece) OVER (PARTITION BY doc_id) THEN chr(10) ELSE '' END AS body FROM g GROUP BY doc_id, piece),
       t AS (SELECT *, split_part(body, chr(10), 1) AS head FROM p)
       SELECT doc_id, {ad.strip_sql(f"regexp_replace(head, '^##{_WS}+', '')")} AS title, regexp_replace(body, '^##{_WS}+', '# ') AS body FROM t WHERE regexp_matches(head, '^##{_WS}+.+$')""",
-    "dict_match_counts": f"WITH {ad.MATCHES_SQL} SELECT alias, count(*) AS n, sum(start + off)::BIGINT AS sum_start, count(DISTINCT doc_id) AS n_docs FROM pos JOIN inside USING (run) GROUP BY alias",
+    "dict_match_counts": f"WITH {ad.matches_sql('documents')} SELECT alias, count(*) AS n, sum(s)::BIGINT AS sum_start, count(DISTINCT doc_id) AS n_docs FROM m GROUP BY alias",
+    "skip_offsets": f'WITH {ad.MARKED_SQL}, {ad.SKIPS_SQL} SELECT doc_id, s AS start, e AS "end" FROM reg',
+    "span_resolve": f"""WITH {ad.SPANS_SQL} SELECT doc_id, count(s) AS n_spans, coalesce(sum(s), 0)::BIGINT AS starts, coalesce(sum(e), 0)::BIGINT AS ends FROM documents LEFT JOIN span USING (doc_id) GROUP BY doc_id""",
+    "annotation_table": f"WITH {ad.SPANS_SQL} SELECT doc_id, min(s) AS start, alias, concept_name, concept_id, alias_type, label, confidence FROM span GROUP BY ALL",
+    "annotated_inline": f"""WITH {ad.SPANS_SQL},
+      link AS (SELECT *, substr(mk.text, lag(e, 1, 0) OVER p + 1, s - lag(e, 1, 0) OVER p) || CASE WHEN alias = concept_name THEN '[[' || alias || ']]' ELSE '[[' || concept_name || '|' || alias || ']]' END AS part FROM span JOIN mk USING (doc_id) WINDOW p AS (PARTITION BY doc_id ORDER BY s)),
+      body AS (SELECT doc_id, string_agg(part, '' ORDER BY s) AS body, max(e) AS last FROM link GROUP BY doc_id),
+      entry AS (SELECT doc_id, min(s) AS s, printf('| `%s` | **%s** | %s | %s | %.3f |', alias, concept_name, concept_id, label, confidence) || chr(10) AS line FROM span GROUP BY doc_id, alias, concept_name, concept_id, label, confidence),
+      tab AS (SELECT doc_id, string_agg(line, '' ORDER BY s) AS lines FROM entry GROUP BY doc_id)
+      SELECT doc_id, CASE WHEN body IS NULL THEN text || '{annotate.NO_MATCH}' ELSE body || substr(text, last + 1) || '{annotate.TABLE_HEAD}' || lines END AS annotated FROM mk LEFT JOIN body USING (doc_id) LEFT JOIN tab USING (doc_id)""",
+    "align_edges": f"WITH {ad.EDGES_SQL} SELECT * FROM edges",
+    "align_rerun": f"WITH {ad.EDGES_SQL} SELECT * FROM edges",
+    "judge_prompt": f"{_VEC} SELECT alias, 'LLM:' || decision || '|' || substr(repeat(best, 60), 1, 300) AS llm_reason FROM judged WHERE similarity >= 0.3 AND alias_type <> 'alias'",
+    "alias_lines": f"""{_VEC} SELECT alias, CASE status WHEN 'auto_mapped' THEN '✓' WHEN 'llm_confirmed' THEN '✓' ELSE '?' END || ' ' || chr(39) || alias || chr(39) || ' (' || alias_type || ') ' || CASE WHEN x.concept_id IS NULL THEN '→ (无匹配)' ELSE '→ [' || x.concept_id || '] ' || c.name END
+      || ' [' || status || printf('] conf=%.3f', confidence) AS line FROM aligned x LEFT JOIN c USING (concept_id)""",
+    "default_lists": f"""WITH {ad.SEGMENTS_SQL},
+      seg2 AS (SELECT * REPLACE (CASE WHEN ordinal % 2 = 0 THEN aliases END AS aliases, CASE WHEN ordinal % 3 = 0 THEN entities END AS entities, CASE WHEN doc_id % 2 = 0 THEN source ELSE '' END AS source) FROM seg),{ad.ALIASES_SQL.replace("FROM seg", "FROM seg2")}
+      SELECT * FROM ali""",
     "skip_ranges": r"""SELECT doc_id, (len(regexp_extract_all(text, '(?s)```.*?```')) + len(regexp_extract_all(text, '(?s)\$\$.*?\$\$')) + len(regexp_extract_all(text, '`[^`]+`'))
       + len(regexp_extract_all(text, '\$[^$\n]+?\$')) + len(regexp_extract_all(text, '!\[.*?\]\(.*?\)')))::BIGINT AS n_skips FROM documents""",
 }
 
 
+QUERIES |= files.QUERIES
+ORACLES |= files.ORACLES
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
