@@ -164,17 +164,18 @@ def annotate(docs: DataFrame, dictionary: DataFrame, *, id_col: str = "doc_id",
     grouped = named.groupBy(key).agg(F.collect_list(F.struct(*[F.col(c).cast("int").alias(c) if c in ("start", "end") else F.col(c) for c in NAMES])).alias("raw"))
     joined = keyed.join(grouped, key, "left")
 
-    @F.pandas_udf("array<struct<start:int,end:int>>")
+    @F.pandas_udf("array<int>")
     def kept(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, starts, ends in batches:
-            yield pd.Series([[{"start": a, "end": b} for a, b in resolved_spans(t, lambda _, s=s, e=e: zip(s.tolist(), e.tolist(), strict=True))] if t and s is not None else [] for t, s, e in zip(texts, starts, ends, strict=True)], dtype=object)
+        for columns in batches:
+            out = []
+            for text, starts, ends in zip(*columns, strict=True):
+                at = {} if starts is None else {m: k for k, m in enumerate(zip(starts.tolist(), ends.tolist(), strict=True))}
+                out.append([at[m] for m in resolved_spans(text, lambda _, at=at: at)] if at else [])
+            yield pd.Series(out, dtype=object)
 
     raw = F.col("raw")
-    chosen = kept(F.col(text_col), F.transform(raw, lambda m: m["start"]), F.transform(raw, lambda m: m["end"]))
-    # kept spans don't overlap, so a start names a span
-    by_place = F.map_from_entries(F.transform(raw, lambda m: F.struct(F.struct(m["start"], m["end"]), m)))
-    done = joined.withColumn("__kept", chosen).withColumn("__by", by_place)
-    spans = F.when(F.size("__kept") > 0, F.transform("__kept", lambda k: F.element_at(F.col("__by"), k))).otherwise(F.array().cast(SPAN_LIST))
+    done = joined.withColumn("__kept", kept(F.col(text_col), F.transform(raw, lambda m: m["start"]), F.transform(raw, lambda m: m["end"])))
+    spans = F.when(F.size("__kept") > 0, F.transform("__kept", lambda k: F.get(raw, k))).otherwise(F.array().cast(SPAN_LIST))
     return done.withColumn("spans", spans).select(*docs.columns, "spans")
 
 
