@@ -19,6 +19,8 @@ their names. Empty tables give empty results. Only ASCII letters fold case.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -193,14 +195,15 @@ def _sql_pattern(pattern: str) -> str:
 
 def op8_sql() -> str:
     """DuckDB SQL with the result of op8_secret_scan."""
+    short = f"(length(g) BETWEEN {SHORT_LEAST} AND {SHORT_MOST} OR length(g) >= {SHORT_LEAST} AND regexp_matches(h, '^[pP]([wW][dD]|[aA][sS][sS])[\"'']?\\x20*[:=]'))"
     rules = [
         (0, ASSIGN, 2, f"length(g) >= {LEAST['assign']}"), (1, ACCESS, 0, f"length(g) >= {LEAST['access']}"), (2, HEX, 0, f"length(g) >= {LEAST['hex']}"), (3, IDENT, 0, "true"),
-        (4, SHORT, 1, f"length(g) BETWEEN {SHORT_LEAST} AND {SHORT_MOST}"), (4, BARE, 0, "regexp_matches(g, '[a-z]') AND regexp_matches(g, '[A-Z]') AND regexp_matches(g, '[0-9]')"), (5, ENDPOINT, 0, "true"),
+        (4, SHORT, 1, short), (4, BARE, 0, "regexp_matches(g, '[a-z]') AND regexp_matches(g, '[A-Z]') AND regexp_matches(g, '[0-9]')"), (5, ENDPOINT, 0, "true"),
     ]
     hits = " UNION ALL ".join(
-        f"SELECT r, text, {kind} AS kind, regexp_extract_all(text, '{p}') AS h, regexp_extract_all(text, '{p}', {group}) AS gs, string_split_regex(text, '{p}') AS pieces, "
-        f"list_transform(regexp_extract_all(text, '{p}', {group}), lambda g: {keep}) AS ok FROM d WHERE regexp_matches(text, '{p}')"
-        for kind, pattern, group, keep in rules
+        f"SELECT r, text, {kind} AS kind, regexp_extract_all(text, '{p}') AS h, string_split_regex(text, '{p}') AS pieces, "
+        f"list_transform(list_zip(regexp_extract_all(text, '{p}'), regexp_extract_all(text, '{p}', {group})), lambda z: {keep}) AS ok FROM d WHERE regexp_matches(text, '{p}')"
+        for kind, pattern, group, keep in ((k, p, g, re.sub(r"\b([gh])\b(?=[,)])", lambda m: "z[2]" if m[1] == "g" else "z[1]", c)) for k, p, g, c in rules)
         for p in (_sql_pattern(pattern),)
     )
     names = "[" + ", ".join(f"'{k}'" for k in KINDS) + "]"
