@@ -24,13 +24,12 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexatlas.functions.folds import gather
 from lexatlas.llm.common import columns, name, own, table
 
 KINDS = ("assign", "access", "hex", "ident", "weak", "endpoint")
 BASE = 3
 SCOPE = 200
-#: Chunk in which folds collect their output; appending costs a copy of what is appended to.
-CHUNK = 256
 
 #: The patterns of the base kinds, and the shortest match that counts (of group 2 for assign).
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -49,23 +48,6 @@ SHORT_KEPT = rf"""(?i)^(?:(?:pwd|pass)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{
 SPAN = "struct<start:int,kind:int,end:int>"
 
 
-def _gather(items: Column, state: dict[str, Column], step) -> Column:
-    """Fold items with a state of scalars; step(state, item) -> (new state, element). The array of elements, in order."""
-    def merge(s: Column, e: Column) -> Column:
-        new, out = step(s, e)
-        full = F.size(s["part"]) >= CHUNK
-        return F.struct(
-            *[new[k].alias(k) for k in state],
-            F.when(full, F.array(out)).otherwise(F.array_append(s["part"], out)).alias("part"),
-            F.when(full, F.array_append(s["whole"], s["part"])).otherwise(s["whole"]).alias("whole"),
-        )
-
-    def start(of: str) -> Column:
-        return F.struct(*[v.alias(k) for k, v in state.items()], F.array().cast(f"array<{of}>").alias("part"), F.array().cast(f"array<array<{of}>>").alias("whole"))
-
-    return lambda of: F.aggregate(items, start(of), merge, lambda s: F.flatten(F.array_append(s["whole"], s["part"])))
-
-
 def _spans(text: Column, hits: Column, pattern: str, kind: str, group: Column | None, keep) -> Column:
     """Where hits, all matches of pattern in text, lie: the pieces between them tell the offsets. Those stay whose group is kept."""
     gaps = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
@@ -77,7 +59,7 @@ def _spans(text: Column, hits: Column, pattern: str, kind: str, group: Column |
         begin = s["at"] + z["gap"]
         return {"at": begin + z["n"]}, F.struct(begin.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (begin + z["n"]).alias("end"), z["keep"].alias("keep"))
 
-    found = _gather(rows, {"at": F.lit(0)}, step)("struct<start:int,kind:int,end:int,keep:boolean>")
+    found = gather(rows, {"at": F.lit(0)}, step, "struct<start:int,kind:int,end:int,keep:boolean>")
     found = F.transform(F.filter(found, lambda x: x["keep"]), lambda x: F.struct(x["start"], x["kind"], x["end"]))
     return F.when(F.exists(shown, keep), found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
@@ -102,7 +84,7 @@ def _linked(spans: Column, scope: int) -> Column:
             }
             return new, seen
 
-        return _gather(items, {"ident": none, "secret": none, "base": none}, step)("struct<start:int,kind:int,end:int,id:boolean,se:boolean,over:boolean>")
+        return gather(items, {"ident": none, "secret": none, "base": none}, step, "struct<start:int,kind:int,end:int,id:boolean,se:boolean,over:boolean>")
 
     flagged = F.transform(F.array_sort(spans), lambda x: F.struct(x["start"], x["kind"], x["end"], F.lit(False).alias("id"), F.lit(False).alias("se"), F.lit(False).alias("over")))
     both = sweep(F.reverse(sweep(flagged, True)), False)
@@ -161,7 +143,7 @@ def redact(docs: DataFrame, *, text_col: str = "text", mark: str = "[SECRET]", s
         return {"end": F.greatest(s["end"], e["end"])}, F.when(fresh | (s["end"] == 0), F.concat(gap, F.lit(mark))).otherwise(gap)
 
     last = F.array_max(F.transform(spans, lambda x: x["end"]))
-    cut = F.concat(F.array_join(_gather(F.col(spans), {"end": F.lit(0)}, step)("string"), ""), F.substring(text, last + 1, F.lit(2**30)))
+    cut = F.concat(F.array_join(gather(F.col(spans), {"end": F.lit(0)}, step, "string"), ""), F.substring(text, last + 1, F.lit(2**30)))
     clean = F.when(F.size(spans) > 0, cut).otherwise(text)
     return found.select(*[clean.alias(c) if c == text_col else F.col(name(c)) for c in docs.columns])
 
