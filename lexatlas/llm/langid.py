@@ -53,7 +53,7 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(c.isalpha() for c in text)
 
 
-def grams(text: str, lengths=LENGTHS, block: int = 1 << 20) -> Iterator[tuple[int, np.ndarray]]:
+def grams(text: str, lengths=LENGTHS, block: int = 1 << 18) -> Iterator[tuple[int, np.ndarray]]:
     """(length, 64-bit values of all n-grams of that length) of a text: letters in lower case, each run of others as one space.
 
     Long texts come in blocks that overlap by the longest length, so every n-gram comes once.
