@@ -12,6 +12,7 @@ there are within 4 bits, and any two within 4 bits meet at some key, so a star p
 distance the balls of the next even one are taken; as two that meet can then be a bit too far, each cell is tried breadth-first.
 A cell has 1,600 fingerprints at most.
 Components of the links come from distributed star rounds; no list of links or fingerprints reaches the driver.
+Where rows meet a key, a fingerprint or the centre of a component that holds a large part of them, they are dealt to several tasks.
 
 Edge cases: a null or empty text has fingerprint zero and is linked like any other. Copies share a fingerprint, one node. Null ids
 come after all others: a component of null ids only has a null component_id. Other columns may have any names. Empty tables
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from lexatlas.llm.common import columns, name, own, ready_python, staged, table
 from lexatlas.llm.components import components
+from lexatlas.llm.uneven import HOT_ROWS, hot_keys, hot_of, join_dealt, key_hash
 
 SHINGLE, SEED, MAX_DISTANCE = 4, 42, 4
 #: So many fingerprints at one key are compared in one task, 8 bytes each.
@@ -108,7 +110,7 @@ def _forest(max_distance: int):
     return run
 
 
-def hamming_links(fps: DataFrame, max_distance: int = MAX_DISTANCE, group_most: int = GROUP_MOST) -> DataFrame:
+def hamming_links(fps: DataFrame, max_distance: int = MAX_DISTANCE, group_most: int = GROUP_MOST, hot_rows: int = HOT_ROWS) -> DataFrame:
     """fps: distinct 64-bit values in column fp. Edges (a, b) that connect just what links of max_distance or fewer bits connect."""
     if max_distance > 4:
         raise ValueError("two segments with balls of one bit find distances of 4 bits at most")
@@ -131,7 +133,8 @@ def hamming_links(fps: DataFrame, max_distance: int = MAX_DISTANCE, group_most:
     bits = F.broadcast(bits.groupBy("word").agg(F.bit_or("bit").alias("bits")))  # FILTER_BITS / 64 rows at most
     maybe = meet.withColumn("slot", slot).join(bits, F.floor(F.col("slot") / 64) == F.col("word"))
     maybe = maybe.where(F.call_function("shiftright", F.col("bits"), (F.col("slot") % 64).cast("int")).bitwiseAND(F.lit(1)) == 1).select("fp", "key")
-    more = staged(maybe.join(several, "key"), "simhash-groups")
+    hot_key = hot_of(several.select(key_hash(["key"]).alias("h"), "n"), hot_rows)
+    more = staged(join_dealt(maybe, several.withColumnRenamed("key", "at"), {"key": "at"}, hot_key, by=["fp"]).drop("at"), "simhash-groups")
     groups = more.where(F.col("n") <= group_most).groupBy("key").agg(F.collect_list("fp").alias("members"))
     links = links.unionByName(groups.select("members").mapInArrow(_forest(max_distance), "a long, b long"))
 
@@ -153,24 +156,26 @@ def hamming_links(fps: DataFrame, max_distance: int = MAX_DISTANCE, group_most:
     return links.distinct()
 
 
-def simhash_classes(rows: DataFrame, max_distance: int = MAX_DISTANCE, group_most: int = GROUP_MOST) -> DataFrame:
+def simhash_classes(rows: DataFrame, max_distance: int = MAX_DISTANCE, group_most: int = GROUP_MOST, hot_rows: int = HOT_ROWS) -> DataFrame:
     """rows (doc_id, fp) -> one row per fingerprint: fp, component_id, keeper (the fingerprint of the row with that id), keepers
     (how many rows have that id and that fingerprint)."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
     each = rows.groupBy("fp", "doc_id").agg(F.count(F.lit(1)).alias("n"))
     nodes = staged(each.groupBy("fp").agg(F.min(F.struct(order.alias("o"), "n")).alias("least")), "simhash-nodes")
-    label = components(hamming_links(nodes.select("fp"), max_distance, group_most)).withColumnRenamed("node", "fp")
+    label = components(hamming_links(nodes.select("fp"), max_distance, group_most, hot_rows), hot_rows).withColumnRenamed("node", "fp")
     labelled = nodes.join(label, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     labelled = staged(labelled, "simhash-labels")
     heads = labelled.groupBy("component").agg(F.min(F.struct("least.o", "fp", "least.n")).alias("head"))
-    return labelled.join(heads, "component").select("fp", F.col("head.o.doc_id").alias("component_id"), F.col("head.fp").alias("keeper"), F.col("head.n").alias("keepers"))
+    found = join_dealt(labelled, heads.withColumnRenamed("component", "at"), {"component": "at"}, hot_keys(labelled, ["component"], hot_rows), by=["fp"])
+    return found.select("fp", F.col("head.o.doc_id").alias("component_id"), F.col("head.fp").alias("keeper"), F.col("head.n").alias("keepers"))
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED, max_distance: int = MAX_DISTANCE, group_most: int = GROUP_MOST) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED, max_distance: int = MAX_DISTANCE, group_most: int = GROUP_MOST, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per row of docs: doc_id, fp, component_id (the smallest id that its fingerprint reaches, its own included)."""
     rows = with_fingerprint(docs.select(F.col(name(id_col)).alias("doc_id"), F.col(name(text_col)).alias("text")), "text", "fp", shingle, seed).select("doc_id", "fp")
     rows = staged(rows, "simhash-rows")
-    return rows.join(simhash_classes(rows, max_distance, group_most).select("fp", "component_id"), "fp")
+    classes = simhash_classes(rows, max_distance, group_most, hot_rows).select(F.col("fp").alias("at"), "component_id")
+    return join_dealt(rows, classes, {"fp": "at"}, hot_keys(rows, ["fp"], hot_rows)).drop("at")
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -180,7 +185,8 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     marked = staged(with_fingerprint(docs, text_col, f"{x}fp", **shingle), "simhash-docs")
     classes = simhash_classes(marked.select(F.col(name(id_col)).alias("doc_id"), F.col(f"{x}fp").alias("fp")), **options)
     heads = classes.where("fp = keeper").select(F.col("component_id").alias(f"{x}id"), F.col("keeper").alias(f"{x}keeper"), F.col("keepers").alias(f"{x}n"))
-    kept = marked.join(heads, (F.col(f"{x}fp") == F.col(f"{x}keeper")) & F.col(name(id_col)).eqNullSafe(F.col(f"{x}id")))
+    on = {f"{x}fp": f"{x}keeper", id_col: f"{x}id"}
+    kept = join_dealt(marked, heads, on, hot_keys(marked, list(on), options.get("hot_rows", HOT_ROWS)))
     several = kept.where(F.col(f"{x}n") > 1).groupBy(f"{x}fp").agg(F.min_by(F.struct(*all_columns), F.xxhash64(*all_columns)).alias("one")).select("one.*")
     return kept.where(F.col(f"{x}n") == 1).select(*all_columns).unionByName(several)
 
