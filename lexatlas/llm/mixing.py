@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from lexatlas.functions.numbering import dense_numbers
 from lexatlas.llm.common import WORD, columns, let, name, own, staged, table, unit
+from lexatlas.llm.uneven import HOT_ROWS, hot_keys, hot_of, join_dealt, key_hash
 
 #: Rows in a block of the tree: its fan-in.
 FAN_IN = 128
@@ -29,6 +30,8 @@ PART_BITS = 16
 #: A probability this near to 0 or 1 is taken as integral.
 EPS = 1e-9
 ITEM = ("size", "doc_id", "th", "rows", "base", "p", "u")
+#: Tables by source of so many rows and so many bytes a name are broadcast, larger ones meet the items of a hot source in parts.
+FEW_SOURCES, SHORT_NAME = 10_000, 512
 
 
 def exact(mass: Column | str) -> Column:
@@ -106,7 +109,16 @@ def _fold(items: Column, id_type: str) -> Column:
     return F.aggregate(items, start, exchange)
 
 
-def _tree(loose: DataFrame, seed: int, tag: str) -> tuple[DataFrame | None, DataFrame]:
+def with_source(items: DataFrame, stats: DataFrame, few: int = FEW_SOURCES, hot_rows: int = HOT_ROWS):
+    """A join of items or some of them with a table of one row per source, whose key column is s and is dropped."""
+    r = stats.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.octet_length(F.col("source").cast("string"))), F.lit(0)).alias("name")).first()
+    if r["n"] <= few and r["name"] <= SHORT_NAME:
+        return lambda rows, keyed, how="inner": rows.join(F.broadcast(keyed), F.col("source").eqNullSafe(F.col("s")), how).drop("s")
+    hot = hot_keys(items, ["source"], hot_rows)
+    return lambda rows, keyed, how="inner": join_dealt(rows, keyed, {"source": "s"}, hot, how, by=["doc_id", "th"]).drop("s")
+
+
+def _tree(loose: DataFrame, seed: int, tag: str, by_source) -> tuple[DataFrame | None, DataFrame]:
     """Fold the items of each source in a tree of blocks: settled items with copies, and at most one residual item a source."""
     id_type = loose.schema["doc_id"].dataType.simpleString()
     key = [F.lit(seed), F.col("doc_id"), F.col("source"), F.col("th")]
@@ -115,7 +127,7 @@ def _tree(loose: DataFrame, seed: int, tag: str) -> tuple[DataFrame | None, Data
     if not most:
         return None, loose
     blocks, out = blocks.withColumnRenamed("source", "s"), None
-    loose = loose.join(blocks, F.col("source").eqNullSafe(F.col("s"))).withColumn("block", F.pmod(F.xxhash64(F.lit("block"), *key), F.col("blocks"))).drop("s", "blocks")
+    loose = by_source(loose, blocks).withColumn("block", F.pmod(F.xxhash64(F.lit("block"), *key), F.col("blocks"))).drop("blocks")
     levels = 1 + sum(FAN_IN**k < most for k in range(20))
     for level in range(levels):
         struct = F.struct(*[unit(F.lit(tag), F.lit(level), *key).alias("u") if c == "u" else F.col(c) for c in ITEM])
@@ -127,7 +139,7 @@ def _tree(loose: DataFrame, seed: int, tag: str) -> tuple[DataFrame | None, Data
     return out, loose.drop("block")
 
 
-def settled_items(items: DataFrame, seed: int) -> DataFrame:
+def settled_items(items: DataFrame, seed: int, by_source) -> DataFrame:
     """source, size, doc_id, th, rows, base, p -> source, size, doc_id, th, rows, copies of all the rows together.
 
     Items above their source's mean size are folded first. Their residual is settled by its odds, and the mass so gained or lost
@@ -139,36 +151,36 @@ def settled_items(items: DataFrame, seed: int) -> DataFrame:
     out = items.where(~is_loose).select(*head, (F.col("base") + F.round("p").cast("long")).alias("copies"))
     loose = items.where(is_loose)
     mean = loose.groupBy(F.col("source").alias("s")).agg(F.avg("size").alias("mean"))
-    loose = staged(loose.join(mean, F.col("source").eqNullSafe(F.col("s"))).withColumn("large", F.col("size") > F.col("mean")).drop("s", "mean"), "pivot-items")
+    loose = staged(by_source(loose, mean).withColumn("large", F.col("size") > F.col("mean")).drop("mean"), "pivot-items")
     key = [F.lit(seed), F.col("doc_id"), F.col("source"), F.col("th")]
     x = F.when(unit(F.lit("last"), *key) < F.col("p"), 1).otherwise(0)
-    large, rest = _tree(loose.where("large").drop("large"), seed, "large")
+    large, rest = _tree(loose.where("large").drop("large"), seed, "large", by_source)
     small = loose.where("not large").drop("large")
     if large is not None:
-        rest = staged(rest.withColumn("x", x).coalesce(1), "pivot-rest")
+        rest = staged(rest.withColumn("x", x), "pivot-rest")
         out = out.unionByName(large).unionByName(rest.select(*head, (F.col("base") + F.col("x")).alias("copies")))
         owed = rest.select(F.col("source").alias("s"), ((F.col("p") - F.col("x")) * F.col("size")).alias("owed"))
         room = small.groupBy(F.col("source").alias("r")).agg(exact((1 - F.col("p")) * F.col("size")).alias("up"), exact(F.col("p") * F.col("size")).alias("down"))
         share = room.join(owed, F.col("r").eqNullSafe(F.col("s"))).select("s", F.least(F.col("owed") / F.col("up"), F.lit(1.0)).alias("g"), F.least(-F.col("owed") / F.col("down"), F.lit(1.0)).alias("l"))
-        small = small.join(staged(share.coalesce(1), "pivot-share"), F.col("source").eqNullSafe(F.col("s")), "left")
-        small = small.withColumn("p", F.when(F.col("g") > 0, F.col("p") + (1 - F.col("p")) * F.col("g")).when(F.col("l") > 0, F.col("p") * (1 - F.col("l"))).otherwise(F.col("p"))).drop("s", "g", "l")
+        small = by_source(small, staged(share, "pivot-share"), "left")
+        small = small.withColumn("p", F.when(F.col("g") > 0, F.col("p") + (1 - F.col("p")) * F.col("g")).when(F.col("l") > 0, F.col("p") * (1 - F.col("l"))).otherwise(F.col("p"))).drop("g", "l")
         out = out.unionByName(small.where(~is_loose).select(*head, (F.col("base") + F.round("p").cast("long")).alias("copies")))
         small = small.where(is_loose)
-    done, rest = _tree(small, seed, "small")
+    done, rest = _tree(small, seed, "small", by_source)
     if done is not None:
         out = out.unionByName(done).unionByName(rest.select(*head, (F.col("base") + x).alias("copies")))
     return out
 
 
-def mix_items(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights=(5.0, 2.0, 1.0), cap: float = 3.0, share: float = 1.0, seed: int = 17) -> DataFrame:
+def mix_items(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights=(5.0, 2.0, 1.0), cap: float = 3.0, share: float = 1.0, seed: int = 17, few: int = FEW_SOURCES, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per distinct (id, source, text): doc_id, source, size, th (hash of the text), rows, copies (of all these rows
     together), source_size, target, ratio."""
     rows = docs.select(F.col(name(id_col)).alias("doc_id"), F.col(name(source_col)).alias("source"), word_count(F.col(name(text_col))).alias("size"), F.xxhash64(F.col(name(text_col))).alias("th"))
     items = staged(rows.groupBy("doc_id", "source", "size", "th").agg(F.count(F.lit(1)).alias("rows")), "mix-items")
     stats = items.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))
-    stats = staged(source_targets(stats, weights, cap, share).coalesce(1), "mix-targets")
-    s = stats.withColumnRenamed("source", "s")
-    placed = items.join(s, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    stats = staged(source_targets(stats, weights, cap, share), "mix-targets")
+    by_source, s = with_source(items, stats, few, hot_rows), stats.withColumnRenamed("source", "s")
+    placed = by_source(items, s)
     whole = F.floor("ratio")
     part = F.col("rows") * (F.col("ratio") - whole)
     near = F.floor(part + EPS)
@@ -176,8 +188,7 @@ def mix_items(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "sou
     placed = placed.withColumns(
         {"base": F.when(zero, F.col("rows")).otherwise(F.col("rows") * whole + near).cast("long"), "p": F.when(zero, 0.0).otherwise(F.greatest(part - near, F.lit(0.0)))}
     )
-    done = settled_items(placed.select("source", "size", "doc_id", "th", "rows", "base", "p"), seed)
-    return done.join(s, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    return by_source(settled_items(placed.select("source", "size", "doc_id", "th", "rows", "base", "p"), seed, by_source), s)
 
 
 def mix_sizes(docs: DataFrame, **options) -> DataFrame:
@@ -197,16 +208,18 @@ def mix_documents(docs: DataFrame, *, id_col: str = "doc_id", source_col: str =
     m = mix_items(docs, id_col=id_col, source_col=source_col, text_col=text_col, **options)
     m = staged(m.select(*[F.col(c).alias(x + c) for c in ("doc_id", "source", "th", "rows", "copies")]), "mix-copies")
     d = docs.withColumn(f"{x}h", F.xxhash64(F.col(name(text_col))))
-    on = F.col(name(id_col)).eqNullSafe(F.col(f"{x}doc_id")) & F.col(name(source_col)).eqNullSafe(F.col(f"{x}source")) & (F.col(f"{x}h") == F.col(f"{x}th"))
+    on = {id_col: f"{x}doc_id", source_col: f"{x}source", f"{x}h": f"{x}th"}
     rows, copies = F.col(f"{x}rows"), F.col(f"{x}copies")
-    joined = d.join(m, on)
+    # repeated rows that are a large part of all meet their item in several tasks
+    hot = hot_of(m.select(key_hash(list(on.values())).alias("h"), rows.alias("n")), options.get("hot_rows", HOT_ROWS))
+    joined = join_dealt(d, m, on, hot)
     both = joined.where(rows == 1)
     if not m.where(rows > 1).isEmpty():
         # rows alike in id, source and text share their copies: they are laid down in parts by where they were read, so that any number of
         # them is no single task's, and the parts are counted
         key = [f"{x}doc_id", f"{x}source", f"{x}th"]
         at = d.withColumn(f"{x}part", F.shiftright(F.monotonically_increasing_id(), PART_BITS))
-        many = staged(at.join(m.where(rows > 1), on), "mix-repeated")
+        many = staged(join_dealt(at, m.where(rows > 1), on, hot), "mix-repeated")
         parts = many.groupBy(*key, f"{x}part").agg(F.count(F.lit(1)).alias(f"{x}n"))
         before = F.coalesce(F.sum(f"{x}n").over(W.partitionBy(*key).orderBy(f"{x}part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
         parts = staged(parts.select(*[F.col(c).alias(f"{c}_") for c in (*key, f"{x}part")], before.alias(f"{x}before")), "mix-parts")
