@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexatlas.llm.common import columns, name, own, ready_python, staged, table
+from lexatlas.llm.uneven import HOT_ROWS, hot_keys, join_dealt
 
 TOKEN = re.compile(
     r"""<!--(?P<comment>.*?)(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?>[^>"']+|"[^"]*"|'[^']*')*+|[^>]*)(?:>|\Z)""",
@@ -317,9 +318,8 @@ def page_key(html: Column) -> Column:
     return F.sha2(F.coalesce(html.cast("string"), F.lit("")).cast("binary"), 256)
 
 
-def page_paths(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """host, page, path: for each distinct page (by its key) of a host the path, by its digest, that has the most votes of those it has
-    text at."""
+def page_votes(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """One row per page: host, page (its key), vote, have, kind (see vote)."""
     ready_python(pages.sparkSession)
 
     @F.pandas_udf("vote binary, have array<binary>, kind binary")
@@ -329,27 +329,37 @@ def page_paths(pages: DataFrame, *, url_col: str = "url", html_col: str = "html"
 
     html = F.col(name(html_col))
     seen = pages.select(host(F.col(name(url_col))).alias("host"), page_key(html).alias("page"), voted(html.cast("string")).alias("v"))
-    seen = staged(seen.select("host", "page", "v.*"), "page-votes")
+    return staged(seen.select("host", "page", "v.*"), "page-votes")
+
+
+def page_paths(seen: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """host, page, path: for each distinct page (by its key) of a host the path, by its digest, that has the most votes of those it has
+    text at. seen: the pages' votes."""
     votes = seen.where("vote is not null").groupBy("host", "vote").agg(F.count(F.lit(1)).alias("votes"))
     # pages of a template have the same paths: each set of paths is looked up once. A path that many sets of a host share is dealt by salts.
     kinds = seen.groupBy("host", "kind").agg(F.first("have").alias("have")).select("host", "kind", F.pmod(F.xxhash64("kind"), F.lit(SALTS)).alias("salt"), F.explode("have").alias("vote"))
     votes = votes.select("host", "vote", "votes", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
     best = kinds.join(votes, ["host", "vote", "salt"]).groupBy("host", "kind").agg(F.min(F.struct((-F.col("votes")).alias("k"), "vote")).alias("best"))
-    return seen.select("host", "page", "kind").distinct().join(best, ["host", "kind"]).select("host", "page", F.col("best.vote").alias("path"))
+    best = best.select(F.col("host").alias("h"), F.col("kind").alias("k"), F.col("best.vote").alias("path"))
+    # a template that a large part of all pages has meets its path in several tasks
+    pages = seen.select("host", "page", "kind").distinct()
+    return join_dealt(pages, best, {"host": "h", "kind": "k"}, hot_keys(seen, ["host", "kind"], hot_rows), by=["page"]).select("host", "page", "path")
 
 
-def main_texts(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:
+def main_texts(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", hot_rows: int = HOT_ROWS) -> DataFrame:
     """pages with `main` (which replaces a column of that name): struct(text, path)."""
     x, kept = own(pages), [c for c in pages.columns if c.lower() != "main"]
-    won = staged(page_paths(pages, url_col=url_col, html_col=html_col), "page-paths")
-    won = won.select(*[F.col(c).alias(f"{x}{c}") for c in ("host", "page", "path")])
+    seen = page_votes(pages, url_col=url_col, html_col=html_col)
+    won = staged(page_paths(seen, hot_rows), "page-paths")
+    won = won.select(F.col("host").alias(f"{x}won_host"), F.col("page").alias(f"{x}won_page"), F.col("path").alias(f"{x}path"))
 
     @F.pandas_udf("text string, path string")
     def extracted(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for html, paths in batches:
             yield pd.DataFrame([extract(h, p) for h, p in zip(html, paths, strict=True)], columns=["text", "path"])
 
-    d = pages.withColumns({f"{x}host": host(F.col(name(url_col))), f"{x}page": page_key(F.col(name(html_col)))}).join(won, [f"{x}host", f"{x}page"], "left")
+    d = pages.withColumns({f"{x}host": host(F.col(name(url_col))), f"{x}page": page_key(F.col(name(html_col)))})
+    d = join_dealt(d, won, {f"{x}host": f"{x}won_host", f"{x}page": f"{x}won_page"}, hot_keys(seen, ["host", "page"], hot_rows), "left")
     d = d.withColumn(f"{x}main", extracted(F.col(name(html_col)).cast("string"), F.col(f"{x}path")))
     return d.select(*columns(kept), F.col(f"{x}main").alias("main"))
 
