@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lexatlas.llm.bpe import op9_bpe_round_trip
+from lexatlas.llm.clustering import OP13_SQL, op13_centroid_clusters
 from lexatlas.llm.htmltext import op6_html_text
 from lexatlas.llm.langid import op10_language_id
 from lexatlas.llm.media import op2_media_tiles
 from lexatlas.llm.mixing import op1_mix_sources
+from lexatlas.llm.phrases import OP12_SQL, op12_phrases
+from lexatlas.llm.quality import op11_quality
 from lexatlas.llm.secrets import op8_secret_scan, op8_sql
 from lexatlas.llm.simhash import op3_simhash_dedup
 from lexatlas.llm.tokenbin import op4_token_store
@@ -30,6 +33,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": op8_secret_scan,
         "op9_bpe_round_trip": op9_bpe_round_trip,
         "op10_language_id": op10_language_id,
+        "op11_quality": op11_quality,
+        "op12_phrases": op12_phrases,
+        "op13_centroid_clusters": op13_centroid_clusters,
     }
 
 
@@ -38,4 +44,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_warc_revisits": OP5_SQL,
         "op7_top_products": OP7_SQL,
         "op8_secret_scan": op8_sql(),
+        "op12_phrases": OP12_SQL,
+        "op13_centroid_clusters": OP13_SQL,
     }
