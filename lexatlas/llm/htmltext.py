@@ -10,7 +10,9 @@ own choice, so that no page is lost.
 
 In the chosen container, menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left
 out, known by tag, role, class or id; hidden elements too. A class or id is one of these if all its words are: `cookie-notice` and
-`site-nav` are, `notice-board` and `long-form` aren't. A form that holds the article or main element stays. Character references are
+`site-nav` are, `notice-board` and `long-form` aren't. Whether a piece of text is left out is told where it stands, so an element in a line takes
+only its own text with it. A form that holds the article or main element stays. Reader comments are also known by their form: two or more
+boxes of one class side by side, outside an article element, each with an author or a date, below text that is longer than such a box. Character references are
 decoded, white space inside a block becomes one space, blocks are joined in page order by a line break. Nothing else is dropped,
 whatever its length.
 
@@ -25,7 +27,7 @@ unread and may have any names.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -68,6 +70,8 @@ PLACES = frozenset(
     "area article articles bar block bottom box button buttons by center container content entry global group header holder icon icons inner item items left link links list main middle outer page pages panel post posts"
     " primary reader readers right row secondary section side site slot sticky stories story top unit user wrap wrapper".split()
 )
+#: Words of a class that says who wrote a box, or when.
+MARKERS = frozenset("author user username avatar commenter date datetime timestamp posted published ago".split())
 #: Parts in which the votes of a host are looked up.
 SALTS = 16
 HEADER_PLACES = frozenset("site page main global top".split())
@@ -88,6 +92,11 @@ def names_header(token: str) -> bool:
     return words[-1:] == ["header"] and all(w in HEADER_PLACES for w in words[:-1])
 
 
+@lru_cache(1 << 16)
+def names_marker(token: str) -> bool:
+    return any(w in MARKERS for w in re.findall(r"[a-z]+", token.lower()))
+
+
 def digest(parent: bytes, step: str) -> bytes:
     """The digest of a path: of its parent's digest and its last step."""
     return md5(parent + step.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()
@@ -106,6 +115,8 @@ class Page:
         self.steps: list[tuple[int, str]] = []  # a path's parent and last step
         self.digests: list[bytes] = []
         self.blocks: list[tuple[int, str, int, bool]] = []
+        self.marks: list[int] = []  # elements outside articles that tell an author or a date
+        self.plain: list[bool] = []  # whether an element is outside articles
         self._numbers: dict[tuple[int, str], int] = {}
         self._read(html)
 
@@ -129,20 +140,24 @@ class Page:
         around: list[int] = []  # elements that are left out around each block
         out: list[int] = []
         gone: list[bool] = []
-        parts: list[str] = []
-        plain = 0
+        parts: list[tuple[str, bool, tuple[bool, int]]] = []  # text, whether in a link, whether left out and by which form if by a form only
         at, n = 0, len(html)
         kept_forms: set[int] = set()
+        endless: set[str] = set()  # raw elements that nothing ends any more
+
+        def add(text: str) -> None:
+            parts.append((text, open_tags["a"] > 0, (bool(out), out[0] if len(out) == 1 and self.tags[out[0]] == "form" else -1)))
 
         def flush() -> None:
-            nonlocal plain
-            if parts:
-                text = " ".join("".join(parts).split())
+            kinds: dict[tuple[bool, int], list[tuple[str, bool]]] = {}
+            for t, linked, kind in parts:
+                kinds.setdefault(kind, []).append((t, linked))
+            for kind, here in kinds.items():
+                text = " ".join("".join(t for t, _ in here).split())
                 if text:
-                    self.blocks.append((stack[-1] if stack else -1, text, plain, bool(out)))
-                    around.append(out[0] if len(out) == 1 else -1)
-                parts.clear()
-                plain = 0
+                    self.blocks.append((stack[-1] if stack else -1, text, sum(len(t) for t, linked in here if not linked), kind[0]))
+                    around.append(kind[1])
+            parts.clear()
 
         def pop() -> None:
             nonlocal foreign
@@ -158,9 +173,7 @@ class Page:
 
         for m in iter(lambda: TOKEN.search(html, at), None):
             if m.start() > at:
-                text = unescape(html[at : m.start()])
-                parts.append(text)
-                plain += 0 if open_tags["a"] else len(text)
+                add(unescape(html[at : m.start()]))
             at = max(m.end(), m.start() + 1)
             if end := m["end"]:
                 end = end.lower()
@@ -175,7 +188,11 @@ class Page:
             elif tag := m["tag"]:
                 tag = tag.lower()
                 if tag in RAW and tag != "head":
-                    shut = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at) if not m["attrs"].endswith("/") else None
+                    shut = None
+                    if not m["attrs"].endswith("/") and tag not in endless:
+                        shut = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
+                        if not shut:
+                            endless.add(tag)
                     if shut:
                         at = shut.end()
                     elif tag in TEXTLESS:
@@ -218,6 +235,9 @@ class Page:
                     bad = False
                 if main and not bad and len(out) == 1 and self.tags[out[0]] == "form":
                     kept_forms.add(out[0])
+                self.plain.append(not open_tags["article"] and not main)
+                if self.plain[-1] and (tag == "time" or any(map(names_marker, known))):
+                    self.marks.append(me)
                 gone.append(bad)
                 if bad:
                     out.append(me)
@@ -227,14 +247,61 @@ class Page:
                     marks.append(len(stack))
                 stack.append(me)
         if at < n:
-            text = unescape(html[at:])
-            parts.append(text)
-            plain += 0 if open_tags["a"] else len(text)
+            add(unescape(html[at:]))
         flush()
         while stack:
             pop()
         if kept_forms:
             self.blocks = [(k, t, p, left_out and by not in kept_forms) for (k, t, p, left_out), by in zip(self.blocks, around, strict=True)]
+        if self.marks:
+            self._leave_comments()
+
+    def _above(self, elements) -> set[int]:
+        """These elements and all around them."""
+        seen: set[int] = set()
+        for k in elements:
+            while k >= 0 and k not in seen:
+                seen.add(k)
+                k = self.ups[k]
+        return seen
+
+    def _leave_comments(self) -> None:
+        """Leave out boxes of one class side by side that all have text and an author or a date, below longer text."""
+        marked, full = self._above(self.marks), self._above(k for k, _, plain, left_out in self.blocks if plain and not left_out)
+        alike: dict[tuple[int, int], list[int]] = {}
+        for k in sorted(marked & full):
+            if self.plain[k] and (self.tags[k] == "li" or "." in self.steps[self.path[k]][1]) and self.tags[k] != "body":
+                alike.setdefault((self.ups[k], self.path[k]), []).append(k)
+        groups = {key: boxes for key, boxes in alike.items() if len(boxes) > 1}
+        if not groups:
+            return
+        known = Counter((self.ups[k], self.path[k]) for k in full)
+        # blocks come as their elements end; in the order of elements those of one element are a range
+        place = sorted(range(len(self.blocks)), key=lambda j: self.blocks[j][0])
+        order, before = [self.blocks[j][0] for j in place], [0]
+        for j in place:
+            before.append(before[-1] + (0 if self.blocks[j][3] else self.blocks[j][2]))
+
+        def length(k: int) -> int:
+            return before[bisect_left(order, self.ends[k])] - before[bisect_left(order, k)]
+
+        gone: list[tuple[int, int]] = []
+        for (up, path), boxes in sorted(groups.items(), key=lambda g: g[1][0]):
+            if known[up, path] != len(boxes) or gone and boxes[0] < gone[-1][1]:
+                continue
+            size = sum(map(length, boxes)) / len(boxes)
+            above = before[bisect_left(order, boxes[0])]
+            if above <= size:
+                continue
+            inside = above - before[bisect_left(order, up)] if up >= 0 else above
+            gone += [(up, self.ends[up])] if up >= 0 and inside <= size and above - inside > size and self.plain[up] and self.tags[up] not in ("body", "html", "main") else [(k, self.ends[k]) for k in boxes]
+        begins = [a for a, _ in gone]
+
+        def within(k: int) -> bool:
+            at = bisect_right(begins, k) - 1
+            return at >= 0 and k < gone[at][1]
+
+        self.blocks = [(k, t, p, left_out or within(k)) for k, t, p, left_out in self.blocks]
 
     def path_text(self, k: int) -> str:
         """The path of an element, for reading."""

@@ -1,6 +1,9 @@
 import re
+import time
 from html import unescape
 
+import pytest
+
 from lexatlas.llm import htmltext as ht
 from lexatlas.llm.queries import queries
 
@@ -154,3 +157,44 @@ def test_votes_equal_brute_force(spark):
     want = brute_texts(rows)
     assert [got[k] for k in range(len(rows))] == want
     assert sum(ht.extract(h, None)[0] != w for (_, h), w in zip(rows, want, strict=True)) > 10  # the vote decides for these
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ('<p>Good.</p>Loose good words <span class="share"><div>share me</div></span><p>end</p>', "Good.\nLoose good words\nend"),
+        ('<p>kept words <span class="share">x</p>', "kept words"),
+        ('<p>words before <a class="share">Share<br></a></p>', "words before"),
+        ('<p>Before <ins class="adsbygoogle">BUY NOW</ins> after</p>', "Before after"),
+        ('<p>Before <span class="ad">BUY NOW</span>after</p>', "Before after"),
+        ("<p>Before <b hidden>BUY</b> after</p>", "Before after"),
+        ('<form><span class="ad">no</span><article><p>a <i class="share">no</i>b</p></article></form>', "a b"),
+    ],
+)
+def test_left_out_in_a_line(html, text):
+    assert ht.extract(html, None)[0] == text
+
+
+def test_comments_by_their_form():
+    story = "<div class='story-body'><p>" + "The story goes on. " * 10 + "</p><p>And ends here.</p></div>"
+    box = "<div class='msg'><span class='user-name'>Ann</span><p>" + "I think so too. " * 9 + "</p></div>"
+    text = ("The story goes on. " * 10).strip() + "\nAnd ends here."
+    assert ht.extract(f"<body>{story}<div class='comment-thread'><h3>8 replies</h3>{box * 8}</div></body>", None)[0] == text
+    assert ht.extract(f"<body><div id=wrap>{story}{box * 8}</div></body>", None)[0] == text
+    # nothing longer above: a list of posts, an article's own parts
+    assert ht.extract(f"<body><div class='list'>{box * 4}</div></body>", None)[0].count("I think") == 36
+    assert ht.extract(f"<body><article>{story}{box * 3}</article></body>", None)[0].count("I think") == 27
+    # boxes that have no author or date
+    plain = box.replace("user-name", "lead")
+    assert ht.extract(f"<body><div id=wrap>{story}{plain * 8}</div></body>", None)[0].count("I think") == 72
+
+
+@pytest.mark.parametrize("piece", ["<option>a", "<iframe>a", "<template>x", "<select>b", "aa <span class=ad>b</span>", "<p>aa <span class=ad>b</span>", "<div class='x'><time>a</time>b"])
+def test_time_in_proportion(piece):
+    def seconds(n):
+        began = time.process_time()
+        ht.extract(piece * n, None)
+        return time.process_time() - began
+
+    seconds(1000)
+    assert seconds(80_000) < 12 * seconds(20_000) + 0.5  # four times, with room
