@@ -219,7 +219,7 @@ def media_tiles(df: DataFrame, *, media_col: str = "media", to: str = "tiles", t
             try:
                 image = decode(m.as_py()) if m.is_valid else None
                 out.append(None if image is None else cut(resized(image, *size) if size else image, tile))
-            except (ValueError, struct.error):
+            except (ValueError, OverflowError, struct.error):
                 out.append(None)
         return [out]
 
