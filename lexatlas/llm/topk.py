@@ -14,8 +14,8 @@ block is shipped once for QUERY_GROUP query blocks.
 
 Edge cases: vectors that are null, or hold null or non-finite components, take no part. Of vectors of different dimension the
 shorter one counts as filled up with zeros. A row with the query's own id is no candidate. Rows that repeat an id are candidates
-of their own; a query row that repeats has a result of its own. A null id is no query, and comes last among ties. Products beyond
-64 bits are out of scope (ValueError). Empty tables give empty results. Other columns may have any names.
+of their own; a query row that repeats has a result of its own. A null id is no query, and comes last among ties. Components and
+products beyond 64 bits count as the largest or smallest number of 64 bits. Empty tables give empty results. Other columns may have any names.
 """
 
 from __future__ import annotations
@@ -91,12 +91,12 @@ def _matrix(vectors: bytes, ids: bytes, dim: int, to: int) -> np.ndarray:
 
 
 def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact integer products: by doubles while they are exact, else by integers."""
+    """Exact integer products: by doubles while they are exact, else by integers; beyond 64 bits by integers of any size, then cut to the range."""
     most = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * q.shape[1]
     if most < 2**53:
         return (q.astype(float) @ c.astype(float).T).astype(np.int64)
     if most >= 2**63:
-        raise ValueError("products beyond 64 bits")
+        return np.clip(q.astype(object) @ c.astype(object).T, LOWEST + 1, NO_ID).astype(np.int64)
     return q.astype(np.int64) @ c.astype(np.int64).T
 
 

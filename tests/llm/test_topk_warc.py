@@ -35,6 +35,15 @@ def test_topk_random(spark, monkeypatch, block, spread):
     assert sorted(((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got), key=str) == brute_topk(rows, 20)
 
 
+def test_topk_of_very_large_components(spark):
+    rows = [(20, [1e18, 1.0]), (1, [1e18, 2.0]), (2, [1.0, 3.0]), (3, [-1e18, 0.0]), (40, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    most = 2**63 - 1
+    got = sorted(tuple(r) for r in topk.top_products(df.where("vec_id in (20, 40)"), df, 2).collect())
+    # floor(64 * 1e18) is the largest long; so is each product of it but the small row's, which is beyond the range too
+    assert got == [(20, 1, 1, most), (20, 2, 2, most), (40, 1, 2, 64 * 192), (40, 2, 1, 64 * 128)]
+
+
 def test_topk_of_little(spark):
     df = spark.createDataFrame([(20, [1.0, 2.0]), (1, [1.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in topk.top_products(df.where("vec_id = 20"), df, 20).collect()] == [(20, 1, 1, 4096)]
