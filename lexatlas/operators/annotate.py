@@ -1,8 +1,8 @@
 """Dictionary matching and annotation of markdown texts.
 
 A dictionary is a DataFrame (alias, concept_id, concept_name, alias_type, status, confidence). Two matchers find all occurrences of
-all aliases, overlapping ones included: `matches_automaton` runs an Aho-Corasick automaton over whole texts in Arrow batches, with
-dictionaries above CHUNK entries dealt to several automata; `matches_native` stays in the JVM for small dictionaries. Both give the
+all aliases, overlapping ones included: `matches_automaton` runs an Aho-Corasick automaton over whole texts in Arrow batches, and
+dictionaries above CHUNK entries go through an anchor index (see anchors); `matches_native` stays in the JVM for small dictionaries. Both give the
 same rows. Offsets are code points, ends exclusive.
 """
 
@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 
 from lexatlas.functions.numbering import first_rows
 from lexatlas.functions.text import SKIP, fixed, lookup
+from lexatlas.operators import anchors
 from lexatlas.schemas import CONFIRMED
 from lexatlas.workers import ready_python
 
-#: Aliases in one automaton.
-CHUNK = 20_000
+#: Aliases in one automaton, and their characters.
+CHUNK, CHARACTERS = 20_000, 1 << 22
 SPAN = "struct<start:int,end:int,alias:string,concept_id:string,concept_name:string,alias_type:string,status:string,confidence:double>"
 SPAN_LIST = f"array<{SPAN}>"
 _SKIP = [re.compile(p.removeprefix("(?d)")) for p in SKIP]
@@ -52,35 +53,38 @@ def finder(words: list[str]):
     return (lambda text: ((end + 1 - n, end + 1) for end, n in a.iter(text))) if words else lambda text: iter(())
 
 
+def few(words: DataFrame, word_col: str, chunk: int) -> list[str] | None:
+    """The words, if they are few and short enough for one automaton on every worker; else None."""
+    r = words.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length(word_col)), F.lit(0)).alias("size")).first()
+    return [w[0] for w in words.select(word_col).collect()] if r["n"] <= chunk and r["size"] <= CHARACTERS else None
+
+
+def keyed(docs: DataFrame, text_col: str, key: str) -> DataFrame:
+    """docs with `key`, a hash of the text: copies have one, a null text has none."""
+    return docs.withColumn(key, F.sha2(F.col(text_col).cast("binary"), 256))
+
+
 def matches_automaton(docs: DataFrame, words: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", word_col: str = "alias", chunk: int = CHUNK) -> DataFrame:
-    """id, alias, start, end of every occurrence. words: distinct non-empty strings. Each chunk of words is one automaton and one
-    pass over the texts; a worker holds one chunk."""
+    """id, alias, start, end of every occurrence. words: distinct non-empty strings. Up to `chunk` words are one automaton on every worker;
+    more go the way of the anchor index."""
     ready_python(docs.sparkSession)
-    n = max(1, -(-words.count() // chunk))
-    packs = words.select(F.pmod(F.xxhash64(word_col), F.lit(n)).alias("pack"), word_col).groupBy("pack").agg(F.sort_array(F.collect_list(word_col)).alias("words"))
     id_type = docs.schema[id_col].dataType.simpleString()
     pairs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
-    if n == 1:
-        one = packs.first()  # CHUNK words at most
-        packed = docs.sparkSession.sparkContext.broadcast(list(one["words"]) if one else [])
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            find = finder(packed.value)
-            for b in batches:
-                yield _found(b["id"], b["text"], find)
+    known = few(words, word_col, chunk)
+    if known is None:
+        there = keyed(pairs, "text", "key")
+        texts = there.select("key", "text").dropDuplicates(["key"])
+        raw = anchors.candidates(texts, words.select(F.col(word_col).alias("alias")), key="key", text_col="text")
+        found = there.join(raw, "key").select("id", "raw", F.explode(anchors.verified(F.col("text"), F.col("raw"))).alias("m"))
+        return found.select(F.col("id").alias(id_col), F.get("raw", F.col("m.k"))["alias"].alias("alias"), "m.start", "m.end")
+    packed = docs.sparkSession.sparkContext.broadcast(known)
 
-        return pairs.mapInPandas(run, f"id {id_type}, alias string, start int, end int").withColumnRenamed("id", id_col)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        find = finder(packed.value)
+        for b in batches:
+            yield _found(b["id"], b["text"], find)
 
-    def run_pack(packs: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
-        return _found(texts["id"], texts["text"], finder([w for ws in packs["words"] for w in ws]))
-
-    # each text meets each pack in small groups of texts, so that a task holds a pack and a few texts
-    slots = max(1, docs.sparkSession.sparkContext.defaultParallelism * 4)
-    spread = pairs.select("id", "text", F.pmod(F.xxhash64("id"), F.lit(slots)).alias("slot"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))).alias("pack"))
-    dealt = packs.select("pack", "words", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))).alias("slot"))
-
-    out = dealt.groupBy("pack", "slot").cogroup(spread.groupBy("pack", "slot")).applyInPandas(run_pack, f"id {id_type}, alias string, start int, end int")
-    return out.withColumnRenamed("id", id_col)
+    return pairs.mapInPandas(run, f"id {id_type}, alias string, start int, end int").withColumnRenamed("id", id_col)
 
 
 def _found(ids, texts, find) -> pd.DataFrame:
@@ -140,42 +144,33 @@ def annotate(docs: DataFrame, dictionary: DataFrame, *, id_col: str = "doc_id",
     """docs with `spans`: the resolved matches of each text, outside code, formulas and images, longest first, by start. Of dictionary
     entries with the same alias the first by concept, name, type, status and confidence counts.
 
-    Up to `chunk` aliases go to every worker, which annotates texts where they are: nothing is shuffled. Larger dictionaries are
-    matched in parts, and the matches of a text meet again by the hash of the text, whatever its id: copies have the same spans. Both
-    ways resolve them by the same function.
+    Up to `chunk` aliases go to every worker, which annotates texts where they are: nothing is shuffled. Larger dictionaries go the way of
+    the anchor index; a text and what it may hold meet by the hash of the text, whatever its id, and entries travel with their
+    aliases, so that nothing is joined by word. Both ways resolve matches by the same function.
     """
     ready_python(docs.sparkSession)
     entries = first_rows(dictionary.select(*NAMES[2:]), ["alias"], list(NAMES[3:]))
-    if entries.count() <= chunk:
-        few = docs.sparkSession.sparkContext.broadcast({r["alias"]: tuple(r) for r in entries.collect()})  # `chunk` rows at most
+    if few(entries, "alias", chunk) is not None:
+        shared = docs.sparkSession.sparkContext.broadcast({r["alias"]: tuple(r) for r in entries.collect()})  # `chunk` rows at most
 
         @F.pandas_udf(SPAN_LIST)
         def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            known = few.value
+            known = shared.value
             find = finder(list(known))
             for texts in batches:
                 yield pd.Series([[dict(zip(NAMES, (a, b, *known[t[a:b]]), strict=True)) for a, b in resolved_spans(t, find)] if t else [] for t in texts], dtype=object)
 
         return docs.withColumn("spans", spans(F.col(text_col)))
     key = "__text_key"
-    keyed = docs.withColumn(key, F.sha2(F.col(text_col).cast("binary"), 256))  # null for a null text, which has no spans
-    found = matches_automaton(keyed.select(key, text_col).dropDuplicates([key]), entries.select("alias"), id_col=key, text_col=text_col, chunk=chunk)
-    named = found.join(entries, "alias")
-    grouped = named.groupBy(key).agg(F.collect_list(F.struct(*[F.col(c).cast("int").alias(c) if c in ("start", "end") else F.col(c) for c in NAMES])).alias("raw"))
-    joined = keyed.join(grouped, key, "left")
-
-    @F.pandas_udf("array<int>")
-    def kept(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for columns in batches:
-            out = []
-            for text, starts, ends in zip(*columns, strict=True):
-                at = {} if starts is None else {m: k for k, m in enumerate(zip(starts.tolist(), ends.tolist(), strict=True))}
-                out.append([at[m] for m in resolved_spans(text, lambda _, at=at: at)] if at else [])
-            yield pd.Series(out, dtype=object)
-
-    raw = F.col("raw")
-    done = joined.withColumn("__kept", kept(F.col(text_col), F.transform(raw, lambda m: m["start"]), F.transform(raw, lambda m: m["end"])))
-    spans = F.when(F.size("__kept") > 0, F.transform("__kept", lambda k: F.get(raw, k))).otherwise(F.array().cast(SPAN_LIST))
+    there = keyed(docs, text_col, key)
+    raw = anchors.candidates(there.select(key, text_col).where(F.col(key).isNotNull()).dropDuplicates([key]), entries, key=key, text_col=text_col)
+    done = there.join(raw, key, "left").withColumn("__kept", anchors.verified(F.col(text_col), F.col("raw"), resolve=resolved_spans))
+
+    def span(m: Column) -> Column:
+        entry = F.get(F.col("raw"), m["k"])
+        return F.struct(m["start"].alias("start"), m["end"].alias("end"), *[entry[c].alias(c) for c in NAMES[2:]])
+
+    spans = F.when(F.size("__kept") > 0, F.transform("__kept", span)).otherwise(F.array().cast(SPAN_LIST))
     return done.withColumn("spans", spans).select(*docs.columns, "spans")
 
 

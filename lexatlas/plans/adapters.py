@@ -171,8 +171,11 @@ ml AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos FROM (
 
 
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All words of 6 to 8 letters of the documents, with what an annotation shows of them made from the word."""
-    words = read(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))).alias("alias")).where("char_length(alias) between 6 and 8").distinct()
+    """All words of 6 to 8 letters of the documents, and all phrases of a word of 4 and one of 5 letters with a space between them; what an
+    annotation shows of them is made from the alias."""
+    words = F.filter(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0)), lambda w: F.char_length(w).between(6, 8))
+    phrases = F.regexp_extract_all("text", F.lit(r"(?<!\p{L})\p{L}{4} \p{L}{5}(?!\p{L})"), F.lit(0))
+    words = read(spark, sf_dir, "documents").select(F.explode(F.concat(words, phrases)).alias("alias")).distinct()
     n = F.char_length("alias")
     kind = F.get(F.array(F.lit("concept"), F.lit("alias"), F.lit("entity")), n % 3)
     return words.select("alias", F.concat(F.lit("D"), F.md5(F.col("alias").cast("binary"))).alias("concept_id"), F.when(n % 2 == 0, F.col("alias")).otherwise(F.concat(F.lit("c "), F.col("alias"))).alias("concept_name"), kind.alias("alias_type"), F.lit("auto_mapped").alias("status"), (n / 10).alias("confidence"))
@@ -185,21 +188,32 @@ def marked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MARKED_SQL = "mk AS (SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda x, i: CASE i % 4 WHEN 2 THEN '`' || x || '`' WHEN 0 THEN '$$' || x || '$$' ELSE x END), chr(10)) AS text FROM documents)"
-DICTIONARY_SQL = r"""
-dict AS (SELECT DISTINCT alias FROM (SELECT unnest(regexp_extract_all(text, '\p{L}+')) AS alias FROM documents) WHERE length(alias) BETWEEN 6 AND 8)"""
 
 
-def matches_sql(texts: str) -> str:
-    """All occurrences of the dictionary's words, m (doc_id, idx, s, e, alias): each lies in one run of letters, the idx-th of its text."""
+def tokens_sql(name: str, texts: str) -> str:
+    """The runs of letters of texts, name (doc_id, piece: what stands before the run, run, before: the last run, idx)."""
     return rf"""
-tok AS (
+{name}_runs AS (
   SELECT doc_id, unnest(pieces[1:len(runs)]) AS piece, unnest(runs) AS run, generate_subscripts(runs, 1) AS idx
-  FROM (SELECT doc_id, string_split_regex(text, '\p{{L}}{{6,}}') AS pieces, regexp_extract_all(text, '\p{{L}}{{6,}}') AS runs FROM {texts})
-),{DICTIONARY_SQL},
-pos AS (SELECT doc_id, idx, run, sum(length(piece) + length(run)) OVER (PARTITION BY doc_id ORDER BY idx) - length(run) AS start FROM tok),
+  FROM (SELECT doc_id, string_split_regex(text, '\p{{L}}+') AS pieces, regexp_extract_all(text, '\p{{L}}+') AS runs FROM {texts})
+),
+{name} AS (SELECT *, lag(run) OVER (PARTITION BY doc_id ORDER BY idx) AS before FROM {name}_runs)"""
+
+
+DICTIONARY_SQL = f"""{tokens_sql("dtok", "documents")},
+dict AS (SELECT DISTINCT run AS alias FROM dtok WHERE length(run) BETWEEN 6 AND 8 UNION SELECT before || ' ' || run FROM dtok WHERE piece = ' ' AND length(before) = 4 AND length(run) = 5)"""
+
+
+def matches_sql(texts: str) -> str:
+    """All occurrences of the dictionary's aliases, m (doc_id, s, e, alias): a word lies in one run of letters, a phrase in two with a space
+    between them."""
+    return rf"""{tokens_sql("tok", texts)},{DICTIONARY_SQL},
+pos AS MATERIALIZED (SELECT doc_id, idx, run, before, piece, sum(length(piece) + length(run)) OVER (PARTITION BY doc_id ORDER BY idx) - length(run) AS start FROM tok),
 subs AS (SELECT run, n, unnest(range(1, length(run) - n + 2)) AS i FROM (SELECT DISTINCT run FROM tok), (VALUES (6), (7), (8)) v(n) WHERE length(run) >= n),
 inside AS (SELECT run, alias, i - 1 AS off FROM subs JOIN dict ON substr(run, i, n) = alias),
-m AS (SELECT doc_id, idx, (start + off)::INT AS s, (start + off + length(alias))::INT AS e, alias FROM pos JOIN inside USING (run))"""
+m AS MATERIALIZED (
+  SELECT doc_id, (start + off)::INT AS s, (start + off + length(alias))::INT AS e, alias FROM pos JOIN inside USING (run)
+  UNION ALL SELECT doc_id, (start - 5)::INT, (start + 5)::INT, alias FROM pos JOIN dict ON alias = right(before, 4) || ' ' || left(run, 5) WHERE piece = ' ' AND length(before) >= 4 AND length(run) >= 5)"""
 
 
 _PATTERNS = ("(?s)```.*?```", r"(?s)\$\$.*?\$\$", "`[^`]+`", r"\$[^$\n]+?\$", r"!\[.*?\]\(.*?\)")
@@ -207,14 +221,15 @@ SKIPS_SQL = "hit AS (" + " UNION ALL ".join(f"SELECT doc_id, regexp_extract_all(
 reg0 AS (SELECT doc_id, row_number() OVER () AS k, h, g FROM hit),
 reg1 AS (SELECT doc_id, k, unnest(h) AS h, unnest(g[1:len(h)]) AS g, generate_subscripts(h, 1) AS i FROM reg0),
 reg AS (SELECT doc_id, (sum(length(g) + length(h)) OVER (PARTITION BY k ORDER BY i) - length(h))::INT AS s, (sum(length(g) + length(h)) OVER (PARTITION BY k ORDER BY i))::INT AS e FROM reg1)"""
-#: The annotation: matches with neither end in a skipped region, of overlapping ones (all in one run of letters) the longest, then the first.
+#: The annotation: matches with neither end in a skipped region, of overlapping ones (all in one island without a gap) the longest, then the first.
 SPANS_SQL = f"""{MARKED_SQL},{matches_sql("mk")},
 {SKIPS_SQL},
 bad AS (SELECT DISTINCT m.doc_id, m.s, m.e FROM m JOIN reg r ON r.doc_id = m.doc_id AND ((r.s <= m.s AND m.s < r.e) OR (r.s < m.e AND m.e <= r.e))),
-good AS (SELECT * FROM m ANTI JOIN bad USING (doc_id, s, e)),
+good AS (SELECT *, CASE WHEN s >= max(e) OVER (PARTITION BY doc_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS fresh FROM m ANTI JOIN bad USING (doc_id, s, e)),
+isle AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS idx FROM good),
 chosen AS (
   SELECT doc_id, unnest(list_reduce(list([{{'s': s, 'e': e, 'alias': alias}}] ORDER BY e - s DESC, s), lambda acc, y: CASE WHEN len(list_filter(acc, lambda k: k.s < y[1].e AND y[1].s < k.e)) = 0 THEN list_concat(acc, y) ELSE acc END)) AS c
-  FROM good GROUP BY doc_id, idx
+  FROM isle GROUP BY doc_id, idx
 ),
 span AS (
   SELECT doc_id, c.s AS s, c.e AS e, c.alias AS alias, 'D' || md5(c.alias) AS concept_id, CASE WHEN length(c.alias) % 2 = 0 THEN c.alias ELSE 'c ' || c.alias END AS concept_name,
