@@ -32,15 +32,21 @@ def cosine_to(vector: list[float], a: Column) -> Column:
     return cosine(v, a, F.lit(math.sqrt(sum(float(x) ** 2 for x in vector))))
 
 
+def usable(a: Column) -> Column:
+    """Whether a vector takes part in searches: not null or empty, all components finite numbers."""
+    bad = F.exists(a, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
+    return F.coalesce(a.isNotNull() & (F.size(a) > 0) & ~bad, F.lit(False))
+
+
 def blocks(rows: DataFrame, vector: str, size: int = BLOCK) -> tuple[DataFrame, dict[int, int]]:
     """rows packed into blocks of one dimension: dim, slot, an array of each other column, data (the vectors one after another, as
-    doubles); and how many slots each dimension has. Rows without a vector are left out. Rows are dealt by where they are read, so that no
+    doubles); and how many slots each dimension has. Rows whose vector isn't usable are left out. Rows are dealt by where they are read, so that no
     frequent key makes a large block and a task that runs again deals them alike."""
     keys = [c for c in rows.columns if c != vector]
-    usable = rows.where(F.col(vector).isNotNull() & (F.size(vector) > 0)).withColumn("__at", F.monotonically_increasing_id()).withColumn("dim", F.size(vector))
-    slots = {r["dim"]: -(-r["n"] // size) for r in usable.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}  # a few dimensions
+    some = rows.where(usable(F.col(vector))).withColumn("__at", F.monotonically_increasing_id()).withColumn("dim", F.size(vector))
+    slots = {r["dim"]: -(-r["n"] // size) for r in some.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}  # a few dimensions
     item = F.struct(*keys, F.col(vector).cast("array<double>").alias("__v"))
-    packed = usable.select("dim", F.pmod(F.xxhash64("__at"), _of(slots)).alias("slot"), item.alias("item")).groupBy("dim", "slot").agg(F.collect_list("item").alias("items"))
+    packed = some.select("dim", F.pmod(F.xxhash64("__at"), _of(slots)).alias("slot"), item.alias("item")).groupBy("dim", "slot").agg(F.collect_list("item").alias("items"))
     column = lambda k: F.transform("items", lambda x: x[k])
     return packed.select("dim", "slot", *[column(k).alias(k) for k in keys], F.flatten(column("__v")).alias("data")), slots
 

@@ -18,7 +18,7 @@ def best_match(aliases: DataFrame, concepts: DataFrame, *, alias_key: str = "ali
     """alias_key, best (a concept's key), similarity: the concept of highest cosine similarity above 0, ties to the smaller `order`.
 
     Both sides are packed into blocks; groups of blocks meet in matrix products, each of which leaves one best concept an alias, so memory
-    is bounded by two groups and nothing is broadcast. Rows whose vector is null or empty, or has no length, have no match and no row.
+    is bounded by two groups and nothing is broadcast. Rows whose vector is null, empty or not finite, or has no length, have no match and no row.
     Similarities within 1e-12 of each other are ties.
     """
     ready_python(aliases.sparkSession)

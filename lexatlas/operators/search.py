@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -9,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexatlas.functions.text import fixed, lookup, preview
-from lexatlas.functions.vectors import blocks, cosine_to, meet, unit_rows
+from lexatlas.functions.vectors import blocks, cosine_to, meet, unit_rows, usable
 from lexatlas.workers import ready_python
 
 #: Fixed values of the displays.
@@ -49,9 +51,10 @@ def displayed(rows: DataFrame) -> DataFrame:
 
 
 def search_vectors(rows: DataFrame, query: list[float], k: int = 5, *, key: str = "concept_id", vector: str = "embedding") -> DataFrame:
-    """The k rows most similar to the query, ties by key; rows without a vector take no part. A top-k plan: no full sort."""
-    usable = rows.where(F.col(vector).isNotNull() & (F.size(vector) > 0))
-    return usable.withColumn("similarity", cosine_to(query, F.col(vector))).orderBy(F.desc("similarity"), key).limit(k)
+    """The k rows most similar to the query, ties by key; rows whose vector isn't usable or has another dimension take no part, nor does
+    a query that isn't. A top-k plan: no full sort."""
+    ok = usable(F.col(vector)) & (F.size(vector) == len(query)) if all(map(math.isfinite, query)) else F.lit(False)
+    return rows.where(ok).withColumn("similarity", cosine_to(query, F.col(vector))).orderBy(F.desc("similarity"), key).limit(k)
 
 
 def search_text(rows: DataFrame, query: str, encode, k: int = 5, *, key: str = "concept_id") -> DataFrame:
@@ -63,7 +66,7 @@ def search_text(rows: DataFrame, query: str, encode, k: int = 5, *, key: str = "
 def search_many(queries: DataFrame, rows: DataFrame, k: int = 5, *, query_key: str, key: str, vector: str = "embedding") -> DataFrame:
     """query_key, key, similarity, rank: the k most similar rows for each of the queries, ties (similarities within 1e-12) by key.
 
-    Queries and rows meet in groups of packed blocks, each of which leaves k rows a query. Rows and queries without a vector take no part;
+    Queries and rows meet in groups of packed blocks, each of which leaves k rows a query. Rows and queries whose vector isn't usable take no part;
     one without length has similarity 0.
     """
     ready_python(rows.sparkSession)

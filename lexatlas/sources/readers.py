@@ -14,7 +14,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from lexatlas.functions.numbering import dense_numbers
 from lexatlas.schemas import SEGMENT
-from lexatlas.sources.sinks import recover
+from lexatlas.sources.sinks import current
 from lexatlas.workers import ready_python
 
 
@@ -43,12 +43,9 @@ def manifest(spark: SparkSession, pairs: list[tuple[str, str]]) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A stored table, or an empty one if there is none yet. A version that a broken-off overwrite had moved aside is put back first."""
-    recover(spark, path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    exists = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-    return spark.read.schema(schema).parquet(path) if exists else spark.createDataFrame([], schema)
+    """The current version of a stored table, or an empty one if there is none yet. Nothing is moved or mended."""
+    folder = current(spark, path)[1]
+    return spark.read.schema(schema).parquet(folder) if folder else spark.createDataFrame([], schema)
 
 
 class _Rows(InputPartition):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import sqlite3
 import uuid
 from collections.abc import Iterator
@@ -21,41 +22,55 @@ def _files(spark: SparkSession, path: str):
     return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
 
 
-def recover(spark: SparkSession, path: str) -> None:
-    """Put back the version of a stored table that a broken-off overwrite had moved aside, if the table itself is absent."""
-    fs, make = _files(spark, path)
-    target = make(path)
-    if fs.exists(target):
-        return
-    for status in fs.globStatus(make(f"{path.rstrip('/')}.*.old")) or []:
-        if not fs.rename(status.getPath(), target):
-            raise OSError(f"{path} is absent and its old version {status.getPath()} can't be put back")
-        return
-
+def _version(number: int) -> str:
+    return f"v{number:010d}"
 
-def overwrite(df: DataFrame, path: str) -> None:
-    """Replace a stored table. df may read it: the new version is written beside it and moved in its place.
 
-    The old version is deleted only when the new one is in its place. If a move fails the old version is put back; if the process ends
-    between the moves, the next overwrite or read_table puts it back.
+def current(spark: SparkSession, path: str) -> tuple[int, str | None]:
+    """(number, folder) of a stored table's current version, the highest; number 0 for a plain folder of Parquet files, and for none."""
+    fs, make = _files(spark, path)
+    if not fs.exists(make(path)):
+        return 0, None
+    names = [s.getPath().getName() for s in fs.listStatus(make(path)) if s.isDirectory()]
+    last = max((int(n[1:]) for n in names if re.fullmatch(r"v\d{10}", n)), default=0)
+    if last:
+        return last, f"{path.rstrip('/')}/{_version(last)}"
+    plain = any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(make(path)))
+    return 0, path if plain else None
+
+
+def overwrite(df: DataFrame, path: str, base: int | None = None) -> None:
+    """Replace a stored table. df may read it. A version is a folder that never changes: the new one is written under a hidden name and becomes
+    the current one by one rename to the next number, which fails if there is such a version. Readers move nothing and
+    always find a whole version; a process that ends before the rename leaves the table as it was.
+
+    base: the number of the version that df was made from (see current); the one that is current at the call if not given. If another
+    writer has replaced it meanwhile nothing changes and an OSError is raised. The version before stays for those that still read it.
     """
-    spark, base = df.sparkSession, path.rstrip("/")
-    recover(spark, path)
-    new, old = f"{base}.{uuid.uuid4().hex}.new", f"{base}.{uuid.uuid4().hex}.old"
-    df.write.parquet(new)
+    spark, folder = df.sparkSession, path.rstrip("/")
+    base = current(spark, path)[0] if base is None else base
+    new = f"{folder}/_{uuid.uuid4().hex}"
     fs, make = _files(spark, path)
-    made, was, target = make(new), make(old), make(path)
-    had = fs.exists(target)
-    if had and not fs.rename(target, was):
-        fs.delete(made, True)
-        raise OSError(f"{path} can't be moved aside; it is unchanged")
-    if not fs.rename(made, target):
-        if had and not fs.rename(was, target):
-            raise OSError(f"{path} can't be replaced; its old version is {old}, its new one {new}")
-        fs.delete(made, True)
-        raise OSError(f"{path} can't be replaced; it is unchanged")
-    for status in fs.globStatus(make(f"{base}.*.old")) or []:
-        fs.delete(status.getPath(), True)
+    df.write.parquet(new)
+    try:
+        _commit(spark, new, f"{folder}/{_version(base + 1)}")
+    except Exception as e:
+        fs.delete(make(new), True)
+        raise OSError(f"{path} was replaced by another writer or can't be moved to; it is unchanged") from e
+    for status in fs.listStatus(make(path)):
+        name = status.getPath().getName()
+        if re.fullmatch(r"v\d{10}", name) and int(name[1:]) < base:
+            fs.delete(status.getPath(), True)
+
+
+def _commit(spark: SparkSession, made: str, target: str) -> None:
+    """Rename a folder; fails if the target exists, whatever is in it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    make = jvm.org.apache.hadoop.fs.Path
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(make(target).getFileSystem(conf).makeQualified(make(target)).toUri(), conf)
+    if context.util().exists(make(target)):
+        raise FileExistsError(target)
+    context.rename(make(made), make(target), spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
 
 
 def json_array(df: DataFrame, order: str, by: str | None = None) -> DataFrame:

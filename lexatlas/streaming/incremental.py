@@ -8,18 +8,19 @@ from pyspark.sql.streaming import StreamingQuery
 from lexatlas.operators.concepts import build_base
 from lexatlas.schemas import ALIASES, CONCEPTS
 from lexatlas.sources.readers import read_table
-from lexatlas.sources.sinks import overwrite
+from lexatlas.sources.sinks import current, overwrite
 
 
 def increment(spark: SparkSession, segments: DataFrame, folder: str, embed=None) -> None:
     """One increment. Repeating it changes nothing, so a batch that runs again after a failure does no harm."""
+    at = {name: current(spark, f"{folder}/{name}")[0] for name in ("concepts", "aliases")}
     concepts, aliases = read_table(spark, f"{folder}/concepts", CONCEPTS), read_table(spark, f"{folder}/aliases", ALIASES)
     concepts, aliases = build_base(segments, concepts, aliases, embed)
     # both results read both tables, so they are laid down before either is replaced
     concepts.write.mode("overwrite").parquet(f"{folder}/_next/concepts")
     aliases.write.mode("overwrite").parquet(f"{folder}/_next/aliases")
-    overwrite(spark.read.schema(ALIASES).parquet(f"{folder}/_next/aliases"), f"{folder}/aliases")
-    overwrite(spark.read.schema(CONCEPTS).parquet(f"{folder}/_next/concepts"), f"{folder}/concepts")
+    overwrite(spark.read.schema(ALIASES).parquet(f"{folder}/_next/aliases"), f"{folder}/aliases", at["aliases"])
+    overwrite(spark.read.schema(CONCEPTS).parquet(f"{folder}/_next/concepts"), f"{folder}/concepts", at["concepts"])
 
 
 def follow(segments: DataFrame, folder: str, checkpoint: str, embed=None, **trigger) -> StreamingQuery:

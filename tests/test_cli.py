@@ -1,9 +1,14 @@
 import json
 
 from lexatlas import cli
+from lexatlas.sources import sinks
 from lexatlas.session import Options
 
 
+def stored(spark, path):
+    return spark.read.parquet(sinks.current(spark, path)[1])
+
+
 def test_from_book_to_answers(spark, tmp_path, capsys):
     def call(*argv):
         cli.run(cli.parser().parse_args([str(x) for x in argv]), spark, Options(threshold=0.75))
@@ -14,9 +19,9 @@ def test_from_book_to_answers(spark, tmp_path, capsys):
     (tmp_path / "s.json").write_text(json.dumps(structure, ensure_ascii=False))
     (tmp_path / "in/book.md").write_text("### 第一章 函数\n## 第一节 映射\n定义 映射 是 对应\n\n例 一\n# 第二章 极限\nx\n")
     call("tree", tmp_path / "s.json", f"{tmp_path}/chapters")
-    assert spark.read.parquet(f"{tmp_path}/chapters").count() == 3
+    assert stored(spark, f"{tmp_path}/chapters").count() == 3
     call("toc", tmp_path / "in", tmp_path / "s.json", f"{tmp_path}/toc")
-    assert spark.read.parquet(f"{tmp_path}/toc").count() == 3
+    assert stored(spark, f"{tmp_path}/toc").count() == 3
     call("normalise", tmp_path / "in", tmp_path / "s.json", tmp_path / "norm")
     assert (tmp_path / "norm/book.md").read_text().startswith("# 第一章 函数\n## 第一节 映射\n")
     call("split", tmp_path / "norm", tmp_path / "parts")
@@ -32,7 +37,7 @@ def test_from_book_to_answers(spark, tmp_path, capsys):
     call("build", tmp_path / "segs.json", f"{tmp_path}/kb", "--rebuild")
     call("build", tmp_path / "segs.json", f"{tmp_path}/kb")
     call("store", tmp_path / "segs.json", f"{tmp_path}/store")
-    assert spark.read.parquet(f"{tmp_path}/store/segments").count() == 2
+    assert stored(spark, f"{tmp_path}/store/segments").count() == 2
     assert "needs_review" in call("align", f"{tmp_path}/kb") and "auto_mapped" in call("align", f"{tmp_path}/kb", "--rerun")
     call("annotate", tmp_path / "in", tmp_path / "ann", f"{tmp_path}/kb", "--inline")
     assert "[[映射]]" in (tmp_path / "ann/book_annotated.md").read_text()

@@ -17,6 +17,10 @@ from lexatlas.streaming import incremental
 SEG = "ordinal long, source string, title string, content string, type string, aliases array<string>, entities string, created_at string"
 
 
+def stored(spark, path):
+    return spark.read.parquet(sinks.current(spark, path)[1])
+
+
 def segs(spark, *rows):
     return spark.createDataFrame([(i, "s", t, f"c{i}", k, al, en, "T") for i, (t, k, al, en) in enumerate(rows, 1)], SEG)
 
@@ -112,20 +116,20 @@ def test_increments(spark, tmp_path):
     folder = f"file://{tmp_path}/kb"
     incremental.increment(spark, first, folder, providers.encoder())
     incremental.increment(spark, second, folder, providers.encoder())
-    once = spark.read.parquet(f"{folder}/concepts").select("concept_id", "name").collect()
+    once = stored(spark, f"{folder}/concepts").select("concept_id", "name").collect()
     assert sorted(map(tuple, once)) == [("C001", "a"), ("C002", "b")]
-    n = spark.read.parquet(f"{folder}/aliases").count()
+    n = stored(spark, f"{folder}/aliases").count()
     incremental.increment(spark, second, folder)
-    assert spark.read.parquet(f"{folder}/aliases").count() == n == 5
-    assert all(r["violations"] == 0 for r in schemas.constraint_report(spark.read.parquet(f"{folder}/concepts"), spark.read.parquet(f"{folder}/aliases")).collect())
+    assert stored(spark, f"{folder}/aliases").count() == n == 5
+    assert all(r["violations"] == 0 for r in schemas.constraint_report(stored(spark, f"{folder}/concepts"), stored(spark, f"{folder}/aliases")).collect())
 
 
 def test_stream_of_increments(spark, tmp_path):
     segs(spark, ("a", "concept", ["x"], "e1"), ("b", "theorem", [], "e2")).write.parquet(f"{tmp_path}/in")
     q = incremental.follow(spark.readStream.schema(SEG).parquet(f"{tmp_path}/in"), f"file://{tmp_path}/kb", f"{tmp_path}/cp")
     q.awaitTermination(120)
-    assert spark.read.parquet(f"{tmp_path}/kb/concepts").count() == 2
-    assert spark.read.parquet(f"{tmp_path}/kb/aliases").count() == 5
+    assert stored(spark, f"{tmp_path}/kb/concepts").count() == 2
+    assert stored(spark, f"{tmp_path}/kb/aliases").count() == 5
 
 
 def test_decisions(spark):
@@ -189,46 +193,66 @@ def test_search_many_in_groups(spark):
     assert search.search_many(rows.where("false"), rows, 4, query_key="i", key="i").count() == 0
 
 
-def test_overwrite_never_loses_a_table(spark, tmp_path):
+def test_stored_versions(spark, tmp_path):
     path = f"file://{tmp_path}/t"
+    table = lambda *keys: spark.createDataFrame([(k, "1") for k in keys], schemas.METADATA)
     values = lambda: {r["key"] for r in readers.read_table(spark, path, schemas.METADATA).collect()}
+    names = lambda: sorted(x.name for x in (tmp_path / "t").iterdir() if not x.name.startswith("."))
     assert values() == set()
-    sinks.overwrite(spark.createDataFrame([("a", "1")], schemas.METADATA), path)
-    (tmp_path / "t").rename(tmp_path / "t.broken.old")  # the process ended between the two moves
-    assert values() == {"a"}
-    (tmp_path / "t").rename(tmp_path / "t.broken.old")
-    sinks.overwrite(spark.createDataFrame([("b", "1")], schemas.METADATA), path)
-    assert values() == {"b"} and sorted(x.name for x in tmp_path.iterdir()) == ["t"]
+    sinks.overwrite(table("a"), path)
+    old = readers.read_table(spark, path, schemas.METADATA)
+    sinks.overwrite(old.union(table("b")), path)
+    assert values() == {"a", "b"} and {r["key"] for r in old.collect()} == {"a"} and sinks.current(spark, path)[0] == 2
+    (tmp_path / "t" / "_left").mkdir()  # of a process that ended before its rename
+    sinks.overwrite(table("c"), path)
+    assert values() == {"c"} and names() == ["_left", "v0000000002", "v0000000003"]
 
 
-def test_a_failed_move_leaves_the_table(spark, tmp_path, monkeypatch):
-    path = f"file://{tmp_path}/t"
-    sinks.overwrite(spark.createDataFrame([("a", "1")], schemas.METADATA), path)
-    real = sinks._files
-
-    class Failing:
-        def __init__(self, fs, at):
-            self.fs, self.at, self.n = fs, at, 0
+def test_a_plain_folder_of_files_is_a_stored_table(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    spark.createDataFrame([("a", "1")], schemas.METADATA).write.parquet(path)
+    assert readers.read_table(spark, path, schemas.METADATA).count() == 1 and sinks.current(spark, path) == (0, path)
+    sinks.overwrite(readers.read_table(spark, path, schemas.METADATA).union(spark.createDataFrame([("b", "1")], schemas.METADATA)), path)
+    assert readers.read_table(spark, path, schemas.METADATA).count() == 2
 
-        def rename(self, *a):
-            self.n += 1
-            return False if self.n == self.at else self.fs.rename(*a)
 
-        def __getattr__(self, name):
-            return getattr(self.fs, name)
-
-    for at in (1, 2):
-        seen: dict = {}
-
-        def files(s, p, at=at, seen=seen):
-            fs, make = real(s, p)
-            return seen.setdefault("fs", Failing(fs, at)), make
-
-        monkeypatch.setattr(sinks, "_files", files)
-        with pytest.raises(OSError, match="unchanged"):
-            sinks.overwrite(spark.createDataFrame([("b", "1")], schemas.METADATA), path)
-        monkeypatch.setattr(sinks, "_files", real)
-        assert [r["key"] for r in readers.read_table(spark, path, schemas.METADATA).collect()] == ["a"]
+def test_readers_and_writers_meet(spark, tmp_path, monkeypatch):
+    """A reader that comes between the steps of a writer, and two writers of which one gets an error and none is lost."""
+    path = f"file://{tmp_path}/t"
+    table = lambda *keys: spark.createDataFrame([(k, "1") for k in keys], schemas.METADATA)
+    values = lambda: {r["key"] for r in readers.read_table(spark, path, schemas.METADATA).collect()}
+    sinks.overwrite(table("old"), path)
+    real, seen = sinks._commit, []
+
+    def between(s, made, target):
+        seen.append(values())
+        if len(seen) == 1:
+            sinks.overwrite(table("first"), path)
+        real(s, made, target)
+        seen.append(values())
+
+    monkeypatch.setattr(sinks, "_commit", between)
+    with pytest.raises(OSError, match="another writer"):
+        sinks.overwrite(table("second"), path)
+    monkeypatch.setattr(sinks, "_commit", real)
+    assert values() == {"first"} and seen == [{"old"}, {"old"}, {"first"}]
+    at = sinks.current(spark, path)[0]
+    sinks.overwrite(table("x"), path, at)
+    with pytest.raises(OSError, match="another writer"):
+        sinks.overwrite(table("y"), path, at)
+    assert values() == {"x"} and not [x for x in (tmp_path / "t").iterdir() if x.name.startswith("_")]
+
+
+def test_vectors_that_take_no_part(spark):
+    rows = [(1, [1.0, 0.0]), (2, [float("nan"), 1.0]), (3, [1.0, 1.0]), (4, [1.0, None]), (5, [1.0]), (6, None), (7, []), (8, [float("inf"), 0.0]), (9, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "concept_id int, embedding array<double>")
+    assert [r["concept_id"] for r in search.search_vectors(df, [1.0, 0.0]).collect()] == [1, 3, 9]
+    assert search.search_vectors(df, [float("nan"), 0.0]).collect() == []
+    q = spark.createDataFrame([(0, [1.0, 0.0]), (-1, [float("nan"), 0.0]), (-2, [1.0, None])], "q int, embedding array<double>")
+    many = search.search_many(q, df, 5, query_key="q", key="concept_id").collect()
+    assert sorted((r["q"], r["rank"], r["concept_id"]) for r in many) == [(0, 1, 1), (0, 2, 3), (0, 3, 9)]
+    best = align.best_match(q.withColumnRenamed("q", "alias"), df).collect()
+    assert [(r["alias"], r["best"]) for r in best] == [(0, 1)]
 
 
 def test_dense_numbers(spark):
@@ -280,8 +304,8 @@ def test_sources_and_sinks(spark, tmp_path):
         sinks.write_texts(spark.createDataFrame([("../evil.md", "")], "path string, content string"), str(tmp_path / "out"))
     path = f"file://{tmp_path}/t"
     sinks.overwrite(spark.createDataFrame([("a", "1")], schemas.METADATA), path)
-    sinks.overwrite(sinks.metadata_upsert(spark.read.parquet(path), {"a": "2", "b": "3"}), path)
-    assert {r["key"]: r["value"] for r in spark.read.parquet(path).collect()} == {"a": "2", "b": "3"}
+    sinks.overwrite(sinks.metadata_upsert(stored(spark, path), {"a": "2", "b": "3"}), path)
+    assert {r["key"]: r["value"] for r in stored(spark, path).collect()} == {"a": "2", "b": "3"}
     text = sinks.json_array(spark.createDataFrame([(2, "b"), (1, "函")], "o int, t string"), "o").first()["value"]
     assert json.loads(text) == [{"t": "函"}, {"t": "b"}]
     legacy = spark.createDataFrame([(1, "第一节", None, "example", "t", "c", "a, b", "x,y")], schemas.LEGACY_SEGMENT)
