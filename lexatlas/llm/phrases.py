@@ -182,7 +182,8 @@ def fragments_of(words: list[bytes], first: int, last: int, rank_of: np.ndarray,
 
 
 def _fragments(tables, least: int, reach: int, bound: int, size: int):
-    """lang, pivot, salt, words (space-joined), at (the pivot's place among them), n."""
+    """route (a number of language, pivot and salt), dealt (whether the pivot has several), lang, words (space-joined), before and after (how many
+    of them stand around the pivot), n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketched = tables.value
@@ -200,17 +201,17 @@ def _fragments(tables, least: int, reach: int, bound: int, size: int):
                         continue
                     value = pa.array(known, pa.binary())
                     joined = pc.binary_join_element_wise(*(value.take(pa.array(c, mask=c < 0)) for c in row), pa.scalar(b" ", pa.binary()), null_handling="skip")
-                    at = (row[:reach] >= 0).sum(0)
+                    before, after = (row[:reach] >= 0).sum(0), (row[reach + 1 :] >= 0).sum(0)
                     # a pivot has fewer occurrences than the end of its level
-                    parts = np.ceil(np.exp2(lev[row[reach]] / 4) / bound)
+                    parts = np.maximum(1, np.ceil(np.exp2(lev[row[reach]] / 4) / bound)).astype(np.uint64)
+                    hashed = np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known))
                     mixed = np.zeros(row.shape[1], np.uint64)
-                    strong = np.array([xxhash.xxh64_intdigest(w) for w in known], np.uint64)
                     for c in row:
-                        mixed = (mixed ^ np.where(c >= 0, strong[c], np.uint64(7))) * np.uint64(0x9E3779B97F4A7C15)
+                        mixed = (mixed ^ np.where(c >= 0, hashed[c], np.uint64(7))) * np.uint64(0x9E3779B97F4A7C15)
                         mixed ^= mixed >> np.uint64(29)
-                    salt = np.where(parts > 1, (mixed % np.maximum(parts, 1).astype(np.uint64)).astype(np.int64), -1)
-                    columns = [pa.array([lang] * len(count), pa.string()), value.take(pa.array(row[reach])), pa.array(salt, pa.int32()), joined, pa.array(at, pa.int32()), pa.array(count, pa.int64())]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "pivot", "salt", "words", "at", "n"])
+                    route = (hashed[row[reach]] ^ np.uint64(xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass")))) + mixed % parts * np.uint64(0xC2B2AE3D27D4EB4F)
+                    columns = [pa.array(route.view(np.int64)), pa.array(parts > 1), pa.array([lang] * len(count), pa.string()), joined, pa.array(before, pa.int32()), pa.array(after, pa.int32()), pa.array(count, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, ["route", "dealt", "lang", "words", "before", "after", "n"])
 
     return run
 
@@ -224,26 +225,22 @@ def phrase_counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "l
     counts = word_counts(texts, size)
     total = counts.agg(F.sum("n")).first()[0] or 0
     tables = spark.sparkContext.broadcast(sketch(counts, least, slots))
-    found = texts.mapInArrow(_fragments(tables, least, max_words - 1, max(hot, total // HOT_PARTS), size), "lang string, pivot binary, salt int, words binary, at int, n long")
-    found = found.withColumns({"words": F.col("words").cast("string"), "pivot": F.col("pivot").cast("string")}).repartition("lang", "pivot", "salt")
-    each, n = F.split("words", " "), F.size(F.split("words", " "))
+    kinds = "route long, dealt boolean, lang string, words binary, before int, after int, n long"
+    found = texts.mapInArrow(_fragments(tables, least, max_words - 1, max(hot, total // HOT_PARTS), size), kinds)
+    found = found.withColumn("words", F.col("words").cast("string")).repartition("route")
 
-    def around(left: int, right: int) -> Column:
+    def around(left: int, right: int) -> str:
         """The phrase of so many words before and after the pivot."""
-        return F.when((F.col("at") >= left) & (n - F.col("at") > right), F.struct(F.array_join(F.slice(each, F.col("at") - left + 1, left + right + 1), " ").alias("phrase"), F.lit(left + right + 1).alias("size")))
+        return f"if(before >= {left} and after >= {right}, substring_index(substring_index(words, ' ', before + {right + 1}), ' ', {-(left + right + 1)}), null)"
 
     shapes = [around(left, right) for left in range(max_words) for right in range(max_words - left) if left + right]
-    mined = found.select("lang", "pivot", "salt", "n", F.explode(F.array(*shapes)).alias("p")).where("p is not null")
+    mined = found.select("route", "dealt", "lang", "n", F.expr(f"explode(array({', '.join(shapes)}))").alias("phrase")).where("phrase is not null")
     # the partitioning by pivot holds: this is no shuffle
-    mined = mined.groupBy("lang", "pivot", "salt", "p.phrase", "p.size").agg(F.sum("n").alias("n")).where((F.col("salt") >= 0) | (F.col("n") >= least))
-    phrases = mined.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    mined = mined.groupBy("route", "dealt", "lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("dealt") | (F.col("n") >= least))
+    phrases = mined.groupBy("lang", "phrase").agg(F.sum("n").alias("a")).where(F.col("a") >= least).withColumn("size", F.size(F.split("phrase", " ")))
     return counts, staged(phrases, "phrases")
 
 
-def _product(a: Column, b: Column) -> Column:
-    return a.cast("decimal(16,0)") * b.cast("decimal(16,0)")
-
-
 def collocations(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS, least: int = LEAST, contained: int = CONTAINED, top: int = TOP, size: int = SLICE, slots: int = SLOTS, hot: int = HOT) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's `top` phrases. score: floor(SCALE * a * a / (l * r)) of the cut into a first part
     (l) and a rest (r) at which it is lowest. Phrases inside a longer one that has `contained` % of their occurrences are dropped.
