@@ -1,7 +1,11 @@
-"""Column helpers for text: one definition of white space, headings, JSON repair and the rest. All run in the JVM."""
+"""Column helpers for text: one definition of white space, headings, JSON repair and the rest. All run in the JVM but cut_array."""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,6 +67,47 @@ def chapters_json(x: Column | str) -> Column:
     return F.when(found != "", found)
 
 
+def chapters_rest(x: Column | str) -> Column:
+    """All that stands from the array behind the key "chapters" on, or null; the array may be broken off."""
+    found = F.regexp_extract(_c(x), r'(?s)"chapters"\s*:\s*(\[.*)', 1)
+    return F.when(found != "", found)
+
+
+_JSON_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*+"|["\[\]{},]', re.S)
+
+
+def array_elements(text: str) -> list[str]:
+    """The elements of the JSON array that a text begins with, as they stand: cut at commas outside strings and inner brackets, up to the
+    bracket that ends the array, or to the end of a text that breaks off. One pass."""
+    out, depth, start = [], 0, 0
+    for m in _JSON_TOKEN.finditer(text):
+        c = m[0]
+        if c == '"':  # a string that nothing ends
+            break
+        if c in "[{":
+            depth += 1
+            start = m.end() if depth == 1 else start
+        elif c in "]}" or c == "," and depth == 1:
+            depth -= c != ","
+            if depth == 0 or c == ",":
+                out.append(text[start : m.start()].strip())
+                start = m.end()
+            if depth == 0:
+                return [e for k, e in enumerate(out) if e or len(out) > 1]
+    return [*out, rest] if (rest := text[start:].strip()) else out
+
+
+def cut_array(x: Column | str) -> Column:
+    """array_elements of a column; null for null."""
+
+    @F.pandas_udf("array<string>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([None if t is None else array_elements(t) for t in texts], dtype=object)
+
+    return run(_c(x))
+
+
 def first_filled(*xs: Column | str) -> Column:
     """The first of xs that isn't null or empty, else an empty string."""
     return F.coalesce(*[F.nullif(_c(x), F.lit("")) for x in xs], F.lit(""))

@@ -5,22 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lexatlas.functions.text import chapters_json, first_filled, first_level, lstrip, repair_json_backslashes, strip
+from lexatlas.functions.text import chapters_rest, cut_array, first_filled, first_level, lstrip, repair_json_backslashes, strip
 from lexatlas.schemas import CHAPTERS, TOC, conform
+from lexatlas.workers import ready_python
 
 
 def toc_entries(structure: DataFrame, text_col: str = "text", book: str = "book_id") -> DataFrame:
     """Entries of table-of-contents JSON texts, in order: book, ordinal, level, number, title, parent_number. The array behind
-    "chapters" is taken wherever it stands; backslashes that JSON doesn't know are repaired. Texts without it give nothing."""
-    items = F.from_json(repair_json_backslashes(chapters_json(text_col)), TOC["chapters"].dataType)
-    each = structure.select(book, F.posexplode(items).alias("ordinal", "e"))
-    return each.select(
+    "chapters" is taken wherever it stands; backslashes that JSON doesn't know are repaired. Entries are parsed one by one: one that
+    doesn't parse costs no other, keeps its place in the numbers, and is told by toc_rejects."""
+    return _parsed_entries(structure, text_col, book).where("bad is null").select(
         book, F.col("ordinal").cast("long"), F.coalesce("e.level", F.lit(1)).alias("level"), F.coalesce("e.编号", F.lit("")).alias("number"),
         first_filled("e.标题", "e.title").alias("title"), F.col("e.父级编号").alias("parent_number"),
     )
 
 
+def _parsed_entries(structure: DataFrame, text_col: str, book: str) -> DataFrame:
+    """book, ordinal, raw, e, bad (the text of an entry that doesn't parse)."""
+    ready_python(structure.sparkSession)
+    entry = T.StructType([*TOC["chapters"].dataType.elementType.fields, T.StructField("__bad", T.StringType())])
+    raw = structure.select(book, F.posexplode(cut_array(repair_json_backslashes(chapters_rest(text_col)))).alias("ordinal", "raw"))
+    each = raw.withColumn("e", F.from_json("raw", entry, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}))
+    # null and other values that are no objects are no entries either
+    return each.withColumn("bad", F.when(F.col("e").isNull() | F.col("e.__bad").isNotNull() | ~F.col("raw").startswith("{"), F.col("raw")))
+
+
+def toc_rejects(structure: DataFrame, text_col: str = "text", book: str = "book_id") -> DataFrame:
+    """book, ordinal (the place in the array), raw: entries that don't parse; with ordinal null, texts that have no array of chapters."""
+    broken = _parsed_entries(structure, text_col, book).where("bad is not null").select(book, F.col("ordinal").cast("long").alias("ordinal"), F.col("bad").alias("raw"))
+    none = structure.where(chapters_rest(text_col).isNull()).select(book, F.lit(None).cast("long").alias("ordinal"), F.col(text_col).alias("raw"))
+    return broken.unionByName(none)
+
+
 def heading_rules(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     """(level, pattern) in order from the summary of a structure file; rules without a pattern are skipped. A few per book."""
     got = spark.read.schema(TOC).json(path, multiLine=True).select(F.posexplode("structure_summary.层级定义").alias("k", "r"))

@@ -61,6 +61,29 @@ def toc_json(s: SparkSession, d: str) -> DataFrame:
     return hierarchy.toc_entries(texts)
 
 
+def damaged_toc(s: SparkSession, d: str) -> DataFrame:
+    """The contents of each region: every fourth nation's entry has an escape that JSON doesn't have, the last region's text breaks off inside its
+    last entry, and a text without contents for each supplier of region 0."""
+    n = ad.read(s, d, "nation")
+    own = F.when(F.col("n_nationkey") % 4 == 1, "\\underline ").otherwise("a [b], {c} \\\"d\\\" ")
+    entry = F.concat(F.lit('{"level": 2, "编号": "'), F.col("n_nationkey"), F.lit('", "标题": "'), own, F.col("n_name"), F.lit('"}'))
+    entries = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", entry.alias("e")))), lambda x: x["e"]), ",")
+    end = F.when(F.col("n_regionkey") == 4, ', {"level": 2, "编号": "cut').otherwise("]} and more [text]")
+    books = n.groupBy("n_regionkey").agg(entries.alias("entries")).select(F.col("n_regionkey").cast("long").alias("book_id"), F.concat(F.lit('{"chapters": ['), F.col("entries"), end).alias("text"))
+    none = ad.read(s, d, "supplier").select((F.lit(-1) - F.col("s_suppkey")).cast("long").alias("book_id"), F.concat(F.lit("no contents of "), F.col("s_name")).alias("text"))
+    return books.unionByName(none)
+
+
+def toc_salvage(s: SparkSession, d: str) -> DataFrame:
+    """What can be read of damaged contents."""
+    return hierarchy.toc_entries(damaged_toc(s, d)).select("book_id", "ordinal", "level", "number", "title")
+
+
+def toc_rejects(s: SparkSession, d: str) -> DataFrame:
+    """What can't, and where."""
+    return hierarchy.toc_rejects(damaged_toc(s, d))
+
+
 def sqlite_scan(s: SparkSession, d: str) -> DataFrame:
     """Vectors exported to an SQLite file, scanned in ranges of its rowid."""
     path = scratch_path(s, "vectors").removeprefix("file://") + ".db"
@@ -196,7 +219,7 @@ def tree_levels(s: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        text_files, json_records, json_rejects, toc_json, sqlite_scan, stored_tables, base_metadata, contents_separation, section_files, toc_rules, paragraph_segments, encoder_units, judge_rules, batch_files, iso_times,
+        text_files, json_records, json_rejects, toc_json, toc_salvage, toc_rejects, sqlite_scan, stored_tables, base_metadata, contents_separation, section_files, toc_rules, paragraph_segments, encoder_units, judge_rules, batch_files, iso_times,
         path_names, fixed_decimals, tree_levels,
     )
 }
@@ -208,6 +231,12 @@ ORACLES: dict[str, str] = {
     "text_files": "SELECT item_id || '.md' AS name, text FROM benchmark WHERE text <> ''",
     "json_records": "SELECT row_number() OVER (ORDER BY c_nationkey, c_custkey) AS ordinal, c_name AS title, c_mktsegment AS content, c_acctbal AS confidence FROM customer",
     "json_rejects": "SELECT n_nationkey || '.json' AS name, '[{broken ' || n_name AS raw FROM nation WHERE n_nationkey % 3 = 0",
+    "toc_salvage": r"""SELECT n_regionkey::BIGINT AS book_id, ordinal, 2 AS level, n_nationkey::VARCHAR AS number, 'a [b], {c} "d" ' || n_name AS title
+      FROM (SELECT *, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS ordinal FROM nation) WHERE n_nationkey % 4 <> 1""",
+    "toc_rejects": r"""SELECT n_regionkey::BIGINT AS book_id, ordinal, '{"level": 2, "编号": "' || n_nationkey || '", "标题": "\underline ' || n_name || '"}' AS raw
+      FROM (SELECT *, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS ordinal FROM nation) WHERE n_nationkey % 4 = 1
+      UNION ALL SELECT 4, count(*), '{"level": 2, "编号": "cut' FROM nation WHERE n_regionkey = 4 HAVING count(*) > 0
+      UNION ALL SELECT -1 - s_suppkey, NULL, 'no contents of ' || s_name FROM supplier""",
     "toc_json": r"""SELECT n_regionkey AS book_id, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS ordinal, 2 AS level, n_name AS number,
       CASE WHEN n_nationkey % 2 = 0 THEN '\lim ' || n_name ELSE 't ' || n_name END AS title, CASE WHEN n_nationkey % 5 <> 0 THEN r_name END AS parent_number FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "sqlite_scan": "SELECT vec_id, label, len(embedding)::INT AS n, round(embedding[1]::DOUBLE, 6) AS first, round(list_sum(embedding::DOUBLE[]), 5) AS total FROM embeddings",

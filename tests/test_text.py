@@ -7,6 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from lexatlas.functions import text as tx
+from lexatlas.operators import hierarchy
 
 
 def one(spark, column, *values):
@@ -78,3 +79,20 @@ def test_skip_ranges(spark):
     values += ["".join(rng.choice(["$", "$$", "`", "```", "![", "](", ")", "a", "\n", "😀", "\r", " "]) for _ in range(rng.randint(0, 25))) for _ in range(300)]
     got = one(spark, tx.skip_ranges("x"), *values)
     assert [[(r["start"], r["end"]) for r in g] for g in got] == [skip_spec(v) for v in values]
+
+
+def test_array_elements():
+    cases = {
+        '[1, [2, 3], {"a": "],}"}] tail': ["1", "[2, 3]", '{"a": "],}"}'], "[]": [], "[ ]": [], '["a\\"b", null]': ['"a\\"b"', "null"], '[{"a": 1}, {"b": "cut': ['{"a": 1}', '{"b": "cut'],
+        "[1,": ["1"], "[": [], "[,]": ["", ""], '[{"a": {"b": [1, 2]}}, 2]': ['{"a": {"b": [1, 2]}}', "2"],
+    }
+    assert {t: tx.array_elements(t) for t in cases} == cases
+    assert len(tx.array_elements("[" + "{\"a\": 1}," * 100_000 + "1]")) == 100_001
+
+
+def test_one_broken_entry_costs_no_other(spark):
+    text = '{"chapters": [{"level": 1, "编号": "1", "标题": "a"}, {"标题": "\\underline x"}, null, 7, {"level": "x"}, {"编号": "3", "标题": "b \\lim"}]}'
+    df = spark.createDataFrame([(1, text), (2, "none"), (3, '{"chapters": []}'), (4, None)], "book_id int, text string")
+    assert [(r["book_id"], r["ordinal"], r["title"]) for r in hierarchy.toc_entries(df).orderBy("ordinal").collect()] == [(1, 0, "a"), (1, 5, "b \\lim")]
+    got = sorted(((r["book_id"], r["ordinal"], r["raw"]) for r in hierarchy.toc_rejects(df).collect()), key=str)
+    assert got == sorted([(1, 1, '{"标题": "\\underline x"}'), (1, 2, "null"), (1, 3, "7"), (1, 4, '{"level": "x"}'), (2, None, "none"), (4, None, None)], key=str)
