@@ -82,6 +82,16 @@ def constraint_report(s: SparkSession, d: str) -> DataFrame:
     return schemas.constraint_report(ad.vector_concepts(s, d), _aligned(s, d))
 
 
+def constraint_violations(s: SparkSession, d: str) -> DataFrame:
+    """The report on a base that breaks each rule: suppliers as concepts, customers as aliases."""
+    sup, cus = ad.read(s, d, "supplier"), ad.read(s, d, "customer")
+    known = sup.select(F.concat(F.lit("C"), F.col("s_suppkey") % 90).alias("concept_id"), F.when(F.col("s_nationkey") % 7 != 0, F.col("s_name")).alias("name"))
+    kind = F.when(F.col("c_mktsegment") == "BUILDING", "alias").when(F.col("c_mktsegment") == "MACHINERY", "entity").when(F.col("c_mktsegment") != "FURNITURE", F.col("c_mktsegment"))
+    status = F.when(F.col("c_nationkey") % 6 < 5, F.get(F.array(*map(F.lit, schemas.STATUSES)), (F.col("c_nationkey") % 5).cast("int"))).otherwise("lost")
+    concept = F.when(F.col("c_acctbal") >= 0, F.concat(F.lit("C"), F.col("c_custkey") % 120))
+    return schemas.constraint_report(known, cus.select(F.concat(F.lit("a"), F.col("c_custkey") % 140).alias("alias"), kind.alias("alias_type"), status.alias("status"), concept.alias("concept_id")))
+
+
 def concept_extract(s: SparkSession, d: str) -> DataFrame:
     return concepts.extract_concepts(ad.segments(s, d)).drop("ordinal")
 
@@ -249,7 +259,7 @@ def default_lists(s: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        vec_topk, vec_topk_batch, vec_best_match, align_status, align_status_counts, align_outcomes, align_rerun_reset, alias_left_join, alias_needs_review, alias_search, concept_list, manual_assign, constraint_report,
+        vec_topk, vec_topk_batch, vec_best_match, align_status, align_status_counts, align_outcomes, align_rerun_reset, alias_left_join, alias_needs_review, alias_search, concept_list, manual_assign, constraint_report, constraint_violations,
         concept_extract, alias_extract, incremental_concepts, incremental_aliases, upsert_precedence, segment_store, segment_view, alias_display, dictionary_load, type_counts, alias_type_counts, embed_text, preview_200, content_clean, file_names, json_repair,
         toc_parent, section_lookup, heading_normalise, split_h1, split_h2, skip_ranges, skip_offsets, dict_match_counts, span_resolve, annotation_table, annotated_inline, align_edges, align_rerun, judge_prompt, alias_lines,
         default_lists,
@@ -289,6 +299,14 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'aliases.alias_type known', (SELECT count(*) FROM aligned WHERE alias_type NOT IN ('alias', 'entity', 'concept'))
       UNION ALL SELECT 'aliases.status known', (SELECT count(*) FROM aligned WHERE status NOT IN ('pending', 'auto_mapped', 'llm_confirmed', 'needs_review', 'unmapped'))
       UNION ALL SELECT 'aliases.concept_id refers to a concept', (SELECT count(*) FROM aligned WHERE concept_id NOT IN (SELECT concept_id FROM c))""",
+    "constraint_violations": """WITH c AS (SELECT 'C' || s_suppkey % 90 AS concept_id, CASE WHEN s_nationkey % 7 <> 0 THEN s_name END AS name FROM supplier),
+      a AS (SELECT 'a' || c_custkey % 140 AS alias, c_mktsegment AS segment, c_nationkey AS n, CASE WHEN c_acctbal >= 0 THEN 'C' || c_custkey % 120 END AS concept_id FROM customer)
+      SELECT 'concepts.concept_id unique' AS rule, count(*) AS violations FROM (SELECT concept_id FROM c GROUP BY concept_id HAVING count(*) > 1)
+      UNION ALL SELECT 'concepts.name not null', count(*) FROM c WHERE name IS NULL
+      UNION ALL SELECT 'aliases.alias unique', count(*) FROM (SELECT alias FROM a GROUP BY alias HAVING count(*) > 1)
+      UNION ALL SELECT 'aliases.alias_type known', count(*) FROM a WHERE segment NOT IN ('BUILDING', 'MACHINERY', 'FURNITURE')
+      UNION ALL SELECT 'aliases.status known', count(*) FROM a WHERE n % 6 = 5
+      UNION ALL SELECT 'aliases.concept_id refers to a concept', count(*) FROM a WHERE concept_id IS NOT NULL AND concept_id NOT IN (SELECT concept_id FROM c)""",
     "concept_extract": f"{_WITH} SELECT concept_id, name, file_path, title, content, concept_type, created_at FROM con",
     "alias_extract": f"{_WITH} SELECT * FROM ali",
     "incremental_concepts": f"{_NAMES} SELECT * FROM base",
