@@ -117,14 +117,14 @@ def text_grams(texts: DataFrame, key: str, text_col: str, filter_, sizes: list[i
                         rows[0].extend(values.view(np.int64).tolist())
                         rows[1].extend([key] * len(values))
                         rows[2].extend(np.split(order + first, starts[1:]) if len(values) else [])
-            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()), pa.array(rows[2], pa.list_(pa.int32()))], ["gram", "key", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.list_(pa.int32()))], ["gram", "key", "at"])
 
-    return texts.select(key, text_col).mapInArrow(run, "gram long, key string, at array<int>")
+    return texts.select(key, text_col).mapInArrow(run, "gram long, key long, at array<int>")
 
 
 def candidates(texts: DataFrame, entries: DataFrame, *, key: str, text_col: str, alias_col: str = "alias") -> DataFrame:
-    """key, raw: for each text an array of the entries that it may hold, with `begins`, the places at which. texts: distinct keys (strings), no
-    null texts; entries: distinct non-empty aliases."""
+    """key, raw: for each text an array of the entries that it may hold, with `begins`, the places at which. texts: distinct, with a number as
+    key, no null texts; entries: distinct non-empty aliases."""
     sc = texts.sparkSession.sparkContext
     index = staged(anchored(entries, alias_col, sc.broadcast(rarity(texts, text_col))), "anchors")
     sizes = sorted(r["size"] for r in index.select("size").distinct().collect())  # GRAM rows at most

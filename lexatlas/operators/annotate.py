@@ -60,8 +60,9 @@ def few(words: DataFrame, word_col: str, chunk: int) -> list[str] | None:
 
 
 def keyed(docs: DataFrame, text_col: str, key: str) -> DataFrame:
-    """docs with `key`, a hash of the text: copies have one, a null text has none."""
-    return docs.withColumn(key, F.sha2(F.col(text_col).cast("binary"), 256))
+    """docs with `key`, a number of the text: copies have one, a null text has none. Texts that happen to share one see each other's candidates,
+    which don't pass the check against the text."""
+    return docs.withColumn(key, F.when(F.col(text_col).isNotNull(), F.xxhash64(text_col)))
 
 
 def matches_automaton(docs: DataFrame, words: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", word_col: str = "alias", chunk: int = CHUNK) -> DataFrame:
@@ -73,7 +74,7 @@ def matches_automaton(docs: DataFrame, words: DataFrame, *, id_col: str = "doc_i
     known = few(words, word_col, chunk)
     if known is None:
         there = keyed(pairs, "text", "key")
-        texts = there.select("key", "text").dropDuplicates(["key"])
+        texts = there.select("key", "text").dropDuplicates(["key", "text"])
         raw = anchors.candidates(texts, words.select(F.col(word_col).alias("alias")), key="key", text_col="text")
         found = there.join(raw, "key").select("id", "raw", F.explode(anchors.verified(F.col("text"), F.col("raw"))).alias("m"))
         return found.select(F.col("id").alias(id_col), F.get("raw", F.col("m.k"))["alias"].alias("alias"), "m.start", "m.end")
@@ -163,7 +164,7 @@ def annotate(docs: DataFrame, dictionary: DataFrame, *, id_col: str = "doc_id",
         return docs.withColumn("spans", spans(F.col(text_col)))
     key = "__text_key"
     there = keyed(docs, text_col, key)
-    raw = anchors.candidates(there.select(key, text_col).where(F.col(key).isNotNull()).dropDuplicates([key]), entries, key=key, text_col=text_col)
+    raw = anchors.candidates(there.select(key, text_col).where(F.col(key).isNotNull()).dropDuplicates([key, text_col]), entries, key=key, text_col=text_col)
     done = there.join(raw, key, "left").withColumn("__kept", anchors.verified(F.col(text_col), F.col("raw"), resolve=resolved_spans))
 
     def span(m: Column) -> Column:

@@ -37,7 +37,7 @@ def test_a_dictionary_of_phrases_is_annotated_alike(spark):
 def shuffled(spark, texts, n):
     """Rows that texts send to the join, with a dictionary of n aliases of which few occur."""
     words = spark.range(n).selectExpr("concat('zq', lpad(cast(id as string), 9, 'w')) as alias").union(spark.createDataFrame([("limit of",)], "alias string"))
-    keyed = an.keyed(texts, "text", "key").dropDuplicates(["key"])
+    keyed = an.keyed(texts, "text", "key").dropDuplicates(["key", "text"])
     sc = spark.sparkContext
     index = anchors.anchored(words, "alias", sc.broadcast(anchors.rarity(keyed, "text"))).cache()
     return anchors.text_grams(keyed, "key", "text", sc.broadcast(anchors.bloom(index)), [anchors.GRAM]).count()
@@ -57,3 +57,14 @@ def test_the_anchor_is_the_rarest(spark):
     h = anchors.grams(anchors.code_points("the xyzzy"), anchors.GRAM)
     least = n[(h & np.uint64(anchors.RARITY - 1)).astype(int)]
     assert least[row[0]["off"]] == least.min() and (row[0]["gram"], row[1]["size"], row[1]["off"]) == (int(h[row[0]["off"] : row[0]["off"] + 1].view(np.int64)[0]), 3, 0)
+
+
+def test_texts_that_share_a_key(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "the limit of a sum"), (2, "a function and its sum"), (3, "the limit of a sum"), (4, None)], "doc_id int, text string")
+    words = ["limit", "sum", "function", "a", "of a sum"]
+    table = spark.createDataFrame([(w, f"C{i}", f"n{i}", "alias", "auto_mapped", 0.5) for i, w in enumerate(words)], DICT)
+    rows = lambda: sorted((r["doc_id"], [tuple(m) for m in r["spans"]]) for r in an.annotate(docs, table, chunk=1).collect())
+    found = lambda: sorted(map(tuple, an.matches_automaton(docs, table.select("alias"), chunk=1).collect()))
+    want = rows(), found()
+    monkeypatch.setattr(an, "keyed", lambda docs, text_col, key: docs.withColumn(key, an.F.when(an.F.col(text_col).isNotNull(), an.F.lit(7).cast("long"))))
+    assert (rows(), found()) == want and len(want[1]) == len(set(want[1])) > 8
