@@ -156,7 +156,7 @@ def first_level(line: Column, rules: list[tuple[int, str]]) -> Column:
     return out
 
 
-def _offsets(text: Column, pattern: str) -> Column:
+def offsets(text: Column, pattern: str) -> Column:
     """array<struct(start, end)> of all matches of pattern: the pieces between them give the offsets."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
@@ -171,4 +171,4 @@ def _offsets(text: Column, pattern: str) -> Column:
 
 def skip_ranges(text: Column | str) -> Column:
     """Code, formulas and images of a markdown text, sorted by start: array<struct(start, end)>, code points, end exclusive."""
-    return F.array_sort(F.concat(*[_offsets(_c(text), p) for p in SKIP]))
+    return F.array_sort(F.concat(*[offsets(_c(text), p) for p in SKIP]))

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexatlas.functions.scans import CARRY, Scan, ranged_scan
 from lexatlas.functions.text import chapters_rest, cut_array, first_filled, first_level, lstrip, repair_json_backslashes, strip
 from lexatlas.schemas import CHAPTERS, TOC, conform
 from lexatlas.workers import ready_python
@@ -45,29 +45,65 @@ def heading_rules(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     return [(r["level"], r["f"]) for r in got.where("r.`编号格式` <> ''").orderBy("k").select(F.coalesce("r.level", F.lit(1)).alias("level"), F.col("r.编号格式").alias("f")).collect()]
 
 
-def chapter_tree(entries: DataFrame, root_title: Column | str = "", *, book: str = "book_id") -> DataFrame:
+class _Open:
+    """The entries of a run that are still open, outermost first, as (level, place, number); places count from 1 in the run."""
+
+    def __init__(self):
+        self.n, self.lowest, self.top, self.stack = 0, None, False, []
+
+    def step(self, level: int | None, number: str | None, parent: str | None) -> tuple:
+        self.n += 1
+        if level is None:
+            return self.n, None, None, None, self.top
+        above = [x for x in self.stack if x[0] < level]
+        named = next((x[1] for x in reversed(above) if parent is not None and x[2] == parent), None)
+        out = (self.n, named, above[-1][1] if above else None, level if self.lowest is None else min(level, self.lowest), self.top)
+        self.stack = above
+        self.lowest = out[3]
+        if level >= 0:
+            self.stack.append((level, self.n, number))
+        self.top |= level == 0
+        return out
+
+    def close(self) -> dict:
+        return {"n": self.n, "lowest": self.lowest, "top": self.top, "stack": [dict(zip(("level", "at", "number"), x, strict=True)) for x in self.stack]}
+
+
+def _behind(a: dict, b: dict) -> dict:
+    """What two runs leave open: the second closes those of the first from its lowest level on."""
+    left = a["stack"] if b["lowest"] is None else [x for x in a["stack"] if x["level"] < b["lowest"]]
+    lows = [x for x in (a["lowest"], b["lowest"]) if x is not None]
+    moved = [{**x, "at": x["at"] + a["n"]} for x in b["stack"]]
+    return {"n": a["n"] + b["n"], "lowest": min(lows, default=None), "top": a["top"] or b["top"], "stack": left + moved}
+
+
+#: Level stacks as a prefix scan: what a run of entries closes and what it leaves open.
+STACKS = Scan(
+    ("level", "number", "parent_number"), "__at long, __named long, __nearest long, __below int, __top boolean", "n long, lowest int, top boolean, stack array<struct<level:int,at:long,number:string>>",
+    _Open, _Open.step, _Open.close, _behind,
+)
+
+
+def chapter_tree(entries: DataFrame, root_title: Column | str = "", *, book: str = "book_id", partitions: int | None = None) -> DataFrame:
     """entries (book, ordinal, level, number, title, parent_number) -> book and CHAPTERS: the root is 1, entries follow as 2, 3, ...
 
     An entry's parent is the nearest open one above its level whose number is parent_number (the root goes by its title), else the
     nearest open one at all, else the root; without a parent_number it is the root. An entry closes all of its level and below; one of
-    level 0 takes the root's place as the topmost open one. Each book is one ordered window, with a slot for each level that the entries have.
+    level 0 takes the root's place as the topmost open one, one below 0 is never open, one without a level changes nothing. Entries of one
+    ordinal follow by level, number, title and parent. A book may lie in any number of partitions (see scans): only what is open at
+    a partition's end, an entry a level, goes from one to the next.
     """
     title = F.lit(root_title) if isinstance(root_title, str) else root_title
-    order = W.partitionBy(book).orderBy("ordinal")
-    before = order.rowsBetween(W.unboundedPreceding, -1)
-    e = entries.withColumn("id", F.row_number().over(order).cast("long") + 1)
-    slot = lambda n: F.last(F.when(F.col("level") == n, F.struct("id", "number")), ignorenulls=True).over(before)
-    opened = lambda n: F.max(F.when(F.col("level") < n, F.col("id"))).over(before)
-    levels = sorted(r["level"] for r in entries.where("level >= 0").select("level").distinct().collect())  # a few
-    e = e.withColumns({f"__s{n}": slot(n) for n in levels} | {f"__o{n}": opened(n) for n in levels})
-    stack = F.array(*[F.when(F.col(f"__s{n}.id") > F.coalesce(F.col(f"__o{n}"), F.lit(0)), F.struct(F.lit(n).alias("level"), F.col(f"__s{n}.id").alias("id"), F.col(f"__s{n}.number").alias("number"))) for n in reversed(levels)])
-    stack = stack.cast("array<struct<level:int,id:bigint,number:string>>")
-    open_ones = F.filter(stack, lambda s: s.isNotNull() & (s["level"] < F.col("level")))
-    same = F.filter(open_ones, lambda s: s["number"] == F.col("parent_number"))
-    topmost = F.lit(True) if 0 not in levels else F.col("__s0").isNull()
-    root = F.when(topmost & (F.col("level") > 0) & (F.col("parent_number") == title), F.lit(1))
-    parent = F.when(F.col("parent_number").isNull(), F.lit(1)).otherwise(F.coalesce(F.get(same, F.lit(0))["id"], root, F.get(open_ones, F.lit(0))["id"], F.lit(1)))
-    tree = e.select(book, "id", F.col("level").cast("int").alias("level"), "number", "title", parent.cast("long").alias("parent_id"))
+    rows = entries.select(book, "ordinal", F.col("level").cast("int").alias("level"), "number", "title", "parent_number")
+    e = ranged_scan(rows, [book], ["ordinal", "level", "number", "title", "parent_number"], STACKS, partitions)
+    before = F.coalesce(F.col(f"{CARRY}.n"), F.lit(0))
+    still = F.reverse(F.filter(f"{CARRY}.stack", lambda x: x["level"] < F.col("__below")))
+    first = lambda found: F.get(found, F.lit(0))["at"]
+    topmost = ~F.col("__top") & ~F.coalesce(F.col(f"{CARRY}.top"), F.lit(False))
+    root = F.when(topmost & (F.col("level") > 0) & (F.col("parent_number") == title), F.lit(0))
+    found = F.coalesce(before + F.col("__named"), first(F.filter(still, lambda x: x["number"] == F.col("parent_number"))), root, before + F.col("__nearest"), first(still), F.lit(0))
+    parent = F.when(F.col("parent_number").isNull(), F.lit(0)).otherwise(found) + 1
+    tree = e.select(book, (before + F.col("__at") + 1).alias("id"), "level", "number", "title", parent.cast("long").alias("parent_id"))
     roots = entries.select(book).distinct().select(book, F.lit(1).cast("long").alias("id"), F.lit(0).alias("level"), F.lit(None).cast("string").alias("number"), title.alias("title"), F.lit(None).cast("long").alias("parent_id"))
     return roots.unionByName(tree)
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexatlas.functions.scans import places
 from lexatlas.functions.text import WS, collapse, sanitize_filename, split_at_headings, stem, strip
 from lexatlas.operators.hierarchy import section_lookup
 
@@ -87,15 +88,13 @@ def listed_texts(listed: DataFrame, texts: DataFrame) -> DataFrame:
     return listed.join(found, "file", "left").join(texts.select("path", "text"), "path", "left").select(*listed.columns, "path", "text")
 
 
-def finish_segments(raw: DataFrame, chapters: DataFrame, *, created_at: str, model: str, version: int = 1, source: str = "source", order: str = "idx", section_id: str | None = None) -> DataFrame:
+def finish_segments(raw: DataFrame, chapters: DataFrame, *, created_at: str, model: str, version: int = 1, source: str = "source", order: str = "idx", section_id: str | None = None, partitions: int | None = None) -> DataFrame:
     """Segments as stored: content without surplus white space, section_id looked up (a given one wins), positions 1..n in each
-    source by `order`, creation time, model and version as given."""
-    from pyspark.sql import Window as W
-
+    source by `order`, creation time, model and version as given. A source may have any number of segments: positions are a prefix scan."""
     names = raw.drop("section_id", "position", "created_at", "model", "version")
     found = section_lookup(names.select("section").distinct(), chapters)
     out = names.join(found, "section", "left").withColumn("content", collapse("content"))
     if section_id is not None:
         out = out.withColumn("section_id", F.lit(section_id))
-    place = F.row_number().over(W.partitionBy(source).orderBy(order))
-    return out.withColumns({"position": place, "created_at": F.lit(created_at), "model": F.lit(model), "version": F.lit(version)}).drop(order)
+    out = places(out, "position", [source], [order], partitions).withColumn("position", F.col("position").cast("int"))
+    return out.withColumns({"created_at": F.lit(created_at), "model": F.lit(model), "version": F.lit(version)}).drop(order)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexatlas.functions.text import strip
+from lexatlas.functions.text import offsets, strip
 
 #: The data's similarities are low; the product's default of 0.75 would match nothing here.
 THRESHOLD = 0.30
@@ -235,3 +235,33 @@ span AS (
   SELECT doc_id, c.s AS s, c.e AS e, c.alias AS alias, 'D' || md5(c.alias) AS concept_id, CASE WHEN length(c.alias) % 2 = 0 THEN c.alias ELSE 'c ' || c.alias END AS concept_name,
     ['concept', 'alias', 'entity'][length(c.alias) % 3 + 1] AS alias_type, ['概念本身', '别名', '实体词'][length(c.alias) % 3 + 1] AS label, length(c.alias) / 10.0::DOUBLE AS confidence FROM chosen
 )"""
+
+
+CUTS = ("[^.!?]+", r"[^\n]+")
+
+
+def cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines and the sentences of the marked documents as spans: a sentence may run over lines."""
+    found = F.concat(*[offsets(F.col("text"), p) for p in CUTS])
+    return marked(spark, sf_dir).select("doc_id", F.explode(found).alias("m")).select("doc_id", "m.start", "m.end")
+
+
+def offsets_sql(name: str, texts: str, patterns: tuple[str, ...]) -> str:
+    """name (doc_id, s, e): all matches of the patterns in texts."""
+    hits = " UNION ALL ".join(f"SELECT doc_id, regexp_extract_all(text, '{p}') AS h, string_split_regex(text, '{p}') AS g FROM {texts}" for p in patterns)
+    return rf"""{name}_hit AS (SELECT *, row_number() OVER () AS k FROM ({hits})),
+{name}_each AS (SELECT doc_id, k, unnest(h) AS h, unnest(g[1:len(h)]) AS g, generate_subscripts(h, 1) AS i FROM {name}_hit),
+{name} AS (SELECT doc_id, (sum(length(g) + length(h)) OVER (PARTITION BY k ORDER BY i) - length(h))::INT AS s, (sum(length(g) + length(h)) OVER (PARTITION BY k ORDER BY i))::INT AS e FROM {name}_each)"""
+
+
+CUTS_SQL = f"""{MARKED_SQL},
+{SKIPS_SQL},
+{offsets_sql("cut", "mk", CUTS)},
+cut1 AS (SELECT DISTINCT doc_id, s, e FROM cut),
+bad AS (SELECT DISTINCT m.doc_id, m.s, m.e FROM cut1 m JOIN reg r ON r.doc_id = m.doc_id AND ((r.s <= m.s AND m.s < r.e) OR (r.s < m.e AND m.e <= r.e))),
+good AS (SELECT *, CASE WHEN s >= max(e) OVER (PARTITION BY doc_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS fresh FROM cut1 ANTI JOIN bad USING (doc_id, s, e)),
+isle AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS idx FROM good),
+chosen AS (
+  SELECT doc_id, unnest(list_reduce(list([{{'s': s, 'e': e}}] ORDER BY e - s DESC, s), lambda acc, y: CASE WHEN len(list_filter(acc, lambda k: k.s < y[1].e AND y[1].s < k.e)) = 0 THEN list_concat(acc, y) ELSE acc END)) AS c
+  FROM isle GROUP BY doc_id, idx
+)"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexatlas import schemas
 from lexatlas.functions import text as tx
-from lexatlas.operators import align, annotate, concepts, hierarchy, search, sections
+from lexatlas.operators import align, annotate, concepts, hierarchy, search, sections, spans
 from lexatlas.plans import adapters as ad
 from lexatlas.plans import files
 from lexatlas.scratch import staged
@@ -218,6 +218,12 @@ def annotated_inline(s: SparkSession, d: str) -> DataFrame:
     return annotate.rendered(spans, inline_links=True).select("doc_id", "annotated")
 
 
+def span_ranges(s: SparkSession, d: str) -> DataFrame:
+    """Overlapping lines and sentences outside code and formulas, as rows that may be dealt anywhere."""
+    regions = skip_offsets(s, d)
+    return spans.resolve(ad.cuts(s, d), regions)
+
+
 def _edges(s: SparkSession, d: str) -> DataFrame:
     return align.align(ad.edge_aliases(s, d), ad.vector_concepts(s, d), ad.label_judge, threshold=ad.THRESHOLD)
 
@@ -261,7 +267,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         vec_topk, vec_topk_batch, vec_best_match, align_status, align_status_counts, align_outcomes, align_rerun_reset, alias_left_join, alias_needs_review, alias_search, concept_list, manual_assign, constraint_report, constraint_violations,
         concept_extract, alias_extract, incremental_concepts, incremental_aliases, upsert_precedence, segment_store, segment_view, alias_display, dictionary_load, type_counts, alias_type_counts, embed_text, preview_200, content_clean, file_names, json_repair,
-        toc_parent, section_lookup, heading_normalise, split_h1, split_h2, skip_ranges, skip_offsets, dict_match_counts, span_resolve, annotation_table, annotated_inline, align_edges, align_rerun, judge_prompt, alias_lines,
+        toc_parent, section_lookup, heading_normalise, split_h1, split_h2, skip_ranges, skip_offsets, dict_match_counts, span_resolve, annotation_table, annotated_inline, span_ranges, align_edges, align_rerun, judge_prompt, alias_lines,
         default_lists,
     )
 }
@@ -353,6 +359,7 @@ ORACLES: dict[str, str] = {
       entry AS (SELECT doc_id, min(s) AS s, printf('| `%s` | **%s** | %s | %s | %.3f |', alias, concept_name, concept_id, label, confidence) || chr(10) AS line FROM span GROUP BY doc_id, alias, concept_name, concept_id, label, confidence),
       tab AS (SELECT doc_id, string_agg(line, '' ORDER BY s) AS lines FROM entry GROUP BY doc_id)
       SELECT doc_id, CASE WHEN body IS NULL THEN text || '{annotate.NO_MATCH}' ELSE body || substr(text, last + 1) || '{annotate.TABLE_HEAD}' || lines END AS annotated FROM mk LEFT JOIN body USING (doc_id) LEFT JOIN tab USING (doc_id)""",
+    "span_ranges": f"WITH {ad.CUTS_SQL} SELECT doc_id, c.s AS start, c.e AS \"end\" FROM chosen",
     "align_edges": f"WITH {ad.EDGES_SQL} SELECT * FROM edges",
     "align_rerun": f"WITH {ad.EDGES_SQL} SELECT * FROM edges",
     "judge_prompt": f"{_VEC} SELECT alias, 'LLM:' || decision || '|' || substr(repeat(best, 60), 1, 300) AS llm_reason FROM judged WHERE similarity >= 0.3 AND alias_type <> 'alias'",

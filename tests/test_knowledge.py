@@ -33,7 +33,7 @@ def tree_spec(entries):
         to = 1
         if parent is not None:
             named = [x for x in above if x[1] == parent]
-            to = (named or above)[0][0]
+            to = (named or above or [(1, None)])[0][0]
         out.append((i, to))
         stack = {v: x for v, x in stack.items() if v < level} | {level: (i, number)}
     return out
