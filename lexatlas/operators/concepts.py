@@ -51,11 +51,11 @@ def upsert(existing: DataFrame, *later: DataFrame, key: str) -> DataFrame:
     return first_rows(every, [key], [-F.col("__p")]).drop("__p")
 
 
-def build_base(segments: DataFrame, concepts: DataFrame | None = None, aliases: DataFrame | None = None, embed=None) -> tuple[DataFrame, DataFrame]:
-    """The concept base after an increment: (concepts, aliases). Existing rows stay; new concepts continue the numbers.
+def increment_rows(segments: DataFrame, concepts: DataFrame | None = None, aliases: DataFrame | None = None, embed=None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What segments add to a base: new concepts, alias rows of their own names, and new aliases and entities, which replace those of the same
+    name. Nothing that is there changes, but an own name's row counts only if the alias isn't there yet.
 
-    embed: a column function text -> array<float>, or None to leave embeddings null. A new concept gets an alias row of its own
-    name, which a new alias or entity of the same name replaces.
+    embed: a column function text -> array<float>, or None to leave embeddings null. New concepts continue the numbers.
     """
     spark = segments.sparkSession
     concepts = spark.createDataFrame([], CONCEPTS) if concepts is None else conform(concepts, CONCEPTS)
@@ -75,7 +75,15 @@ def build_base(segments: DataFrame, concepts: DataFrame | None = None, aliases:
         F.col("name").alias("alias"), "concept_id", F.lit("concept").alias("alias_type"), F.col("file_path").alias("source_doc"), F.lit(1.0).alias("confidence"),
         F.lit("auto_mapped").alias("status"), F.lit(SELF_REASON).alias("llm_reason"), "created_at", "embedding",
     )
-    own = conform(new_rows(own, aliases, "alias"), ALIASES)
+    return added, conform(new_rows(own, aliases, "alias"), ALIASES), found
+
+
+def build_base(segments: DataFrame, concepts: DataFrame | None = None, aliases: DataFrame | None = None, embed=None) -> tuple[DataFrame, DataFrame]:
+    """The whole concept base after an increment: (concepts, aliases). See increment_rows."""
+    spark = segments.sparkSession
+    concepts = spark.createDataFrame([], CONCEPTS) if concepts is None else conform(concepts, CONCEPTS)
+    aliases = spark.createDataFrame([], ALIASES) if aliases is None else conform(aliases, ALIASES)
+    added, own, found = increment_rows(segments, concepts, aliases, embed)
     return upsert(concepts, added, key="concept_id"), upsert(aliases, own, found, key="alias")
 
 

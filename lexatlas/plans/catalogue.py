@@ -12,7 +12,9 @@ from lexatlas.functions import text as tx
 from lexatlas.operators import align, annotate, concepts, hierarchy, search, sections, spans
 from lexatlas.plans import adapters as ad
 from lexatlas.plans import files
-from lexatlas.scratch import staged
+from lexatlas.scratch import scratch_path, staged
+from lexatlas.sources import buckets
+from lexatlas.streaming import incremental
 
 RULES = files.RULES
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +117,14 @@ def incremental_aliases(s: SparkSession, d: str) -> DataFrame:
     return _increments(s, d)[1].select("alias", "alias_type", "block_id", "status")
 
 
+def bucketed_aliases(s: SparkSession, d: str) -> DataFrame:
+    """The aliases of both increments, kept in buckets: the second writes only those that its new rows fall in."""
+    seg, folder = ad.segments(s, d), scratch_path(s, "base")
+    incremental.increment_buckets(s, seg.where("type = 'concept'"), folder)
+    incremental.increment_buckets(s, seg, folder)
+    return buckets.read_buckets(s, f"{folder}/aliases", schemas.ALIASES).select("alias", "alias_type", "block_id", "status")
+
+
 def upsert_precedence(s: SparkSession, d: str) -> DataFrame:
     return concepts.build_base(ad.segments(s, d))[1].select("alias", "alias_type", "status", "concept_id", "confidence")
 
@@ -266,7 +276,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         vec_topk, vec_topk_batch, vec_best_match, align_status, align_status_counts, align_outcomes, align_rerun_reset, alias_left_join, alias_needs_review, alias_search, concept_list, manual_assign, constraint_report, constraint_violations,
-        concept_extract, alias_extract, incremental_concepts, incremental_aliases, upsert_precedence, segment_store, segment_view, alias_display, dictionary_load, type_counts, alias_type_counts, embed_text, preview_200, content_clean, file_names, json_repair,
+        concept_extract, alias_extract, incremental_concepts, incremental_aliases, bucketed_aliases, upsert_precedence, segment_store, segment_view, alias_display, dictionary_load, type_counts, alias_type_counts, embed_text, preview_200, content_clean, file_names, json_repair,
         toc_parent, section_lookup, heading_normalise, split_h1, split_h2, skip_ranges, skip_offsets, dict_match_counts, span_resolve, annotation_table, annotated_inline, span_ranges, align_edges, align_rerun, judge_prompt, alias_lines,
         default_lists,
     )
@@ -375,6 +385,7 @@ ORACLES: dict[str, str] = {
 
 QUERIES |= files.QUERIES
 ORACLES |= files.ORACLES
+ORACLES["bucketed_aliases"] = ORACLES["incremental_aliases"]
 
 
 def queries() -> dict[str, Query]:

@@ -13,12 +13,17 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lexatlas.functions.numbering import first_rows
 from lexatlas.functions.text import collapse, first_level, strip, strip_fences
 from lexatlas.operators.hierarchy import heading_text
+from lexatlas.scratch import staged
+from lexatlas.sources.buckets import read_buckets, upsert_buckets
 from lexatlas.workers import ready_python
 
 DIM = 256
+UNREADABLE = "unreadable reply"
 
 
 def hashed_vector(text: str | None, dim: int = DIM) -> list[float]:
@@ -73,11 +78,49 @@ def reply_judge(ask: Callable[[str, str, str], str]) -> Callable[[DataFrame], Da
                 yield pd.Series([safely(*q) for q in zip(*questions, strict=True)], dtype=object)
 
         said = asked.withColumn("__r", F.from_json(strip_fences(reply.asNondeterministic()("alias", "name", "content")), "decision string, reason string"))
-        return said.withColumns({"decision": F.coalesce("__r.decision", F.lit("无关联")), "reason": F.coalesce("__r.reason", F.lit("unreadable reply"))}).drop("__r")
+        return said.withColumns({"decision": F.coalesce("__r.decision", F.lit("无关联")), "reason": F.coalesce("__r.reason", F.lit(UNREADABLE))}).drop("__r")
 
     return judge
 
 
+REPLIES = T.StructType([T.StructField(c, T.StringType()) for c in ("question", "decision", "reason")])
+
+
+def question(alias: Column | str, name: Column | str, content: Column | str) -> Column:
+    """The key of a question: equal ones have one; lengths and marks keep nulls and borders apart."""
+    parts = [F.col(c) if isinstance(c, str) else c for c in (alias, name, content)]
+    return F.sha2(F.concat(*[F.coalesce(F.concat(F.length(c), F.lit(":"), c), F.lit("-")) for c in parts]), 256)
+
+
+def kept_judge(judge: Callable[[DataFrame], DataFrame], path: str, *, attempts: int = 3, failed: Callable[[Column], Column] | None = None, buckets: int = 64) -> Callable[[DataFrame], DataFrame]:
+    """A judge that asks each question once, ever: replies are kept at `path` by the hash of the question, in buckets, and what is kept isn't asked.
+
+    Equal questions are one. Replies whose reason is `failed` (begins with "failed:" or is the note of an unreadable one, if not given) are asked again, up to
+    `attempts` times in all, and not kept, so that a later run asks them anew. The judge's rows are laid down before they are used: a plan
+    that is read twice doesn't ask twice.
+    """
+    bad = failed or (lambda reason: reason.startswith("failed:") | (reason == UNREADABLE))
+
+    def kept(asked: DataFrame) -> DataFrame:
+        spark = asked.sparkSession
+        keyed = staged(asked.withColumn("__q", question("alias", "name", "content")), "asked")
+        each = first_rows(keyed.select("__q", "alias", "name", "content"), ["__q"], ["alias"])
+        open_ones = staged(each.join(read_buckets(spark, path, REPLIES), F.col("__q") == F.col("question"), "left_anti"), "open")
+        last = spark.createDataFrame([], REPLIES)
+        for _ in range(attempts):
+            if open_ones.isEmpty():
+                break
+            said = staged(judge(open_ones).select(F.col("__q").alias("question"), "decision", "reason"), "said")
+            good = said.where(~F.coalesce(bad(F.col("reason")), F.lit(False)))
+            upsert_buckets(good, path, "question", buckets=buckets)
+            last = said.join(good.select("question"), "question", "left_anti")
+            open_ones = open_ones.join(last, F.col("__q") == F.col("question"), "left_semi")
+        replies = read_buckets(spark, path, REPLIES).unionByName(last)
+        return keyed.join(replies, F.col("__q") == F.col("question"), "left").select(*asked.columns, "decision", "reason")
+
+    return kept
+
+
 def toc_by_rules(docs: DataFrame, rules: list[tuple[int, str]], *, book: str = "book_id", text_col: str = "text") -> DataFrame:
     """Entries of a table of contents from its lines: a line that fits a rule is an entry of that level; its number is what the rule
     matches, its parent the last entry of a higher level."""

@@ -26,13 +26,20 @@ def _version(number: int) -> str:
     return f"v{number:010d}"
 
 
-def current(spark: SparkSession, path: str) -> tuple[int, str | None]:
-    """(number, folder) of a stored table's current version, the highest; number 0 for a plain folder of Parquet files, and for none."""
+def delete(spark: SparkSession, path: str) -> None:
+    fs, make = _files(spark, path)
+    fs.delete(make(path), True)
+
+
+def current(spark: SparkSession, path: str, before: int | None = None) -> tuple[int, str | None]:
+    """(number, folder) of a stored table's current version, the highest (below `before`); number 0 for a plain folder of Parquet files, and
+    for none."""
     fs, make = _files(spark, path)
     if not fs.exists(make(path)):
         return 0, None
     names = [s.getPath().getName() for s in fs.listStatus(make(path)) if s.isDirectory()]
-    last = max((int(n[1:]) for n in names if re.fullmatch(r"v\d{10}", n)), default=0)
+    numbers = [int(n[1:]) for n in names if re.fullmatch(r"v\d{10}", n)]
+    last = max((n for n in numbers if before is None or n < before), default=0)
     if last:
         return last, f"{path.rstrip('/')}/{_version(last)}"
     plain = any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(make(path)))
