@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexatlas.functions.scans import CARRY, Scan, ranged_scan
+from lexatlas.scratch import staged
 from lexatlas.workers import ready_python
 
 
@@ -107,7 +108,9 @@ def resolve(spans: DataFrame, regions: DataFrame, *, id_col: str = "doc_id", par
     ones are resolved each by one task, which holds two numbers a span.
     """
     ready_python(spans.sparkSession)
-    whole = spans.where(F.col(id_col).isNotNull() & (F.col("start") < F.col("end"))).select(id_col, "start", "end").distinct()
+    # laid down: ranges are sampled before rows are dealt, so what a scan reads is read twice, and both scans read the regions
+    whole = staged(spans.where(F.col(id_col).isNotNull() & (F.col("start") < F.col("end"))).select(id_col, "start", "end").distinct(), "spans")
+    regions = staged(regions.select(id_col, "start", "end"), "regions")
     free = outside(whole, regions, "start", id_col=id_col, partitions=partitions)
     free = outside(free, regions, "end - 1", id_col=id_col, partitions=partitions)
     each = islands(free, id_col=id_col, partitions=partitions).groupBy(id_col, "island").agg(F.collect_list(F.struct("start", "end")).alias("s"))
