@@ -1,60 +1,94 @@
-"""An anchor index: occurrences of a dictionary of any size in texts, without a copy of a text for each part of the dictionary.
+"""An anchor index: a dictionary of any size meets texts without a copy of a text for each part of the dictionary.
 
-Every alias is keyed by one of its character n-grams, the rarest in the texts: its anchor. An alias shorter than GRAM is its own anchor.
-A Bloom filter of all anchors, BITS bits whatever the dictionary, goes to every worker. A text tells the places of those of its n-grams that
-pass the filter; these rows meet the anchors by n-gram in a join, which gives each text the aliases it may hold and where. They
-are verified against the text itself, which is shuffled once. What is shuffled grows with the texts and with the n-grams that are
-anchors, not with dictionary x texts.
+Every alias is keyed by one of its character n-grams, the rarest in the texts: its anchor. An alias that isn't longer than n is its own anchor.
+A Bloom filter of all anchors, BITS bits whatever the dictionary, goes to every worker. Texts are dealt to parts of PART code points, and a part
+tells, once each, those of its n-grams that pass the filter; these rows meet the anchors in a join, which gives each part the entries that it may
+hold: a dictionary of its own. What is shuffled grows with the different words of the parts, not with their places in texts, nor with
+dictionary x texts.
 
 Rarity is counted over all texts in a table of RARITY slots; slots that are shared make anchors less rare, never results wrong.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from lexatlas.functions.numbering import ROW_BITS
 from lexatlas.scratch import staged
 
-GRAM = 5
+#: Length of anchors, and of those of the index of whole words: most aliases are their own anchors there, so a part gets hardly any that it doesn't hold.
+GRAM, WHOLE = 5, 16
+#: Code points of a part at most, where there are enough of them for all cores, and at least; a part is put together of pieces of PIECE.
+PART, LEAST, PIECE = 1 << 25, 1 << 20, 1 << 20
 RARITY, BITS = 1 << 16, 1 << 26
-#: Code points of a text that are hashed at once.
-BLOCK = 1 << 20
+#: Code points of a text that are hashed at once, and rows of texts that are worked on at once.
+BLOCK, ROWS = 1 << 16, 200
 
 
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
 
 
+def sized_grams(code: np.ndarray, sizes: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """(n, a 64-bit number for each n-gram of code points, by its place) for ascending sizes; each goes on from the one before."""
+    value = np.zeros(len(code), np.uint64)
+    done = 0
+    for n in sizes:
+        m = max(0, len(code) - n + 1)
+        value = value[:m]
+        for i in range(done, n):
+            value *= np.uint64(0x100000001B3)
+            value += code[i : i + m]
+            value += np.uint64(1)
+        done = n
+        h = value + np.uint64(n * 0x9E3779B97F4A7C15 % 2**64)
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(32)
+        yield n, h
+
+
 def grams(code: np.ndarray, n: int) -> np.ndarray:
-    """A 64-bit number for each n-gram of code points, by its place."""
-    m = max(0, len(code) - n + 1)
-    value = np.full(m, n, np.uint64)
-    for i in range(n):
-        value = value * np.uint64(0x100000001B3) + code[i : i + m] + np.uint64(1)
-    value = (value ^ value >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
-    return value ^ value >> np.uint64(32)
+    return next(sized_grams(code, [n]))[1]
+
+
+def whole_grams(aliases: list[str]) -> np.ndarray:
+    """Of each alias the number of all of it; aliases of a length are hashed together."""
+    size = np.array([len(a) for a in aliases], np.int64)
+    out = np.zeros(len(aliases), np.uint64)
+    for n in np.unique(size):
+        at = np.flatnonzero(size == n)
+        out[at] = grams(code_points("".join(aliases[i] for i in at)), int(n))[::n]
+    return out
 
 
-def blocks(text: str, n: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(place of the first, numbers) of a text's n-grams, in blocks."""
-    for at in range(0, len(text) - n + 1, BLOCK):
-        yield at, grams(code_points(text[at : at + BLOCK + n - 1]), n)
+def blocks(text: str, sizes: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """(n, numbers) of a text's n-grams of ascending sizes, in blocks."""
+    for at in range(0, len(text) - sizes[0] + 1, BLOCK):
+        code = code_points(text[at : at + BLOCK + sizes[-1] - 1])
+        for n, h in sized_grams(code, sizes):
+            yield n, h[:BLOCK]
 
 
-def rarity(texts: DataFrame, text_col: str) -> np.ndarray:
-    """How often n-grams of length GRAM occur, by slot."""
+def rarity(texts: DataFrame, text_col: str, size: int = GRAM) -> np.ndarray:
+    """How often n-grams of length `size` occur, by slot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(RARITY, np.int64)
         for b in batches:
             for text in b.column(0).to_pylist():
-                for _, h in blocks(text, GRAM):
+                for _, h in blocks(text, [size]) if text else ():
                     n += np.bincount((h & np.uint64(RARITY - 1)).astype(np.int64), minlength=RARITY)
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[at])], ["slot", "n"])
@@ -65,20 +99,19 @@ def rarity(texts: DataFrame, text_col: str) -> np.ndarray:
     return out
 
 
-def anchored(entries: DataFrame, alias_col: str, counts) -> DataFrame:
+def anchored(entries: DataFrame, alias_col: str, counts, longest: int = GRAM) -> DataFrame:
     """entries with gram, off and size: the anchor of each alias, where in it it begins, and its length. counts: a broadcast of rarity()."""
 
     @F.pandas_udf("gram long, off int, size int")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         n = counts.value
         for aliases in batches:
-            out = []
-            for a in aliases:
-                size = min(len(a), GRAM)
-                h = grams(code_points(a), size)
-                k = int(np.lexsort((h, n[(h & np.uint64(RARITY - 1)).astype(np.int64)]))[0]) if size == GRAM else 0
-                out.append((int(h[k : k + 1].view(np.int64)[0]), k, size))
-            yield pd.DataFrame(out, columns=["gram", "off", "size"])
+            out = pd.DataFrame({"gram": whole_grams([a[:longest] for a in aliases]).view(np.int64), "off": 0, "size": aliases.str.len().clip(upper=longest)})
+            for i in np.flatnonzero(aliases.str.len() > longest):
+                h = grams(code_points(aliases.iloc[i]), longest)
+                k = int(np.lexsort((h, n[(h & np.uint64(RARITY - 1)).astype(np.int64)]))[0])
+                out.loc[i, ["gram", "off"]] = int(h[k : k + 1].view(np.int64)[0]), k
+            yield out
 
     return entries.withColumn("__anchor", run(F.col(alias_col))).select(*entries.columns, "__anchor.*")
 
@@ -94,62 +127,96 @@ def bloom(anchors: DataFrame) -> np.ndarray:
 
 
 def passed(filter_: np.ndarray, h: np.ndarray) -> np.ndarray:
-    ok = np.ones(len(h), bool)
+    """Those of h that pass."""
     for k in (0, 1):
         p = h >> np.uint64(32 * k) & np.uint64(BITS - 1)
-        ok &= (filter_[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
-    return ok
+        h = h[(filter_[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)]
+    return h
 
 
 def text_grams(texts: DataFrame, key: str, text_col: str, filter_, sizes: list[int]) -> DataFrame:
-    """gram, key, at: the places of a text's n-grams that pass the filter (a broadcast of bloom())."""
+    """gram, key: the n-grams of a key's texts that pass the filter (a broadcast of bloom()), once for each batch of rows. Texts of a key are
+    hashed as one, so a few n-grams run over their ends; what they ask for isn't in the texts and isn't found there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = filter_.value
         for b in batches:
-            rows: tuple[list, list, list] = ([], [], [])
-            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for n in sizes:
-                    for first, h in blocks(text, n):
-                        at = np.flatnonzero(passed(known, h))
-                        order = at[np.argsort(h[at], kind="stable")]
-                        values, starts = np.unique(h[order], return_index=True)
-                        rows[0].extend(values.view(np.int64).tolist())
-                        rows[1].extend([key] * len(values))
-                        rows[2].extend(np.split(order + first, starts[1:]) if len(values) else [])
-            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.list_(pa.int32()))], ["gram", "key", "at"])
-
-    return texts.select(key, text_col).mapInArrow(run, "gram long, key long, at array<int>")
-
-
-def candidates(texts: DataFrame, entries: DataFrame, *, key: str, text_col: str, alias_col: str = "alias") -> DataFrame:
-    """key, raw: for each text an array of the entries that it may hold, with `begins`, the places at which. texts: distinct, with a number as
-    key, no null texts; entries: distinct non-empty aliases."""
-    sc = texts.sparkSession.sparkContext
-    index = staged(anchored(entries, alias_col, sc.broadcast(rarity(texts, text_col))), "anchors")
-    sizes = sorted(r["size"] for r in index.select("size").distinct().collect())  # GRAM rows at most
-    found = text_grams(texts, key, text_col, sc.broadcast(bloom(index)), sizes).join(index, "gram")
-    begins = F.filter(F.transform("at", lambda x: x - F.col("off")), lambda x: x >= 0)
-    found = found.select("key", *entries.columns, begins.alias("begins")).where(F.size("begins") > 0)
-    return found.groupBy("key").agg(F.collect_list(F.struct(*entries.columns, "begins")).alias("raw")).withColumnRenamed("key", key)
+            together = defaultdict(list)
+            for k, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if text:
+                    together[k].append(text)
+            for k, some in together.items():
+                text = "\n".join(some)
+                seen = [np.unique(passed(known, h)) for _, h in blocks(text, sizes)]
+                if seen:
+                    h = np.unique(np.concatenate(seen))
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(h), k, np.int64))], ["gram", "key"])
 
+    return texts.select(F.col(key).cast("long"), text_col).mapInArrow(run, "gram long, key long")
 
-def occurrences(text: str, aliases, begins) -> dict[tuple[int, int], int]:
-    """(start, end) -> number of the alias, of the places where an alias really is."""
-    return {(at, at + len(a)): k for k, (a, places) in enumerate(zip(aliases, begins, strict=True)) for at in places if text.startswith(a, at)}
 
+def parts(docs: DataFrame, text_col: str) -> tuple[DataFrame, int]:
+    """docs, laid down with `__part`, from 0, and how many parts there are: texts that lie together, whatever their ids are, so that no frequent
+    text or id makes a large part."""
+    names = docs.columns
 
-def verified(text: Column, raw: Column, alias_col: str = "alias", resolve=None) -> Column:
-    """array<struct<k, start, end>>: the entries of raw that are at these places of the text; resolve(text, find): those of them that stay."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, before = TaskContext.get().partitionId() << ROW_BITS, 0
+        for b in batches:
+            size = pc.fill_null(pc.utf8_length(b.column(text_col)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            at = before + np.cumsum(size) - size
+            before += int(size.sum())
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(first + at // PIECE), pa.array(size)], [*names, "__piece", "__size"])
 
-    @F.pandas_udf("array<struct<k:int,start:int,end:int>>")
-    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for columns in batches:
-            out = []
-            for t, aliases, begins in zip(*columns, strict=True):
-                found = occurrences(t, aliases, [b.tolist() for b in begins]) if aliases is not None and t else {}
-                kept = found if resolve is None else resolve(t, lambda _, found=found: found) if found else ()
-                out.append([{"k": found[m], "start": m[0], "end": m[1]} for m in kept])
-            yield pd.Series(out, dtype=object)
+    laid = staged(docs.mapInArrow(run, _with(docs.schema)), "parts")
+    sizes = laid.groupBy("__piece").agg(F.sum("__size").alias("__size"))
+    everything = W.partitionBy(F.lit(0))
+    most = F.least(F.lit(PART), F.greatest(F.lit(LEAST), F.ceil(F.sum("__size").over(everything) / docs.sparkSession.sparkContext.defaultParallelism)))
+    before = F.sum("__size").over(everything.orderBy("__piece")) - F.col("__size")
+    dealt = staged(sizes.select("__piece", F.floor(before / most).cast("long").alias("__part")), "dealt")  # a row for each piece
+    n = dealt.agg(F.max("__part")).first()[0]
+    return laid.drop("__size").join(F.broadcast(dealt), "__piece").select(*names, "__part"), 1 if n is None else n + 1
 
-    return run(text, F.transform(raw, lambda m: m[alias_col]), F.transform(raw, lambda m: m["begins"]))
+
+def _with(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField("__piece", LongType()), StructField("__size", LongType())])
+
+
+def dictionaries(texts: DataFrame, entries: DataFrame, *, text_col: str, alias_col: str = "alias") -> DataFrame:
+    """`__part` and entries: for each part those that its texts may hold. texts: of parts(); entries: laid down, distinct non-empty aliases."""
+    sc = texts.sparkSession.sparkContext
+    whole = entries.where(F.char_length(alias_col) > WHOLE).isEmpty()
+    counts = np.zeros(RARITY, np.int64) if whole else rarity(texts, text_col, WHOLE)
+    index = staged(anchored(entries, alias_col, sc.broadcast(counts), WHOLE), "anchors")
+    sizes = sorted(r["size"] for r in index.select("size").distinct().collect())  # WHOLE rows at most
+    asked = text_grams(texts, "__part", text_col, sc.broadcast(bloom(index)), sizes).distinct()
+    return asked.join(index, "gram").select(F.col("key").alias("__part"), *entries.columns)
+
+
+def met(texts: DataFrame, n: int, own: DataFrame, work, schema) -> DataFrame:
+    """The rows of work(entries)(rows) -> a record batch. entries: a part's own, a struct array; rows: some of its texts' rows, one too. A task holds
+    one part's entries and a batch of its texts. texts, n: of parts(); own: of dictionaries()."""
+    names = [c for c in texts.columns if c != "__part"]
+    entry = F.struct(*[c for c in own.columns if c != "__part"])
+    row = F.struct(*names)
+    both = own.select("__part", entry.alias("entry"), F.lit(None).cast(texts.select(row.alias("row")).schema["row"].dataType).alias("row"))
+    both = both.unionByName(texts.select("__part", F.lit(None).cast(own.select(entry.alias("entry")).schema["entry"].dataType).alias("entry"), row.alias("row")))
+    dealt = both.repartition(4 * n, "__part").sortWithinPartitions("__part", F.col("row").isNotNull())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, mine, ready = None, [], None
+        for b in batches:
+            at, is_text = b.column(0).to_numpy(), b.column(2).is_valid().to_numpy(zero_copy_only=False)
+            cuts = [0, *(1 + np.flatnonzero((at[1:] != at[:-1]) | (is_text[1:] != is_text[:-1]))).tolist(), len(at)]
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                if at[i] != part:
+                    part, mine, ready = at[i], [], None
+                if not is_text[i]:
+                    mine.append(b.column(1).slice(i, j - i))
+                    continue
+                if ready is None:
+                    ready = work(pa.concat_arrays(mine) if mine else b.column(1).slice(0, 0))
+                for k in range(i, j, ROWS):
+                    yield ready(b.column(2).slice(k, min(j - k, ROWS)))
+
+    return dealt.select("__part", "entry", "row").mapInArrow(run, schema)

@@ -1,26 +1,30 @@
 """Dictionary matching and annotation of markdown texts.
 
 A dictionary is a DataFrame (alias, concept_id, concept_name, alias_type, status, confidence). Two matchers find all occurrences of
-all aliases, overlapping ones included: `matches_automaton` runs an Aho-Corasick automaton over whole texts in Arrow batches, and
-dictionaries above CHUNK entries go through an anchor index (see anchors); `matches_native` stays in the JVM for small dictionaries. Both give the
+all aliases, overlapping ones included: `matches_automaton` runs an Aho-Corasick automaton over whole texts in Arrow batches; of
+dictionaries above CHUNK entries each part of the texts gets those that it may hold (see anchors); `matches_native` stays in the JVM for small dictionaries. Both give the
 same rows. Offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lexatlas.functions.numbering import first_rows
 from lexatlas.functions.text import SKIP, fixed, lookup
 from lexatlas.operators import anchors
 from lexatlas.schemas import CONFIRMED
+from lexatlas.scratch import staged
 from lexatlas.workers import ready_python
 
 #: Aliases in one automaton, and their characters.
@@ -45,12 +49,19 @@ def load_dictionary(aliases: DataFrame, concepts: DataFrame, statuses=CONFIRMED)
 
 
 def finder(words: list[str]):
-    """A function text -> (start, end) of all occurrences of words."""
+    """A function text -> numbers of words, starts and ends of all their occurrences."""
     a = ahocorasick.Automaton()
-    for w in words:
-        a.add_word(w, len(w))
+    for k, w in enumerate(words):
+        a.add_word(w, k)
     a.make_automaton()
-    return (lambda text: ((end + 1 - n, end + 1) for end, n in a.iter(text))) if words else lambda text: iter(())
+    sizes = np.array([len(w) for w in words], np.int64)
+
+    def find(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found = np.array(list(a.iter(text)) if text and words else [], np.int64).reshape(-1, 2)
+        k, end = found[:, 1], found[:, 0] + 1
+        return k, end - sizes[k], end
+
+    return find
 
 
 def few(words: DataFrame, word_col: str, chunk: int) -> list[str] | None:
@@ -60,24 +71,38 @@ def few(words: DataFrame, word_col: str, chunk: int) -> list[str] | None:
 
 
 def keyed(docs: DataFrame, text_col: str, key: str) -> DataFrame:
-    """docs with `key`, a number of the text: copies have one, a null text has none. Texts that happen to share one see each other's candidates,
-    which don't pass the check against the text."""
+    """docs with `key`, a number of the text: copies have one, a null text has none."""
     return docs.withColumn(key, F.when(F.col(text_col).isNotNull(), F.xxhash64(text_col)))
 
 
+def _in_parts(docs: DataFrame, words: DataFrame, work, schema: str) -> DataFrame:
+    """work(aliases, rows, found) for some rows of texts of a part of docs (id, text): its aliases, and what is found in each text."""
+
+    def begin(entries: pa.StructArray):
+        aliases = entries.field(0)
+        find = finder(aliases.to_pylist())
+        return lambda rows: work(aliases, rows, [find(t) for t in rows.field(1).to_pylist()])
+
+    texts, n = anchors.parts(docs, "text")
+    return anchors.met(texts, n, anchors.dictionaries(texts, words, text_col="text"), begin, schema)
+
+
 def matches_automaton(docs: DataFrame, words: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", word_col: str = "alias", chunk: int = CHUNK) -> DataFrame:
     """id, alias, start, end of every occurrence. words: distinct non-empty strings. Up to `chunk` words are one automaton on every worker;
     more go the way of the anchor index."""
     ready_python(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     pairs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
-    known = few(words, word_col, chunk)
+    words = staged(words.select(F.col(word_col).alias("alias")), "words")
+    known = few(words, "alias", chunk)
     if known is None:
-        there = keyed(pairs, "text", "key")
-        texts = there.select("key", "text").dropDuplicates(["key", "text"])
-        raw = anchors.candidates(texts, words.select(F.col(word_col).alias("alias")), key="key", text_col="text")
-        found = there.join(raw, "key").select("id", "raw", F.explode(anchors.verified(F.col("text"), F.col("raw"))).alias("m"))
-        return found.select(F.col("id").alias(id_col), F.get("raw", F.col("m.k"))["alias"].alias("alias"), "m.start", "m.end")
+
+        def each(aliases: pa.Array, rows: pa.StructArray, found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+            k, start, end = (np.concatenate([f[i] for f in found]) for i in range(3))
+            which = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
+            return pa.RecordBatch.from_arrays([rows.field(0).take(which), aliases.take(pa.array(k)), pa.array(start, pa.int32()), pa.array(end, pa.int32())], ["id", "alias", "start", "end"])
+
+        return _in_parts(pairs, words, each, f"id {id_type}, alias string, start int, end int").withColumnRenamed("id", id_col)
     packed = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -89,10 +114,39 @@ def matches_automaton(docs: DataFrame, words: DataFrame, *, id_col: str = "doc_i
 
 
 def _found(ids, texts, find) -> pd.DataFrame:
-    rows = [(i, t[a:b], a, b) for i, t in zip(ids, texts, strict=True) for a, b in find(t)]
+    rows = [(i, t[a:b], a, b) for i, t in zip(ids, texts, strict=True) for a, b in zip(*(x.tolist() for x in find(t)[1:]), strict=True)]
     return pd.DataFrame(rows, columns=["id", "alias", "start", "end"])
 
 
+def match_counts(docs: DataFrame, words: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", word_col: str = "alias", chunk: int = CHUNK) -> DataFrame:
+    """alias, n, sum_start, n_docs: how often each alias that occurs does, the sum of its starts, and in how many ids. As matches_automaton, but where
+    ids occur once, as they should, a part of the texts counts its own matches, and only counts are shuffled."""
+    totals = lambda n, start, ids: [n.alias("n"), start.alias("sum_start"), ids.alias("n_docs")]
+    words = staged(words.select(F.col(word_col).alias("alias")), "words")
+    if few(words, "alias", chunk) is not None or not ids_once(docs, id_col):
+        found = matches_automaton(docs, words, id_col=id_col, text_col=text_col, chunk=chunk)
+        return found.groupBy("alias").agg(*totals(F.count(F.lit(1)), F.sum("start"), F.countDistinct(id_col)))
+    ready_python(docs.sparkSession)
+
+    def counted(aliases: pa.Array, rows: pa.StructArray, found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        n, starts, ids = np.zeros((3, len(aliases)), np.int64)
+        for (k, start, _), known in zip(found, rows.field(0).is_valid().to_pylist(), strict=True):
+            np.add.at(n, k, 1)
+            np.add.at(starts, k, start)
+            if known:
+                ids[np.unique(k)] += 1
+        at = np.flatnonzero(n)
+        return pa.RecordBatch.from_arrays([aliases.take(pa.array(at)), *(pa.array(x[at]) for x in (n, starts, ids))], ["alias", "n", "sum_start", "n_docs"])
+
+    pairs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
+    parts = _in_parts(pairs, words, counted, "alias string, n long, sum_start long, n_docs long")
+    return parts.groupBy("alias").agg(*totals(F.sum("n"), F.sum("sum_start"), F.sum("n_docs")))
+
+
+def ids_once(docs: DataFrame, id_col: str) -> bool:
+    return docs.groupBy(id_col).count().where("count > 1").isEmpty()
+
+
 def matches_native(docs: DataFrame, words: list[str], *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """As matches_automaton, for a few words, by splitting at lookaheads: id, alias, start, end."""
     text = F.col(text_col)
@@ -116,63 +170,93 @@ def _span(word: str):
 
 
 def resolved_spans(text: str, find) -> list[tuple[int, int]]:
-    """The spans of one text: matches of which neither end lies in a skipped region, longest first, then by start. Regions are
-    merged and both steps search sorted lists, so a long text costs little more than its matches."""
+    """The spans of one text, of the matches find(text): those that stay."""
+    start, end = np.array(sorted(set(find(text))), np.int64).reshape(-1, 2).T
+    at = staying(text, start, end)
+    return list(zip(start[at].tolist(), end[at].tolist(), strict=True))
+
+
+def staying(text: str, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Which matches in one text stay, by start: those of which neither end lies in a skipped region, longest first, then by start. Regions are
+    merged and searched as sorted lists. Of an island of overlapping matches one that covers it is left alone; only others are gone through."""
     inside: list[list[int]] = []
     for a, b in sorted(m.span() for p in _SKIP for m in p.finditer(text)):
         if inside and a <= inside[-1][1]:
             inside[-1][1] = max(inside[-1][1], b)
         else:
             inside.append([a, b])
-    begins = [a for a, _ in inside]
+    begins, ends = np.array([[-1, -1], *inside], np.int64).T
+
+    def skipped(at: np.ndarray) -> np.ndarray:
+        return at < ends[np.searchsorted(begins, at, "right") - 1]
+
+    at = np.flatnonzero(~(skipped(start) | skipped(end - 1)))
+    if not len(at):
+        return at
+    at = at[np.lexsort((-end[at], start[at]))]
+    a, b = start[at], end[at]
+    reach = np.maximum.accumulate(b)
+    first = np.flatnonzero(np.concatenate([[True], a[1:] >= reach[:-1]]))
+    after = np.append(first[1:], len(at))
+    whole = b[first] == reach[after - 1]
+    kept = [first[whole]]
+    for i, j in zip(first[~whole].tolist(), after[~whole].tolist(), strict=True):
+        some: list[tuple[int, int, int]] = []
+        for m in sorted(zip(a[i:j].tolist(), b[i:j].tolist(), range(i, j), strict=True), key=lambda m: (m[0] - m[1], m[0])):
+            k = bisect_left(some, m)
+            if (k == len(some) or m[1] <= some[k][0]) and (k == 0 or some[k - 1][1] <= m[0]):
+                some.insert(k, m)
+        kept.append(np.array([k for _, _, k in some], np.int64))
+    return at[np.sort(np.concatenate(kept))]
 
-    def skipped(at: int) -> bool:
-        k = bisect_right(begins, at) - 1
-        return k >= 0 and at < inside[k][1]
 
-    kept: list[tuple[int, int]] = []
-    for a, b in sorted({(a, b) for a, b in find(text)}, key=lambda m: (m[0] - m[1], m[0])):
-        k = bisect_left(kept, (a, b))
-        if not skipped(a) and not skipped(b - 1) and (k == len(kept) or b <= kept[k][0]) and (k == 0 or kept[k - 1][1] <= a):
-            kept.insert(k, (a, b))
-    return kept
+NAMES = ("start", "end", "alias", "concept_id", "concept_name", "alias_type", "status", "confidence")
 
 
-NAMES = ("start", "end", "alias", "concept_id", "concept_name", "alias_type", "status", "confidence")
+def _kept(text: str | None, find) -> list[np.ndarray]:
+    found = find(text)
+    at = staying(text, *found[1:]) if len(found[0]) else found[0]
+    return [x[at] for x in found]
 
 
 def annotate(docs: DataFrame, dictionary: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """docs with `spans`: the resolved matches of each text, outside code, formulas and images, longest first, by start. Of dictionary
     entries with the same alias the first by concept, name, type, status and confidence counts.
 
-    Up to `chunk` aliases go to every worker, which annotates texts where they are: nothing is shuffled. Larger dictionaries go the way of
-    the anchor index; a text and what it may hold meet by the hash of the text, whatever its id, and entries travel with their
-    aliases, so that nothing is joined by word. Both ways resolve matches by the same function.
+    Up to `chunk` aliases go to every worker, which annotates texts where they are: nothing is shuffled. Of larger dictionaries each part of
+    the texts gets the entries that it may hold; a text meets them by its part, whatever its id, and nothing is joined by word. Both ways
+    resolve matches by the same function.
     """
     ready_python(docs.sparkSession)
-    entries = first_rows(dictionary.select(*NAMES[2:]), ["alias"], list(NAMES[3:]))
+    entries = staged(first_rows(dictionary.select(*NAMES[2:]), ["alias"], list(NAMES[3:])), "entries")
     if few(entries, "alias", chunk) is not None:
-        shared = docs.sparkSession.sparkContext.broadcast({r["alias"]: tuple(r) for r in entries.collect()})  # `chunk` rows at most
+        shared = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in entries.collect()])  # `chunk` rows at most
 
         @F.pandas_udf(SPAN_LIST)
         def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             known = shared.value
-            find = finder(list(known))
+            find = finder([e[0] for e in known])
             for texts in batches:
-                yield pd.Series([[dict(zip(NAMES, (a, b, *known[t[a:b]]), strict=True)) for a, b in resolved_spans(t, find)] if t else [] for t in texts], dtype=object)
+                yield pd.Series([[dict(zip(NAMES, (a, b, *known[k]), strict=True)) for k, a, b in zip(*(x.tolist() for x in _kept(t, find)), strict=True)] for t in texts], dtype=object)
 
         return docs.withColumn("spans", spans(F.col(text_col)))
-    key = "__text_key"
-    there = keyed(docs, text_col, key)
-    raw = anchors.candidates(there.select(key, text_col).where(F.col(key).isNotNull()).dropDuplicates([key, text_col]), entries, key=key, text_col=text_col)
-    done = there.join(raw, key, "left").withColumn("__kept", anchors.verified(F.col(text_col), F.col("raw"), resolve=resolved_spans))
+    columns, at = docs.columns, docs.columns.index(text_col)
 
-    def span(m: Column) -> Column:
-        entry = F.get(F.col("raw"), m["k"])
-        return F.struct(m["start"].alias("start"), m["end"].alias("end"), *[entry[c].alias(c) for c in NAMES[2:]])
+    def begin(entries: pa.StructArray):
+        find = finder(entries.field(0).to_pylist())
 
-    spans = F.when(F.size("__kept") > 0, F.transform("__kept", span)).otherwise(F.array().cast(SPAN_LIST))
-    return done.withColumn("spans", spans).select(*docs.columns, "spans")
+        def annotated(rows: pa.StructArray) -> pa.RecordBatch:
+            kept = [_kept(t, find) for t in rows.field(at).to_pylist()]
+            ends = pa.array(np.cumsum([0, *(len(k) for k, _, _ in kept)]), pa.int32())
+            k, start, end = (np.concatenate([m[i] for m in kept]) for i in range(3))
+            spans = pa.StructArray.from_arrays([pa.array(start, pa.int32()), pa.array(end, pa.int32()), *entries.take(pa.array(k)).flatten()], list(NAMES))
+            return pa.RecordBatch.from_arrays([*rows.flatten(), pa.ListArray.from_arrays(ends, spans)], [*columns, "spans"])
+
+        return annotated
+
+    texts, n = anchors.parts(docs, text_col)
+    own = anchors.dictionaries(texts, entries, text_col=text_col)
+    return anchors.met(texts, n, own, begin, StructType([*docs.schema.fields, *StructType.fromDDL(f"spans {SPAN_LIST}").fields]))
 
 
 def _linked(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
@@ -194,13 +278,31 @@ def inline(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, F.pandas_udf(_linked, "string")(text, start, end, names)).otherwise(text)
 
 
-def annotation_rows(annotated: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
+def annotation_rows(annotated: DataFrame, *, id_col: str = "doc_id", once: bool = False) -> DataFrame:
     """One row per document, word and concept, at its first span: id, start, alias, concept_name, concept_id, alias_type, label,
-    confidence."""
-    each = annotated.select(id_col, F.explode("spans").alias("m")).select(id_col, "m.*")
-    first = F.min_by(F.struct("start", "concept_name", "alias_type", "confidence"), "start").alias("f")
-    rows = each.groupBy(id_col, "alias", "concept_id").agg(first)
-    return rows.select(id_col, "f.start", "alias", "f.concept_name", "concept_id", "f.alias_type", lookup(F.col("f.alias_type"), TYPE_LABELS, F.col("f.alias_type")).alias("label"), "f.confidence")
+    confidence. once: ids occur once, so that the first spans of each text are all and nothing is shuffled."""
+    each = annotated.select(id_col, F.explode(first_spans(F.col("spans"))).alias("m")).select(id_col, "m.*")
+    if not once:
+        first = F.min_by(F.struct("start", "concept_name", "alias_type", "confidence"), "start").alias("f")
+        each = each.groupBy(id_col, "alias", "concept_id").agg(first).select(id_col, "alias", "concept_id", "f.*")
+    return each.select(id_col, "start", "alias", "concept_name", "concept_id", "alias_type", lookup(F.col("alias_type"), TYPE_LABELS, F.col("alias_type")).alias("label"), "confidence")
+
+
+def first_spans(spans: Column) -> Column:
+    """The first of a text's spans of each word and concept."""
+
+    @F.pandas_udf("array<int>")
+    def places(starts: pd.Series, words: pd.Series, concepts: pd.Series) -> pd.Series:
+        out = []
+        for row in zip(starts, words, concepts, strict=True):
+            first: dict[tuple, tuple[int, int]] = {}
+            for k, (at, w, c) in enumerate(zip(*row, strict=True) if row[0] is not None else ()):
+                first[w, c] = min(first.get((w, c), (at, k)), (at, k))
+            out.append(sorted(k for _, k in first.values()))
+        return pd.Series(out, dtype=object)
+
+    column = lambda c: F.transform(spans, lambda m: m[c])
+    return F.transform(places(column("start"), column("alias"), column("concept_id")), lambda k: F.get(spans, k))
 
 
 def annotation_table(spans: Column) -> Column:
