@@ -206,8 +206,7 @@ def skip_ranges(s: SparkSession, d: str) -> DataFrame:
 
 
 def dict_match_counts(s: SparkSession, d: str) -> DataFrame:
-    found = annotate.matches_automaton(ad.read(s, d, "documents"), ad.dictionary(s, d).select("alias"))
-    return found.groupBy("alias").agg(F.count(F.lit(1)).alias("n"), F.sum("start").alias("sum_start"), F.countDistinct("doc_id").alias("n_docs"))
+    return annotate.match_counts(ad.read(s, d, "documents"), ad.dictionary(s, d).select("alias"))
 
 
 def skip_offsets(s: SparkSession, d: str) -> DataFrame:
@@ -220,7 +219,8 @@ def span_resolve(s: SparkSession, d: str) -> DataFrame:
 
 
 def annotation_table(s: SparkSession, d: str) -> DataFrame:
-    return annotate.annotation_rows(annotate.annotate(ad.marked(s, d), ad.dictionary(s, d)))
+    once = annotate.ids_once(ad.read(s, d, "documents"), "doc_id")
+    return annotate.annotation_rows(annotate.annotate(ad.marked(s, d), ad.dictionary(s, d)), once=once)
 
 
 def annotated_inline(s: SparkSession, d: str) -> DataFrame:
