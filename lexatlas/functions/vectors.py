@@ -8,8 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Vectors in a block, and blocks in a group. A group of 1,024 dimensions takes 64 MB as doubles.
-BLOCK, GROUP = 2048, 4
+#: Vectors in a block, and bytes of the vectors in a group at most. What is shipped is both sides once for each group of the other.
+BLOCK, GROUP = 2048, 1 << 25
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -40,12 +40,13 @@ def usable(a: Column) -> Column:
 
 def blocks(rows: DataFrame, vector: str, size: int = BLOCK) -> tuple[DataFrame, dict[int, int]]:
     """rows packed into blocks of one dimension: dim, slot, an array of each other column, data (the vectors one after another, as
-    doubles); and how many slots each dimension has. Rows whose vector isn't usable are left out. Rows are dealt by where they are read, so that no
+    floats if they are floats, else as doubles); and how many slots each dimension has. Rows whose vector isn't usable are left out. Rows are dealt by where they are read, so that no
     frequent key makes a large block and a task that runs again deals them alike."""
     keys = [c for c in rows.columns if c != vector]
     some = rows.where(usable(F.col(vector))).withColumn("__at", F.monotonically_increasing_id()).withColumn("dim", F.size(vector))
     slots = {r["dim"]: -(-r["n"] // size) for r in some.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}  # a few dimensions
-    item = F.struct(*keys, F.col(vector).cast("array<double>").alias("__v"))
+    single = rows.schema[vector].dataType.simpleString() == "array<float>"
+    item = F.struct(*keys, F.col(vector).cast("array<float>" if single else "array<double>").alias("__v"))
     packed = some.select("dim", F.pmod(F.xxhash64("__at"), _of(slots)).alias("slot"), item.alias("item")).groupBy("dim", "slot").agg(F.collect_list("item").alias("items"))
     column = lambda k: F.transform("items", lambda x: x[k])
     return packed.select("dim", "slot", *[column(k).alias(k) for k in keys], F.flatten(column("__v")).alias("data")), slots
@@ -58,17 +59,27 @@ def _of(slots: dict[int, int]) -> Column:
 
 def meet(left: tuple[DataFrame, dict[int, int]], right: tuple[DataFrame, dict[int, int]], run, schema: str, group: int = GROUP) -> DataFrame:
     """run(left blocks, right blocks) -> rows, for each group of left blocks with each group of right blocks of the same dimension. A block
-    is shipped once for each group of the other side, and a task holds two groups."""
+    is shipped once for each group of the other side, and a task holds two groups of `group` bytes at most. Groups are smaller only where
+    there would be fewer pairs of them than cores."""
+    cores = left[0].sparkSession.sparkContext.defaultParallelism
+    common = {d for d in left[1] if d in right[1]}
+    size = {d: grouped(d, left[1][d], right[1][d], cores, group) for d in common}
 
     def spread(side: tuple[DataFrame, dict[int, int]], other: dict[int, int], own: str, theirs: str) -> DataFrame:
-        known = {d: -(-n // group) for d, n in other.items() if d in side[1]}
+        known = {d: -(-other[d] // size[d]) for d in common}
         here = side[0].where(F.col("dim").isin(*known)) if known else side[0].where("false")
-        return here.withColumn(own, F.floor(F.col("slot") / group)).withColumn(theirs, F.explode(F.sequence(F.lit(0).cast("long"), _of(known) - 1)))
+        return here.withColumn(own, F.floor(F.col("slot") / _of(size))).withColumn(theirs, F.explode(F.sequence(F.lit(0).cast("long"), _of(known) - 1)))
 
     keys = ["dim", "__l", "__r"]
     return spread(left, right[1], "__l", "__r").groupBy(*keys).cogroup(spread(right, left[1], "__r", "__l").groupBy(*keys)).applyInPandas(run, schema)
 
 
+def grouped(dim: int, left: int, right: int, cores: int, group: int = GROUP) -> int:
+    """Blocks in a group: as many as `group` bytes hold of single vectors, but fewer if that leaves cores without a pair of groups."""
+    most = max(1, group // (BLOCK * dim * 4))
+    return max(1, min(most, math.isqrt(left * right // cores)))
+
+
 def unit_rows(data: np.ndarray, dim: int) -> np.ndarray:
     """A block's vectors as rows of length 1; those of no length stay zero."""
     m = np.asarray(data, float).reshape(-1, dim)

@@ -7,8 +7,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexatlas.functions.vectors import blocks, meet, unit_rows
+from lexatlas.functions.vectors import BLOCK, blocks, meet, unit_rows
 from lexatlas.schemas import CONCEPTS, conform
+from lexatlas.scratch import staged
 from lexatlas.workers import ready_python
 
 HIGH, MIDDLE = "高关联", "中关联"
@@ -28,26 +29,33 @@ def best_match(aliases: DataFrame, concepts: DataFrame, *, alias_key: str = "ali
     types = {c: d.schema[x].dataType.simpleString() for c, d, x in (("k", aliases, alias_key), ("o", concepts, order), ("c", concepts, concept_key))}
 
     def run(a: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        for r in c.itertuples(index=False):
-            at = sorted(range(len(r.o)), key=lambda i, o=r.o: o[i])
-            parts.append((unit_rows(r.data, r.dim)[at], [r.o[i] for i in at], [r.c[i] for i in at]))
+        orders, concepts = ([x for r in c[k] for x in r] for k in ("o", "c"))
+        at = sorted(range(len(orders)), key=lambda i: (orders[i], concepts[i]))
+        chunks = [np.array(at[i : i + BLOCK]) for i in range(0, len(at), BLOCK)]
         out: dict[str, list] = {"k": [], "o": [], "c": [], "similarity": []}
+        if not len(a) or not chunks:
+            return pd.DataFrame(out)
+        vectors = np.concatenate(list(c["data"])).reshape(len(orders), -1)
         for r in a.itertuples(index=False):
             mine = unit_rows(r.data, r.dim)
-            for theirs, orders, concepts in parts:
-                s = mine @ theirs.T
-                top = s.max(1)
-                best = (s >= top[:, None] - 1e-12).argmax(1)
-                for i in np.flatnonzero(top > 0):
-                    out["k"].append(r.k[i])
-                    out["o"].append(orders[best[i]])
-                    out["c"].append(concepts[best[i]])
-                    out["similarity"].append(top[i])
+            top, tops, best = np.zeros(len(mine)), np.zeros((len(chunks), len(mine))), np.zeros((len(chunks), len(mine)), np.int64)
+            for j, chunk in enumerate(chunks):
+                s = mine @ unit_rows(vectors[chunk], r.dim).T
+                tops[j] = s.max(1)
+                near = np.flatnonzero(tops[j] >= top - 1e-12)
+                best[j, near] = chunk[(s[near] >= tops[j, near, None] - 1e-12).argmax(1)]
+                top = np.maximum(top, tops[j])
+            first = (tops >= top - 1e-12).argmax(0)  # chunks are in the order of concepts
+            for i in np.flatnonzero(top > 0):
+                k = best[first[i], i]
+                out["k"].append(r.k[i])
+                out["o"].append(orders[k])
+                out["c"].append(concepts[k])
+                out["similarity"].append(top[i])
         return pd.DataFrame(out)
 
     found = meet(left, right, run, f"k {types['k']}, o {types['o']}, c {types['c']}, similarity double")
-    tops = found.groupBy("k").agg(F.max("similarity").alias("top"), F.collect_list(F.struct("similarity", "o", "c")).alias("all"))  # one entry a block of concepts
+    tops = found.groupBy("k").agg(F.max("similarity").alias("top"), F.collect_list(F.struct("similarity", "o", "c")).alias("all"))  # one entry a group of concepts
     near = F.array_min(F.transform(F.filter("all", lambda x: x["similarity"] >= F.col("top") - 1e-12), lambda x: F.struct(x["o"], x["c"])))
     return tops.select(F.col("k").alias(alias_key), near["c"].alias("best"), F.col("top").alias("similarity"))
 
@@ -80,7 +88,9 @@ def align(aliases: DataFrame, concepts: DataFrame, judge, *, threshold: float =
     chosen = F.col("alias_type") == "entity" if rerun else F.col("status") == "pending"
     chosen = F.coalesce(chosen, F.lit(False))
     open_rows, rest = now.where(chosen), now.where(~chosen)
-    found = open_rows.join(best_match(open_rows, concepts, order=order), "alias", "left")
+    # laid down: it is read three times, and a second alignment on top of this one would match again each time
+    best = staged(best_match(open_rows, concepts, order=order), "best")
+    found = open_rows.join(best, "alias", "left")
     asked = found.where((F.col("similarity") >= threshold) & (F.col("alias_type") != "alias")).select("alias", F.col("best").alias("concept_id"))
     asked = asked.join(conform(concepts, CONCEPTS).select("concept_id", "name", F.substring("content", 1, 300).alias("content")), "concept_id").select("alias", "name", "content")
     answers = judge(asked).select("alias", "decision", "reason")
