@@ -3,8 +3,8 @@
 Every alias is keyed by one of its character n-grams, the rarest in the texts: its anchor. An alias that isn't longer than n is its own anchor.
 A Bloom filter of all anchors, BITS bits whatever the dictionary, goes to every worker. Texts are dealt to parts of PART code points, and a part
 tells, once each, those of its n-grams that pass the filter; these rows meet the anchors in a join, which gives each part the entries that it may
-hold: a dictionary of its own. What is shuffled grows with the different words of the parts, not with their places in texts, nor with
-dictionary x texts.
+hold: a dictionary of its own, laid down in a folder of its own, and texts meet it where they are read. What is shuffled grows with the different
+words of the parts, not with texts or places in them, nor with dictionary x texts.
 
 Rarity is counted over all texts in a table of RARITY slots; slots that are shared make anchors less rare, never results wrong.
 """
@@ -18,6 +18,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from lexatlas.functions.numbering import ROW_BITS
-from lexatlas.scratch import staged
+from lexatlas.scratch import scratch_path, staged
 
 #: Length of anchors, and of those of the index of whole words: most aliases are their own anchors there, so a part gets hardly any that it doesn't hold.
 GRAM, WHOLE = 5, 16
@@ -135,13 +137,13 @@ def passed(filter_: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def text_grams(texts: DataFrame, key: str, text_col: str, filter_, sizes: list[int]) -> DataFrame:
-    """gram, key: the n-grams of a key's texts that pass the filter (a broadcast of bloom()), once for each batch of rows. Texts of a key are
-    hashed as one, so a few n-grams run over their ends; what they ask for isn't in the texts and isn't found there."""
+    """gram, key: the n-grams of a key's texts that pass the filter (a broadcast of bloom()), once for texts of a key that lie together. Texts of a
+    key are hashed as one, so a few n-grams run over their ends; what they ask for isn't in the texts and isn't found there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = filter_.value
+        known, told = filter_.value, {}
         for b in batches:
-            together = defaultdict(list)
+            together, before, told = defaultdict(list), told, {}
             for k, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 if text:
                     together[k].append(text)
@@ -150,6 +152,9 @@ def text_grams(texts: DataFrame, key: str, text_col: str, filter_, sizes: list[i
                 seen = [np.unique(passed(known, h)) for _, h in blocks(text, sizes)]
                 if seen:
                     h = np.unique(np.concatenate(seen))
+                    if k in before:
+                        h = h[~np.isin(h, before[k])]
+                    told[k] = np.concatenate([h, before[k]]) if k in before else h
                     yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(h), k, np.int64))], ["gram", "key"])
 
     return texts.select(F.col(key).cast("long"), text_col).mapInArrow(run, "gram long, key long")
@@ -189,34 +194,41 @@ def dictionaries(texts: DataFrame, entries: DataFrame, *, text_col: str, alias_c
     counts = np.zeros(RARITY, np.int64) if whole else rarity(texts, text_col, WHOLE)
     index = staged(anchored(entries, alias_col, sc.broadcast(counts), WHOLE), "anchors")
     sizes = sorted(r["size"] for r in index.select("size").distinct().collect())  # WHOLE rows at most
-    asked = text_grams(texts, "__part", text_col, sc.broadcast(bloom(index)), sizes).distinct()
+    # dealt by n-gram alone, as the join needs them, so that they are shuffled once
+    asked = text_grams(texts, "__part", text_col, sc.broadcast(bloom(index)), sizes).repartition("gram").distinct()
     return asked.join(index, "gram").select(F.col("key").alias("__part"), *entries.columns)
 
 
 def met(texts: DataFrame, n: int, own: DataFrame, work, schema) -> DataFrame:
-    """The rows of work(entries)(rows) -> a record batch. entries: a part's own, a struct array; rows: some of its texts' rows, one too. A task holds
-    one part's entries and a batch of its texts. texts, n: of parts(); own: of dictionaries()."""
+    """The rows of work(entries)(rows) -> a record batch. entries: a part's own, a struct array; rows: some of its texts' rows, one too. The parts'
+    entries are laid down, a folder for each part; texts stay where they are read, and a task holds one part's entries and a batch of its texts.
+    texts, n: of parts(); own: of dictionaries()."""
     names = [c for c in texts.columns if c != "__part"]
-    entry = F.struct(*[c for c in own.columns if c != "__part"])
-    row = F.struct(*names)
-    both = own.select("__part", entry.alias("entry"), F.lit(None).cast(texts.select(row.alias("row")).schema["row"].dataType).alias("row"))
-    both = both.unionByName(texts.select("__part", F.lit(None).cast(own.select(entry.alias("entry")).schema["entry"].dataType).alias("entry"), row.alias("row")))
-    dealt = both.repartition(4 * n, "__part").sortWithinPartitions("__part", F.col("row").isNotNull())
+    folder, shape = scratch_path(texts.sparkSession, "own"), own.drop("__part").limit(0).toArrow().schema
+    own.repartition(n, "__part").write.partitionBy("__part").option("compression", "zstd").parquet(folder)
+
+    def entries(part: int) -> pa.StructArray:
+        fs, path = pafs.FileSystem.from_uri(f"{folder}/__part={part}")
+        files = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True)) if f.path.endswith(".parquet"))
+        rows = []
+        for file in files:
+            with fs.open_input_file(file) as f:
+                rows.append(pq.ParquetFile(f).read().select(shape.names).cast(shape))
+        found = pa.concat_tables([shape.empty_table(), *rows]).combine_chunks()
+        return pa.StructArray.from_arrays([c.combine_chunks() for c in found.columns], shape.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, mine, ready = None, [], None
+        part, ready = None, None
         for b in batches:
-            at, is_text = b.column(0).to_numpy(), b.column(2).is_valid().to_numpy(zero_copy_only=False)
-            cuts = [0, *(1 + np.flatnonzero((at[1:] != at[:-1]) | (is_text[1:] != is_text[:-1]))).tolist(), len(at)]
+            at = b.column(0).to_numpy()
+            cuts = [0, *(1 + np.flatnonzero(at[1:] != at[:-1])).tolist(), len(at)]
             for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-                if at[i] != part:
-                    part, mine, ready = at[i], [], None
-                if not is_text[i]:
-                    mine.append(b.column(1).slice(i, j - i))
+                if i == j:
                     continue
-                if ready is None:
-                    ready = work(pa.concat_arrays(mine) if mine else b.column(1).slice(0, 0))
+                if at[i] != part:
+                    part, ready = at[i], None
+                    ready = work(entries(part))
                 for k in range(i, j, ROWS):
-                    yield ready(b.column(2).slice(k, min(j - k, ROWS)))
+                    yield ready(pa.StructArray.from_arrays(b.slice(k, min(j - k, ROWS)).columns[1:], names))
 
-    return dealt.select("__part", "entry", "row").mapInArrow(run, schema)
+    return texts.select("__part", *names).mapInArrow(run, schema)

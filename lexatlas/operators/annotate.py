@@ -210,7 +210,12 @@ def staying(text: str, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return at[np.sort(np.concatenate(kept))]
 
 
-NAMES = ("start", "end", "alias", "concept_id", "concept_name", "alias_type", "status", "confidence")
+NAMES = tuple(f.partition(":")[0] for f in SPAN[7:-1].split(","))
+
+
+def span_list(fields) -> str:
+    """The type of spans that have only these of NAMES."""
+    return f"array<struct<{','.join(f for f in SPAN[7:-1].split(',') if f.partition(':')[0] in fields)}>>"
 
 
 def _kept(text: str | None, find) -> list[np.ndarray]:
@@ -219,25 +224,30 @@ def _kept(text: str | None, find) -> list[np.ndarray]:
     return [x[at] for x in found]
 
 
-def annotate(docs: DataFrame, dictionary: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+def annotate(docs: DataFrame, dictionary: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, fields=NAMES) -> DataFrame:
     """docs with `spans`: the resolved matches of each text, outside code, formulas and images, longest first, by start. Of dictionary
-    entries with the same alias the first by concept, name, type, status and confidence counts.
+    entries with the same alias the first by concept, name, type, status and confidence counts. fields: those of NAMES that spans have; others
+    are neither laid down nor shuffled, and of the dictionary only its words if spans need no more.
 
     Up to `chunk` aliases go to every worker, which annotates texts where they are: nothing is shuffled. Of larger dictionaries each part of
-    the texts gets the entries that it may hold; a text meets them by its part, whatever its id, and nothing is joined by word. Both ways
-    resolve matches by the same function.
+    the texts gets the entries that it may hold; a text meets them by its part, whatever its id, where it is read: texts aren't shuffled, and
+    nothing is joined by word. Both ways resolve matches by the same function.
     """
     ready_python(docs.sparkSession)
-    entries = staged(first_rows(dictionary.select(*NAMES[2:]), ["alias"], list(NAMES[3:])), "entries")
+    shown, more = [c for c in NAMES if c in fields], [c for c in NAMES[3:] if c in fields]
+    entries = first_rows(dictionary.select(*NAMES[2:]), ["alias"], list(NAMES[3:])).select("alias", *more) if more else dictionary.select("alias").distinct()
+    entries = staged(entries, "entries")
     if few(entries, "alias", chunk) is not None:
         shared = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in entries.collect()])  # `chunk` rows at most
 
-        @F.pandas_udf(SPAN_LIST)
+        @F.pandas_udf(span_list(fields))
         def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             known = shared.value
             find = finder([e[0] for e in known])
+            whole = ("start", "end", "alias", *more)
             for texts in batches:
-                yield pd.Series([[dict(zip(NAMES, (a, b, *known[k]), strict=True)) for k, a, b in zip(*(x.tolist() for x in _kept(t, find)), strict=True)] for t in texts], dtype=object)
+                found = ([dict(zip(whole, (a, b, *known[k]), strict=True)) for k, a, b in zip(*(x.tolist() for x in _kept(t, find)), strict=True)] for t in texts)
+                yield pd.Series([[{c: m[c] for c in shown} for m in each] for each in found], dtype=object)
 
         return docs.withColumn("spans", spans(F.col(text_col)))
     columns, at = docs.columns, docs.columns.index(text_col)
@@ -249,14 +259,15 @@ def annotate(docs: DataFrame, dictionary: DataFrame, *, id_col: str = "doc_id",
             kept = [_kept(t, find) for t in rows.field(at).to_pylist()]
             ends = pa.array(np.cumsum([0, *(len(k) for k, _, _ in kept)]), pa.int32())
             k, start, end = (np.concatenate([m[i] for m in kept]) for i in range(3))
-            spans = pa.StructArray.from_arrays([pa.array(start, pa.int32()), pa.array(end, pa.int32()), *entries.take(pa.array(k)).flatten()], list(NAMES))
+            values = dict(zip(("start", "end", "alias", *more), (pa.array(start, pa.int32()), pa.array(end, pa.int32()), *entries.take(pa.array(k)).flatten()), strict=True))
+            spans = pa.StructArray.from_arrays([values[c] for c in shown], shown)
             return pa.RecordBatch.from_arrays([*rows.flatten(), pa.ListArray.from_arrays(ends, spans)], [*columns, "spans"])
 
         return annotated
 
     texts, n = anchors.parts(docs, text_col)
     own = anchors.dictionaries(texts, entries, text_col=text_col)
-    return anchors.met(texts, n, own, begin, StructType([*docs.schema.fields, *StructType.fromDDL(f"spans {SPAN_LIST}").fields]))
+    return anchors.met(texts, n, own, begin, StructType([*docs.schema.fields, *StructType.fromDDL(f"spans {span_list(fields)}").fields]))
 
 
 def _linked(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:

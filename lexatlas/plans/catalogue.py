@@ -215,7 +215,7 @@ def skip_offsets(s: SparkSession, d: str) -> DataFrame:
 
 def span_resolve(s: SparkSession, d: str) -> DataFrame:
     total = lambda c: F.aggregate("spans", F.lit(0).cast("long"), lambda a, m: a + m[c])
-    return annotate.annotate(ad.marked(s, d), ad.dictionary(s, d)).select("doc_id", F.size("spans").cast("long").alias("n_spans"), total("start").alias("starts"), total("end").alias("ends"))
+    return annotate.annotate(ad.marked(s, d), ad.dictionary(s, d), fields=("start", "end")).select("doc_id", F.size("spans").cast("long").alias("n_spans"), total("start").alias("starts"), total("end").alias("ends"))
 
 
 def annotation_table(s: SparkSession, d: str) -> DataFrame:
