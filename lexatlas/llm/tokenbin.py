@@ -58,9 +58,27 @@ INDEXES_KEPT = 8
 #: Fixed value: how the word vocabulary splits a normalised text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SPLIT_ASCII = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+"
+#: The same over code points that most Latin texts keep to: letters, numbers and white space of Latin-1, Latin Extended-A and general punctuation.
+_L, _N, _S = r"a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f", r"0-9\xb2\xb3\xb9\xbc-\xbe", r" \t-\r\x85\xa0\u2000-\u200a\u2028\u2029\u202f\u205f"
+SPLIT_LATIN, BEYOND_LATIN = f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+", r"[^\0-\u017f\u2000-\u206f]"
 NULL_KEY = np.uint64(0xF1EA5EED0DDBA11)
 
 
+class Words(dict):
+    """word -> its ids by the library's model, which takes its bytes as the letters of the vocabulary; kept unless the word is longer than
+    WORD_MOST or there are too many."""
+
+    def __init__(self, tokenize, letters: dict[int, str], pack):
+        self.tokenize, self.letters, self.pack = tokenize, letters, pack
+
+    def __missing__(self, word: str) -> bytes:
+        shown = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.letters)
+        ids = self.pack([t.id for t in self.tokenize(shown)])
+        if len(word) <= WORD_MOST and len(self) <= WORDS_KEPT:
+            self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """The ids that the tokenizers library gives, word by word, as little-endian bytes of `width` each."""
 
@@ -72,13 +90,13 @@ class WordEncoder:
         names = [n["type"] for n in (j["normalizer"] or {}).get("normalizers", [])]
         levels = [p["type"] for p in (j["pre_tokenizer"] or {}).get("pretokenizers", [])]
         self.by_word = splits == [SPLIT] and levels == ["Split", "ByteLevel"] and names == ["NFC", "Replace", "Lowercase"] and not j["post_processor"]
-        self.words: dict[str, bytes] = {}
         whole = self.whole()
-        self.width = 2 if whole.get_vocab_size() <= 1 << 16 else 4
+        self.width, self.code = (2, "H") if whole.get_vocab_size() <= 1 << 16 else (4, "I")
         if self.by_word:
             self.normalise = whole.normalizer.normalize_str
             self.split, self.split_ascii, self.newer = regex.compile(SPLIT).findall, re.compile(SPLIT_ASCII).findall, unassigned()
-            self.model, self.letters = whole.model, {b: c for c, b in byte_letters().items()}
+            self.split_latin, self.beyond_latin = re.compile(SPLIT_LATIN).findall, re.compile(BEYOND_LATIN).search
+            self.words = Words(whole.model.tokenize, {b: c for c, b in byte_letters().items()}, self.packed)
             self._whole = None  # made again for a text that needs it
 
     def whole(self):
@@ -91,26 +109,11 @@ class WordEncoder:
         return self._whole
 
     def packed(self, ids: list[int]) -> bytes:
-        out = array("H" if self.width == 2 else "I", ids)
+        out = array(self.code, ids)
         if sys.byteorder == "big":
             out.byteswap()
         return out.tobytes()
 
-    def _ids(self, word: str) -> list[int]:
-        """The ids of one word by the library's model, which takes its bytes as the letters of the vocabulary."""
-        shown = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.letters)
-        return [t.id for t in self.model.tokenize(shown)]
-
-    def _new(self, words: list[str]) -> bytes:
-        """Some of the words aren't known yet."""
-        known, here = self.words, {}
-        if len(known) > WORDS_KEPT:
-            known.clear()
-        for w in words:
-            if w not in known and w not in here:
-                (known if len(w) <= WORD_MOST else here)[w] = self.packed(self._ids(w))
-        return b"".join([known[w] if w in known else here[w] for w in words])
-
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
@@ -122,15 +125,11 @@ class WordEncoder:
             if not self.by_word or self.newer(text) or any(s in text for s in self.specials):
                 return self.packed(self.whole().encode(text, add_special_tokens=False).ids)
             # lower() looks at what surrounds a capital sigma, the library doesn't
-            words = self.split(text.lower() if "\u03a3" not in text and unicodedata.is_normalized("NFC", text) else self.normalise(text))
-        out: list[bytes] = []
-        for k in range(0, len(words), 1 << 16):
-            part = words[k : k + (1 << 16)]
-            try:
-                out.append(b"".join(map(self.words.__getitem__, part)))
-            except KeyError:
-                out.append(self._new(part))
-        return b"".join(out)
+            text = text.lower() if "\u03a3" not in text and unicodedata.is_normalized("NFC", text) else self.normalise(text)
+            words = (self.split if self.beyond_latin(text) else self.split_latin)(text)
+        if len(self.words) > WORDS_KEPT:
+            self.words.clear()
+        return b"".join([b"".join(map(self.words.__getitem__, words[k : k + (1 << 16)])) for k in range(0, len(words), 1 << 16)])
 
 
 _encoders: dict[int, WordEncoder] = {}

@@ -80,3 +80,19 @@ def test_perfect_hash():
         several.by_key()
     strangers = keys + 10_000_000
     assert (index.find(strangers, np.zeros(len(keys), bool))[1] > 0).sum() == 0
+
+
+def test_latin_texts_are_split_by_the_plain_pattern(monkeypatch):
+    """As the library does, over all code points of the pattern beside each other (op4: CPU seconds)."""
+    with open(tb.word_bpe_path(), "rb") as f:
+        e = tb.WordEncoder(f.read())
+    some = [chr(c) for r in (range(0x180), range(0x2000, 0x2070)) for c in r]
+    rng = np.random.default_rng(4)
+    texts = ["".join(rng.choice(some, 300)) for _ in range(400)] + ["".join(rng.choice(list("é'sStTlLß 1²“  ª"), 60)) for _ in range(400)]
+    texts = [t for t in texts if t.lower().isascii() or not e.beyond_latin(t.lower())]
+    assert all(e.split_latin(t.lower()) == e.split(t.lower()) for t in texts) and len(texts) > 400
+    monkeypatch.setattr(e, "split", None)
+    monkeypatch.setattr(tb, "WORDS_KEPT", 500)
+    for t, want in zip(texts, Tokenizer.from_file(tb.word_bpe_path()).encode_batch(texts, add_special_tokens=False), strict=True):
+        assert e.newer(t) or np.frombuffer(e.encode(t), "<u2").tolist() == want.ids
+        assert len(e.words) <= 501
