@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Vectors in a block, and bytes of the vectors in a group at most. What is shipped is both sides once for each group of the other.
-BLOCK, GROUP = 2048, 1 << 25
+from lexatlas.scratch import laid_in, scratch_path
+
+#: Vectors in a block, bytes of the vectors in a group at most, and tasks that pairs of groups are dealt to at most.
+BLOCK, GROUP, TASKS = 2048, 1 << 25, 10_000
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -58,20 +64,35 @@ def _of(slots: dict[int, int]) -> Column:
 
 
 def meet(left: tuple[DataFrame, dict[int, int]], right: tuple[DataFrame, dict[int, int]], run, schema: str, group: int = GROUP) -> DataFrame:
-    """run(left blocks, right blocks) -> rows, for each group of left blocks with each group of right blocks of the same dimension. A block
-    is shipped once for each group of the other side, and a task holds two groups of `group` bytes at most. Groups are smaller only where
-    there would be fewer pairs of them than cores."""
-    cores = left[0].sparkSession.sparkContext.defaultParallelism
-    common = {d for d in left[1] if d in right[1]}
-    size = {d: grouped(d, left[1][d], right[1][d], cores, group) for d in common}
-
-    def spread(side: tuple[DataFrame, dict[int, int]], other: dict[int, int], own: str, theirs: str) -> DataFrame:
-        known = {d: -(-other[d] // size[d]) for d in common}
-        here = side[0].where(F.col("dim").isin(*known)) if known else side[0].where("false")
-        return here.withColumn(own, F.floor(F.col("slot") / _of(size))).withColumn(theirs, F.explode(F.sequence(F.lit(0).cast("long"), _of(known) - 1)))
-
-    keys = ["dim", "__l", "__r"]
-    return spread(left, right[1], "__l", "__r").groupBy(*keys).cogroup(spread(right, left[1], "__r", "__l").groupBy(*keys)).applyInPandas(run, schema)
+    """run(left blocks, right blocks) -> rows, for each group of left blocks with each group of right blocks of the same dimension. Both sides
+    are laid down once, a folder for each group, and a task reads the two groups of its pair there, of `group` bytes at most: nothing is shuffled for
+    each group of the other side. Groups are smaller only where there would be fewer pairs of them than cores."""
+    spark = left[0].sparkSession
+    common = sorted(d for d in left[1] if d in right[1])
+    size = {d: grouped(d, left[1][d], right[1][d], spark.sparkContext.defaultParallelism, group) for d in common}
+
+    def lay(side: DataFrame) -> str:
+        folder = scratch_path(spark, "groups")
+        here = side.where(F.col("dim").isin(*common)) if common else side.where("false")
+        here.withColumns({"__dim": F.col("dim"), "__group": F.floor(F.col("slot") / _of(size))}).write.partitionBy("__dim", "__group").option("compression", "zstd").parquet(folder)
+        return folder
+
+    folders = lay(left[0]), lay(right[0])
+    shape = [(d, -(-left[1][d] // size[d]), -(-right[1][d] // size[d])) for d in common]
+    ends = list(accumulate(m * n for _, m, n in shape))
+
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for at in b["id"].tolist():
+                i = next(i for i, end in enumerate(ends) if at < end)
+                dim, m, n = shape[i]
+                pair = divmod(at - (ends[i] - m * n), n)
+                a, c = (laid_in(f"{folder}/__dim={dim}/__group={g}") for folder, g in zip(folders, pair, strict=True))
+                if a and c:
+                    yield run(pa.concat_tables(a).to_pandas(), pa.concat_tables(c).to_pandas())
+
+    total = ends[-1] if ends else 0
+    return spark.range(0, total, 1, max(1, min(total, TASKS))).mapInPandas(pairs, schema)
 
 
 def grouped(dim: int, left: int, right: int, cores: int, group: int = GROUP) -> int:

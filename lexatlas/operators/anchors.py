@@ -18,8 +18,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.fs as pafs
-import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -27,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from lexatlas.functions.numbering import ROW_BITS
-from lexatlas.scratch import scratch_path, staged
+from lexatlas.scratch import laid_in, scratch_path, staged
 
 #: Length of anchors, and of those of the index of whole words: most aliases are their own anchors there, so a part gets hardly any that it doesn't hold.
 GRAM, WHOLE = 5, 16
@@ -208,12 +206,7 @@ def met(texts: DataFrame, n: int, own: DataFrame, work, schema) -> DataFrame:
     own.repartition(n, "__part").write.partitionBy("__part").option("compression", "zstd").parquet(folder)
 
     def entries(part: int) -> pa.StructArray:
-        fs, path = pafs.FileSystem.from_uri(f"{folder}/__part={part}")
-        files = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True)) if f.path.endswith(".parquet"))
-        rows = []
-        for file in files:
-            with fs.open_input_file(file) as f:
-                rows.append(pq.ParquetFile(f).read().select(shape.names).cast(shape))
+        rows = [t.select(shape.names).cast(shape) for t in laid_in(f"{folder}/__part={part}")]
         found = pa.concat_tables([shape.empty_table(), *rows]).combine_chunks()
         return pa.StructArray.from_arrays([c.combine_chunks() for c in found.columns], shape.names)
 

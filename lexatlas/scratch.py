@@ -7,6 +7,9 @@ import shutil
 import tempfile
 import uuid
 
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 
 _own_dirs: dict[str, str] = {}
@@ -41,3 +44,13 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     path = scratch_path(df.sparkSession, tag)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def laid_in(folder: str) -> list[pa.Table]:
+    """What Parquet files lie in a folder of scratch_path(), for a task that reads it; none if there is no such folder."""
+    fs, path = pafs.FileSystem.from_uri(folder)
+    out = []
+    for file in sorted(f.path for f in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True)) if f.path.endswith(".parquet")):
+        with fs.open_input_file(file) as f:
+            out.append(pq.ParquetFile(f).read())
+    return out
